@@ -23,7 +23,7 @@ def register(name: str, sql: str | None = None):
             raise ValueError(f"duplicate plan {name}")
         PLANS[name] = fn
         if sql is not None:
-            ORACLES[name] = sql.strip()
+            ORACLES[name] = bigint_counts(sql.strip())
         return fn
 
     return deco
@@ -32,3 +32,25 @@ def register(name: str, sql: str | None = None):
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the given parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` returns HUGEINT; Spark's returns BIGINT. Wrap every
+    ``count_if(...)`` in a BIGINT cast so both sides have the same type."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth and k < len(sql):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = bigint_counts(sql[j + len(key):k - 1])
+        out.append(sql[i:j] + "CAST(" + key + inner + ") AS BIGINT)")
+        i = k

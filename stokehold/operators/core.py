@@ -189,4 +189,5 @@ def round_cols(df: DataFrame, digits: int = 6, cols: Sequence[str] | None = None
     """Round floating columns (results are compared after rounding)."""
     floating = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
     targets = [x for x in (cols if cols is not None else floating) if x in floating]
-    return df.withColumns({x: F.round(c(x), digits) for x in targets})
+    # "+ 0.0" turns a rounded -0.0 into 0.0 so signed zeros compare equal
+    return df.withColumns({x: F.round(c(x), digits) + F.lit(0.0) for x in targets})

@@ -87,3 +87,25 @@ def round_to(x, digits: int) -> Column:
 def clip_prob(p, eps: float = 1e-10) -> Column:
     """SC10 — clip a probability into [eps, 1 − eps] before taking logs."""
     return F.greatest(F.least(_col(p), F.lit(1.0 - eps)), F.lit(eps))
+
+
+# Chebyshev fit of erfc (fractional error below 1.2e-7 everywhere);
+# fixed values: the published coefficients of that fit, in order
+_ERFC_COEF = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
+
+
+def erfc(x) -> Column:
+    """erfc as a JVM expression (no Python in the hot path)."""
+    z = F.abs(_col(x))
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
+    poly = F.lit(_ERFC_COEF[-1])
+    for a in reversed(_ERFC_COEF[:-1]):
+        poly = F.lit(a) + t * poly
+    ans = t * F.exp(-z * z + poly)
+    return F.when(_col(x) >= 0, ans).otherwise(F.lit(2.0) - ans)
+
+
+def normal_cdf(x) -> Column:
+    """Φ(x) = erfc(−x/√2)/2 as a column expression."""
+    return F.lit(0.5) * erfc(-_col(x) / F.lit(math.sqrt(2.0)))

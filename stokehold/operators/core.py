@@ -147,27 +147,37 @@ def with_neighbors(indexed: DataFrame, n: int, cols: Sequence[str], lags: int =
 
 
 def running_sums(indexed: DataFrame, n: int, cols: Sequence[str], rn: str = ROW_INDEX,
-                 suffix: str = "__cum") -> DataFrame:
-    """Inclusive running sums of ``cols`` over the global order ``rn``.
+                 suffix: str = "__cum", op: str = "sum", reverse: bool = False) -> DataFrame:
+    """Inclusive running ``sum`` / ``max`` / ``min`` of ``cols`` over the global
+    order ``rn`` (or its reverse).
 
-    In-block cumulative sums (window per block) plus block offsets computed on
-    the per-block totals table (one row per block).
+    In-block cumulative values (window per block) combined with the running
+    value of all earlier blocks, computed on the per-block totals table (one
+    row per block).
     """
     spark = indexed.sparkSession
+    agg = {"sum": F.sum, "max": F.max, "min": F.min}[op]
     b = block_size(n, 1, spark.sparkContext.defaultParallelism)
     with_blk = indexed.withColumn(_BLOCK, F.floor(c(rn) / F.lit(b)).cast("long"))
-    totals = with_blk.groupBy(_BLOCK).agg(*[F.sum(c(x)).alias(f"{x}__tot") for x in cols])
-    prior = Window.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(_BLOCK, *[F.coalesce(F.sum(c(f"{x}__tot")).over(prior), F.lit(0)).alias(f"{x}__off") for x in cols])
+    totals = with_blk.groupBy(_BLOCK).agg(*[agg(c(x)).alias(f"{x}__tot") for x in cols])
+    order_blk = F.desc(_BLOCK) if reverse else F.asc(_BLOCK)
+    prior = Window.orderBy(order_blk).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_BLOCK, *[agg(c(f"{x}__tot")).over(prior).alias(f"{x}__off") for x in cols])
     n_blocks = (n + b - 1) // b
     offsets = checked_broadcast(offsets, 1_000_000, known_rows=n_blocks)
-    w = Window.partitionBy(_BLOCK).orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
-    local = with_blk.select("*", *[F.sum(c(x)).over(w).alias(f"{x}__loc") for x in cols])
+    order_rn = F.desc(rn) if reverse else F.asc(rn)
+    w = Window.partitionBy(_BLOCK).orderBy(order_rn).rowsBetween(Window.unboundedPreceding, 0)
+    local = with_blk.select("*", *[agg(c(x)).over(w).alias(f"{x}__loc") for x in cols])
     joined = local.join(offsets, _BLOCK, "left")
-    return joined.select(
-        *[c(x) for x in indexed.columns],
-        *[(c(f"{x}__loc") + c(f"{x}__off")).alias(f"{x}{suffix}") for x in cols],
-    )
+
+    def combine(x):
+        loc, off = c(f"{x}__loc"), c(f"{x}__off")
+        if op == "sum":
+            return loc + F.coalesce(off, F.lit(0))
+        pick = F.greatest if op == "max" else F.least
+        return F.when(off.isNull(), loc).otherwise(pick(loc, off))
+
+    return joined.select(*[c(x) for x in indexed.columns], *[combine(x).alias(f"{x}{suffix}") for x in cols])
 
 
 def distinct_value_ranks(counts: DataFrame, value: str, count_col: str = "cnt") -> DataFrame:

@@ -42,13 +42,19 @@ def threshold_residual(df: DataFrame, score: str, q: float = 0.98, name: str = "
 # confusion-based metrics (EV4, EV5, EV9, EV19, EV20)
 # ---------------------------------------------------------------------------
 
-def confusion_counts(df: DataFrame, label: str, pred: str, by: str | Column | None = None, name: str | None = None) -> DataFrame:
+def confusion_counts(df: DataFrame, label: str, pred: str, by: str | Column | None = None, name: str | None = None,
+                     weight: str | None = None) -> DataFrame:
+    """tn/fp/fn/tp per group; ``weight`` sums a multiplicity column (pre-aggregated input)."""
     g = []
     if by is not None:
         g = [by.alias(name or "group")] if isinstance(by, Column) else [c(by).alias(by)]
+
+    def cnt(cond):
+        return F.count_if(cond) if weight is None else F.sum(F.when(cond, c(weight)).otherwise(0)).cast("long")
+
     return df.groupBy(*g).agg(
-        F.count_if((c(label) == 0) & (c(pred) == 0)).alias("tn"), F.count_if((c(label) == 0) & (c(pred) == 1)).alias("fp"),
-        F.count_if((c(label) == 1) & (c(pred) == 0)).alias("fn"), F.count_if((c(label) == 1) & (c(pred) == 1)).alias("tp"))
+        cnt((c(label) == 0) & (c(pred) == 0)).alias("tn"), cnt((c(label) == 0) & (c(pred) == 1)).alias("fp"),
+        cnt((c(label) == 1) & (c(pred) == 0)).alias("fn"), cnt((c(label) == 1) & (c(pred) == 1)).alias("tp"))
 
 
 def _safe(num: Column, den: Column) -> Column:
@@ -80,9 +86,9 @@ def confusion(df: DataFrame, label: str, pred: str, by: str | None = None) -> Da
                      _safe(fp, fp + tn).alias("fpr"), _safe(fn, fn + tp).alias("fnr"))
 
 
-def binary_metrics(df: DataFrame, label: str, pred: str, by: str | None = None) -> DataFrame:
+def binary_metrics(df: DataFrame, label: str, pred: str, by: str | None = None, weight: str | None = None) -> DataFrame:
     """EV5 / EV9 — metrics per group (or overall)."""
-    return metrics_from_counts(confusion_counts(df, label, pred, by))
+    return metrics_from_counts(confusion_counts(df, label, pred, by, weight=weight))
 
 
 def binary_metrics_from_counts(spark, tn: int, fp: int, fn: int, tp: int) -> DataFrame:
@@ -114,14 +120,19 @@ def multiclass_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
 # rank metrics on distinct scores (EV7, EV8, EV11, EV12)
 # ---------------------------------------------------------------------------
 
-def score_table(df: DataFrame, label: str, score: str, by: str | None = None, descending: bool = False) -> tuple[DataFrame, int]:
+def score_table(df: DataFrame, label: str, score: str, by: str | None = None, descending: bool = False,
+                weight: str | None = None) -> tuple[DataFrame, int]:
     """Distinct (group, score) with positives/negatives, indexed in score order,
     with running counts and per-group offsets removed: ``cp``/``cn`` are the
     counts of positives/negatives at or before this score inside the group."""
     g = by or "_all"
     base = df.withColumn("_all", F.lit("all")) if not by else df
-    per = base.filter(c(score).isNotNull()).groupBy(c(g).alias("grp"), c(score).alias("s")).agg(
-        F.count_if(c(label) == 1).alias("pos"), F.count_if(c(label) != 1).alias("neg"))
+    if weight is None:
+        pos, neg = F.count_if(c(label) == 1), F.count_if(c(label) != 1)
+    else:
+        pos = F.sum(F.when(c(label) == 1, c(weight)).otherwise(0)).cast("long")
+        neg = F.sum(F.when(c(label) != 1, c(weight)).otherwise(0)).cast("long")
+    per = base.filter(c(score).isNotNull()).groupBy(c(g).alias("grp"), c(score).alias("s")).agg(pos.alias("pos"), neg.alias("neg"))
     order = [F.col("grp"), F.desc("s") if descending else F.asc("s")]
     idx, n = with_row_index(per, order)
     cum = running_sums(idx, n, ["pos", "neg"])
@@ -133,9 +144,9 @@ def score_table(df: DataFrame, label: str, score: str, by: str | None = None, de
                     (F.col("neg__cum") - F.col("_n0")).alias("cn"), "P", "N", ROW_INDEX), n
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None, weight: str | None = None) -> DataFrame:
     """EV7 — ROC-AUC = (Σ midrank of positives − P(P+1)/2)/(P·N), ties averaged."""
-    t, _ = score_table(df, label, score, by)
+    t, _ = score_table(df, label, score, by, weight=weight)
     rows_before = F.col("cp") + F.col("cn") - F.col("pos") - F.col("neg")
     mid = rows_before + (F.col("pos") + F.col("neg") + 1) / 2.0
     out = t.groupBy("grp").agg(F.sum(F.col("pos") * mid).alias("r1"), F.first("P").alias("P"), F.first("N").alias("N"))

@@ -17,8 +17,16 @@ from pyspark.sql.types import StructType
 from ..operators.quality import label_negative
 
 
-def _flat_window(df: DataFrame) -> DataFrame:
-    return df.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+def _event_time(df: DataFrame, ts: str) -> tuple[DataFrame, bool]:
+    """Watermarks need TIMESTAMP: a TIMESTAMP_NTZ event time is read as wall
+    time in the session zone (UTC here) and the window bounds are turned back."""
+    ntz = df.schema[ts].dataType.typeName() == "timestamp_ntz"
+    return (df.withColumn(ts, F.col(ts).cast("timestamp")) if ntz else df), ntz
+
+
+def _flat_window(df: DataFrame, ntz: bool = False) -> DataFrame:
+    t = "timestamp_ntz" if ntz else "timestamp"
+    return df.select(F.col("window.start").cast(t).alias("window_start"), F.col("window.end").cast(t).alias("window_end"),
                      *[c for c in df.columns if c != "window"])
 
 
@@ -31,13 +39,15 @@ def label_and_score(df: DataFrame, sources: Sequence[str], model=None, label: st
 
 def anomaly_rate_windows(df: DataFrame, ts: str, label: str, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
     """STR2 — tumbling-window anomaly count/rate; late rows beyond the watermark are dropped in streaming."""
+    df, ntz = _event_time(df, ts)
     return _flat_window(df.withWatermark(ts, watermark).groupBy(F.window(ts, window)).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col(label)).cast("long").alias("anomalies"),
-        F.avg(F.col(label)).alias("anomaly_rate")))
+        F.avg(F.col(label)).alias("anomaly_rate")), ntz)
 
 
 def weekly_quality(df: DataFrame, ts: str, label: str, pred: str, watermark: str = "1 day") -> DataFrame:
     """STR3 — weekly confusion counts and F1/precision/recall from joined labels."""
+    df, ntz = _event_time(df, ts)
     agg = df.withWatermark(ts, watermark).groupBy(F.window(ts, "7 days")).agg(
         F.count_if((F.col(label) == 1) & (F.col(pred) == 1)).alias("tp"),
         F.count_if((F.col(label) == 0) & (F.col(pred) == 1)).alias("fp"),
@@ -47,14 +57,15 @@ def weekly_quality(df: DataFrame, ts: str, label: str, pred: str, watermark: str
     out = agg.select("*", F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
                      F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"),
                      F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1"))
-    return _flat_window(out)
+    return _flat_window(out, ntz)
 
 
 def sliding_mean(df: DataFrame, ts: str, value: str, length: str = "30 minutes", slide: str = "10 minutes",
                  watermark: str = "1 hour") -> DataFrame:
     """STR4 — trailing sliding-window mean (the streaming stand-in for the centred smoother)."""
+    df, ntz = _event_time(df, ts)
     return _flat_window(df.withWatermark(ts, watermark).groupBy(F.window(ts, length, slide)).agg(
-        F.count(F.col(value)).alias("n"), F.avg(F.col(value)).alias("mean")))
+        F.count(F.col(value)).alias("n"), F.avg(F.col(value)).alias("mean")), ntz)
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",

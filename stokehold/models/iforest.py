@@ -75,29 +75,28 @@ class IsolationForestModel:
 
     # -- scoring -----------------------------------------------------------
     def arrays(self) -> dict:
-        """Padded per-tree arrays (bounded by trees × (2ψ − 1) nodes)."""
+        """Flat node arrays (no padding): ``left`` holds the global index of the
+        left child (right = left + 1, −1 for leaves) and ``value`` the split
+        threshold or, for leaves, the path length. Size: trees × (2ψ − 1) at most."""
         if self._arrays is None:
-            pdf = self.nodes.toPandas()
+            pdf = self.nodes.select("tree", "node", "feature", "threshold", "left", "leaf", "path", "depth") \
+                .toPandas().sort_values(["tree", "node"], kind="stable")
             t = int(self.params.n_estimators)
-            m = int(pdf["node"].max()) + 1 if len(pdf) else 1
-            feat = np.zeros((t, m), dtype=np.int32)
-            thr = np.zeros((t, m), dtype=np.float64)
-            left = np.zeros((t, m), dtype=np.int32)
-            right = np.zeros((t, m), dtype=np.int32)
-            leaf = np.ones((t, m), dtype=bool)
-            path = np.zeros((t, m), dtype=np.float64)
-            ti, ni = pdf["tree"].to_numpy(), pdf["node"].to_numpy()
-            feat[ti, ni] = pdf["feature"].to_numpy()
-            thr[ti, ni] = pdf["threshold"].to_numpy()
-            left[ti, ni] = pdf["left"].to_numpy()
-            right[ti, ni] = pdf["right"].to_numpy()
-            leaf[ti, ni] = pdf["leaf"].to_numpy()
-            path[ti, ni] = pdf["path"].to_numpy()
-            present = np.zeros(t, dtype=bool)
-            present[np.unique(ti)] = True
-            self._arrays = dict(feature=feat, threshold=thr, left=left, right=right, leaf=leaf, path=path,
-                                present=present, c_psi=c_factor(self.psi),
-                                depth=int(pdf["depth"].max()) + 1 if len(pdf) else 1)
+            sizes = pdf.groupby("tree")["node"].max().reindex(range(t), fill_value=-1).to_numpy() + 1
+            offset = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+            total = int(sizes.sum())
+            gidx = offset[pdf["tree"].to_numpy()] + pdf["node"].to_numpy()
+            feature = np.zeros(total, dtype=np.int16)
+            value = np.zeros(total, dtype=np.float64)
+            left = np.full(total, -1, dtype=np.int32)
+            leaf = pdf["leaf"].to_numpy()
+            feature[gidx] = pdf["feature"].clip(lower=0).to_numpy()
+            value[gidx] = np.where(leaf, pdf["path"].to_numpy(), pdf["threshold"].to_numpy())
+            lft = pdf["left"].to_numpy()
+            left[gidx] = np.where(leaf, -1, offset[pdf["tree"].to_numpy()] + lft)
+            roots = offset[sizes > 0]
+            self._arrays = dict(feature=feature, value=value, left=left, roots=roots.astype(np.int64),
+                                c_psi=c_factor(self.psi), depth=int(pdf["depth"].max()) + 1 if len(pdf) else 1)
         return self._arrays
 
     def score_column(self, trees: int | None = None) -> Column:
@@ -141,27 +140,27 @@ class IsolationForestModel:
         return IsolationForestModel(params, nodes, meta["psi"], meta["n_train"], meta["threshold"], meta.get("meta", {}))
 
 
-def anomaly_scores(a: dict, x: np.ndarray, trees: int | None = None) -> np.ndarray:
-    """Walk every tree for all rows at once; s = 2^(−mean path / c(ψ))."""
-    feat, thr, left, right, leaf, path = a["feature"], a["threshold"], a["left"], a["right"], a["leaf"], a["path"]
-    t_ids = np.flatnonzero(a["present"])
-    if trees is not None:
-        t_ids = t_ids[t_ids < trees]
+def anomaly_scores(a: dict, x: np.ndarray, trees: int | None = None, chunk: int = 64) -> np.ndarray:
+    """Walk the trees for all rows of a batch; s = 2^(−mean path / c(ψ)).
+    Trees are processed in chunks so the (rows × trees) index stays cache-sized."""
+    feature, value, left = a["feature"], a["value"], a["left"]
+    roots = a["roots"] if trees is None else a["roots"][:trees]
     n = x.shape[0]
-    if n == 0 or len(t_ids) == 0:
+    if n == 0 or len(roots) == 0:
         return np.zeros(n)
-    node = np.zeros((n, len(t_ids)), dtype=np.int32)
-    tt = np.broadcast_to(t_ids, node.shape)
+    total = np.zeros(n)
     rows = np.arange(n)[:, None]
-    for _ in range(a["depth"]):
-        is_leaf = leaf[tt, node]
-        if is_leaf.all():
-            break
-        f = feat[tt, node]
-        go_left = x[rows, f] < thr[tt, node]
-        nxt = np.where(go_left, left[tt, node], right[tt, node])
-        node = np.where(is_leaf, node, nxt)
-    h = path[tt, node].mean(axis=1)
+    for s in range(0, len(roots), chunk):
+        node = np.broadcast_to(roots[s:s + chunk], (n, len(roots[s:s + chunk]))).copy()
+        for _ in range(a["depth"]):
+            lf = left[node]
+            inner = lf >= 0
+            if not inner.any():
+                break
+            go_right = x[rows, feature[node]] >= value[node]
+            node = np.where(inner, lf + go_right, node)
+        total += value[node].sum(axis=1)
+    h = total / len(roots)
     return np.power(2.0, -h / a["c_psi"]) if a["c_psi"] > 0 else np.full(n, 0.5)
 
 
@@ -317,8 +316,11 @@ def fit(df: DataFrame, params: IsolationForestParams, n: int | None = None) -> I
     nodes = nodes.checkpoint(eager=True)  # the model: a small, reusable table
     model = IsolationForestModel(params, nodes, psi, n)
     if params.contamination != "auto":
+        from ..operators.core import quantile_values
+
         scored = df.select(model.score_column().alias("_s"))
-        model.threshold = float(scored.agg(F.percentile("_s", 1.0 - float(params.contamination))).first()[0])
+        q = 1.0 - float(params.contamination)
+        model.threshold = float(quantile_values(scored, ["_s"], [q])[("_s", q)])
     return model
 
 

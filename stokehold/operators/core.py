@@ -201,3 +201,78 @@ def round_cols(df: DataFrame, digits: int = 6, cols: Sequence[str] | None = None
     targets = [x for x in (cols if cols is not None else floating) if x in floating]
     # "+ 0.0" turns a rounded -0.0 into 0.0 so signed zeros compare equal
     return df.withColumns({x: F.round(c(x), digits) + F.lit(0.0) for x in targets})
+
+
+# ---------------------------------------------------------------------------
+# exact quantiles without a single-task value map
+# ---------------------------------------------------------------------------
+
+SMALL_DISTINCT = 200_000  # a value→count map this small is safe inside one aggregate buffer
+
+
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles (linear interpolation at h = (n−1)p, as ``percentile``)
+    as rows (by…, column, prob, value), computed without any task holding all
+    values of a column:
+
+    1. (group, column, value) multiplicities — map-side combined, so a hot
+       value or group is one row;
+    2. one range sort of that table with a dense index and running counts;
+    3. per (group, column) start and size (one row each);
+    4. only the rows holding order statistics ⌊h⌋ and ⌊h⌋+1 survive, then
+       interpolate."""
+    by = list(by)
+    pairs = F.array(*[F.struct(F.lit(x).alias("column"), c(x).cast("double").alias("v")) for x in cols])
+    long = df.select(*[c(b) for b in by], F.explode(pairs).alias("_p")).select(*[c(b) for b in by], "_p.column", "_p.v") \
+        .filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = long.groupBy(*[c(b) for b in by], "column", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    idx, n = with_row_index(counts, [c(b) for b in by] + [F.col("column"), F.col("v")])
+    cum = running_sums(idx, n, ["cnt"])
+    keys = by + ["column"]
+    grp = cum.groupBy(*[c(k) for k in keys]).agg(F.min(F.col("cnt__cum") - F.col("cnt")).alias("_start"),
+                                                 F.sum("cnt").alias("_n"))
+    j = cum.join(checked_broadcast(grp, 1_000_000), keys)
+    end = F.col("cnt__cum") - F.col("_start")
+    begin = end - F.col("cnt")
+    t = j.select(*[c(k) for k in keys], "v", begin.alias("_b"), end.alias("_e"), "_n",
+                 F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+    h = (F.col("_n") - 1) * F.col("prob")
+    lo = F.floor(h)
+    hi = F.least(lo + 1, F.col("_n") - 1)
+    t = t.withColumn("_h", h).withColumn("_lo", lo).withColumn("_hi", hi)
+    covers_lo = (F.col("_b") <= F.col("_lo")) & (F.col("_lo") < F.col("_e"))
+    covers_hi = (F.col("_b") <= F.col("_hi")) & (F.col("_hi") < F.col("_e"))
+    picked = t.filter(covers_lo | covers_hi).groupBy(*[c(k) for k in keys], "prob").agg(
+        F.max(F.when(covers_lo, F.col("v"))).alias("_vlo"), F.max(F.when(covers_hi, F.col("v"))).alias("_vhi"),
+        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"))
+    value = F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
+    return picked.select(*[c(k) for k in keys], "prob", value.alias("value"))
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    small_distinct: int = SMALL_DISTINCT) -> dict[tuple[str, float], float | None]:
+    """Exact quantiles of whole columns as {(column, p): value}.
+
+    Columns whose (HyperLogLog-estimated) distinct count is small use one
+    ``percentile`` aggregate — its value map is bounded by that count; the
+    others go through ``quantile_table``'s distributed sort."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    nd = df.agg(*[F.approx_count_distinct(c(x)).alias(x) for x in cols]).first()
+    small = [x for x in cols if (nd[x] or 0) <= small_distinct]
+    large = [x for x in cols if x not in small]
+    out: dict[tuple[str, float], float | None] = {}
+    if small:
+        row = df.agg(*[F.percentile(c(x), list(probs)).alias(x) for x in small]).first()
+        for x in small:
+            vals = row[x] or [None] * len(probs)
+            for p, v in zip(probs, vals):
+                out[(x, float(p))] = v
+    if large:
+        for r in quantile_table(df, large, probs).collect():  # columns × probs rows
+            out[(r["column"], float(r["prob"]))] = r["value"]
+        for x in large:
+            for p in probs:
+                out.setdefault((x, float(p)), None)
+    return out

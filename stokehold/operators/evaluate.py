@@ -34,8 +34,10 @@ def normalize_score(df: DataFrame, score: str, by: str | None = None, eps: float
 
 def threshold_residual(df: DataFrame, score: str, q: float = 0.98, name: str = "residual") -> DataFrame:
     """EV3 — threshold at the q-th percentile (linear), residual = score − threshold."""
-    thr = df.agg(F.percentile(c(score), q).alias("threshold"))
-    return df.crossJoin(F.broadcast(thr)).withColumn(name, c(score) - F.col("threshold"))
+    from .core import quantile_values
+
+    t = quantile_values(df, [score], [q])[(score, float(q))]
+    return df.withColumn("threshold", F.lit(t).cast("double")).withColumn(name, c(score) - F.col("threshold"))
 
 
 # ---------------------------------------------------------------------------
@@ -321,7 +323,10 @@ def sweep_contamination(scored: DataFrame, score: str, label: str, values: Seque
     """ML18 — for each contamination c: threshold = percentile(score, 1 − c) on the
     fitting set, pred = score > threshold; metrics for all c in one aggregate."""
     fit_on = fit_on if fit_on is not None else scored
-    qs = fit_on.agg(F.percentile(c(score), [1 - v for v in values]).alias("q")).first()["q"]
+    from .core import quantile_values
+
+    qv = quantile_values(fit_on, [score], [1 - v for v in values])
+    qs = [qv[(score, float(1 - v))] for v in values]
     spark = scored.sparkSession
     thr = spark.createDataFrame([(float(v), float(q)) for v, q in zip(values, qs)], "contamination double, threshold double")
     j = scored.select(c(score).alias("_s"), c(label).alias("_y")).crossJoin(F.broadcast(thr))  # len(values) thresholds

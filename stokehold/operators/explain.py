@@ -49,7 +49,10 @@ def partial_dependence(df: DataFrame, scorer: Scorer, features: Sequence[str], g
                        lo: float = 0.05, hi: float = 0.95) -> DataFrame:
     """XP3 — mean score over all rows with one feature set to each of ``grid``
     points between its p5 and p95 (grid values exploded per row, no join)."""
-    qs = df.agg(*[F.percentile(c(f), [lo, hi]).alias(f) for f in features]).first()
+    from .core import quantile_values
+
+    qv = quantile_values(df, features, [lo, hi])
+    qs = {f: (qv[(f, float(lo))], qv[(f, float(hi))]) for f in features}
     out = None
     for f in features:
         a, b = qs[f]

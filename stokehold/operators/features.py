@@ -43,20 +43,22 @@ def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def robust_scale(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """FE4 — (x − median)/IQR (IQR 0 → 1)."""
-    pct = (lambda x: F.percentile(c(x), [0.25, 0.5, 0.75])) if exact else \
-        (lambda x: F.percentile_approx(c(x), [0.25, 0.5, 0.75], 10000))
-    row = df.agg(*[pct(x).alias(x) for x in cols]).first()
+    from .quality import column_quantiles
+
+    q = column_quantiles(df, cols, exact=exact)
     out = {}
     for x in cols:
-        q1, med, q3 = row[x]
+        q1, med, q3 = (q[(x, p)] for p in (0.25, 0.5, 0.75))
         out[x] = (c(x) - F.lit(med)) / F.lit((q3 - q1) or 1.0)
     return df.withColumns(out)
 
 
 def quantile_edges(df: DataFrame, col: str, k: int = 5, exact: bool = True) -> list[float]:
+    from .quality import column_quantiles
+
     probs = [i / k for i in range(k + 1)]
-    agg = F.percentile(c(col), probs) if exact else F.percentile_approx(c(col), probs, 10000)
-    edges = df.agg(agg).first()[0]
+    q = column_quantiles(df, [col], probs, exact=exact)
+    edges = [q[(col, float(p))] for p in probs]
     keep = [edges[0]]
     for e in edges[1:]:
         if e - keep[-1] > 1e-8:  # zero-width bins are dropped

@@ -2,8 +2,10 @@
 
 Every profile is a single ``agg`` over all requested columns (one scan), the
 per-column rows are produced by unpivoting that one aggregated row.
-Exact quantiles use ``percentile`` (linear interpolation, the reference's
-definition); pass ``exact=False`` to switch to ``percentile_approx`` at scale.
+Quantiles are exact (linear interpolation, the reference's definition) through
+``core.quantile_values``: a bounded-map ``percentile`` for low-cardinality
+columns, a distributed sort for the rest; ``exact=False`` uses
+``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .core import c, numeric_columns, unpivot_metrics
+from .core import c, numeric_columns, quantile_table, quantile_values, unpivot_metrics
 
 # ---------------------------------------------------------------------------
 # projections (PRJ*)
@@ -125,21 +127,37 @@ def _pct(col: Column, probs, exact: bool) -> Column:
     return F.percentile(col, probs) if exact else F.percentile_approx(col, probs, 10000)
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs=QUARTILES, exact: bool = True) -> dict:
+    """{(column, p): value}: exact via ``quantile_values`` (no single-task value
+    map for high-cardinality columns), or ``percentile_approx`` when not exact."""
+    if exact:
+        return quantile_values(df, cols, probs)
+    row = df.agg(*[F.percentile_approx(c(x), list(probs), 10000).alias(x) for x in cols]).first()
+    return {(x, float(p)): (row[x][i] if row[x] else None) for x in cols for i, p in enumerate(probs)}
+
+
+def _quartile_fields(q: dict, cols: Sequence[str], names=("q25", "q50", "q75"), probs=QUARTILES) -> list[Column]:
+    return [F.lit(q[(x, float(p))]).cast("double").alias(f"{x}__{n}") for x in cols for n, p in zip(names, probs)]
+
+
 def validation_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """AG1 — describe() plus missing, missing %, negatives and zeros per column."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     aggs = [F.count(F.lit(1)).alias("__n")]
     for x in cols:
-        q = _pct(c(x), [0.25, 0.5, 0.75], exact)
         aggs += [
             F.count(c(x)).alias(f"{x}__count"), F.avg(c(x)).alias(f"{x}__mean"),
             F.stddev_samp(c(x)).alias(f"{x}__std"), F.min(c(x)).cast("double").alias(f"{x}__min"),
-            q.alias(f"{x}__q"), F.max(c(x)).cast("double").alias(f"{x}__max"),
+            F.max(c(x)).cast("double").alias(f"{x}__max"),
             F.count_if(c(x).isNull()).alias(f"{x}__missing"),
             F.count_if(c(x) < 0).alias(f"{x}__negative_count"), F.count_if(c(x) == 0).alias(f"{x}__zero_count"),
         ]
     row = df.agg(*aggs)
-    row = row.select("*", *[c(f"{x}__q")[i].alias(f"{x}__{n}") for x in cols for i, n in enumerate(("q25", "q50", "q75"))],
+    q = column_quantiles(df, cols, exact=exact)
+    row = row.select("*", *_quartile_fields(q, cols),
                      *[(c(f"{x}__missing") / c("__n") * 100).alias(f"{x}__missing_pct") for x in cols])
     metrics = ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "missing", "missing_pct",
                "negative_count", "zero_count"]
@@ -224,11 +242,12 @@ def univariate_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bo
     aggs = []
     for x in cols:
         aggs += [F.count(c(x)).alias(f"{x}__count"), F.avg(c(x)).alias(f"{x}__mean"), F.stddev_samp(c(x)).alias(f"{x}__std"),
-                 F.min(c(x)).cast("double").alias(f"{x}__min"), _pct(c(x), [0.25, 0.5, 0.75], exact).alias(f"{x}__q"),
+                 F.min(c(x)).cast("double").alias(f"{x}__min"),
                  F.max(c(x)).cast("double").alias(f"{x}__max"), bias_corrected_skew(c(x)).alias(f"{x}__skewness"),
                  bias_corrected_kurtosis(c(x)).alias(f"{x}__kurtosis")]
     row = df.agg(*aggs)
-    row = row.select("*", *[c(f"{x}__q")[i].alias(f"{x}__{n}") for x in cols for i, n in enumerate(("q25", "q50", "q75"))],
+    q = column_quantiles(df, cols, exact=exact)
+    row = row.select("*", *_quartile_fields(q, cols),
                      *[F.abs(c(f"{x}__std") / c(f"{x}__mean")).alias(f"{x}__cv") for x in cols])
     return unpivot_metrics(row, cols, ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skewness", "kurtosis", "cv"],
                            types={"count": "long"})
@@ -371,15 +390,24 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 
 def box_stats(df: DataFrame, col: str, by: str | None = None, exact: bool = True) -> DataFrame:
-    """AG18 — min, q1, median, q3, max (and whisker fences) per group."""
-    q = _pct(c(col), [0.25, 0.5, 0.75], exact)
+    """AG18 — min, q1, median, q3, max (and whisker fences) per group; grouped
+    quantiles come from the distributed ``quantile_table`` (a hot group is not one task's map)."""
     g = df.groupBy(c(by).alias(by)) if by else df.groupBy()
-    out = g.agg(F.min(c(col)).cast("double").alias("min"), q.alias("_q"), F.max(c(col)).cast("double").alias("max"),
+    out = g.agg(F.min(c(col)).cast("double").alias("min"), F.max(c(col)).cast("double").alias("max"),
                 F.count(c(col)).alias("n"))
-    iqr = F.col("_q")[2] - F.col("_q")[0]
-    return out.select(*([by] if by else []), "n", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                      F.col("_q")[2].alias("q3"), "max",
-                      (F.col("_q")[0] - 1.5 * iqr).alias("lower_fence"), (F.col("_q")[2] + 1.5 * iqr).alias("upper_fence"))
+    if by:
+        qt = quantile_table(df, [col], QUARTILES, by=[by]) if exact else \
+            df.groupBy(c(by).alias(by)).agg(F.percentile_approx(c(col), list(QUARTILES), 10000).alias("_q")) \
+            .select(by, F.inline(F.arrays_zip(F.array(*[F.lit(p) for p in QUARTILES]).alias("prob"), F.col("_q").alias("value"))))
+        piv = qt.groupBy(by).agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+                                   for n, p in zip(("q1", "median", "q3"), QUARTILES)])
+        out = out.join(piv, by)
+    else:
+        q = column_quantiles(df, [col], exact=exact)
+        out = out.select("*", *[F.lit(q[(col, p)]).cast("double").alias(n) for n, p in zip(("q1", "median", "q3"), QUARTILES)])
+    iqr = F.col("q3") - F.col("q1")
+    return out.select(*([by] if by else []), "n", "min", "q1", "median", "q3", "max",
+                      (F.col("q1") - 1.5 * iqr).alias("lower_fence"), (F.col("q3") + 1.5 * iqr).alias("upper_fence"))
 
 
 def search_effects(results: DataFrame, by: Sequence[str], metric: str) -> DataFrame:
@@ -402,17 +430,17 @@ def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
 # ---------------------------------------------------------------------------
 
 def outlier_bounds(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Pass 1: quartiles, IQR fences, mean, population std, median, count per column."""
-    aggs = []
-    for x in cols:
-        aggs += [_pct(c(x), [0.25, 0.5, 0.75], exact).alias(f"{x}__q"), F.avg(c(x)).alias(f"{x}__mean"),
-                 F.stddev_pop(c(x)).alias(f"{x}__std_pop"), F.count(c(x)).alias(f"{x}__n")]
-    row = df.agg(*aggs)
+    """Pass 1: quartiles, IQR fences, mean, population std, median, count per column (one row)."""
+    row = df.agg(*[a for x in cols for a in (F.avg(c(x)).alias(f"{x}__mean"), F.stddev_pop(c(x)).alias(f"{x}__std_pop"),
+                                             F.count(c(x)).alias(f"{x}__n"))])
+    q = column_quantiles(df, cols, exact=exact)
     extra = []
     for x in cols:
-        q1, med, q3 = c(f"{x}__q")[0], c(f"{x}__q")[1], c(f"{x}__q")[2]
-        extra += [q1.alias(f"{x}__q1"), med.alias(f"{x}__median"), q3.alias(f"{x}__q3"),
-                  (q1 - 1.5 * (q3 - q1)).alias(f"{x}__lower"), (q3 + 1.5 * (q3 - q1)).alias(f"{x}__upper")]
+        q1, med, q3 = (q[(x, p)] for p in QUARTILES)
+        lower = None if q1 is None else q1 - 1.5 * (q3 - q1)
+        upper = None if q3 is None else q3 + 1.5 * (q3 - q1)
+        extra += [F.lit(v).cast("double").alias(f"{x}__{n}") for n, v in
+                  (("q1", q1), ("median", med), ("q3", q3), ("lower", lower), ("upper", upper))]
     return row.select("*", *extra)
 
 
@@ -423,10 +451,10 @@ def detect_outliers(df: DataFrame, cols: Sequence[str] | None = None, min_rows:
     Three passes: quantiles/moments, MAD (needs the medians), counts."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     b = outlier_bounds(df, cols, exact)
-    mad_row = df.crossJoin(F.broadcast(b.select(*[c(f"{x}__median") for x in cols]))).agg(
-        *[F.percentile(F.abs(c(x) - c(f"{x}__median")), 0.5).alias(f"{x}__mad") if exact else
-          F.percentile_approx(F.abs(c(x) - c(f"{x}__median")), 0.5, 10000).alias(f"{x}__mad") for x in cols])
-    bounds = b.crossJoin(mad_row)
+    med = b.select(*[c(f"{x}__median") for x in cols]).first()
+    dev = df.select(*[F.abs(c(x) - F.lit(med[f"{x}__median"])).alias(x) for x in cols])
+    mad = column_quantiles(dev, cols, (0.5,), exact=exact)
+    bounds = b.select("*", *[F.lit(mad[(x, 0.5)]).cast("double").alias(f"{x}__mad") for x in cols])
     counted = df.crossJoin(F.broadcast(bounds))  # one-row frame of thresholds
     aggs = []
     for x in cols:
@@ -479,11 +507,13 @@ def impute(df: DataFrame, order: Sequence[str], cols: Sequence[str] | None = Non
     median = [x for x, p in pct.items() if p <= drop_over and x in numeric and p <= interpolate_over]
     mode = [x for x, p in pct.items() if p <= drop_over and x not in numeric]
     out = df.drop(*drop)
-    fills = {}
-    if median or mode:
-        frow = out.agg(*[F.median(c(x)).alias(x) for x in median],
-                       *[F.mode(c(x), deterministic=True).alias(x) for x in mode]).first()
-        fills = {x: frow[x] for x in median + mode if frow[x] is not None}
+    fills: dict = {}
+    if median:
+        q = column_quantiles(out, median, (0.5,))
+        fills.update({x: q[(x, 0.5)] for x in median if q[(x, 0.5)] is not None})
+    if mode:
+        frow = out.agg(*[F.mode(c(x), deterministic=True).alias(x) for x in mode]).first()  # one row
+        fills.update({x: frow[x] for x in mode if frow[x] is not None})
     if fills:
         out = out.withColumns({x: F.coalesce(c(x), F.lit(v)) for x, v in fills.items()})
     for x in interp:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import tails
 from ..functions.scalar import normal_cdf
-from .core import ROW_INDEX, c, distinct_value_ranks, running_sums, unpivot_metrics, with_row_index
+from .core import (ROW_INDEX, c, distinct_value_ranks, quantile_table, quantile_values, running_sums, unpivot_metrics,
+                   with_row_index)
 
 
 def _frame(df: DataFrame, rows, schema: str) -> DataFrame:
@@ -207,8 +208,8 @@ def levene_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """ST11 statistic — Levene with median centring (Brown–Forsythe).
     Pass 1: group medians; pass 2: group means of |x − median|; pass 3: sums."""
     d = df.filter(c(value).isNotNull()).select(c(value).alias("_x"), c(group).alias("_g"))
-    med = d.groupBy("_g").agg(F.percentile("_x", 0.5).alias("_m"))
-    z = d.join(F.broadcast(med), "_g").withColumn("_z", F.abs(F.col("_x") - F.col("_m")))  # one row per group
+    med = quantile_table(d, ["_x"], [0.5], by=["_g"]).select("_g", F.col("value").alias("_m"))
+    z = d.join(med, "_g").withColumn("_z", F.abs(F.col("_x") - F.col("_m")))  # group medians: one row per group
     zg = z.groupBy("_g").agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"))
     zall = z.agg(F.avg("_z").alias("zbar"), F.count(F.lit(1)).alias("N"))
     between = zg.crossJoin(zall).agg(F.sum(F.col("ni") * (F.col("zi") - F.col("zbar")) ** 2).alias("num"),
@@ -233,7 +234,7 @@ def bartlett_stats(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def homoscedasticity(df: DataFrame, target: str, cols: Sequence[str], min_rows: int = 10) -> DataFrame:
     """ST11 — Levene and Bartlett of each feature between the halves split at the target median."""
-    med = df.agg(F.percentile(c(target), 0.5)).first()[0]
+    med = quantile_values(df, [target], [0.5])[(target, 0.5)]
     g = df.withColumn("_half", F.when(c(target) > F.lit(med), "high").otherwise("low"))
     rows = []
     for x in cols:
@@ -389,7 +390,8 @@ def normaltest(df: DataFrame, value: str) -> DataFrame:
 def qq_points(df: DataFrame, value: str, points: int = 100) -> DataFrame:
     """ST23 — sample quantiles (exact percentiles) against standard normal quantiles."""
     probs = [(i + 0.5) / points for i in range(points)]
-    qs = df.agg(F.percentile(c(value), probs)).first()[0]
+    qv = quantile_values(df, [value], probs)
+    qs = [qv[(value, float(p))] for p in probs]
     rows = [(float(p), tails.norm_ppf(p), float(q)) for p, q in zip(probs, qs)]
     return _frame(df, rows, "prob double, theoretical double, sample double")
 

@@ -286,7 +286,10 @@ def multiclass_gbt_orders(spark, sf):
     o = TS.time_split(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
     o = o.withColumn("days", F.datediff(F.col("o_orderdate"), F.lit("1992-01-01")).cast("double")) \
         .withColumn("prio", F.substring("o_orderpriority", 1, 1).cast("double"))
-    lo, hi = o.filter("split = 'train'").agg(F.percentile("o_totalprice", [0.33, 0.67])).first()[0]
+    from ..operators.core import quantile_values
+
+    qv = quantile_values(o.filter("split = 'train'"), ["o_totalprice"], [0.33, 0.67])
+    lo, hi = qv[("o_totalprice", 0.33)], qv[("o_totalprice", 0.67)]
     o = o.withColumn("price_class", quantile_class("o_totalprice", lo, hi).cast("double"))
     train, val = o.filter("split = 'train'"), o.filter("split = 'validation'")
     m = SV.fit_gbt(train, ["days", "prio", "o_custkey"], "price_class", rounds=10, classes=3)

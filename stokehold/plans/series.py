@@ -279,7 +279,10 @@ FROM os, q GROUP BY 1, 2""")
 def quantile_class_orders(spark, sf):
     """SC7 — 3 classes from train-split quantiles .33/.67, applied to every split."""
     o = TS.time_split(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
-    lo, hi = o.filter("split = 'train'").agg(F.percentile("o_totalprice", [0.33, 0.67])).first()[0]
+    from ..operators.core import quantile_values
+
+    qv = quantile_values(o.filter("split = 'train'"), ["o_totalprice"], [0.33, 0.67])
+    lo, hi = qv[("o_totalprice", 0.33)], qv[("o_totalprice", 0.67)]
     return o.groupBy("split", S.quantile_class("o_totalprice", lo, hi).alias("price_class")).agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -86,3 +86,24 @@ def test_interpolation_fills_every_gap(spark):
     out = TS.interpolate_linear(g, ["v_interp"], EV_ORDER)
     assert out.filter(F.col("v_interp").isNull()).count() == 0
     assert out.count() == 10000
+
+
+def test_distributed_quantiles_equal_percentile(spark):
+    li = table(spark, SF_MEDIUM, "lineitem")
+    cols = ["l_extendedprice", "l_quantity", "l_discount"]
+    probs = [0.0, 0.25, 0.33, 0.5, 0.75, 0.98, 1.0]
+    got = core.quantile_values(li, cols, probs, small_distinct=0)  # force the sort-based path
+    row = li.agg(*[F.percentile(x, probs).alias(x) for x in cols]).first()
+    for x in cols:
+        for p, v in zip(probs, row[x]):
+            assert got[(x, p)] == pytest.approx(v, rel=1e-12, abs=1e-9)
+
+
+def test_grouped_quantiles_equal_percentile(spark):
+    e = table(spark, SF_MEDIUM, "events")
+    qt = {(r["event_type"], r["prob"]): r["value"]
+          for r in core.quantile_table(e, ["value"], [0.25, 0.5], by=["event_type"]).collect()}
+    want = e.groupBy("event_type").agg(F.percentile("value", [0.25, 0.5]).alias("q")).collect()
+    for r in want:
+        assert qt[(r["event_type"], 0.25)] == pytest.approx(r["q"][0])
+        assert qt[(r["event_type"], 0.5)] == pytest.approx(r["q"][1])

@@ -205,11 +205,15 @@ def select_k_best(scores: DataFrame, k: int, by: str = "f_score", name: str = "f
 
 def mutual_info_discrete(df: DataFrame, x: str, y: str) -> DataFrame:
     """FE14 — plug-in mutual information (nats) treating every distinct x as a category."""
+    from .core import checked_broadcast
+
     joint = df.groupBy(c(x).alias("_x"), c(y).alias("_y")).agg(F.count(F.lit(1)).alias("nxy"))
-    wx = Window.partitionBy("_x")
-    wy = Window.partitionBy("_y")
-    t = joint.select("nxy", F.sum("nxy").over(wx).alias("nx"), F.sum("nxy").over(wy).alias("ny"))
-    tot = t.agg(F.sum("nxy").alias("n"))
+    # marginals by aggregation + join (a window partitioned by the label would
+    # put the whole joint table into one partition per class)
+    mx = joint.groupBy("_x").agg(F.sum("nxy").alias("nx"))
+    my = joint.groupBy("_y").agg(F.sum("nxy").alias("ny"))
+    t = joint.join(mx, "_x").join(checked_broadcast(my, 100_000), "_y")
+    tot = joint.agg(F.sum("nxy").alias("n"))
     return t.crossJoin(tot).agg(
         F.sum(F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))).alias("mutual_info")
     ).select(F.lit(x).alias("feature"), "mutual_info")

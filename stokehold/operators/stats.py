@@ -259,17 +259,21 @@ def chi2_stats(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
     cells = df.groupBy(c(a).alias("_a"), c(b).alias("_b")).agg(F.count(F.lit(1)).alias("o"))
     ra = cells.groupBy("_a").agg(F.sum("o").alias("ra"))
     rb = cells.groupBy("_b").agg(F.sum("o").alias("rb"))
-    dims = cells.agg(F.sum("o").alias("n"), F.count_distinct("_a").alias("ka"), F.count_distinct("_b").alias("kb"))
-    # complete grid of levels (ka × kb cells, the contingency table itself)
-    grid = ra.crossJoin(rb).join(cells, ["_a", "_b"], "left").crossJoin(F.broadcast(dims))
-    e = F.col("ra") * F.col("rb") / F.col("n")
-    o = F.coalesce(F.col("o"), F.lit(0))
-    dof = (F.col("ka") - 1) * (F.col("kb") - 1)
-    diff = F.abs(o - e)
-    corr = F.when(F.lit(yates) & (dof == 1), F.least(diff, F.lit(0.5))).otherwise(F.lit(0.0))
-    term = (diff - corr) ** 2 / e
-    out = grid.agg(F.sum(term).alias("chi2"), F.first(dof).alias("dof"), F.first("n").alias("n"),
-                   F.first(F.least(F.col("ka"), F.col("kb")) - 1).alias("min_dim"))
+    dims = cells.agg(F.sum("o").alias("n"), F.count_distinct("_a").alias("ka"), F.count_distinct("_b").alias("kb")).first()
+    ka, kb, n = dims["ka"], dims["kb"], dims["n"]
+    dof = (ka - 1) * (kb - 1)
+    if yates and dof == 1:
+        # 2 × 2: the four cells (empty ones included) with |O − E| − min(|O − E|, .5)
+        grid = ra.crossJoin(rb).join(cells, ["_a", "_b"], "left")  # exactly 4 cells
+        e = F.col("ra") * F.col("rb") / F.lit(n)
+        diff = F.abs(F.coalesce(F.col("o"), F.lit(0)) - e)
+        stat = grid.agg(F.sum((diff - F.least(diff, F.lit(0.5))) ** 2 / e).alias("chi2"))
+    else:
+        # Σ (O − E)²/E = Σ_observed O²/E − n: only the observed cells are needed
+        j = cells.join(ra, "_a").join(rb, "_b")
+        stat = j.agg((F.sum(F.col("o") * F.col("o") * F.lit(n) / (F.col("ra") * F.col("rb"))) - F.lit(n)).alias("chi2"))
+    out = stat.select("chi2", F.lit(dof).cast("long").alias("dof"), F.lit(n).cast("long").alias("n"),
+                      F.lit(min(ka, kb) - 1).cast("long").alias("min_dim"))
     v = F.when(F.col("min_dim") > 0, F.sqrt(F.col("chi2") / (F.col("n") * F.col("min_dim")))).otherwise(0.0)
     return out.select(F.lit(a).alias("a"), F.lit(b).alias("b"), "n", "dof", "chi2", v.alias("cramers_v"))
 

@@ -509,3 +509,84 @@ def assumption_table(df: DataFrame, target: str, cols: Sequence[str], order: Seq
     homo = homoscedasticity(df, target, cols).agg(F.avg(F.col("homoscedastic").cast("double"))).first()[0] or 0.0
     mv = vif(df, cols).agg(F.max("vif")).first()[0]
     return _frame(df, assumption_summary(dw, norm, homo, mv), "assumption string, value double, satisfied boolean")
+
+
+# ---------------------------------------------------------------------------
+# Shapiro–Wilk (ST5) on a bounded key-hash sample
+# ---------------------------------------------------------------------------
+
+# fixed values: Royston (1992/1995) polynomial coefficients of the W test
+SW_C1 = (0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056)
+SW_C2 = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
+SW_C3 = (0.544, -0.39978, 0.025054, -6.714e-4)
+SW_C4 = (1.3822, -0.77857, 0.062767, -0.0020322)
+SW_C5 = (-1.5861, -0.31082, -0.083751, 0.0038915)
+SW_C6 = (-0.4803, -0.082676, 0.0030302)
+SW_G = (-2.273, 0.459)
+
+
+def _poly(cc, x):
+    return sum(c_ * x ** i for i, c_ in enumerate(cc))
+
+
+def shapiro_w(values) -> tuple[float, float]:
+    """W and its p-value (Royston's approximation) for one sample (n ≥ 4)."""
+    import numpy as np
+
+    x = np.sort(np.asarray(values, dtype=float))
+    n = len(x)
+    if n < 4:
+        return float("nan"), float("nan")
+    ppf = np.vectorize(tails.norm_ppf)
+    m = ppf((np.arange(1, n + 1) - 0.375) / (n + 0.25))
+    mm = float((m * m).sum())
+    u = 1.0 / math.sqrt(n)
+    cvec = m / math.sqrt(mm)
+    a = np.zeros(n)
+    an = cvec[-1] + _poly(SW_C1, u)
+    if n > 5:
+        an1 = cvec[-2] + _poly(SW_C2, u)
+        phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * an ** 2 - 2 * an1 ** 2)
+        a[2:-2] = m[2:-2] / math.sqrt(phi)
+        a[-1], a[-2], a[0], a[1] = an, an1, -an, -an1
+    else:
+        phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * an ** 2)
+        a[1:-1] = m[1:-1] / math.sqrt(phi)
+        a[-1], a[0] = an, -an
+    ss = float(((x - x.mean()) ** 2).sum())
+    if ss <= 0:
+        return 1.0, 1.0
+    w = min(float((a * x).sum()) ** 2 / ss, 1.0)
+    if n <= 11:
+        gamma = _poly(SW_G, n)
+        if w >= 1.0 or gamma - math.log1p(-w) <= 0:
+            return w, 1.0
+        y = -math.log(gamma - math.log1p(-w))
+        mu, s = _poly(SW_C3, n), math.exp(_poly(SW_C4, n))
+    else:
+        ln = math.log(n)
+        if w >= 1.0:
+            return w, 1.0
+        y = math.log1p(-w)
+        mu, s = _poly(SW_C5, ln), math.exp(_poly(SW_C6, ln))
+    return w, tails.norm_sf((y - mu) / s)
+
+
+def shapiro(df: DataFrame, cols: Sequence[str], key: Sequence[str], sample: int = 5000, seed: int = 42) -> DataFrame:
+    """ST5 — Shapiro–Wilk per feature on a key-hash sample of at most ``sample``
+    rows (the test is defined for n ≤ 5000, as the reference samples); one
+    bounded group per feature runs the W statistic (``applyInPandas``)."""
+    import pandas as pd
+
+    from .sampling import sample_n
+
+    s = sample_n(df.select(*[c(k) for k in key], *[c(x) for x in cols if x not in key]), sample, key, seed)
+    long = s.select(F.explode(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).cast("double").alias("v")) for x in cols]))
+                    .alias("_p")).select("_p.feature", "_p.v").filter(F.col("v").isNotNull())
+
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        w, p = shapiro_w(pdf["v"].to_numpy())
+        return pd.DataFrame({"feature": [pdf["feature"].iloc[0]], "n": [len(pdf)], "w": [w], "p_value": [p],
+                             "is_normal": [bool(p > 0.05)]})
+
+    return long.groupBy("feature").applyInPandas(test, "feature string, n long, w double, p_value double, is_normal boolean")

@@ -225,3 +225,87 @@ def _kpss_autolag(df: DataFrame, col: str, order: Sequence[str], n: int) -> int:
         return 0
     gamma_hat = 1.1447 * ((s1 / s0) ** 2) ** (1.0 / 3.0)
     return int(min(gamma_hat * n ** (1.0 / 3.0), n - 1))
+
+
+# ---------------------------------------------------------------------------
+# ADF unit-root test (WN9) and the stationarity verdict (WN11)
+# ---------------------------------------------------------------------------
+
+# fixed values: MacKinnon (1994) approximate p-value surface, constant-only
+# regression, one variable: bounds, switch point and the two polynomials
+ADF_TAU_MAX, ADF_TAU_MIN, ADF_TAU_STAR = 2.74, -18.86, -1.61
+ADF_SMALLP = (2.1659, 1.4412, 0.038269)
+ADF_LARGEP = (1.7339, 0.93202 * 1e-1, -0.12745 * 1e-1, -0.010368 * 1e-2)
+
+
+def adf_pvalue(stat: float) -> float:
+    if stat > ADF_TAU_MAX:
+        return 1.0
+    if stat < ADF_TAU_MIN:
+        return 0.0
+    coef = ADF_SMALLP if stat <= ADF_TAU_STAR else ADF_LARGEP
+    return tails.norm_cdf(sum(c_ * stat ** i for i, c_ in enumerate(coef)))
+
+
+def _adf_gram(nb: DataFrame, lags: int, first: int):
+    """XᵀX, Xᵀy, yᵀy, n for Δyₜ on [1, yₜ₋₁, Δyₜ₋₁…Δyₜ₋lags] over rows t ≥ first (one aggregate)."""
+    import numpy as np
+
+    dy = F.col("_y") - F.col("_y__lag1")
+    terms = [F.lit(1.0), F.col("_y__lag1")] + [F.col(f"_y__lag{j}") - F.col(f"_y__lag{j + 1}") for j in range(1, lags + 1)]
+    rows = nb.filter(F.col(ROW_INDEX) >= first)
+    k = len(terms)
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(dy * dy).alias("yy")]
+    aggs += [F.sum(terms[i] * terms[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs += [F.sum(terms[i] * dy).alias(f"b{i}") for i in range(k)]
+    r = rows.agg(*aggs).first()
+    g = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            g[i, j] = g[j, i] = r[f"g{i}_{j}"]
+    b = np.array([r[f"b{i}"] for i in range(k)])
+    return g, b, float(r["yy"]), int(r["n"])
+
+
+def adf(df: DataFrame, col: str, order: Sequence[str], maxlag: int | None = None) -> DataFrame:
+    """WN9 — augmented Dickey–Fuller with a constant, lag order by AIC on a
+    common sample, statistic = t of yₜ₋₁, MacKinnon p-value. All regressions
+    come from Gram sums of one or two aggregates over halo-block lags."""
+    import numpy as np
+
+    indexed, n = with_row_index(df.select(*order, col), _order_cols(order))
+    if maxlag is None:
+        maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
+        maxlag = max(0, min(n // 2 - 2 - 1, maxlag))
+    base = indexed.withColumn("_y", c(col).cast("double"))
+    nb = with_neighbors(base, n, ["_y"], lags=maxlag + 1)
+
+    def fit(g, b, yy, m, k):
+        sub = g[:k + 2, :k + 2]
+        beta = np.linalg.solve(sub, b[:k + 2])
+        ssr = yy - float(beta @ b[:k + 2])
+        sigma2 = ssr / (m - (k + 2))
+        cov = sigma2 * np.linalg.inv(sub)
+        llf = -m / 2.0 * (math.log(2 * math.pi) + math.log(ssr / m) + 1)
+        return beta, cov, -2 * llf + 2 * (k + 2)
+
+    g, b, yy, m = _adf_gram(nb, maxlag, maxlag + 1)
+    aics = [fit(g, b, yy, m, k)[2] for k in range(maxlag + 1)]
+    best = int(np.argmin(aics))
+    g2, b2, yy2, m2 = _adf_gram(nb, best, best + 1)
+    beta, cov, _ = fit(g2, b2, yy2, m2, best)
+    stat = float(beta[1] / math.sqrt(cov[1, 1]))
+    return df.sparkSession.createDataFrame([(col, stat, adf_pvalue(stat), best, m2)],
+                                           "column string, adf_stat double, adf_pvalue double, used_lag int, nobs long")
+
+
+def stationarity(df: DataFrame, cols: Sequence[str], order: Sequence[str], alpha: float = 0.05) -> DataFrame:
+    """WN11 — stationary when ADF rejects a unit root and KPSS does not reject stationarity."""
+    rows = []
+    for x in cols:
+        a = adf(df, x, order).first()
+        k = kpss(df, x, order).first()
+        rows.append((x, a["adf_stat"], a["adf_pvalue"], k["kpss_stat"], k["kpss_pvalue"],
+                     bool(a["adf_pvalue"] < alpha and k["kpss_pvalue"] > alpha)))
+    return df.sparkSession.createDataFrame(rows, "column string, adf_stat double, adf_pvalue double, kpss_stat double, "
+                                                 "kpss_pvalue double, stationary boolean")

@@ -452,3 +452,27 @@ def model_insights(spark, sf):
     """CMP7 — insight rows from threshold rules over the metric table."""
     r = model_results(spark, sf).filter("split = 'test'")
     return RP.insights(r, INSIGHT_RULES)
+
+
+def _report_stages(spark, sf):
+    from ..operators import quality as Q
+
+    e = events_labelled(spark, sf)
+    s = scored_events(spark, sf)
+    _, fair = EV.fairness(s, "is_error", "pred", "ts")
+    return {"overview": Q.overview(e, "ts", "is_error").drop("start", "end"),
+            "score_separation": EV.score_separation(e, "value", "is_error"),
+            "test_metrics": EV.binary_metrics(s.filter("split = 'test'"), "is_error", "pred"),
+            "fairness": fair}
+
+
+@register("final_report_events")
+def final_report_events(spark, sf):
+    """CMP8 — one (stage, metric, value) table collected from the stage results."""
+    return round_cols(RP.final_report(_report_stages(spark, sf)))
+
+
+@register("final_report_json")
+def final_report_json(spark, sf):
+    """SNK4 — the final report as nested JSON records, one per stage."""
+    return RP.to_json_records(round_cols(RP.final_report(_report_stages(spark, sf))), "stage")

@@ -497,3 +497,23 @@ FROM p""")
 def imputed_events(spark, sf):
     """CL1 — drop > 50 % missing, interpolate numeric > 5 %, median otherwise, mode for strings."""
     return round_cols(Q.impute(gappy_events(spark, sf), order=["ts", "event_id"]))
+
+
+@register("column_catalog_readings")
+def column_catalog_readings(spark, sf):
+    """AG8 / PRJ1 / FE6 — catalogue of the (name-normalised) columns: position, dtype, flags."""
+    r = Q.normalize_columns(readings(spark, sf).withColumnRenamed("margin", "margin (net) smooth3"))
+    cat = Q.column_catalog(r, ts="ts", smooth_suffix="smooth3")
+    filled = Q.missing_report(r).select("column", "missing_count")  # one aggregate over the data
+    return cat.join(filled, "column", "left").na.fill(0, ["missing_count"])
+
+
+@register("assembled_readings")
+def assembled_readings(spark, sf):
+    """PRJ8 — null → 0 on the features and one vector column (summarised by its size and L1 norm)."""
+    from pyspark.ml.functions import vector_to_array
+
+    a = Q.assemble(readings(spark, sf), ["l_quantity", "c_acctbal", "s_acctbal"])
+    arr = vector_to_array(F.col("features"))
+    return a.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(arr)).alias("width"),
+                 F.round(F.sum(F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + F.abs(v))), 2).alias("l1_total"))

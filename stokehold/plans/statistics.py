@@ -277,3 +277,26 @@ def assumption_table_readings(spark, sf):
     """ST22 — assumption verdicts (independence, normality, homoscedasticity, collinearity)."""
     r = readings(spark, sf).select("ts", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount")
     return ST.assumption_table(r, "l_extendedprice", ["l_quantity", "l_discount"], r.columns)
+
+
+@register("shapiro_readings")
+def shapiro_readings(spark, sf):
+    """ST5 — Shapiro–Wilk on a 5,000-row key-hash sample per feature."""
+    r = readings(spark, sf)
+    return ST.shapiro(r, ["l_quantity", "l_extendedprice", "o_totalprice"], ["l_orderkey", "l_linenumber", "l_extendedprice"])
+
+
+@register("adf_events")
+def adf_events(spark, sf):
+    """WN9 — augmented Dickey–Fuller on the event value series."""
+    from ..operators import timeseries as TS
+
+    return TS.adf(table(spark, sf, "events"), "value", EV_ORDER)
+
+
+@register("stationarity_events")
+def stationarity_events(spark, sf):
+    """WN11 — ADF + KPSS stationarity verdict."""
+    from ..operators import timeseries as TS
+
+    return TS.stationarity(table(spark, sf, "events"), ["value"], EV_ORDER)

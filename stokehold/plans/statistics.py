@@ -300,3 +300,18 @@ def stationarity_events(spark, sf):
     from ..operators import timeseries as TS
 
     return TS.stationarity(table(spark, sf, "events"), ["value"], EV_ORDER)
+
+
+@register("kendall_customer", """
+WITH c AS (SELECT c_custkey AS id, c_acctbal AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer
+           WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL),
+p AS (SELECT sum(sign(a.x - b.x) * sign(a.y - b.y)) AS s FROM c a JOIN c b ON a.id < b.id),
+t AS (SELECT count(*) AS n FROM c),
+tx AS (SELECT coalesce(sum(k * (k - 1) / 2), 0) AS n1 FROM (SELECT count(*) AS k FROM c GROUP BY x)),
+ty AS (SELECT coalesce(sum(k * (k - 1) / 2), 0) AS n2 FROM (SELECT count(*) AS k FROM c GROUP BY y))
+SELECT 'c_acctbal' AS x, 'c_nationkey' AS y, n, CAST(s AS DOUBLE) AS s,
+       round(s / sqrt((n * (n - 1) / 2 - n1) * (n * (n - 1) / 2 - n2)), 6) AS tau_b FROM p, t, tx, ty""")
+def kendall_customer(spark, sf):
+    """ST3 — Kendall τ-b by distributed inversion counting (the oracle enumerates pairs on this small table)."""
+    out = ST.kendall_stats(table(spark, sf, "customer"), "c_acctbal", "c_nationkey")
+    return out.select("x", "y", "n", "s", F.round("tau_b", 6).alias("tau_b"))

@@ -107,3 +107,17 @@ def test_grouped_quantiles_equal_percentile(spark):
     for r in want:
         assert qt[(r["event_type"], 0.25)] == pytest.approx(r["q"][0])
         assert qt[(r["event_type"], 0.5)] == pytest.approx(r["q"][1])
+
+
+def test_kendall_blocks_match_brute_force(spark):
+    import numpy as np
+
+    from stokehold.operators import stats as ST
+
+    cu = table(spark, SF_MEDIUM, "customer").select("c_acctbal", "c_nationkey")
+    pdf = cu.toPandas()
+    x, y = pdf["c_acctbal"].to_numpy(), pdf["c_nationkey"].to_numpy().astype(float)
+    s = float(np.sum(np.triu(np.sign(x[:, None] - x[None, :]) * np.sign(y[:, None] - y[None, :]), 1)))
+    for block in (97, 1000, 200_000):  # many blocks, a few, one
+        r = ST.kendall_stats(cu, "c_acctbal", "c_nationkey", block=block).first()
+        assert r["s"] == pytest.approx(s)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -249,14 +250,72 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
     return picked.select(*[c(k) for k in keys], "prob", value.alias("value"))
 
 
+BRACKET_ROWS = 100_000   # rows of one bracket that may be collected for an exact pick
+APPROX_ACCURACY = 10_000
+
+
+def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+    """Exact quantiles from approximate brackets: ``percentile_approx`` (rank
+    error ≤ n/accuracy) gives values a ≤ x₍ₖ₎ ≤ x₍ₖ₊₁₎ ≤ b; one aggregate counts
+    the rows below a and inside [a, b]; only the bracket rows (bounded by
+    ``BRACKET_ROWS``) are collected and the order statistics are read off.
+    Returns the targets it could settle; the rest go to the sort path."""
+    delta = 3.0 / APPROX_ACCURACY
+    qs = sorted({min(1.0, max(0.0, p + s_ * delta)) for p in probs for s_ in (-1, 1)})
+    row = df.agg(*[F.count(c(x)).alias(f"{x}__n") for x in cols],
+                 *[F.percentile_approx(c(x), qs, APPROX_ACCURACY).alias(f"{x}__q") for x in cols]).first()
+    targets = []
+    for x in cols:
+        n = row[f"{x}__n"] or 0
+        if n == 0:
+            continue
+        approx = dict(zip(qs, row[f"{x}__q"]))
+        for p in probs:
+            a = approx[min(1.0, max(0.0, p - delta))]
+            b = approx[min(1.0, max(0.0, p + delta))]
+            h = (n - 1) * p
+            lo = int(math.floor(h))
+            targets.append((x, float(p), float(a), float(b), h, lo, min(lo + 1, n - 1)))
+    if not targets:
+        return {}
+    cnt = df.agg(*[a_ for i, (x, p, a, b, *_r) in enumerate(targets) for a_ in (
+        F.count_if(c(x) < F.lit(a)).alias(f"b{i}"), F.count_if((c(x) >= F.lit(a)) & (c(x) <= F.lit(b))).alias(f"i{i}"))]).first()
+    ok = []
+    for i, (x, p, a, b, h, lo, hi) in enumerate(targets):
+        below, inside = cnt[f"b{i}"], cnt[f"i{i}"]
+        if below <= lo and below + inside - 1 >= hi and inside <= BRACKET_ROWS:
+            ok.append((i, below))
+    if not ok:
+        return {}
+    conds = {i: (c(targets[i][0]) >= F.lit(targets[i][2])) & (c(targets[i][0]) <= F.lit(targets[i][3])) for i, _ in ok}
+    any_bracket = reduce(lambda u, w: u | w, conds.values())
+    picks = F.array(*[F.when(conds[i], F.struct(F.lit(i).alias("t"), c(targets[i][0]).cast("double").alias("v")))
+                      for i, _ in ok])
+    vals: dict[int, list[float]] = {i: [] for i, _ in ok}
+    inside = df.filter(any_bracket).select(F.explode(picks).alias("z")).filter(F.col("z").isNotNull())
+    for r in inside.select("z.t", "z.v").collect():
+        vals[r["t"]].append(r["v"])  # bracket rows only: ≤ BRACKET_ROWS per target
+    out = {}
+    for i, below in ok:
+        x, p, a, b, h, lo, hi = targets[i]
+        v = sorted(vals[i])
+        vlo, vhi = v[lo - below], v[hi - below]
+        out[(x, p)] = vlo + (h - lo) * (vhi - vlo)
+    return out
+
+
 def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     small_distinct: int = SMALL_DISTINCT) -> dict[tuple[str, float], float | None]:
     """Exact quantiles of whole columns as {(column, p): value}.
 
-    Columns whose (HyperLogLog-estimated) distinct count is small use one
-    ``percentile`` aggregate — its value map is bounded by that count; the
-    others go through ``quantile_table``'s distributed sort."""
+    * few distinct values (HyperLogLog estimate): one ``percentile`` aggregate,
+      whose value map is bounded by that count;
+    * otherwise approximate brackets settle most targets with two aggregates
+      and a bounded collect (``_bracketed_quantiles``);
+    * anything left (brackets wider than ``BRACKET_ROWS``) goes through
+      ``quantile_table``'s distributed sort."""
     cols = list(cols)
+    probs = [float(p) for p in probs]
     if not cols:
         return {}
     nd = df.agg(*[F.approx_count_distinct(c(x)).alias(x) for x in cols]).first()
@@ -268,11 +327,14 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         for x in small:
             vals = row[x] or [None] * len(probs)
             for p, v in zip(probs, vals):
-                out[(x, float(p))] = v
+                out[(x, p)] = v
     if large:
-        for r in quantile_table(df, large, probs).collect():  # columns × probs rows
-            out[(r["column"], float(r["prob"]))] = r["value"]
+        out.update(_bracketed_quantiles(df, large, probs))
+        rest = sorted({x for x in large for p in probs if (x, p) not in out})
+        if rest:
+            for r in quantile_table(df, rest, probs).collect():  # columns × probs rows
+                out.setdefault((r["column"], float(r["prob"])), r["value"])
         for x in large:
             for p in probs:
-                out.setdefault((x, float(p)), None)
+                out.setdefault((x, p), None)
     return out

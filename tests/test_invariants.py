@@ -121,3 +121,12 @@ def test_kendall_blocks_match_brute_force(spark):
     for block in (97, 1000, 200_000):  # many blocks, a few, one
         r = ST.kendall_stats(cu, "c_acctbal", "c_nationkey", block=block).first()
         assert r["s"] == pytest.approx(s)
+
+
+def test_sorted_quantile_table_equals_percentile(spark):
+    li = table(spark, SF_MEDIUM, "lineitem")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {(r["column"], r["prob"]): r["value"] for r in core.quantile_table(li, ["l_extendedprice"], probs).collect()}
+    want = li.agg(F.percentile("l_extendedprice", probs)).first()[0]
+    for p, v in zip(probs, want):
+        assert got[("l_extendedprice", p)] == pytest.approx(v, rel=1e-12)

@@ -72,17 +72,19 @@ def interpolate_linear(df: DataFrame, cols: str | Sequence[str], order: Sequence
     blk = F.floor(c(ROW_INDEX) / F.lit(b)).cast("long")
     t = indexed.withColumn("_blk", blk)
     back = Window.partitionBy("_blk").orderBy(ROW_INDEX).rowsBetween(Window.unboundedPreceding, 0)
-    fwd = Window.partitionBy("_blk").orderBy(ROW_INDEX).rowsBetween(0, Window.unboundedFollowing)
+    # "next non-null" as a running frame over the reversed order: an
+    # unbounded-following frame would be re-aggregated for every row
+    fwd = Window.partitionBy("_blk").orderBy(F.desc(ROW_INDEX)).rowsBetween(Window.unboundedPreceding, 0)
     point = {x: F.when(c(x).isNotNull(), F.struct(c(ROW_INDEX).alias("i"), c(x).cast("double").alias("v"))) for x in cols}
     t = t.withColumns({f"{x}__prev": F.last(point[x], ignorenulls=True).over(back) for x in cols}) \
-         .withColumns({f"{x}__next": F.first(point[x], ignorenulls=True).over(fwd) for x in cols})
+         .withColumns({f"{x}__next": F.last(point[x], ignorenulls=True).over(fwd) for x in cols})
     # block table: last and first non-null point of each block, carried across blocks
     blocks = t.groupBy("_blk").agg(*[F.max(point[x]).alias(f"{x}__blast") for x in cols],
                                    *[F.min(point[x]).alias(f"{x}__bfirst") for x in cols])
     before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy("_blk").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.orderBy(F.desc("_blk")).rowsBetween(Window.unboundedPreceding, -1)
     carry = blocks.select("_blk", *[F.last(c(f"{x}__blast"), ignorenulls=True).over(before).alias(f"{x}__cprev") for x in cols],
-                          *[F.first(c(f"{x}__bfirst"), ignorenulls=True).over(after).alias(f"{x}__cnext") for x in cols])
+                          *[F.last(c(f"{x}__bfirst"), ignorenulls=True).over(after).alias(f"{x}__cnext") for x in cols])
     carry = checked_broadcast(carry, 1_000_000, known_rows=(n + b - 1) // b)
     t = t.join(carry, "_blk", "left")
     out = {}

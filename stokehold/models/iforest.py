@@ -318,7 +318,8 @@ def fit(df: DataFrame, params: IsolationForestParams, n: int | None = None) -> I
     if params.contamination != "auto":
         from ..operators.core import quantile_values
 
-        scored = df.select(model.score_column().alias("_s"))
+        # score the training rows once: the quantile takes several passes
+        scored = df.select(model.score_column().alias("_s")).checkpoint(eager=True)
         q = 1.0 - float(params.contamination)
         model.threshold = float(quantile_values(scored, ["_s"], [q])[("_s", q)])
     return model

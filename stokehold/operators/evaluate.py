@@ -323,9 +323,13 @@ def sweep_contamination(scored: DataFrame, score: str, label: str, values: Seque
     """ML18 — for each contamination c: threshold = percentile(score, 1 − c) on the
     fitting set, pred = score > threshold; metrics for all c in one aggregate."""
     fit_on = fit_on if fit_on is not None else scored
+    from ..session import ensure_checkpoint_dir
     from .core import quantile_values
 
-    qv = quantile_values(fit_on, [score], [1 - v for v in values])
+    ensure_checkpoint_dir(scored.sparkSession)
+    # one score column, materialised once: the quantile passes must not recompute a model score
+    fit_scores = fit_on.select(c(score).alias(score)).checkpoint(eager=True)
+    qv = quantile_values(fit_scores, [score], [1 - v for v in values])
     qs = [qv[(score, float(1 - v))] for v in values]
     spark = scored.sparkSession
     thr = spark.createDataFrame([(float(v), float(q)) for v, q in zip(values, qs)], "contamination double, threshold double")

@@ -17,16 +17,27 @@ from pyspark.sql.types import StructType
 from ..operators.quality import label_negative
 
 
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
 def _event_time(df: DataFrame, ts: str) -> tuple[DataFrame, bool]:
-    """Watermarks need TIMESTAMP: a TIMESTAMP_NTZ event time is read as wall
-    time in the session zone (UTC here) and the window bounds are turned back."""
+    """Watermarks need TIMESTAMP: a TIMESTAMP_NTZ event time becomes the
+    instant whose UTC wall time it is (micros since the epoch, independent of
+    the session time zone), and the window bounds are turned back the same way."""
     ntz = df.schema[ts].dataType.typeName() == "timestamp_ntz"
-    return (df.withColumn(ts, F.col(ts).cast("timestamp")) if ntz else df), ntz
+    if not ntz:
+        return df, False
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), F.col(ts))
+    return df.withColumn(ts, F.timestamp_micros(micros)), True
+
+
+def _bound(col, ntz: bool):
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col), F.expr(_EPOCH_NTZ)) if ntz else col
 
 
 def _flat_window(df: DataFrame, ntz: bool = False) -> DataFrame:
-    t = "timestamp_ntz" if ntz else "timestamp"
-    return df.select(F.col("window.start").cast(t).alias("window_start"), F.col("window.end").cast(t).alias("window_end"),
+    return df.select(_bound(F.col("window.start"), ntz).alias("window_start"),
+                     _bound(F.col("window.end"), ntz).alias("window_end"),
                      *[c for c in df.columns if c != "window"])
 
 

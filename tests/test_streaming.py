@@ -30,3 +30,18 @@ def test_labeller_runs_on_a_stream(spark):
     out = M.run_to_table(M.label_and_score(s, ["shifted"]).select("event_id", "anomaly_label"), "label_out",
                          tempfile.mkdtemp(prefix="stokehold-stream-ck-"))
     assert out.count() == 10000
+
+
+def test_windows_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF_MEDIUM as sf
+    from stokehold.plans.registry import table
+
+    e = table(spark, sf, "events")
+    utc = M.sliding_mean(e, "ts", "value").toPandas()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        other = M.sliding_mean(e, "ts", "value").toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert normalise(utc).equals(normalise(other))

@@ -519,3 +519,12 @@ def impute(df: DataFrame, order: Sequence[str], cols: Sequence[str] | None = Non
     for x in interp:
         out = interpolate_linear(out, x, order)
     return out
+
+
+def column_diff(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
+    """SO3 — column-set arithmetic between two frames (metadata only):
+    common names, names only in ``a`` / only in ``b``, and duplicated names."""
+    ca, cb = list(a.columns), list(b.columns)
+    dup = sorted({x for x in ca + cb if ca.count(x) > 1 or cb.count(x) > 1})
+    return {"common": [x for x in ca if x in cb], "only_a": [x for x in ca if x not in cb],
+            "only_b": [x for x in cb if x not in ca], "duplicated": dup}

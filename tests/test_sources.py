@@ -43,3 +43,12 @@ def test_column_name_normalisation(spark):
     assert normalize_name("Main steam flow (t/h)") == "Main_steam_flow_th"
     df = spark.createDataFrame([(1, 2)], ["a b", "c-d"])
     assert normalize_columns(df).columns == ["a_b", "cd"]
+
+
+def test_column_diff(spark):
+    from stokehold.operators.quality import column_diff
+
+    o = table(spark, SF_MEDIUM, "orders")
+    d = column_diff(o, o.select("o_orderkey", "o_totalprice").withColumn("extra", F.lit(1)))
+    assert d["common"] == ["o_orderkey", "o_totalprice"]
+    assert d["only_b"] == ["extra"] and "o_custkey" in d["only_a"] and d["duplicated"] == []

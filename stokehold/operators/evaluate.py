@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .core import ROW_INDEX, c, checked_broadcast, running_sums, unpivot_metrics, with_row_index
+from .core import ROW_INDEX, c, checked_broadcast, running_sums, with_row_index
 
 
 def _group(by: str | None) -> list[Column]:

@@ -9,13 +9,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
 from ..functions.scalar import normal_cdf
-from .core import (ROW_INDEX, c, distinct_value_ranks, quantile_table, quantile_values, running_sums, unpivot_metrics,
-                   with_row_index)
+from .core import ROW_INDEX, c, distinct_value_ranks, quantile_table, quantile_values, running_sums, with_row_index
 
 
 def _frame(df: DataFrame, rows, schema: str) -> DataFrame:
@@ -666,7 +665,7 @@ def kendall_stats(df: DataFrame, x: str, y: str, block: int = 200_000) -> DataFr
     earlier = np.cumsum(strictly_above, axis=0) - strictly_above  # rows of x-blocks before
     d3 = float((g * earlier).sum())
     dcount = d1 + d2 + d3
-    ties = d.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    n_rows = d.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     tx = d.groupBy("_x").count().select(F.col("count").cast("double").alias("t"))
     ty = d.groupBy("_y").count().select(F.col("count").cast("double").alias("t"))
 
@@ -678,7 +677,7 @@ def kendall_stats(df: DataFrame, x: str, y: str, block: int = 200_000) -> DataFr
 
     ax, ay = tie_sums(tx), tie_sums(ty)
     n3 = cells.agg(F.sum(F.col("w") * (F.col("w") - 1) / 2)).first()[0] or 0.0
-    n = float(ties)
+    n = float(n_rows)
     n0 = n * (n - 1) / 2
     s = n0 - ax["p"] - ay["p"] + n3 - 2 * dcount
     tau = s / math.sqrt((n0 - ax["p"]) * (n0 - ay["p"])) if (n0 - ax["p"]) > 0 and (n0 - ay["p"]) > 0 else float("nan")

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import shift_of
 from ..operators import evaluate as EV
 from ..operators import report as RP
 from ..operators import timeseries as TS

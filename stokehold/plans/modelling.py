@@ -4,8 +4,6 @@ oracle (rows-only check) and are covered by invariant tests."""
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from ..models import iforest as IF

@@ -375,7 +375,6 @@ def normaltest(df: DataFrame, value: str) -> DataFrame:
     w2 = -1 + math.sqrt(2 * (beta2 - 1))
     delta = 1 / math.sqrt(0.5 * math.log(w2))
     alpha = math.sqrt(2.0 / (w2 - 1))
-    y = y if y != 0 else 1.0
     zs = delta * math.log(y / alpha + math.sqrt((y / alpha) ** 2 + 1))
     e = 3.0 * (n - 1) / (n + 1)
     varb2 = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))

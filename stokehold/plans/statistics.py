@@ -315,3 +315,25 @@ def kendall_customer(spark, sf):
     """ST3 — Kendall τ-b by distributed inversion counting (the oracle enumerates pairs on this small table)."""
     out = ST.kendall_stats(table(spark, sf, "customer"), "c_acctbal", "c_nationkey")
     return out.select("x", "y", "n", "s", F.round("tau_b", 6).alias("tau_b"))
+
+
+@register("normaltest_stat_events", """
+WITH m AS (SELECT count(value) AS n, avg(value) AS mu FROM events),
+c AS (SELECT any_value(n) AS n, avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3,
+             avg(power(value - mu, 4)) AS m4 FROM events, m WHERE value IS NOT NULL),
+b AS (SELECT n, m3 / power(m2, 1.5) AS b1, m4 / (m2 * m2) AS b2 FROM c),
+s1 AS (SELECT n, b2, b1 * sqrt((n + 1) * (n + 3) / (6.0 * (n - 2))) AS y,
+              3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9)) AS beta2 FROM b),
+s2 AS (SELECT *, -1 + sqrt(2 * (beta2 - 1)) AS w2 FROM s1),
+s3 AS (SELECT *, 1 / sqrt(0.5 * ln(w2)) AS delta, sqrt(2.0 / (w2 - 1)) AS alpha FROM s2),
+zs AS (SELECT *, delta * ln(y / alpha + sqrt((y / alpha) * (y / alpha) + 1)) AS zs,
+              (b2 - 3.0 * (n - 1) / (n + 1)) / sqrt(24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))) AS x,
+              6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt((6.0 * (n + 3) * (n + 5)) / (n * (n - 2) * (n - 3))) AS sb1
+       FROM s3),
+k AS (SELECT *, 6.0 + 8.0 / sb1 * (2.0 / sb1 + sqrt(1 + 4.0 / (sb1 * sb1))) AS a FROM zs),
+t AS (SELECT *, 1 + x * sqrt(2 / (a - 4.0)) AS denom FROM k),
+z AS (SELECT n, zs, ((1 - 2 / (9.0 * a)) - sign(denom) * power((1 - 2.0 / a) / abs(denom), 1 / 3.0)) / sqrt(2 / (9.0 * a)) AS zk FROM t)
+SELECT 'value' AS feature, n, round(zs * zs + zk * zk, 4) AS k2 FROM z""")
+def normaltest_stat_events(spark, sf):
+    """ST9 — D'Agostino–Pearson K² statistic (the p-value is the χ²(2) tail, see ``normaltest_events``)."""
+    return ST.normaltest(table(spark, sf, "events"), "value").select("feature", "n", F.round("k2", 4).alias("k2"))

@@ -130,3 +130,17 @@ def test_sorted_quantile_table_equals_percentile(spark):
     want = li.agg(F.percentile("l_extendedprice", probs)).first()[0]
     for p, v in zip(probs, want):
         assert got[("l_extendedprice", p)] == pytest.approx(v, rel=1e-12)
+
+
+def test_adf_and_kpss_separate_noise_from_random_walk(spark):
+    from pyspark.sql import Window
+
+    e = table(spark, SF_MEDIUM, "events").select("event_id", "ts", "value")
+    centred = e.withColumn("noise", F.col("value") - F.lit(e.agg(F.avg("value")).first()[0]))
+    walk = centred.withColumn("walk", F.sum("noise").over(Window.orderBy("ts", "event_id")))  # small test table
+    a_noise = TS.adf(walk, "noise", EV_ORDER).first()
+    a_walk = TS.adf(walk, "walk", EV_ORDER).first()
+    assert a_noise["adf_pvalue"] < 0.05 < a_walk["adf_pvalue"]
+    k_noise = TS.kpss(walk, "noise", EV_ORDER).first()
+    k_walk = TS.kpss(walk, "walk", EV_ORDER).first()
+    assert k_noise["kpss_pvalue"] > 0.05 > k_walk["kpss_pvalue"]

@@ -254,16 +254,27 @@ BRACKET_ROWS = 100_000   # rows of one bracket that may be collected for an exac
 APPROX_ACCURACY = 10_000
 
 
-def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+def _bracket_probs(probs: Sequence[float]) -> list[float]:
+    delta = 3.0 / APPROX_ACCURACY
+    return sorted({min(1.0, max(0.0, p + s_ * delta)) for p in probs for s_ in (-1, 1)})
+
+
+def _bracket_aggs(cols: Sequence[str], probs: Sequence[float]) -> list[Column]:
+    qs = _bracket_probs(probs)
+    return [*[F.count(c(x)).alias(f"{x}__n") for x in cols],
+            *[F.percentile_approx(c(x), qs, APPROX_ACCURACY).alias(f"{x}__q") for x in cols]]
+
+
+def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], row=None) -> dict:
     """Exact quantiles from approximate brackets: ``percentile_approx`` (rank
     error ≤ n/accuracy) gives values a ≤ x₍ₖ₎ ≤ x₍ₖ₊₁₎ ≤ b; one aggregate counts
     the rows below a and inside [a, b]; only the bracket rows (bounded by
     ``BRACKET_ROWS``) are collected and the order statistics are read off.
     Returns the targets it could settle; the rest go to the sort path."""
     delta = 3.0 / APPROX_ACCURACY
-    qs = sorted({min(1.0, max(0.0, p + s_ * delta)) for p in probs for s_ in (-1, 1)})
-    row = df.agg(*[F.count(c(x)).alias(f"{x}__n") for x in cols],
-                 *[F.percentile_approx(c(x), qs, APPROX_ACCURACY).alias(f"{x}__q") for x in cols]).first()
+    qs = _bracket_probs(probs)
+    if row is None:  # callers may pass the brackets computed in an earlier aggregate
+        row = df.agg(*_bracket_aggs(cols, probs)).first()
     targets = []
     for x in cols:
         n = row[f"{x}__n"] or 0
@@ -318,7 +329,8 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     probs = [float(p) for p in probs]
     if not cols:
         return {}
-    nd = df.agg(*[F.approx_count_distinct(c(x)).alias(x) for x in cols]).first()
+    # one pass: distinct-count estimates and the approximate brackets of every column
+    nd = df.agg(*[F.approx_count_distinct(c(x)).alias(x) for x in cols], *_bracket_aggs(cols, probs)).first()
     small = [x for x in cols if (nd[x] or 0) <= small_distinct]
     large = [x for x in cols if x not in small]
     out: dict[tuple[str, float], float | None] = {}
@@ -329,7 +341,7 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             for p, v in zip(probs, vals):
                 out[(x, p)] = v
     if large:
-        out.update(_bracketed_quantiles(df, large, probs))
+        out.update(_bracketed_quantiles(df, large, probs, row=nd))
         rest = sorted({x for x in large for p in probs if (x, p) not in out})
         if rest:
             for r in quantile_table(df, rest, probs).collect():  # columns × probs rows

@@ -214,7 +214,7 @@ def mutual_info_discrete(df: DataFrame, x: str, y: str) -> DataFrame:
     my = joint.groupBy("_y").agg(F.sum("nxy").alias("ny"))
     t = joint.join(mx, "_x").join(checked_broadcast(my, 100_000), "_y")
     tot = joint.agg(F.sum("nxy").alias("n"))
-    return t.crossJoin(tot).agg(
+    return t.crossJoin(F.broadcast(tot)).agg(  # one-row total
         F.sum(F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))).alias("mutual_info")
     ).select(F.lit(x).alias("feature"), "mutual_info")
 

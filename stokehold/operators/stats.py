@@ -211,7 +211,7 @@ def levene_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     z = d.join(med, "_g").withColumn("_z", F.abs(F.col("_x") - F.col("_m")))  # group medians: one row per group
     zg = z.groupBy("_g").agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"))
     zall = z.agg(F.avg("_z").alias("zbar"), F.count(F.lit(1)).alias("N"))
-    between = zg.crossJoin(zall).agg(F.sum(F.col("ni") * (F.col("zi") - F.col("zbar")) ** 2).alias("num"),
+    between = zg.crossJoin(F.broadcast(zall)).agg(F.sum(F.col("ni") * (F.col("zi") - F.col("zbar")) ** 2).alias("num"),
                                      F.count(F.lit(1)).alias("k"), F.first("N").alias("N"))
     within = z.join(F.broadcast(zg), "_g").agg(F.sum((F.col("_z") - F.col("zi")) ** 2).alias("den"))
     j = between.crossJoin(within)

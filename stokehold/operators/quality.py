@@ -471,11 +471,21 @@ def detect_outliers(df: DataFrame, cols: Sequence[str] | None = None, min_rows:
 
 
 def winsorize(df: DataFrame, cols: Sequence[str] | None = None, max_share: float = 0.05, min_rows: int = 10,
-              exact: bool = True) -> DataFrame:
-    """CL3 — clip to the IQR fences, only for columns with 0 < outlier share < ``max_share``."""
+              exact: bool = True, materialize: bool = False) -> DataFrame:
+    """CL3 — clip to the IQR fences, only for columns with 0 < outlier share < ``max_share``.
+
+    The fences take several statistics passes; with ``materialize`` the numeric
+    projection is checkpointed once, so an expensive input (joins, UDFs) is not
+    recomputed for every pass. The clipped result is still built from ``df``."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    b = outlier_bounds(df, cols, exact)
-    shares = df.crossJoin(F.broadcast(b.select(*[c(f"{x}__{k}") for x in cols for k in ("lower", "upper")]))).agg(
+    stats_in = df
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        stats_in = df.select(*[c(x) for x in cols]).checkpoint(eager=True)
+    b = outlier_bounds(stats_in, cols, exact)
+    shares = stats_in.crossJoin(F.broadcast(b.select(*[c(f"{x}__{k}") for x in cols for k in ("lower", "upper")]))).agg(
         *[F.count_if((c(x) < c(f"{x}__lower")) | (c(x) > c(f"{x}__upper"))).alias(f"{x}__out") for x in cols])
     params = b.crossJoin(shares).first()  # one row of thresholds
     out = df

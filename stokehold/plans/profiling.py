@@ -450,7 +450,7 @@ def _winsor_sql():
 @register("winsorized_readings", _winsor_sql())
 def winsorized_readings(spark, sf):
     """CL3 — IQR-fence clipping only where 0 < outlier share < 5 %; summarised per column."""
-    w = Q.winsorize(readings(spark, sf), WINSOR_COLS)
+    w = Q.winsorize(readings(spark, sf), WINSOR_COLS, materialize=True)
     row = w.agg(*[a for x in WINSOR_COLS for a in (
         F.count(x).alias(f"{x}__n"), F.round(F.sum(x), 4).alias(f"{x}__total"),
         F.min(x).cast("double").alias(f"{x}__min"), F.max(x).cast("double").alias(f"{x}__max"))])

@@ -90,7 +90,7 @@ _F, _C = _winsor_frame_sql()
 def treatment_effect_readings(spark, sf):
     """JN3 — raw vs winsorised range per column, joined on the column name."""
     r = readings(spark, sf)
-    return round_cols(J.treatment_effect(r, Q.winsorize(r, WINSOR_COLS), WINSOR_COLS))
+    return round_cols(J.treatment_effect(r, Q.winsorize(r, WINSOR_COLS, materialize=True), WINSOR_COLS))
 
 
 IMP_COLS = ["l_quantity", "l_discount", "l_tax", "o_totalprice", "c_acctbal"]

@@ -92,14 +92,13 @@ def count_floor(counts: DataFrame, column: str, limit: int) -> int:
     """Smallest t >= 1 such that at most ``limit`` rows have ``column`` >= t, read
     off a histogram with 32 steps an octave (a few hundred rows)."""
     step = F.floor(F.log2(F.col(column).cast("double")) * 32).cast("int")
-    bins = counts.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("least"),
-                                               F.max(column).alias("most")).collect()
-    floor, held = 1, 0
+    bins = counts.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.max(column).alias("most")).collect()
+    held = 0
     for r in sorted(bins, key=lambda r: -r.b):
         if held + r.n > limit:
             return int(r.most) + 1
-        held, floor = held + r.n, int(r.least)
-    return max(1, floor)
+        held += r.n
+    return 1
 
 
 def ragged(lengths: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, packing, quality, simhash
+from . import chat, classifier, decontam, htmlcut, linededup, lm, packing, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,29 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+_ESCAPED = "replace(text, '\\', '\\\\')"
+for _mark in chat.CONTROL:
+    _ESCAPED = f"replace({_ESCAPED}, '{_mark}', '{_mark[0]}\\{_mark[1:]}')"
+
+
+@query(f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) loss_sha256,
+       CAST(sum({len(chat.OPEN + chat.CLOSE) + 1} + length(role) + length({_ESCAPED})) AS BIGINT) formatted_chars
+FROM c GROUP BY conv_id
+""")
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    segments, members = chat.format_trees(rows.unionByName(extra))
+    return chat.read_back(segments, members).withColumnRenamed("conv", "conv_id")
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -74,12 +97,29 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeats(table(spark, sf_dir, "documents"), removed="n_removed").select("doc_id", "n_removed", "text")
 
 
+@query()
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(table(spark, sf_dir, "documents"), ~lm.held_out("doc_id"))
+    return scored.select("doc_id", lm.held_out("doc_id").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2, seed=42)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmlcut.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontam, htmlcut, linededup, lm, packing, quality, simhash
+from . import chat, classifier, decontam, htmlcut, linededup, lm, packing, pii, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,13 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a deployment passes its own secret
+    done = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="example key", found="values")
+    return done.select("doc_id", "text", F.size("values").cast("long").alias("n_values"), "values")
+
+
 @query()
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = htmlcut.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hot_keys, salted_join
+from .common import salted_join
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
@@ -20,20 +20,20 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = both.filter("src != dst").distinct().checkpoint()
     labels = both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("root")).checkpoint()
-    for _ in range(rounds):
+    nodes = labels.count()
+    for _ in range(rounds if nodes else 0):
         # smallest label around each node
         around = (both.join(labels.select(F.col("node").alias("dst"), F.col("root").alias("near")), "dst")
                   .groupBy(F.col("src").alias("node")).agg(F.min("near").alias("near")))
         seen = labels.join(around, "node").select("node", "root", F.least("root", "near").alias("near"))
-        # the label's own new label: the least one that any of its nodes has seen
-        hooks = seen.groupBy("root").agg(F.min("near").alias("hook"))
-        after = salted_join(seen, hooks, ["root"], hot_keys(seen, ["root"]), ["node"], "inner")
-        after = after.select("node", F.least("near", "hook").alias("next"), F.col("root").alias("was")).checkpoint()
-        # follow the new label once
-        jump = after.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved = salted_join(after, jump, ["next"], hot_keys(after, ["next"]), ["node"], "left")
-        moved = moved.select("node", F.least("next", F.coalesce("far", "next")).alias("root"), "was").checkpoint()
-        if not moved.filter("root != was").limit(1).count():
-            return moved.select("node", "root")
-        labels = moved.select("node", "root")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+        # a label's new label: the least one that any of its nodes has seen, followed once
+        hooks = seen.groupBy("root").agg(F.min("near").alias("hook"), F.count(F.lit(1)).alias("n")).checkpoint()
+        if not hooks.filter("hook != root").limit(1).count():
+            return labels
+        far = hooks.select(F.col("root").alias("hook"), F.col("hook").alias("far"))
+        jumped = hooks.join(far, "hook", "left").select("root", "n", F.least("hook", F.coalesce("far", "hook")).alias("next"))
+        hot = jumped.filter(F.col("n") * 1000 > nodes).select("root")  # 1,000 labels at most
+        labels = salted_join(labels, jumped.select("root", "next"), ["root"], hot, ["node"], "inner").select("node", F.col("next").alias("root")).checkpoint()
+    if nodes:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    return labels

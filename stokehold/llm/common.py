@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """``frame`` written below the shared checkpoint folder and read again: lineage
+    ends here, and size estimates start anew from the files (a checkpoint keeps the
+    estimate of its plan, which joins multiply round after round)."""
+    spark = frame.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/written-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Pieces of a record batch with at most ``limit`` bytes of ``column`` each
     (one row at least), so that memory follows bytes instead of rows."""

@@ -151,7 +151,8 @@ def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None, weight
     t, _ = score_table(df, label, score, by, weight=weight)
     rows_before = F.col("cp") + F.col("cn") - F.col("pos") - F.col("neg")
     mid = rows_before + (F.col("pos") + F.col("neg") + 1) / 2.0
-    out = t.groupBy("grp").agg(F.sum(F.col("pos") * mid).alias("r1"), F.first("P").alias("P"), F.first("N").alias("N"))
+    out = t.groupBy("grp").agg(F.sum(F.col("pos") * mid).alias("r1"),
+                                F.first("P").cast("double").alias("P"), F.first("N").cast("double").alias("N"))
     auc = (F.col("r1") - F.col("P") * (F.col("P") + 1) / 2.0) / (F.col("P") * F.col("N"))
     return out.select(F.col("grp").alias(by or "group"), auc.alias("roc_auc"))
 
@@ -227,15 +228,16 @@ def focal_loss(df: DataFrame, label: str, prob: str, alpha: float = 0.25, gamma:
 # ---------------------------------------------------------------------------
 
 def regression_metrics(df: DataFrame, label: str, pred: str, by: str | None = None) -> DataFrame:
-    """EV14 — RMSE, MAE, R² = 1 − SSR/SST (one pass: sums of y, y², residuals)."""
+    """EV14 — RMSE, MAE, R² = 1 − SSR/SST (one pass: residuals and the centred variance of y)."""
     y, p = c(label).cast("double"), c(pred).cast("double")
     out = df.groupBy(*_group(by)).agg(F.count(y).alias("n"), F.sum((y - p) ** 2).alias("ssr"), F.avg(F.abs(y - p)).alias("mae"),
-                                      F.sum(y * y).alias("syy"), F.sum(y).alias("sy"))
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+                                      F.var_pop(y).alias("vy"))
+    sst = F.col("n") * F.col("vy")
     return out.select(*([by] if by else []), "n", F.sqrt(F.col("ssr") / F.col("n")).alias("rmse"), "mae",
                       (1 - F.col("ssr") / sst).alias("r2"))
 
 
+# fixed values: the gap and the status texts of the fit verdict
 FIT_GAP = 0.1  # fixed value: |train F1 − validation F1| above this is over-/underfitting
 
 
@@ -243,7 +245,7 @@ def fit_verdict(results: DataFrame, model: str = "model", train: str = "train_f1
                 gap: float = FIT_GAP) -> DataFrame:
     """EV16 — over-/underfit verdict from the train/validation F1 gap."""
     g = c(train) - c(val)
-    status = F.when(g > gap, "OVERFITTING").when(g < -gap, "UNDERFITTING (Val > Train)").otherwise("GOOD FIT")
+    status = F.when(g > gap, "OVERFITTING").when(g < -gap, "UNDERFITTING (Val > Train)").otherwise("OK")
     return results.select(c(model).alias(model), c(train), c(val), g.alias("f1_gap"), status.alias("status"))
 
 

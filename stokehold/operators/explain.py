@@ -172,10 +172,11 @@ def cross_split(scored: DataFrame, label: str, split: str = "split") -> DataFram
 
 def noise_robustness(df: DataFrame, scorer: Scorer, features: Sequence[str], label: str, key: Sequence[str],
                      sigmas: Sequence[float] = (0.01, 0.05, 0.1, 0.2), seed: int = 42,
-                     single_sigma: float | None = 0.1) -> DataFrame:
-    """XP9 — F1 when every feature gets N(0, (σ·std)²) noise, for each σ (rows
+                     single_sigma: float | None = 0.1, relative: bool = False) -> DataFrame:
+    """XP9 — F1 when every feature gets N(0, σ²) noise (``relative``: σ times its
+    standard deviation), for each σ (rows
     exploded per σ, hash-seeded noise), and with noise on one feature at a time."""
-    stds = df.agg(*[F.stddev_samp(c(f)).alias(f) for f in features]).first()
+    stds = df.agg(*[F.stddev_samp(c(f)).alias(f) for f in features]).first() if relative else {f: 1.0 for f in features}
     scen = [(f"all@{s}", s, list(features)) for s in sigmas]
     if single_sigma is not None:
         scen += [(f"{f}@{single_sigma}", single_sigma, [f]) for f in features]

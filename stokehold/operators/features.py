@@ -175,17 +175,16 @@ def anova_sums(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
     Pass 1: per (group) count/sum/sum² for all features at once; pass 2 is on
     that small (groups × features) table."""
     per = df.groupBy(c(group).alias("_g")).agg(*[a for x in cols for a in (
-        F.count(c(x)).alias(f"{x}__n"), F.sum(c(x)).alias(f"{x}__s"), F.sum(c(x) * c(x)).alias(f"{x}__ss"))])
+        F.count(c(x)).alias(f"{x}__n"), F.avg(c(x)).alias(f"{x}__m"), F.var_pop(c(x)).alias(f"{x}__v"))])
+    # centred sums: group means around the grand mean
+    grand = per.agg(*[(F.sum(c(f"{x}__n") * c(f"{x}__m")) / F.sum(f"`{x}__n`")).alias(f"{x}__grand") for x in cols])
+    per = per.crossJoin(F.broadcast(grand))
     aggs = []
     for x in cols:
-        n, s, ss = c(f"{x}__n"), c(f"{x}__s"), c(f"{x}__ss")
+        n, m, v = c(f"{x}__n"), c(f"{x}__m"), c(f"{x}__v")
         aggs += [F.sum(n).alias(f"{x}__N"), F.count(F.when(n > 0, 1)).alias(f"{x}__k"),
-                 F.sum(F.when(n > 0, s * s / n)).alias(f"{x}__between_raw"), F.sum(s).alias(f"{x}__S"),
-                 F.sum(ss).alias(f"{x}__SS")]
+                 F.sum(n * (m - c(f"{x}__grand")) ** 2).alias(f"{x}__ssb"), F.sum(n * v).alias(f"{x}__ssw")]
     row = per.agg(*aggs)
-    row = row.select("*", *[(c(f"{x}__between_raw") - c(f"{x}__S") * c(f"{x}__S") / c(f"{x}__N")).alias(f"{x}__ssb")
-                            for x in cols],
-                     *[(c(f"{x}__SS") - c(f"{x}__between_raw")).alias(f"{x}__ssw") for x in cols])
     out = unpivot_metrics(row, cols, ["N", "k", "ssb", "ssw"], key="feature")
     return out.withColumn("f_score", (F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("N") - F.col("k"))))
 
@@ -215,7 +214,7 @@ def mutual_info_discrete(df: DataFrame, x: str, y: str) -> DataFrame:
     t = joint.join(mx, "_x").join(checked_broadcast(my, 100_000), "_y")
     tot = joint.agg(F.sum("nxy").alias("n"))
     return t.crossJoin(F.broadcast(tot)).agg(  # one-row total
-        F.sum(F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))).alias("mutual_info")
+        F.sum(F.col("nxy") / F.col("n") * F.log(F.col("nxy").cast("double") / F.col("nx") * F.col("n") / F.col("ny"))).alias("mutual_info")
     ).select(F.lit(x).alias("feature"), "mutual_info")
 
 

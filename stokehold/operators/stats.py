@@ -116,17 +116,18 @@ def rank_sums(df: DataFrame, value: str, label: str) -> DataFrame:
     ranks = distinct_value_ranks(per.select("_v", "cnt"), "_v")
     j = per.join(ranks.select("_v", "midrank"), "_v")
     return j.agg(F.sum("cnt").alias("n"), F.sum("c1").alias("n1"), F.sum(F.col("c1") * F.col("midrank")).alias("r1"),
-                 F.sum(F.col("cnt") * F.col("cnt") * F.col("cnt") - F.col("cnt")).alias("ties"))
+                 F.sum(F.col("cnt").cast("double") * F.col("cnt") * F.col("cnt") - F.col("cnt")).alias("ties"))
 
 
 def mann_whitney_stats(df: DataFrame, value: str, label: str) -> DataFrame:
     """ST13 statistic — U of group 0 (the first sample, as the reference passes
     normal then anomaly) = R₀ − n₀(n₀+1)/2, and U₁ = n₀n₁ − U₀."""
     s = rank_sums(df, value, label)
-    n0 = F.col("n") - F.col("n1")
-    r0 = F.col("n") * (F.col("n") + 1) / 2 - F.col("r1")
-    u0 = r0 - n0 * (n0 + 1) / 2
-    return s.select(F.lit(value).alias("feature"), n0.alias("n0"), "n1", u0.alias("u"), (n0 * F.col("n1") - u0).alias("u1"),
+    # counts in double: their products pass 63 bits near 3e9 rows
+    n0, n = F.col("n") - F.col("n1"), F.col("n").cast("double")
+    r0 = n * (n + 1) / 2 - F.col("r1")
+    u0 = r0 - n0.cast("double") * (n0 + 1) / 2
+    return s.select(F.lit(value).alias("feature"), n0.alias("n0"), "n1", u0.alias("u"), (n0.cast("double") * F.col("n1") - u0).alias("u1"),
                     "ties")
 
 
@@ -186,12 +187,14 @@ def f_var_test(df: DataFrame, value: str, label: str) -> DataFrame:
 def anova_stats(df: DataFrame, value: str, group: str, min_rows: int = 10) -> DataFrame:
     """ST14 statistic — one-way ANOVA F over groups with more than ``min_rows`` rows."""
     per = df.filter(c(value).isNotNull()).groupBy(c(group).alias("_g")).agg(
-        F.count(c(value)).alias("n"), F.sum(c(value)).alias("s"), F.sum(c(value) * c(value)).alias("ss"))
+        F.count(c(value)).alias("n"), F.avg(c(value)).alias("m"), F.var_pop(c(value)).alias("v"))
     per = per.filter(F.col("n") > min_rows)
-    t = per.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("b"),
-                F.sum("s").alias("S"), F.sum("ss").alias("SS"))
-    ssb = F.col("b") - F.col("S") * F.col("S") / F.col("N")
-    ssw = F.col("SS") - F.col("b")
+    # centred sums: group means around the grand mean, one row per group
+    grand = per.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
+    t = per.crossJoin(F.broadcast(grand)).agg(
+        F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("ssb"),
+        F.sum(F.col("n") * F.col("v")).alias("ssw"))
+    ssb, ssw = F.col("ssb"), F.col("ssw")
     return t.select(F.lit(value).alias("feature"), "N", "k", ssb.alias("ssb"), ssw.alias("ssw"),
                     ((ssb / (F.col("k") - 1)) / (ssw / (F.col("N") - F.col("k")))).alias("f_stat"))
 
@@ -213,7 +216,7 @@ def levene_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     zall = z.agg(F.avg("_z").alias("zbar"), F.count(F.lit(1)).alias("N"))
     between = zg.crossJoin(F.broadcast(zall)).agg(F.sum(F.col("ni") * (F.col("zi") - F.col("zbar")) ** 2).alias("num"),
                                      F.count(F.lit(1)).alias("k"), F.first("N").alias("N"))
-    within = z.join(F.broadcast(zg), "_g").agg(F.sum((F.col("_z") - F.col("zi")) ** 2).alias("den"))
+    within = z.join(zg, "_g").agg(F.sum((F.col("_z") - F.col("zi")) ** 2).alias("den"))
     j = between.crossJoin(within)
     w = (F.col("N") - F.col("k")) / (F.col("k") - 1) * F.col("num") / F.col("den")
     return j.select(F.lit(value).alias("feature"), "N", "k", w.alias("levene_stat"))
@@ -264,13 +267,13 @@ def chi2_stats(df: DataFrame, a: str, b: str, yates: bool = True) -> DataFrame:
     if yates and dof == 1:
         # 2 × 2: the four cells (empty ones included) with |O − E| − min(|O − E|, .5)
         grid = ra.crossJoin(rb).join(cells, ["_a", "_b"], "left")  # exactly 4 cells
-        e = F.col("ra") * F.col("rb") / F.lit(n)
+        e = F.col("ra").cast("double") * F.col("rb") / F.lit(n)
         diff = F.abs(F.coalesce(F.col("o"), F.lit(0)) - e)
         stat = grid.agg(F.sum((diff - F.least(diff, F.lit(0.5))) ** 2 / e).alias("chi2"))
     else:
         # Σ (O − E)²/E = Σ_observed O²/E − n: only the observed cells are needed
         j = cells.join(ra, "_a").join(rb, "_b")
-        stat = j.agg((F.sum(F.col("o") * F.col("o") * F.lit(n) / (F.col("ra") * F.col("rb"))) - F.lit(n)).alias("chi2"))
+        stat = j.agg((F.sum(F.col("o").cast("double") / F.col("ra") * F.col("o") / F.col("rb") * F.lit(n)) - F.lit(n)).alias("chi2"))
     out = stat.select("chi2", F.lit(dof).cast("long").alias("dof"), F.lit(n).cast("long").alias("n"),
                       F.lit(min(ka, kb) - 1).cast("long").alias("min_dim"))
     v = F.when(F.col("min_dim") > 0, F.sqrt(F.col("chi2") / (F.col("n") * F.col("min_dim")))).otherwise(0.0)
@@ -490,9 +493,9 @@ VIF_HIGH = 10.0
 def assumption_summary(durbin_watson: float, normal_share: float, homo_share: float, max_vif: float) -> list[tuple]:
     """ST22 — verdict rows from test outputs (scalars already aggregated)."""
     return [
-        ("independence", durbin_watson, DW_RANGE[0] <= durbin_watson <= DW_RANGE[1]),
-        ("normality", normal_share, normal_share >= 0.5),
-        ("homoscedasticity", homo_share, homo_share >= 0.5),
+        ("independence", durbin_watson, DW_RANGE[0] < durbin_watson < DW_RANGE[1]),
+        ("normality", normal_share, normal_share > 0.5),
+        ("homoscedasticity", homo_share, homo_share > 0.5),
         ("multicollinearity", max_vif, max_vif < VIF_HIGH),
     ]
 
@@ -669,13 +672,14 @@ def kendall_stats(df: DataFrame, x: str, y: str, block: int = 200_000) -> DataFr
     ty = d.groupBy("_y").count().select(F.col("count").cast("double").alias("t"))
 
     def tie_sums(tt):
+        tt = tt.withColumn("t", F.col("t").cast("double"))  # cubes of counts
         return tt.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("p"),
                       F.sum(F.col("t") * (F.col("t") - 1) * (2 * F.col("t") + 5)).alias("v1"),
                       F.sum(F.col("t") * (F.col("t") - 1) * (F.col("t") - 2)).alias("v2"),
                       F.sum(F.col("t") * (F.col("t") - 1)).alias("v3")).first()
 
     ax, ay = tie_sums(tx), tie_sums(ty)
-    n3 = cells.agg(F.sum(F.col("w") * (F.col("w") - 1) / 2)).first()[0] or 0.0
+    n3 = cells.agg(F.sum(F.col("w").cast("double") * (F.col("w") - 1) / 2)).first()[0] or 0.0
     n = float(n_rows)
     n0 = n * (n - 1) / 2
     s = n0 - ax["p"] - ay["p"] + n3 - 2 * dcount

@@ -207,7 +207,7 @@ def loss_aggregates_events(spark, sf):
 WITH p AS (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS pred FROM lineitem GROUP BY 1),
 j AS (SELECT o.o_totalprice AS y, p.pred AS p FROM orders o JOIN p ON o.o_orderkey = p.l_orderkey)
 SELECT count(y) AS n, round(sqrt(sum((y - p) * (y - p)) / count(y)), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae,
-       round(1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(y)), 6) AS r2 FROM j""")
+       round(1 - sum((y - p) * (y - p)) / (count(y) * var_pop(y)), 6) AS r2 FROM j""")
 def regression_metrics_orders(spark, sf):
     """EV14 — RMSE, MAE, R² of order totals predicted from their lines."""
     li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
@@ -255,7 +255,7 @@ tv AS (SELECT model, max(f1) FILTER (WHERE split = 'train') AS train_f1, max(f1)
        FROM mr GROUP BY model)
 SELECT model, round(train_f1, 6) AS train_f1, round(val_f1, 6) AS val_f1, round(train_f1 - val_f1, 6) AS f1_gap,
        CASE WHEN train_f1 - val_f1 > 0.1 THEN 'OVERFITTING' WHEN train_f1 - val_f1 < -0.1 THEN 'UNDERFITTING (Val > Train)'
-            ELSE 'GOOD FIT' END AS status FROM tv""")
+            ELSE 'OK' END AS status FROM tv""")
 def fit_verdict_models(spark, sf):
     """EV16 — over-/underfit verdict from train vs validation F1 (pivot by split)."""
     r = model_results(spark, sf)

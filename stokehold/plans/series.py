@@ -379,17 +379,18 @@ ANOVA_COLS = ["l_quantity", "l_extendedprice", "o_totalprice"]
 
 
 @register("f_classif_readings", "WITH " + LABELLED_SQL + ",\ng AS (SELECT anomaly_label, " + ", ".join(
-    f"count({x}) AS n_{x}, sum({x}) AS s_{x}, sum({x} * {x}) AS ss_{x}" for x in ANOVA_COLS) + " FROM labelled GROUP BY 1),\nt AS (" + _union(
-    [f"""SELECT '{x}' AS feature, sum(n_{x}) AS "N", count(*) FILTER (WHERE n_{x} > 0) AS k,
-       sum(s_{x} * s_{x} / n_{x}) - sum(s_{x}) * sum(s_{x}) / sum(n_{x}) AS ssb, sum(ss_{x}) - sum(s_{x} * s_{x} / n_{x}) AS ssw FROM g"""
+    f"count({x}) AS n_{x}, avg({x}) AS m_{x}" for x in ANOVA_COLS) + " FROM labelled GROUP BY 1),\nt AS (" + _union(
+    [f"""SELECT '{x}' AS feature, (SELECT sum(n_{x}) FROM g) AS "N", (SELECT count(*) FILTER (WHERE n_{x} > 0) FROM g) AS k,
+       (SELECT sum(n_{x} * (m_{x} - a) * (m_{x} - a)) FROM g, (SELECT avg({x}) AS a FROM labelled)) AS ssb,
+       (SELECT sum(({x} - m_{x}) * ({x} - m_{x})) FROM labelled JOIN g USING (anomaly_label)) AS ssw"""
      for x in ANOVA_COLS]) + """)
-SELECT feature, CAST("N" AS BIGINT) AS "N", k, round(ssb, 2) AS ssb, round(ssw, 0) AS ssw,
+SELECT feature, CAST("N" AS BIGINT) AS "N", k, round(ssb / "N", 4) AS ssb, round(ssw / "N", 4) AS ssw,
        round((ssb / (k - 1)) / (ssw / ("N" - k)), 4) AS f_score FROM t""")
 def f_classif_readings(spark, sf):
     """FE11 — one-way ANOVA F per feature across label classes."""
     out = FE.anova_sums(labelled_readings(spark, sf), ANOVA_COLS, "anomaly_label")
-    return out.select("feature", F.col("N").cast("long").alias("N"), "k", F.round("ssb", 2).alias("ssb"),
-                      F.round("ssw", 0).alias("ssw"), F.round("f_score", 4).alias("f_score"))
+    return out.select("feature", F.col("N").cast("long").alias("N"), "k", F.round(F.col("ssb") / F.col("N"), 4).alias("ssb"),
+                      F.round(F.col("ssw") / F.col("N"), 4).alias("ssw"), F.round("f_score", 4).alias("f_score"))
 
 
 @register("select_k_best_readings", "WITH " + READINGS_SQL + ",\nk AS (" + _union(

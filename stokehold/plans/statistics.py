@@ -93,11 +93,12 @@ def f_variance_events(spark, sf):
 
 
 @register("anova_value_by_type", """
-WITH g AS (SELECT event_type, count(value) AS n, sum(value) AS s, sum(value * value) AS ss FROM events
-           WHERE value IS NOT NULL GROUP BY 1 HAVING count(value) > 10),
-t AS (SELECT sum(n) AS "N", count(*) AS k, sum(s * s / n) AS b, sum(s) AS "S", sum(ss) AS "SS" FROM g)
-SELECT 'value' AS feature, CAST("N" AS BIGINT) AS "N", k, round(b - "S" * "S" / "N", 2) AS ssb, round("SS" - b, 2) AS ssw,
-       round(((b - "S" * "S" / "N") / (k - 1)) / (("SS" - b) / ("N" - k)), 6) AS f_stat FROM t""")
+WITH r AS (SELECT event_type, value, avg(value) OVER (PARTITION BY event_type) AS gm, count(*) OVER (PARTITION BY event_type) AS gn
+           FROM events WHERE value IS NOT NULL),
+q AS (SELECT *, avg(value) OVER () AS m FROM r WHERE gn > 10),
+t AS (SELECT count(*) AS "N", count(DISTINCT event_type) AS k, sum((gm - m) * (gm - m)) AS ssb, sum((value - gm) * (value - gm)) AS ssw FROM q)
+SELECT 'value' AS feature, CAST("N" AS BIGINT) AS "N", k, round(ssb, 2) AS ssb, round(ssw, 2) AS ssw,
+       round((ssb / (k - 1)) / (ssw / ("N" - k)), 6) AS f_stat FROM t""")
 def anova_value_by_type(spark, sf):
     """ST14 — one-way ANOVA F over event types."""
     out = ST.anova_stats(table(spark, sf, "events"), "value", "event_type")

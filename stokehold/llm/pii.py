@@ -37,7 +37,7 @@ PATTERNS = {
 #: One expression for all kinds; the group of the date's separator is the second.
 ANY = "(" + "|".join(PATTERNS.values()) + ")"
 #: Texts without any of these hold no value.
-HINT = r"[0-9]"
+HINT = r"[0-9@]|password|token"
 
 #: Days of a Gregorian cycle of 400 years, as two factors.
 FIRST_DAY, DAYS, DAY_A, DAY_B = "1800-01-01", 146097, 189, 773
@@ -202,7 +202,17 @@ def _iban(m: Column, key: Column, back: bool) -> Column:
 
 
 def _ssn(m: Column, key: Column, back: bool) -> Column:
-    return _refill(m, _permuted(_chars(m, "0-9"), 10, F.concat(key, F.lit("|ssn")), back), "0-9")
+    # areas 001-899 but 666, groups 01-99, serials 0001-9999: the numbers that PATTERNS takes, and no others
+    area = F.substr(m, F.lit(1), F.lit(3)).cast("long")
+    left = area - F.when(area > 666, 2).otherwise(1)
+    right = (F.substr(m, F.lit(5), F.lit(2)).cast("long") - 1) * 9999 + F.substr(m, F.lit(8), F.lit(4)).cast("long") - 1
+    s = _feistel(left, right, F.lit(898).cast("long"), F.lit(99 * 9999).cast("long"), F.concat(key, F.lit("|ssn")), back)
+
+    def shown(p: Column) -> Column:
+        return F.concat_ws("-", F.lpad((p["l"] + F.when(p["l"] >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
+                           F.lpad((F.floor(p["r"] / 9999) + 1).cast("string"), 2, "0"), F.lpad((p["r"] % 9999 + 1).cast("string"), 4, "0"))
+
+    return _let(s, shown)
 
 
 def _mixed(m: Column, key: Column, back: bool, radix: int, letters: str) -> Column:

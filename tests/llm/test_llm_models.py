@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -179,6 +180,16 @@ def test_pseudonyms_round_trip_in_format(spark):
     assert out.columns == [*docs.columns, "values"] and pii.pseudonymise(docs.limit(0), "key").count() == 0
 
 
+def test_security_numbers_stay_valid_and_values_without_digits_are_found(spark):
+    texts = [f"{area:03d}-{1 + area % 99:02d}-{1 + area * 11:04d}" for area in range(1, 900) if area != 666] + ["write to jo.doe@example.org", "password=deadbeefcafe"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pii.pseudonymise(docs, "key", found="values")
+    got = [r.text for r in out.orderBy("doc_id").collect()]
+    assert all(re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", t) for t in got[:-2]) and len(set(got)) == len(got)
+    assert out.filter("size(values) = 0").count() == 0 and got[-2].endswith("@example.org")
+    assert [r.text for r in pii.restore(out.drop("values"), "key").orderBy("doc_id").collect()] == texts
+
+
 def test_feistel_is_a_permutation(spark):
     frame = spark.range(189 * 773 // 7).select(pii._feistel(F.floor(F.col("id") / 773), F.col("id") % 773, F.lit(189).cast("long"), F.lit(773).cast("long"), F.lit("k"), False).alias("p"))
     assert frame.select("p.l", "p.r").distinct().count() == 189 * 773 // 7

@@ -12,12 +12,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, BooleanType
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegralType, NumericType, TimestampNTZType,
+                               TimestampType)
 
 from ..session import ensure_checkpoint_dir
 
@@ -103,6 +104,54 @@ def with_row_index(df: DataFrame, order: Sequence[Column | str], name: str = ROW
     return sorted_.withColumn(name, idx.cast("long")).drop("_pid", "_mid"), total
 
 
+def boundary_keys(df: DataFrame, order: Sequence[str], fractions: Sequence[float],
+                  positions: Callable[[int], list[int]]) -> DataFrame | None:
+    """One row with the order keys (``_key0``, ``_key1``, …) at ``positions(n)`` of the
+    order, without sorting the frame; a key is null where its position is n or more.
+
+    ``percentile_approx`` of the leading order column brackets each position
+    (``fractions`` of the rows), one aggregate counts the rows before and inside
+    the brackets, and only the keys inside are indexed. A leading column of
+    another type, or a bracket that misses, takes the keys of all rows.
+    None if rows with one key lie on both sides of a boundary."""
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = df.select(*[c(x) for x in order])
+    lead, width = c(order[0]), 3.0 / APPROX_ACCURACY
+    numeric = isinstance(df.schema[order[0]].dataType, (IntegralType, DecimalType, DateType, TimestampType, TimestampNTZType))
+    wanted = [min(1.0, max(0.0, f + s * width)) for f in fractions for s in (-1, 1)]
+    probe = [F.percentile_approx(lead, wanted, APPROX_ACCURACY).alias("_q")] if numeric else []
+    stats = keys.agg(F.count(F.lit(1)).alias("_n"), F.count_if(lead.isNull()).alias("_nulls"), *probe).checkpoint()
+    n, nulls = stats.select("_n", "_nulls").first()
+    targets = positions(n)
+    inside, shift = keys, [0] * len(targets)
+    if numeric and n > nulls:
+        beside = keys.crossJoin(F.broadcast(stats.select("_q")))  # one row
+        ends = [(F.col("_q")[2 * i], F.col("_q")[2 * i + 1]) for i in range(len(targets))]
+        held = reduce(lambda a, b: a | b, [lead.between(a, z) for a, z in ends])
+        aggs = [x for i, (a, z) in enumerate(ends) for x in (
+            F.count_if(lead < a).alias(f"b{i}"), F.count_if(lead.between(a, z)).alias(f"i{i}"), F.count_if(held & (lead < a)).alias(f"u{i}"))]
+        row = beside.agg(*aggs).first()
+        first = [row[f"b{i}"] + nulls for i in range(len(targets))]
+        if all(p >= n or (first[i] <= max(p - 1, 0) and p < first[i] + row[f"i{i}"]) for i, p in enumerate(targets)):
+            inside = beside.filter(held).select(*[c(x) for x in order])
+            shift = [first[i] - row[f"u{i}"] for i in range(len(targets))]
+    indexed, _ = with_row_index(inside, [c(x) for x in order])
+    key = F.struct(*[c(x).alias(f"k{j}") for j, x in enumerate(order)])
+
+    def at(p: int, i: int) -> Column:
+        return F.max(F.when(c(ROW_INDEX) == F.lit(p - shift[i]), key) if 0 <= p < n else F.lit(None).cast(found_type))
+
+    found_type = indexed.select(key.alias("k")).schema["k"].dataType
+    found = indexed.agg(*[x for i, p in enumerate(targets) for x in (at(p, i).alias(f"_key{i}"), at(p - 1, i).alias(f"_prev{i}"))]).checkpoint()
+    tied = found.select(*[F.coalesce(c(f"_key{i}") == c(f"_prev{i}"), F.lit(False)) for i in range(len(targets))]).first()
+    return None if any(tied) else found.select(*[f"_key{i}" for i in range(len(targets))])
+
+
+def before_boundary(order: Sequence[str], i: int) -> Column:
+    """Whether a row lies before the ``i``-th key of ``boundary_keys`` (all do before a null one)."""
+    return F.coalesce(F.struct(*[c(x).alias(f"k{j}") for j, x in enumerate(order)]) < c(f"_key{i}"), F.lit(True))
+
+
 def block_size(n: int, halo: int, parallelism: int) -> int:
     """Rows per window block: enough blocks to use the cluster, each bounded."""
     target = math.ceil(max(n, 1) / max(2 * parallelism, 1))

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from .core import ROW_INDEX, c, checked_broadcast, block_size, with_neighbors, with_row_index
+from .core import (ROW_INDEX, before_boundary, block_size, boundary_keys, c, checked_broadcast, with_neighbors,
+                   with_row_index)
 
 
 def _order_cols(order: Sequence[str]) -> list:
@@ -105,7 +106,18 @@ SPLIT_NAMES = ("train", "validation", "test")
 def time_split(df: DataFrame, order: Sequence[str], fractions: tuple[float, float] = (0.70, 0.85),
                split_col: str = "split", keep_index: bool = False) -> DataFrame:
     """WN4 — chronological split by position: [0, ⌊.70n⌋) train, [⌊.70n⌋, ⌊.85n⌋)
-    validation, rest test."""
+    validation, rest test.
+
+    Only the two boundary keys are looked up (``core.boundary_keys``); rows are
+    labelled by comparing their key with them, so no row is sorted or written.
+    Where rows with one key lie on both sides of a boundary, or the index is
+    wanted, positions come from a row index."""
+    bounds = None if keep_index else boundary_keys(df, order, fractions, lambda n: [int(n * f) for f in fractions])
+    if bounds is not None:
+        train, validation = (before_boundary(order, i) for i in range(2))
+        return df.crossJoin(F.broadcast(bounds)).select(  # one row
+            *[c(x) for x in df.columns],
+            F.when(train, SPLIT_NAMES[0]).when(validation, SPLIT_NAMES[1]).otherwise(SPLIT_NAMES[2]).alias(split_col))
     indexed, n = with_row_index(df, _order_cols(order))
     a, b = int(n * fractions[0]), int(n * fractions[1])
     out = indexed.withColumn(split_col, F.when(c(ROW_INDEX) < a, SPLIT_NAMES[0])

@@ -24,7 +24,8 @@ TUNED = dict(n_estimators=300, max_samples=0.9, contamination=0.02, max_samples_
 
 
 def split_readings(spark, sf):
-    return TS.time_split(labelled_readings(spark, sf), ORDER)
+    # fits and scorings read the joined readings many times: cut the lineage once
+    return TS.time_split(labelled_readings(spark, sf), ORDER).checkpoint()
 
 
 def _params(**kw):
@@ -281,7 +282,7 @@ def multiclass_gbt_orders(spark, sf):
     from ..functions.scalar import quantile_class
     from ..plans.registry import table
 
-    o = TS.time_split(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
+    o = TS.time_split(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])  # a scan: cheap to read again
     o = o.withColumn("days", F.datediff(F.col("o_orderdate"), F.lit("1992-01-01")).cast("double")) \
         .withColumn("prio", F.substring("o_orderpriority", 1, 1).cast("double"))
     from ..operators.core import quantile_values

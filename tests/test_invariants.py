@@ -52,6 +52,26 @@ def test_time_split_is_disjoint_complete_and_ordered(spark):
     assert all(chk.values())
 
 
+@pytest.mark.parametrize("n,key", [(0, "id"), (1, "id"), (7, "id"), (5000, "id"), (5000, "case when id % 3 = 0 then 10 else id end"),
+                                   (5000, "case when id % 5 > 0 then null else id end"), (5000, "string(id)"), (5000, "10"), (5000, "id / 7.0D")])
+def test_time_split_by_boundary_keys_equals_positions(spark, n, key):
+    df = spark.range(0, n, 1, 4).selectExpr(f"{key} AS k", "id AS i")
+    for order in (["k", "i"], ["k"]):  # the second has ties
+        got = TS.time_split(df, order)
+        counts = {r["split"]: r["count"] for r in got.groupBy("split").count().collect()}
+        a, b = int(n * 0.70), int(n * 0.85)
+        assert counts == {s: c for s, c in (("train", a), ("validation", b - a), ("test", n - b)) if c}
+    rows = sorted(((r.k is not None, r.k, r.i), r.split) for r in TS.time_split(df, ["k", "i"]).collect())
+    assert [s for _, s in rows] == ["train"] * a + ["validation"] * (b - a) + ["test"] * (n - b)
+    folds = sorted(((r.k is not None, r.k, r.i), r.fold) for r in SP.kfold(df, 5, order=["k", "i"]).collect())
+    assert [f for _, f in folds] == [min(4, x * 5 // n) for x in range(n)]
+
+
+def test_time_split_reads_two_columns_and_sorts_nothing(spark):
+    plan = TS.time_split(table(spark, SF_MEDIUM, "events"), EV_ORDER).select("event_id", "split")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "props" not in plan and "hashpartitioning" not in plan
+
+
 def test_stratified_split_keeps_class_shares(spark):
     e = table(spark, SF_MEDIUM, "events").withColumn("y", (F.col("event_type") == "error").cast("int"))
     s = SP.stratified_split(e, "y", ["event_id"])

@@ -521,14 +521,13 @@ def impute(df: DataFrame, order: Sequence[str], cols: Sequence[str] | None = Non
     if median:
         q = column_quantiles(out, median, (0.5,))
         fills.update({x: q[(x, 0.5)] for x in median if q[(x, 0.5)] is not None})
-    if mode:
-        frow = out.agg(*[F.mode(c(x), deterministic=True).alias(x) for x in mode]).first()  # one row
-        fills.update({x: frow[x] for x in mode if frow[x] is not None})
+    for x in mode:  # counts of the values, combined map-side: no task holds them all
+        top = out.filter(c(x).isNotNull()).groupBy(c(x)).agg(F.count(F.lit(1)).alias("__cnt")).orderBy(F.desc("__cnt"), c(x)).first()
+        if top is not None:
+            fills[x] = top[x]
     if fills:
         out = out.withColumns({x: F.coalesce(c(x), F.lit(v)) for x, v in fills.items()})
-    for x in interp:
-        out = interpolate_linear(out, x, order)
-    return out
+    return interpolate_linear(out, interp, order) if interp else out
 
 
 def column_diff(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:

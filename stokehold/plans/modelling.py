@@ -20,7 +20,7 @@ KEY = ["l_orderkey", "l_linenumber", "l_extendedprice", "margin"]
 ORDER = ["ts", "l_orderkey", "l_linenumber", "l_extendedprice", "margin"]
 LABEL = "anomaly_label"
 DEFAULT = dict(n_estimators=100)
-TUNED = dict(n_estimators=300, max_samples=0.9, contamination=0.02, max_samples_cap=4096)
+TUNED = dict(n_estimators=300, max_samples=0.9, max_features=0.5, contamination=0.02, max_samples_cap=4096)
 
 
 def split_readings(spark, sf):

@@ -355,7 +355,8 @@ def constant_columns_readings(spark, sf):
     row = r.agg(*[(F.count_distinct(x) + F.max(F.when(F.col(x).isNull(), 1).otherwise(0))).cast("long").alias(f"{x}__n_values")
                   for x in READING_NUM])
     from ..operators.core import unpivot_metrics
-    return unpivot_metrics(row, READING_NUM, ["n_values"]).withColumn("is_constant", F.col("n_values") <= 1)
+    kept = Q.drop_constant_columns(r, READING_NUM).columns
+    return unpivot_metrics(row, READING_NUM, ["n_values"]).withColumn("is_constant", ~F.col("column").isin(kept))
 
 
 @register("time_sorted_orders", "SELECT * FROM orders")

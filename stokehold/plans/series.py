@@ -328,7 +328,8 @@ def log_skewed_readings(spark, sf):
     row = df.agg(*[a for x in LOG_CANDIDATES for a in (Q.bias_corrected_skew(F.col(x)).alias(f"{x}__skewness"),
                                                        F.bool_and(F.col(x) > 0).alias(f"{x}__all_positive"))])
     out = unpivot_metrics(row, LOG_CANDIDATES, ["skewness", "all_positive"], key="feature")
-    return round_cols(out.withColumn("log_applied", (F.abs("skewness") > 2) & F.col("all_positive")))
+    _, made = FE.log_skewed(df, LOG_CANDIDATES)
+    return round_cols(out.withColumn("log_applied", F.concat("feature", F.lit("_log")).isin(made)))
 
 
 SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]

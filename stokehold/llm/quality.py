@@ -4,7 +4,9 @@ Words and pairs of neighbouring words are hashed into ``buckets``. Their
 counts over the trusted documents and over all documents give two
 multinomials, the raw one smoothed by a half, the trusted one by the raw one. A document's score is the mean, over its
 n-grams, of log(trusted / raw): length-normalised, so long and short texts
-meet one threshold, and deterministic, so no document's fate is drawn.
+meet one threshold, and deterministic, so no document's fate is drawn. Ratios within the noise of their bucket
+(``evidence`` standard deviations of its trusted count) are shrunk to 0: otherwise the noise of many rare n-grams
+hides the few words, an insult among hundreds, that trusted documents never hold.
 
 Everything is built from SQL functions. The counts of all documents are
 combined in the map tasks, so the shuffle holds ``buckets`` rows a task; the
@@ -18,16 +20,18 @@ empty trusted set gives every bucket ratio 1 (score 0); other columns are ignore
 from __future__ import annotations
 
 import json
-import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 14
-#: N-grams a bucket that the raw multinomial counts for as the trusted one's prior.
-PRIOR = 16.0
+BUCKETS = 1 << 18
+#: Weight of the raw multinomial as the trusted one's prior, as a share of all trusted n-grams.
+PRIOR_SHARE = 0.001
+#: Standard deviations of a bucket's trusted count up to which its ratio is 0.
+EVIDENCE = 3.0
 #: Mean log ratio below which a text is unlike the trusted ones.
-THRESHOLD = -0.06
+THRESHOLD = -0.02
 
 SYMBOLS = "#*$%&|<>"
 SPACES = "\t\n\x0b\x0c\r"
@@ -71,30 +75,36 @@ def base_statistics(docs: DataFrame, text: str = "_text", w: str = "_words") ->
     return out.withColumn("n_repeat_words", F.coalesce(held, F.lit(0).cast("long"))).drop("_lines", "_windows", "_sorted")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, id_col: str = "doc_id",
-               text_col: str = "text") -> list[float]:
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float | None = None, id_col: str = "doc_id",
+               text_col: str = "text", evidence: float = 0.0) -> list[float]:
     """log(trusted / raw) of each bucket, from all n-grams of ``docs``; ``trusted``
-    holds the ids of the trusted documents."""
+    holds the ids of the trusted documents. ``prior`` is in n-grams a bucket (none: ``PRIOR_SHARE`` of the trusted ones)."""
     ids = trusted.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct().withColumn("_trusted", F.lit(1))
     # the ids are the small side: hashed in each task, so that no text is sorted
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text")).join(ids.hint("shuffle_hash"), F.col(id_col) == F.col("_id"), "left")
     rows = rows.select(words(F.col("_text")).alias("_words"), F.coalesce("_trusted", F.lit(0)).alias("_trusted"))
     each = rows.select(F.explode(grams("_words", buckets)).alias("b"), "_trusted")
-    counts = {r.b: (r.t, r.n) for r in each.groupBy("b").agg(F.sum("_trusted").alias("t"), F.count(F.lit(1)).alias("n")).collect()}  # buckets rows
-    t_all, n_all = sum(t for t, _ in counts.values()), sum(n for _, n in counts.values())
-    if not t_all:
+    found = each.groupBy("b").agg(F.sum("_trusted").alias("t"), F.count(F.lit(1)).alias("n")).toArrow()  # buckets rows
+    t, n = np.zeros(buckets), np.zeros(buckets)
+    at = found.column("b").to_numpy() - 1
+    t[at], n[at] = found.column("t").to_numpy(), found.column("n").to_numpy()
+    if not t.sum():
         return [0.0] * buckets
-    # the raw multinomial is the prior of the trusted one, worth ``prior`` n-grams a bucket: little evidence, ratio near 1
-    raw = [(counts.get(b + 1, (0, 0))[1] + .5) / (n_all + .5 * buckets) for b in range(buckets)]
-    weight = prior * buckets
-    return [math.log((counts.get(b + 1, (0, 0))[0] + weight * p) / (t_all + weight) / p) for b, p in enumerate(raw)]
-
-
-def score(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, prior: float = PRIOR,
-          id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    # the raw multinomial is the prior of the trusted one: little evidence, ratio near 1
+    raw = (n + .5) / (n.sum() + .5 * buckets)
+    weight = PRIOR_SHARE * t.sum() if prior is None else prior * buckets
+    ratio = np.log((t + weight * raw) / (t.sum() + weight) / raw)
+    share = t.sum() / n.sum()
+    variance, off = n * share * (1 - share), (t - n * share) ** 2
+    # all documents trusted: no bucket can differ
+    return (ratio * np.maximum(0, 1 - evidence ** 2 * np.divide(variance, off, out=np.full(buckets, np.inf), where=off > 0))).tolist() if evidence else ratio.tolist()
+
+
+def score(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, prior: float | None = None,
+          id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, evidence: float = EVIDENCE) -> DataFrame:
     """Id, base statistics, base_failed, llr and kept for every row of ``docs``,
     with its columns ``keep`` before them."""
-    ratio = F.from_json(F.lit(json.dumps(log_ratios(docs, trusted, buckets, prior, id_col, text_col))), "array<double>")
+    ratio = F.from_json(F.lit(json.dumps(log_ratios(docs, trusted, buckets, prior, id_col, text_col, evidence))), "array<double>")
     held = list(dict.fromkeys([id_col, *(keep or [])]))
     rows = docs.select(*held, F.col(text_col).alias("_text"), words(F.col(text_col)).alias("_words"))
     rows = base_statistics(rows).withColumn("_grams", grams("_words", buckets))

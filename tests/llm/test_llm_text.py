@@ -92,6 +92,18 @@ def test_quality_tells_junk_from_prose(spark):
     assert r[1] > 0.97 and r[0] < 0.4
 
 
+def test_quality_drops_toxic_text_and_keeps_unlabelled_clean_text(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet").repartition(8) for t in ("documents", "labels"))
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 0
+    got = quality.score(docs, labels.filter("quality = 1 and toxic = 0").filter(~held)).join(labels, "doc_id").filter("not base_failed")
+    rate = F.avg(F.col("kept").cast("int")).alias("k")
+    toxic = got.filter("quality = 1 and toxic = 1").agg(rate).first().k  # no label of theirs is ever read
+    clean = got.filter("quality = 1 and toxic = 0").filter(held).agg(rate).first().k
+    junk = got.filter("quality = 0").agg(rate).first().k
+    print("kept:", toxic, clean, junk)
+    assert toxic < 0.65 and clean > 0.97 and junk < 0.05
+
+
 def test_packing_round_trip_and_places(spark, docs, empty):
     from tokenizers import Tokenizer
     coder = Tokenizer.from_file(VOCAB)

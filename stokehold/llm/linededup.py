@@ -8,12 +8,14 @@ two documents that share a run of lines of ``run_words`` words or more share a
 selected gram, and nothing under ``gram_words`` words is ever matched.
 
 The first place of a gram (smallest document id, text hash, line) is its
-leader. Every later place is compared with the leader only, never with the
-other places: the lines before and after, which each place carries as far as
-one window reaches, extend the match both ways, and the matched run is
-deleted from the later document. The leader's own lines can go only because
-a still earlier document has them, so one copy of everything stays. After
-the pass no run of ``run_words`` words that an earlier place had survives whole.
+leader. Every later place is compared with the leader: the lines before and
+after, which each place carries as far as one window reaches, extend the match
+both ways, and the matched run is deleted from the later document. Where a
+place goes on differently from the leader, the gram with 1, 2, ... of its lines on
+that side is a key of its own, and the longest key that an earlier place has
+too extends the run. No pairs of places are formed. A place's lines can go only because
+a still earlier place has them, so one copy of everything stays. After the pass
+no line stands in a window of ``run_words`` words that an earlier place had.
 
 Blank lines go with the line before them. Null texts stay null; a text all
 of whose lines repeat becomes empty; null ids come after all others; rows
@@ -119,6 +121,13 @@ def agreeing(a: Column, b: Column) -> Column:
     return F.when(first == 0, n).otherwise(first.cast("int") - 1)
 
 
+def beyond(lines: str, held: str, side: int) -> Column:
+    """(side, k, key) for each number k of ``lines`` beyond the ``held`` ones: gram and k lines, hashed."""
+    keys = F.transform(F.sequence(F.col(held) + 1, F.size(lines)), lambda k: F.struct(
+        F.lit(side).alias("side"), k.alias("k"), F.xxhash64(F.col("gram"), F.lit(side), F.slice(F.col(lines), F.lit(1), k)).alias("key")))
+    return F.when(F.size(lines) > F.col(held), keys).otherwise(F.array().cast("array<struct<side: int, k: int, key: bigint>>"))
+
+
 def repeated_runs(docs: DataFrame, gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """Per document with repeats: id, row_hash and ``runs``, the stretches of lines
@@ -132,9 +141,20 @@ def repeated_runs(docs: DataFrame, gram_words: int = GRAM_WORDS, run_words: int
     met = salted_join(prints, leaders.select("gram", "lead"), ["gram"], hot, spread, "inner").withColumn("own", place == F.col("lead")).checkpoint()
     first = met.filter("own").dropDuplicates(["gram"]).select("gram", F.col("before").alias("lead_before"), F.col("after").alias("lead_after"))
     later = salted_join(met.filter("not own"), first, ["gram"], hot, spread, "inner")
-    run = F.struct((F.col("line") - agreeing(F.col("before"), F.col("lead_before"))).alias("start"),
-                   (F.col("stop") + agreeing(F.col("after"), F.col("lead_after"))).alias("stop"))
-    return later.select(id_col, "row_hash", run.alias("run")).groupBy(id_col, "row_hash").agg(F.collect_set("run").alias("runs"))
+    later = later.withColumns({"back": agreeing(F.col("before"), F.col("lead_before")), "on": agreeing(F.col("after"), F.col("lead_after"))})
+    later = later.select(id_col, "row_hash", "line", "stop", "back", "on",
+                         F.concat(beyond("before", "back", -1), beyond("after", "on", 1)).alias("keys")).checkpoint()
+    # lines the leader doesn't have: the first place of the gram with these lines beside it
+    each = later.select(id_col, "row_hash", "line", "stop", F.inline("keys"))
+    firsts = each.groupBy("key").agg(F.min(place).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").checkpoint()
+    total = firsts.agg(F.sum("n").alias("t"))
+    hot = firsts.join(F.broadcast(total)).filter("n * 1000 > t").select("key")  # 1,000 keys at most
+    more = salted_join(each, firsts.select("key", "lead"), ["key"], hot, spread, "inner").filter(place != F.col("lead"))
+    far = lambda side: F.coalesce(F.max(F.when(F.col("side") == side, F.col("k"))), F.lit(0))
+    more = more.groupBy(id_col, "row_hash", "line", "stop").agg(far(-1).alias("back"), far(1).alias("on"))
+    run = F.struct((F.col("line") - F.col("back")).alias("start"), (F.col("stop") + F.col("on")).alias("stop"))
+    runs = later.select(id_col, "row_hash", run.alias("run")).unionByName(more.select(id_col, "row_hash", run.alias("run")))
+    return runs.groupBy(id_col, "row_hash").agg(F.collect_set("run").alias("runs"))
 
 
 def without(text: str, runs: list[dict]) -> tuple[str, int]:

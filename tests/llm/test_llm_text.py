@@ -208,6 +208,33 @@ def test_line_dedup_deletes_later_runs_only(spark, empty):
     assert linededup.drop_repeats(empty).count() == 0
 
 
+def test_line_dedup_deletes_all_lines_of_repeated_windows(spark):
+    # every line that stands in a window of 50 words which an earlier place has goes, whatever the leader of its gram looks like
+    r = random.Random(7)
+    pool = [prose(200 + i, r.choice([3, 12, 15, 15, 26])) for i in range(40)]
+    parts = [prose(100 + i, 15) for i in range(4)]
+    rows = [(0, [parts[1], parts[2]]), (1, parts), (2, parts)]
+    for i in range(3, 60):
+        at = r.randrange(30)
+        rows.append((i, [f"own {i} {r.random()}", *pool[at:at + r.randint(3, 10)], f"end {i}", *pool[(at + 13) % 30:][:r.randint(0, 6)]]))
+    texts = spark.createDataFrame([(i, "\n".join(x)) for i, x in rows], "doc_id long, text string")
+    runs = {x.doc_id: {k for s in x.runs for k in range(s["start"], s["stop"])} for x in linededup.repeated_runs(texts).collect()}
+    seen, lines = set(), set()
+    for i, x in rows:
+        want = set()
+        for a in range(len(x)):
+            z = next((z for z in range(a, len(x) + 1) if sum(len(y.split()) for y in x[a:z]) >= 50), None)
+            if z:
+                if tuple(x[a:z]) in seen:
+                    want |= set(range(a, z))
+                seen.add(tuple(x[a:z]))
+        got = runs.get(i, set())
+        assert want <= got, (i, sorted(want - got))
+        for k, y in enumerate(x):
+            assert k not in got or y in lines
+            lines.add(y)
+
+
 def test_winnowing_selects_the_same_gram_inside_a_shared_window():
     r = random.Random(2)
     for _ in range(50):

@@ -109,6 +109,21 @@ def test_lm_scores_against_brute_force(spark, hot):
     assert Counter((x.doc_id, x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 6), round(x.score, 6)) for x in got) == want
 
 
+def test_trie_cap_spares_the_levels_that_fit(spark):
+    r = random.Random(3)
+    texts = [" ".join("".join(r.choice("abcde") for _ in range(r.randint(2, 6))) for _ in range(60)) for _ in range(20)]
+    found = lm.counts(spark.createDataFrame([(t,) for t in texts], "text string")).checkpoint()
+    whole, cut = lm.trie_of(found, 5, 1 << 21), lm.trie_of(found, 5, 800)
+    sizes = [len(key) for key, _ in whole.levels]
+    assert sizes[2] <= 800 < sizes[5]
+    for k in range(6):
+        if max(sizes[:k + 1]) <= 800:
+            assert all(np.array_equal(a, b) for a, b in zip(cut.levels[k], whole.levels[k]))
+        assert len(cut.levels[k][0]) <= 800
+        if k:  # every node's shorter one is there
+            assert np.isin(cut.levels[k][0] & np.uint64((1 << 8 * k) - 1), cut.levels[k - 1][0]).all()
+
+
 def test_ppm_is_a_distribution():
     texts = [b"abab abc", b"abd", b"", b"\xc3\xa4b"]
     packed, _ = lm.grams(texts, 5)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontam, htmlcut, linededup, lm, packing, pii, quality, simhash
-from .common import table
+from . import (chat, classifier, decontam, htmlcut, linededup, lm, packing, pii, quality, sharding, simhash, spillcount,
+               vectorcode)
+from .common import hot_keys, salted_join, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,6 +129,88 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+_ROUNDS, _PARTS, _ENTRIES, _SCALE = 6, 8, 16, 4096
+
+
+def _assign_sql(books: str) -> str:
+    return f"""SELECT rid, part, x, arg_min(entry, (d, entry)) entry, min(d) d FROM (SELECT rid, p.part, p.x, c.entry,
+        list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) d FROM p JOIN {books} c USING (part)) GROUP BY ALL"""
+
+
+_ROUND_SQL = "".join(f"""
+a{r} AS MATERIALIZED ({_assign_sql(f"c{r}")}),
+m{r} AS (SELECT part, entry, list(m ORDER BY i) x FROM (SELECT part, entry, i, CAST((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) m
+  FROM (SELECT part, entry, unnest(x) v, generate_subscripts(x, 1) i FROM a{r}) GROUP BY ALL) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.x, c.x) x FROM c{r} c LEFT JOIN m{r} m USING (part, entry)),""" for r in range(_ROUNDS))
+
+
+@query(f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id) rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor({_SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT max(len(e)) // {_PARTS} w FROM k),
+p AS MATERIALIZED (SELECT rid, part, e[part * w + 1:part * w + w] x FROM k, w, range({_PARTS}) q(part)),
+c0 AS (SELECT part, rid - 1 entry, x FROM p WHERE rid <= {_ENTRIES}),{_ROUND_SQL}
+f AS MATERIALIZED ({_assign_sql(f"c{_ROUNDS}")}),
+g AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) code, CAST(sum(d) AS BIGINT) error FROM f GROUP BY rid),
+s AS (SELECT sha256(coalesce(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry), '')) h FROM c{_ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) label_error, h codebooks_sha256 FROM k JOIN g USING (rid), s
+""")
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcode.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", _PARTS, _ENTRIES, _ROUNDS, _SCALE, keep=["label"])
+    coded = written(coded)
+    errors = coded.groupBy("label").agg(F.sum("error").alias("label_error"))
+    joined = salted_join(coded, errors, ["label"], hot_keys(coded, ["label"]), ["vec_id"])
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    code = F.concat_ws("", F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))))
+    return joined.select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+@query()
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spillcount.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+# CRC-32 by its table; the ring, the bounded walk (one step a place) and the ranks as in ``sharding``
+@query(r"""
+WITH RECURSIVE tab8(k, i, c) AS (SELECT 0, i, i FROM range(256) r(i)
+  UNION ALL SELECT k + 1, i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM tab8 WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) t FROM tab8 WHERE k = 8),
+d AS (SELECT doc_id, coalesce(text, '') tx, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size,
+             CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), chr(0) || 'null')), 1, 15) AS BIGINT) pos FROM documents),
+e AS (SELECT doc_id, size, pos, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(tx)), '..'),
+             lambda x: CAST('0x' || x AS BIGINT))), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)]))) crc FROM d, tab),
+ring AS (SELECT pos, shard, row_number() OVER (ORDER BY pos) - 1 arc FROM (SELECT s shard,
+         CAST('0x' || substr(md5('shard ' || s || ' node ' || v), 1, 15) AS BIGINT) pos FROM range(40) a(s), range(64) b(v))),
+owners AS (SELECT arc, shard, pos FROM ring UNION ALL SELECT 2560, shard, NULL FROM ring WHERE arc = 0),
+placed AS (SELECT e.*, coalesce(r.arc, 2560) arc FROM e ASOF LEFT JOIN ring r ON r.pos >= e.pos),
+counts AS (SELECT o.arc, o.shard, count(p.pos) n FROM owners o LEFT JOIN placed p USING (arc) GROUP BY ALL),
+total AS (SELECT sum(n)::BIGINT n FROM counts),
+most AS (SELECT list(n // 40 + CASE WHEN s < n % 40 THEN 1 ELSE 0 END ORDER BY s) m FROM total, range(40) a(s)),
+homes AS (SELECT arc, shard, n, greatest(0, least(n, m[shard + 1] - coalesce(sum(n) OVER (PARTITION BY shard ORDER BY arc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)))::BIGINT take,
+          least(m[shard + 1], coalesce(sum(n) OVER (PARTITION BY shard ORDER BY arc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT base FROM counts, most),
+flow AS (SELECT list(n - take ORDER BY arc) extra, list(shard ORDER BY arc) own FROM homes),
+first AS (SELECT list(used ORDER BY shard) u FROM (SELECT shard, sum(take)::BIGINT used FROM homes GROUP BY shard)),
+w(step, carry, gone, used, shard, t) AS (
+  SELECT -1, 0::BIGINT, 0::BIGINT, u, 0::BIGINT, 0::BIGINT FROM first
+  UNION ALL
+  SELECT step + 1, c - take, gone + take, list_transform(used, lambda x, i: x + CASE WHEN i = s + 1 THEN take ELSE 0 END), s, take
+  FROM (SELECT *, least(c, m[s + 1] - used[s + 1]) take FROM
+        (SELECT w.step, w.gone, w.used, carry + CASE WHEN step + 1 <= 2560 THEN extra[step + 2] ELSE 0 END c, own[(step + 1) % 2561 + 1] s FROM w, flow WHERE step + 1 < 2 * 2561), most)),
+steps AS (SELECT shard, gone - t lo, gone hi, used[shard + 1] - t base FROM w WHERE t > 0),
+enter AS (SELECT arc, shard, take, base, coalesce(sum(n - take) OVER (ORDER BY arc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT e FROM homes),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY arc ORDER BY pos, doc_id, crc, size) - 1 r FROM placed)
+SELECT doc_id, size, CAST(crc AS BIGINT) text_crc32, 'rows' AS law, CAST(coalesce(s.shard, h.shard) AS INTEGER) shard,
+       CAST(CASE WHEN r < take THEN h.base + r ELSE s.base + e + r - take - s.lo END AS BIGINT) slot, CAST(NULL AS INTEGER) grown_shard, CAST(h.shard AS INTEGER) home_shard
+FROM ranks JOIN enter h USING (arc) LEFT JOIN steps s ON r >= take AND e + r - take >= s.lo AND e + r - take < s.hi
+""")
+def op13_consistent_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    placed = sharding.assign(rows, "doc_id", 40, ties=["doc_id", "text_crc32", "size"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home_shard")
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run

@@ -6,6 +6,8 @@ other side in it. A pair of ids is counted once for each document that holds it
 linked, over the whole corpus, and each document gets back how often its
 links are the commonest of their side-A id, and the sum of their counts.
 
+* **Segments.** Neither tokenizer has a token across a single space between two words, so texts are cut
+  there; each distinct segment of a slice is encoded and aligned once, and texts are sums over their segments.
 * **Runs.** A task turns a slice of texts into (pair, document, links) records,
   sorts them by (a, b, document) and writes them, radix-partitioned by the
   side-A id, as zstd runs: one row a radix and slice, the pairs with their document counts
@@ -29,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,7 +50,7 @@ RADIX = 64
 #: Compressed bytes of the runs of one merge group.
 GROUP_BYTES = 24 << 20
 #: Bytes of text turned into records at once.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 16 << 20
 #: Pairs of a group that are listed at once; a longer group is reduced to its distinct ids first.
 LISTED = 1024
 #: Rows of totals in one message.
@@ -69,8 +72,21 @@ def _plain_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _table(pieces: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    return pieces, np.fromiter(map(len, pieces), np.int64, len(pieces))
+class Pieces:
+    """The bytes of every id, end to end."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """Bytes of a list of ids."""
+        sizes = self.sizes[ids]
+        return self.flat[np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
 
 
 class ByteSide:
@@ -89,24 +105,21 @@ class ByteSide:
         special = {t.content for t in self.slow.get_added_tokens_decoder().values()}
         for piece, i in vocabulary.items():
             pieces[i] = piece.encode() if piece in special else bytes(plain[c] for c in piece)
-        self.pieces, self.sizes = _table(pieces)
+        self.pieces = Pieces(pieces)
         self.fast = None
         if pattern:
             ranks = {p: i for i, p in enumerate(pieces) if p and i not in self.slow.get_added_tokens_decoder()}
             self.fast = tiktoken.Encoding("side a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a space and ``text``."""
+        if self.fast:
             try:
-                out.append(self.fast.encode_to_numpy(" " + text).astype(np.int64) if self.fast else None)
+                return self.fast.encode_to_numpy(" " + text).astype(np.int64)
             except BaseException as e:  # the pattern engine gives up on very long runs of white space
                 if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
                     raise
-                out.append(None)
-            if out[-1] is None:
-                out[-1] = np.array(self.slow.encode(" " + text, add_special_tokens=False).ids, np.int64)
-        return out
+        return np.array(self.slow.encode(" " + text, add_special_tokens=False).ids, np.int64)
 
 
 class PieceSide:
@@ -116,13 +129,15 @@ class PieceSide:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        #: No piece goes on after a word's end: words can be encoded one by one.
+        self.by_word = not any("▁" in self.model.id_to_piece(i).lstrip("▁") for i in range(self.model.get_piece_size()))
         n = self.model.get_piece_size()
         pieces = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
                   for i, p in ((i, self.model.id_to_piece(i)) for i in range(n))]
-        self.pieces, self.sizes = _table(pieces)
+        self.pieces = Pieces(pieces)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.model.encode(texts, num_threads=1)]
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text, num_threads=1), np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -137,8 +152,12 @@ def sides(path_a: str, path_b: str, pattern: str | None) -> tuple[ByteSide, Piec
 
 def cut(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Group of each token, for two rising lists of ends that share their last one."""
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    return np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+    held = np.zeros(int(ends_a[-1]) + 1, np.uint8)
+    held[ends_a] = 1
+    held[ends_b] |= 2
+    shared = held == 3
+    before = np.cumsum(shared) - shared
+    return before[ends_a], before[ends_b]
 
 
 def listing(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, groups: int, names: list[bytes], base: int) -> list[bytes]:
@@ -190,6 +209,127 @@ def links(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, doc: np.
     return record >> bits, record & ((1 << bits) - 1), n
 
 
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+
+
+def segments(text: str) -> list[str]:
+    """``text`` cut at the single spaces between two other characters that are no white space."""
+    return _BETWEEN.split(text)
+
+
+def bare(part: str) -> bool:
+    """No white space at either end, and not empty: a text of such parts between spaces is cut at each space."""
+    return bool(part) and part.strip() == part
+
+
+class _Numbers(dict):
+    """Strings numbered as they come."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+    def of(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+
+
+#: Segments encoded at one call.
+TOGETHER = 2048
+
+
+def encoded(side: ByteSide | PieceSide, parts: list[str], sizes: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all segments (``sizes`` bytes with their space) and how many each has. ``plain`` (bare) segments
+    are encoded in one text, where both sides part them; if the bytes don't fall in place, one by one."""
+    ids, counts = [], []
+    cuts = np.flatnonzero(np.diff(plain.astype(np.int8), prepend=-1))
+    for lo, to in zip(cuts.tolist(), [*cuts[1:].tolist(), len(parts)]):
+        for at in range(lo, to, TOGETHER):
+            end = min(to, at + TOGETHER)
+            if plain[at] and end - at > 1:
+                found = side.encode(" ".join(parts[at:end]))
+                ends, want = np.cumsum(side.pieces.sizes[found]), np.cumsum(sizes[at:end])
+                last = np.searchsorted(ends, want)
+                if len(ends) and ends[-1] == want[-1] and (ends[last] == want).all():
+                    ids.append(found)
+                    counts.append(np.diff(last, prepend=-1))
+                    continue
+            each = [side.encode(p) for p in parts[at:end]]
+            ids += each
+            counts.append(np.fromiter(map(len, each), np.int64, len(each)))
+    none = np.zeros(0, np.int64)
+    return np.concatenate(ids) if ids else none, np.concatenate(counts) if counts else none
+
+
+class _Aligned:
+    """Segments encoded by both sides and aligned: their figures, listings and links."""
+
+    def __init__(self, parts: list[str], side_a: ByteSide, side_b: PieceSide, names: list[bytes]):
+        want = [b" " + p.encode() for p in parts]
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        plain = np.fromiter(map(bare, parts), bool, len(parts))
+        (a, len_a), (b, len_b) = (encoded(side, parts, size, plain) for side in (side_a, side_b))
+        self.fits = np.ones(len(parts), bool)
+        flat = np.frombuffer(b"".join(want), np.uint8)
+        for side, ids, lengths in ((side_a, a, len_a), (side_b, b, len_b)):
+            ends = np.append(0, np.cumsum(side.pieces.sizes[ids]))
+            bytes_of = np.diff(ends[np.append(0, np.cumsum(lengths))])
+            self.fits &= bytes_of == size
+            if (bytes_of == size).all():
+                wrong = np.flatnonzero(side.pieces.joined(ids) != flat)
+                self.fits[np.searchsorted(np.cumsum(size), wrong, "right")] = False
+            else:  # lengths differ somewhere: one by one
+                at = np.append(0, np.cumsum(lengths))
+                for i in np.flatnonzero(self.fits):
+                    self.fits[i] = side.pieces.joined(ids[at[i]:at[i + 1]]).tobytes() == want[i]
+        keep_a, keep_b = np.repeat(self.fits, len_a), np.repeat(self.fits, len_b)
+        a, b = a[keep_a], b[keep_b]
+        self.n_a, self.n_b = np.where(self.fits, len_a, 0), np.where(self.fits, len_b, 0)
+        self.n_groups, self.n_links = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        self.names = [b""] * len(parts)
+        self.key, self.times, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(parts) + 1, np.int64)
+        if not len(a):
+            return
+        ga, gb = cut(np.cumsum(side_a.pieces.sizes[a]), np.cumsum(side_b.pieces.sizes[b]))
+        groups = int(ga[-1]) + 1
+        na, nb = np.bincount(ga, minlength=groups), np.bincount(gb, minlength=groups)
+        of = np.repeat(np.arange(len(parts)), self.n_a)
+        part = np.zeros(groups, np.int64)
+        part[ga] = of  # segment of each group
+        self.n_groups = np.bincount(part, minlength=len(parts))
+        np.add.at(self.n_links, part, na * nb)
+        words, at = listing(a, b, ga, gb, groups, names, len(side_a.pieces)), 0
+        for i, n in enumerate((self.n_a + self.n_b).tolist()):
+            self.names[i] = b"".join(words[at:at + n])
+            at += n
+        key, at_part, times = links(a, b, ga, gb, part, len(parts))
+        order = np.argsort(at_part, kind="stable")
+        self.key, self.times = key[order], times[order]
+        self.first = np.append(0, np.cumsum(np.bincount(at_part, minlength=len(parts))))
+
+    def of(self, parts: list[np.ndarray], docs: np.ndarray, rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Writes the figures of the documents ``docs`` (their segments in ``parts``)
+        into ``rows``; returns their sorted (pair, document, links)."""
+        none = np.zeros(0, np.int64)
+        if not parts:
+            return none, none, none
+        for p, d in zip(parts, docs.tolist()):
+            digest = hashlib.sha256(b"".join(map(self.names.__getitem__, p.tolist()))[:-1]).hexdigest()
+            rows[d] |= {"groups_sha256": digest, **{f: int(getattr(self, f)[p].sum()) for f in FIGURES}}
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        # each distinct segment of a document once, with its number of places
+        seen, places = np.unique(np.repeat(docs, sizes) * len(self.names) + np.concatenate(parts), return_counts=True)
+        doc, part = np.divmod(seen, len(self.names))
+        many = self.first[part + 1] - self.first[part]
+        at = np.repeat(self.first[part], many) + ragged(many)
+        bits = max(1, int(docs[-1] + 1).bit_length())
+        record = self.key[at] << bits | np.repeat(doc, many)
+        order = np.argsort(record, kind="stable")
+        record = record[order]
+        start = np.flatnonzero(np.append(True, record[1:] != record[:-1])) if len(record) else none
+        n = np.add.reduceat((self.times[at] * np.repeat(places, many))[order], start) if len(record) else none
+        return record[start] >> bits, record[start] & ((1 << bits) - 1), n
+
+
 # ------------------------------------------------------------------ runs
 
 def pack(*columns: np.ndarray) -> bytes:
@@ -230,35 +370,27 @@ def _runs(path_a: str, path_b: str, pattern: str | None):
     def block(batch: pa.RecordBatch, number: int, side_a: ByteSide, side_b: PieceSide, names: list[bytes]) -> list[dict]:
         ids, raw = batch.column(0).to_pylist(), blobs(batch, "_text")
         texts = [(t or b"").decode("utf-8", "replace") for t in raw]
-        found = [i for i, t in enumerate(texts) if t]
-        toks_a, toks_b = (dict(zip(found, s.encode([texts[i] for i in found]))) for s in (side_a, side_b))
-        fits = []
-        for i in found:
-            want = b" " + raw[i]
-            if all(b"".join([s.pieces[t] for t in x[i].tolist()]) == want for s, x in ((side_a, toks_a), (side_b, toks_b))):
-                fits.append(i)
+        numbers = _Numbers()
+        parts = {i: numbers.of(t.split(" ") if side_b.by_word else [t]) for i, t in enumerate(texts) if t}
+        if side_b.by_word:  # few texts have other white space beside a space
+            clear = np.fromiter(map(bare, numbers), bool, len(numbers))
+            parts |= {i: numbers.of(segments(texts[i])) for i, p in parts.items() if not clear[p].all()}
+        known = _Aligned(list(numbers), side_a, side_b, names)
+        # a text with a segment that a side doesn't give back whole is looked at whole
+        again = [i for i, p in parts.items() if not known.fits[p].all()]
+        whole = _Numbers()
+        for i in again:
+            parts[i] = whole.of([texts[i]])
+        plain = [i for i in parts if i not in set(again) and texts[i].encode() == raw[i]]
         rows = [{"_id": x, "slice": number, "idx": i, **dict.fromkeys(FIGURES, 0), "groups_sha256": ""} for i, x in enumerate(ids)]
-        if not fits:
-            return rows
-        a, b = (np.concatenate([x[i] for i in fits]) for x in (toks_a, toks_b))
-        ga, gb = cut(np.cumsum(side_a.sizes[a]), np.cumsum(side_b.sizes[b]))
-        groups = int(ga[-1]) + 1
-        na, nb = np.bincount(ga, minlength=groups), np.bincount(gb, minlength=groups)
-        len_a, len_b = (np.array([len(x[i]) for i in fits]) for x in (toks_a, toks_b))
-        last = ga[np.cumsum(len_a) - 1]  # last group of each text: its end is common
-        doc = np.searchsorted(last, np.arange(groups))
-        n_links = np.bincount(doc, na * nb, len(fits)).astype(np.int64)
-        words = listing(a, b, ga, gb, groups, names, len(side_a.pieces))
-        at = 0
-        for j, i in enumerate(fits):
-            to = at + int(len_a[j] + len_b[j])
-            digest = hashlib.sha256(b"".join(words[at:to])[:-1]).hexdigest()
-            rows[i] |= {"n_a": int(len_a[j]), "n_b": int(len_b[j]), "n_groups": int(last[j] - (last[j - 1] if j else -1)),
-                        "n_links": int(n_links[j]), "groups_sha256": digest}
-            at = to
-        key, at_doc, times = links(a, b, ga, gb, np.array(fits)[doc], len(ids))
+        found = [known.of([parts[i] for i in plain], np.array(plain, np.int64), rows)]
+        if again:
+            odd = _Aligned(list(whole), side_a, side_b, names)
+            fine = [i for i in again if odd.fits[parts[i]].all() and texts[i].encode() == raw[i]]
+            found.append(odd.of([parts[i] for i in fine], np.array(fine, np.int64), rows))
+        key, at_doc, times = (np.concatenate(c) for c in zip(*found))
         radix = ((key >> SHIFT) % RADIX).astype(np.uint8)
-        order = np.argsort(radix, kind="stable")
+        order = np.argsort(radix, kind="stable") if len(found) == 1 else np.lexsort((at_doc, key, radix))
         key, at_doc, times = key[order], at_doc[order], times[order]
         edges = np.searchsorted(radix[order], np.arange(RADIX + 1))
         for r in range(RADIX):

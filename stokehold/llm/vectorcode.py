@@ -128,7 +128,8 @@ def _blocks(parts: int, width: int):
         held, values = [], 0
 
         def flush():
-            rows = np.concatenate(held).reshape(-1, parts, width)
+            rows = np.concatenate(held)
+            rows = rows.reshape(len(rows), parts, width)
             found = [distinct(rows[:, p])[:2] for p in range(parts)]
             return pa.RecordBatch.from_pydict({
                 "part": pa.array(range(parts), pa.int32()), "n": pa.array([len(x) for x, _ in found], pa.int64()),
@@ -176,7 +177,7 @@ def _code(books: np.ndarray, vector: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = matrix(batch.column(batch.schema.get_field_index(vector)), parts * width).reshape(-1, parts, width)
+            rows = matrix(batch.column(batch.schema.get_field_index(vector)), parts * width).reshape(batch.num_rows, parts, width)
             codes, error = np.zeros((len(rows), parts), np.int32), np.zeros(len(rows), np.int64)
             for p in range(parts) if len(rows) else ():
                 leaves, _, place = distinct(rows[:, p])

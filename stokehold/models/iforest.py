@@ -1,15 +1,22 @@
-"""Isolation forest on Spark (ML8, EV1, XP1, XP8, SNK5), after Liu, Ting & Zhou (2008).
-
-* Sampling: row ``r`` belongs to tree ``t`` when ``hash(key, t, seed)`` falls
-  below ψ/n, so the model does not depend on partitioning or task retries and
-  only sampled (tree, row) pairs ever leave the scan.
-* Building: ``groupBy(tree).applyInPandas`` — one bounded group per tree (ψ is
-  capped) — grows the tree level by level with numpy (random feature, split
-  uniform in the node's [min, max], depth ≤ ⌈log₂ ψ⌉) and emits node rows.
-* Model: the node table (a DataFrame, saved as Parquet) + parameters. Its size
-  is bounded by trees × (2ψ − 1), which is what gets broadcast for scoring.
-* Scoring: an Arrow ``pandas_udf`` walks all trees for a batch at once;
-  s = 2^(−E[h(x)]/c(ψ)), higher = more anomalous (the reference's sign flip).
+"""Isolation forests on Spark (ML8, EV1, XP1, XP8, SNK5), after Liu, Ting & Zhou (2008).
+
+Many trees of many forests are grown in one job, each from a sample of any size:
+
+* **Sampling.** A row has one key hash; mixed with a tree's salt it gives a
+  uniform number, and the tree takes the rows with the psi smallest ones (one pass counts the
+  rows surely below the cut, the few near it are ranked by a window). Nothing depends on partitioning or retries.
+* **Growing by levels.** While a node has more rows than a task should hold,
+  tasks route their rows through the tops of all trees and send only the bounds
+  (count, least and greatest value of each feature) of the open nodes.
+* **Finishing in tasks.** What is left, subtrees of at most ``UNIT_ROWS`` rows (whole trees on most
+  tables), is dealt into bins. A row is sent once to each bin that needs it, in packed blocks, and a bin's
+  task grows its subtrees level by level in numpy.
+* **Draws** come from hashes of (seed, tree, node), so a tree is the same however it was grown.
+* **Scoring.** A small model (``BROADCAST_BYTES``) is broadcast. A larger one stays a table: rows are
+  dealt to the bins like above, each bin sends path sums, and these are added up by row. Path lengths are multiples of 2^-32,
+  so their sums are exact in any order.
+
+s = 2^(-E[h(x)]/c(psi)), higher = more anomalous (the reference's sign flip).
 """
 
 from __future__ import annotations
@@ -17,18 +24,29 @@ from __future__ import annotations
 import json
 import math
 import os
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from collections.abc import Iterator, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
+
+from ..session import ensure_checkpoint_dir, ship_package, written
 
 EULER_GAMMA = 0.5772156649015329
-NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, size long, depth int, "
+#: Rows of one subtree that a task grows by itself.
+UNIT_ROWS = 1 << 20
+#: Largest model that is sent to every worker.
+BROADCAST_BYTES = 64 << 20
+#: Rows that one scoring task handles at most, as dealt.
+SCORE_ROWS = 1 << 21
+UNIT_SCHEMA = "tree int, node long, depth int, n int, size long, feature binary, value binary, splits array<long>"
+NODE_SCHEMA = ("tree int, node long, feature int, threshold double, left long, right long, size long, depth int, "
                "leaf boolean, path double")
+_STEP = 2.0 ** 32
 
 
 def c_factor(n: float) -> float:
@@ -43,15 +61,47 @@ def c_factor(n: float) -> float:
 def _c_vec(n: np.ndarray) -> np.ndarray:
     n = n.astype(float)
     out = np.zeros_like(n)
-    two = n == 2
+    out[n == 2] = 1.0
     big = n > 2
-    out[two] = 1.0
     out[big] = 2.0 * (np.log(n[big] - 1.0) + EULER_GAMMA) - 2.0 * (n[big] - 1.0) / n[big]
     return out
 
 
+# ---------------------------------------------------------------------------
+# hashed draws
+# ---------------------------------------------------------------------------
+
+_MIX1, _MIX2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mix(z: np.ndarray) -> np.ndarray:
+    """SplitMix64 finaliser."""
+    with np.errstate(over="ignore"):
+        z = np.asarray(z, np.uint64) + _GOLD
+        z = (z ^ (z >> np.uint64(30))) * _MIX1
+        z = (z ^ (z >> np.uint64(27))) * _MIX2
+        return z ^ (z >> np.uint64(31))
+
+
+def _draw(salt: np.uint64, node: np.ndarray, k: int) -> np.ndarray:
+    """k-th 64-bit draw of each node of a tree."""
+    with np.errstate(over="ignore"):
+        return _mix(_mix(node.astype(np.uint64) ^ salt) + np.uint64(k) * _GOLD)
+
+
+def _unit(z: np.ndarray) -> np.ndarray:
+    return (z >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
+
+
+# ---------------------------------------------------------------------------
+# parameters
+# ---------------------------------------------------------------------------
+
 @dataclass
 class IsolationForestParams:
+    """``fold`` leaves out the training rows whose fold column has that value,
+    ``share`` takes only that part of the others (by their own uniform draw)."""
+
     features: Sequence[str]
     key: Sequence[str]
     n_estimators: int = 100
@@ -60,268 +110,757 @@ class IsolationForestParams:
     max_features: float = 1.0
     bootstrap: bool = False
     seed: int = 42
-    max_samples_cap: int = 65536  # bounds each tree group and the broadcast model
+    fold: int | None = None
+    share: float = 1.0
 
 
-@dataclass
-class IsolationForestModel:
-    params: IsolationForestParams
-    nodes: DataFrame
-    psi: int
-    n_train: int
-    threshold: float = 0.5
-    meta: dict = field(default_factory=dict)
-    _arrays: dict | None = None
-
-    # -- scoring -----------------------------------------------------------
-    def arrays(self) -> dict:
-        """Flat node arrays (no padding): ``left`` holds the global index of the
-        left child (right = left + 1, −1 for leaves) and ``value`` the split
-        threshold or, for leaves, the path length. Size: trees × (2ψ − 1) at most."""
-        if self._arrays is None:
-            pdf = self.nodes.select("tree", "node", "feature", "threshold", "left", "leaf", "path", "depth") \
-                .toPandas().sort_values(["tree", "node"], kind="stable")
-            t = int(self.params.n_estimators)
-            sizes = pdf.groupby("tree")["node"].max().reindex(range(t), fill_value=-1).to_numpy() + 1
-            offset = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            total = int(sizes.sum())
-            gidx = offset[pdf["tree"].to_numpy()] + pdf["node"].to_numpy()
-            feature = np.zeros(total, dtype=np.int16)
-            value = np.zeros(total, dtype=np.float64)
-            left = np.full(total, -1, dtype=np.int32)
-            leaf = pdf["leaf"].to_numpy()
-            feature[gidx] = pdf["feature"].clip(lower=0).to_numpy()
-            value[gidx] = np.where(leaf, pdf["path"].to_numpy(), pdf["threshold"].to_numpy())
-            lft = pdf["left"].to_numpy()
-            left[gidx] = np.where(leaf, -1, offset[pdf["tree"].to_numpy()] + lft)
-            roots = offset[sizes > 0]
-            self._arrays = dict(feature=feature, value=value, left=left, roots=roots.astype(np.int64),
-                                c_psi=c_factor(self.psi), depth=int(pdf["depth"].max()) + 1 if len(pdf) else 1)
-        return self._arrays
-
-    def score_column(self, trees: int | None = None) -> Column:
-        """EV1 — anomaly score column (higher = more anomalous), Arrow-batched."""
-        from ..session import ship_package
-
-        spark = self.nodes.sparkSession
-        ship_package(spark)
-        arr = self.arrays()
-        bc = spark.sparkContext.broadcast(arr)
-        limit = trees
+def sample_size(params: IsolationForestParams, n: int) -> int:
+    ms = params.max_samples
+    if ms == "auto":
+        return max(1, min(256, n))
+    return max(1, int(ms * n) if isinstance(ms, float) and ms <= 1.0 else min(int(ms), n))
 
-        @F.pandas_udf(DoubleType())
-        def _score(*cols: pd.Series) -> pd.Series:
-            a = bc.value
-            x = np.column_stack([s.fillna(0.0).to_numpy(dtype=float) for s in cols])
-            return pd.Series(anomaly_scores(a, x, limit))
 
-        return _score(*[F.col(f"`{f}`") for f in self.params.features])
+@dataclass
+class _Tree:
+    salt: int
+    cut: int | None        # rows with a draw up to this belong (None: drawn with replacement)
+    rate: float            # mean copies of a row when drawn with replacement
+    depth: int
+    features: list[int]
+    fold: int | None
+    share: float
+
+    def copies(self, h: np.ndarray, fold: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """How often each row is in the tree's sample."""
+        u = _mix(h ^ np.uint64(self.salt))
+        if self.cut is not None:
+            w = (u <= np.uint64(self.cut)).astype(np.int64)
+        else:
+            term = total = math.exp(-self.rate)
+            steps = [total]
+            while total < 1 - 1e-15 and len(steps) < 1000:
+                term *= self.rate / len(steps)
+                total += term
+                steps.append(total)
+            w = np.searchsorted(np.array(steps), _unit(u), "right").astype(np.int64)
+        if self.fold is not None:
+            w[fold == self.fold] = 0
+        if self.share < 1.0:
+            w[share >= self.share] = 0
+        return w
 
-    def transform(self, df: DataFrame, score: str = "score", pred: str = "pred") -> DataFrame:
-        """EV1 — add the score and the predicted label (score above the threshold)."""
-        out = df.withColumn(score, self.score_column())
-        return out.withColumn(pred, (F.col(score) > F.lit(self.threshold)).cast("int"))
 
-    # -- persistence (SNK5) --------------------------------------------------
-    def save(self, path: str) -> None:
-        self.nodes.write.mode("overwrite").parquet(os.path.join(path, "nodes"))
-        meta = dict(params=asdict(self.params), psi=self.psi, n_train=self.n_train, threshold=self.threshold, meta=self.meta)
-        meta["params"]["features"] = list(self.params.features)
-        meta["params"]["key"] = list(self.params.key)
-        spark = self.nodes.sparkSession
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
-            os.path.join(path, "meta"))
+# ---------------------------------------------------------------------------
+# growing and walking one subtree (numpy, inside tasks)
+# ---------------------------------------------------------------------------
 
-    @staticmethod
-    def load(spark, path: str) -> "IsolationForestModel":
-        meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
-        params = IsolationForestParams(**meta["params"])
-        nodes = spark.read.parquet(os.path.join(path, "nodes"))
-        return IsolationForestModel(params, nodes, meta["psi"], meta["n_train"], meta["threshold"], meta.get("meta", {}))
-
-
-def anomaly_scores(a: dict, x: np.ndarray, trees: int | None = None, chunk: int = 64) -> np.ndarray:
-    """Walk the trees for all rows of a batch; s = 2^(−mean path / c(ψ)).
-    Trees are processed in chunks so the (rows × trees) index stays cache-sized."""
-    feature, value, left = a["feature"], a["value"], a["left"]
-    roots = a["roots"] if trees is None else a["roots"][:trees]
-    n = x.shape[0]
-    if n == 0 or len(roots) == 0:
-        return np.zeros(n)
-    total = np.zeros(n)
-    rows = np.arange(n)[:, None]
-    for s in range(0, len(roots), chunk):
-        node = np.broadcast_to(roots[s:s + chunk], (n, len(roots[s:s + chunk]))).copy()
-        for _ in range(a["depth"]):
-            lf = left[node]
-            inner = lf >= 0
-            if not inner.any():
-                break
-            go_right = x[rows, feature[node]] >= value[node]
-            node = np.where(inner, lf + go_right, node)
-        total += value[node].sum(axis=1)
-    h = total / len(roots)
-    return np.power(2.0, -h / a["c_psi"]) if a["c_psi"] > 0 else np.full(n, 0.5)
-
-
-def _build_tree(pdf: pd.DataFrame, tree: int, features: Sequence[str], psi: int, max_features: float,
-                bootstrap: bool, seed: int) -> pd.DataFrame:
-    """Grow one isolation tree level by level, all nodes of a level at once (numpy).
-
-    At each level every open node draws a feature (redrawn while the node is
-    constant on it), its [min, max] comes from a sorted ``reduceat`` and the
-    split is uniform in it; nodes of size ≤ 1, at the depth limit or constant
-    on every allowed feature become leaves."""
-    rng = np.random.default_rng([seed, tree])
-    x = pdf[list(features)].fillna(0.0).to_numpy(dtype=float)
-    if bootstrap and len(x):
-        x = x[rng.integers(0, len(x), len(x))]
-    m, d = x.shape
-    k = max(1, int(max_features * d))
-    allowed = np.sort(rng.choice(d, size=k, replace=False)) if k < d else np.arange(d)
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    recs = {k2: [] for k2 in ("node", "feature", "threshold", "left", "right", "size", "depth", "leaf")}
-
-    def emit(ids, feat, thr, left, right, size, depth, leaf):
-        recs["node"].append(ids); recs["feature"].append(feat); recs["threshold"].append(thr)
-        recs["left"].append(left); recs["right"].append(right); recs["size"].append(size)
-        recs["depth"].append(np.full(len(ids), depth)); recs["leaf"].append(leaf)
-
-    row_node = np.zeros(m, dtype=np.int64)   # node of each row on the current level
-    open_ids = np.array([0])                 # nodes on the current level
-    next_id, depth = 1, 0
-    while len(open_ids):
-        order = np.argsort(row_node, kind="stable")
-        sorted_nodes = row_node[order]
-        starts = np.searchsorted(sorted_nodes, open_ids, side="left")
-        ends = np.searchsorted(sorted_nodes, open_ids, side="right")
-        size = ends - starts
-        can = (size > 1) & (depth < max_depth)
-        n_open = len(open_ids)
-        feat = np.full(n_open, -1)
-        lo = np.zeros(n_open)
-        hi = np.zeros(n_open)
-        perm = np.argsort(rng.random((n_open, len(allowed))), axis=1)  # feature order per node
-        seg_node = np.repeat(np.arange(n_open), size)                   # node position of each sorted row
-        pending = can.copy()
-        for attempt in range(len(allowed)):
-            if not pending.any():
-                break
-            f_try = allowed[perm[:, attempt]]
-            vals = x[order, f_try[seg_node]]
-            mins = np.minimum.reduceat(vals, starts)
-            maxs = np.maximum.reduceat(vals, starts)
-            ok = pending & (maxs > mins)
-            feat[ok], lo[ok], hi[ok] = f_try[ok], mins[ok], maxs[ok]
-            pending &= ~ok
-        split = feat >= 0
-        thr = np.where(split, lo + rng.random(len(open_ids)) * (hi - lo), 0.0)
-        thr = np.where(split & (thr <= lo), np.nextafter(lo, hi), thr)
-        n_split = int(split.sum())
-        left = np.full(len(open_ids), -1)
-        right = np.full(len(open_ids), -1)
-        left[split] = next_id + 2 * np.arange(n_split)
-        right[split] = left[split] + 1
-        emit(open_ids, np.where(split, feat, -1), thr, left, right, size, depth, ~split)
-        next_id += 2 * n_split
-        # route rows of split nodes to their children; rows of leaves are done
-        pos_of = np.full(int(open_ids.max()) + 1, -1)
-        pos_of[open_ids] = np.arange(len(open_ids))
-        p = pos_of[row_node]
-        active = (p >= 0) & split[np.maximum(p, 0)]
-        rows = np.flatnonzero(active)
-        pr = p[rows]
-        go_left = x[rows, feat[pr]] < thr[pr]
-        row_node = np.full(m, -1, dtype=np.int64)
-        row_node[rows] = np.where(go_left, left[pr], right[pr])
-        keep = row_node >= 0
-        x, row_node = x[keep], row_node[keep]
-        m = len(x)
-        open_ids = np.concatenate([left[split], right[split]]) if n_split else np.array([], dtype=np.int64)
-        open_ids.sort()
+def choose(salt: np.uint64, node: np.ndarray, allowed: np.ndarray, bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature (-1: constant on all allowed ones) and bounds of each node:
+    features are drawn until one varies. ``bounds(which, feature)`` gives the
+    least and greatest value of ``feature`` in the nodes ``which``."""
+    feature, lo, hi = np.full(len(node), -1), np.zeros(len(node)), np.zeros(len(node))
+    left = np.arange(len(node))
+    for attempt in range(8):
+        if not len(left):
+            return feature, lo, hi
+        f = allowed[(_draw(salt, node[left], 2 + attempt) % np.uint64(len(allowed))).astype(np.int64)]
+        a, z = bounds(left, f)
+        ok = z > a
+        feature[left[ok]], lo[left[ok]], hi[left[ok]] = f[ok], a[ok], z[ok]
+        left = left[~ok]
+    if len(left):  # an order of all features for the few nodes still constant
+        order = np.argsort(np.stack([_draw(salt, node[left], 64 + int(f)) for f in allowed]), axis=0, kind="stable")
+        for rank in range(len(allowed)):
+            f = allowed[order[rank]]
+            a, z = bounds(left, f)
+            ok = (z > a) & (feature[left] < 0)
+            feature[left[ok]], lo[left[ok]], hi[left[ok]] = f[ok], a[ok], z[ok]
+    return feature, lo, hi
+
+
+def split_value(salt: np.uint64, node: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    at = lo + _unit(_draw(salt, node, 1)) * (hi - lo)
+    return np.where(at <= lo, np.nextafter(lo, hi), np.minimum(at, hi))
+
+
+def grow(x: np.ndarray, copies: np.ndarray, salt: int, root: int, depth: int, limit: int, allowed: Sequence[int]):
+    """A subtree below node ``root`` at ``depth`` from the rows ``x`` (features by
+    rows), all nodes of a level at once. Nodes in level order: feature (-1: leaf),
+    value (threshold; of a leaf its size) and the number of splits by feature."""
+    salt, allowed = np.uint64(salt), np.asarray(allowed)
+    d, m = x.shape
+    flat = np.ascontiguousarray(x).ravel()
+    # places in 32 bits while they fit: half the memory moved by each level
+    small = np.int32 if d * m < 1 << 31 else np.int64
+    order, places = np.arange(m, dtype=small), np.arange(m, dtype=small)
+    weight = None if (copies == 1).all() else copies
+    starts, sizes, node = np.zeros(1, np.int64), np.array([m]), np.array([root], np.int64)
+    features, values = [], []
+    while len(node):
+        held = sizes if weight is None else np.add.reduceat(weight[order], starts) if len(order) else np.zeros(len(node), np.int64)
+        can = np.flatnonzero((held > 1) & (sizes > 1) & (depth < limit))
+        feature, value = np.full(len(node), -1, np.int16), held.astype(np.float64)
+        if len(can):
+            # rows of the nodes that may split, node by node
+            if len(can) < len(node):
+                order = order[np.repeat(_mask(can, len(node)), sizes)]
+                starts, sizes, node = None, sizes[can], node[can]
+            starts = np.cumsum(sizes) - sizes
+            drawn = {}
+
+            def bounds(which, f):
+                if len(which) == len(sizes):
+                    rows, at, mine = order, starts, np.repeat((f * m).astype(small), sizes)
+                else:
+                    part = sizes[which]
+                    at = np.cumsum(part) - part
+                    rows = order[np.repeat(starts[which] - at, part) + np.arange(part.sum())]
+                    mine = np.repeat(f * m, part)
+                v = flat.take(mine + rows)
+                if len(which) == len(sizes):
+                    drawn["f"], drawn["v"] = f, v
+                return np.minimum.reduceat(v, at), np.maximum.reduceat(v, at)
+
+            f, lo, hi = choose(salt, node, allowed, bounds)
+            at = split_value(salt, node, lo, hi)
+            split = f >= 0
+            feature[can] = f
+            value[can[split]] = at[split]
+            v = drawn["v"]
+            again = np.flatnonzero(split & (drawn["f"] != f))
+            if len(again):  # nodes whose first feature was constant
+                part = sizes[again]
+                place = np.repeat(starts[again] - (np.cumsum(part) - part), part) + np.arange(part.sum())
+                v[place] = flat[np.repeat(f[again] * m, part) + order[place]]
+            if not split.all():
+                keep = np.repeat(split, sizes)
+                order, v = order[keep], v[keep]
+                sizes, node, at = sizes[split], node[split], at[split]
+                starts = np.cumsum(sizes) - sizes
+            if len(node):
+                # rows move to their child, in order, within the place of their node
+                left = v < np.repeat(at, sizes)
+                before = np.cumsum(left, dtype=small)
+                before -= left
+                first = before[starts]
+                n_left = np.add.reduceat(left, starts, dtype=np.int64)
+                # left rows: start of the node + rows gone left before; right rows: their place + left rows still to come
+                up = before + np.repeat((starts - first).astype(small), sizes)
+                down = places[:len(order)] - before
+                down += np.repeat((n_left + first).astype(small), sizes)
+                moved = np.empty_like(order)
+                moved[np.where(left, up, down)] = order
+                order = moved
+                sizes = np.stack([n_left, sizes - n_left], axis=1).ravel()
+                starts = np.cumsum(sizes) - sizes
+                node = np.stack([2 * node, 2 * node + 1], axis=1).ravel()
+        features.append(feature)
+        values.append(value)
         depth += 1
-    out = pd.DataFrame({k2: np.concatenate(v) for k2, v in recs.items()})
-    out.insert(0, "tree", tree)
-    out["path"] = np.where(out["leaf"], out["depth"] + _c_vec(out["size"].to_numpy()), 0.0)
-    return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "threshold": "float64", "left": "int32",
-                       "right": "int32", "size": "int64", "depth": "int32", "leaf": "bool"})
+        if not (feature >= 0).any():
+            break
+    feature, value = np.concatenate(features), np.concatenate(values)
+    return feature, value, np.bincount(feature[feature >= 0], minlength=d)
 
 
-def sample_size(params: IsolationForestParams, n: int) -> int:
-    ms = params.max_samples
-    if ms == "auto":
-        psi = min(256, n)
-    elif isinstance(ms, float) and ms <= 1.0:
-        psi = int(ms * n)
-    else:
-        psi = min(int(ms), n)
-    return max(1, min(psi, params.max_samples_cap))
+def _mask(which: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, bool)
+    out[which] = True
+    return out
 
 
-_MIX1, _MIX2, _GOLD = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
+def unfold(feature: np.ndarray, value: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a subtree in level order: left child of each node (right: the next; -1 for leaves),
+    depth, and value with the path length in the place of a leaf's size."""
+    inner = feature >= 0
+    left = np.where(inner, 2 * (np.cumsum(inner) - inner) + 1, -1)
+    depths = np.empty(len(feature), np.int64)
+    lo, hi = 0, 1
+    while lo < len(feature):
+        depths[lo:hi] = depth
+        lo, hi, depth = hi, hi + 2 * int(inner[lo:hi].sum()), depth + 1
+    path = np.round((depths + _c_vec(np.where(inner, 1, value))) * _STEP) / _STEP
+    return left, depths, np.where(inner, value, path)
+
+
+def paths(x: np.ndarray, feature: np.ndarray, value: np.ndarray, left: np.ndarray, root: int = 0, chunk: int = 1 << 13) -> np.ndarray:
+    """Path length of each column of ``x`` (features by rows), a few rows at a
+    time so that what a step reads and writes stays in the cache."""
+    n = x.shape[1]
+    out = np.empty(n)
+    for lo in range(0, n, chunk):
+        part = np.ascontiguousarray(x[:, lo:lo + chunk])
+        w = part.shape[1]
+        flat, rows, at, done = part.ravel(), np.arange(w), np.full(w, root, np.int64), np.empty(w)
+        while len(rows):
+            f = feature.take(at).astype(np.int64)
+            if f.min() < 0:
+                leaf = f < 0
+                done[rows[leaf]] = value.take(at[leaf])
+                rows, at, f = rows[~leaf], at[~leaf], f[~leaf]
+            at = left.take(at) + (flat.take(f * w + rows) >= value.take(at))
+        out[lo:lo + chunk] = done
+    return out
 
 
-def _splitmix(z: np.ndarray) -> np.ndarray:
-    z = (z + np.uint64(_GOLD))
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(_MIX1)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(_MIX2)
-    return z ^ (z >> np.uint64(31))
+# ---------------------------------------------------------------------------
+# the tops of trees: nodes grown by levels, above the units
+# ---------------------------------------------------------------------------
 
+class Tops:
+    """Split nodes above the units of each tree, by their number (root 1, children 2i and 2i+1)."""
+
+    def __init__(self, trees: int):
+        self.splits: list[dict[int, tuple[int, float]]] = [{} for _ in range(trees)]
+        self._tables: dict[int, tuple] = {}  # filled by the tasks that route
+
+    def route(self, tree: int, x: np.ndarray) -> np.ndarray:
+        """Number of the unit (or open node) of each row."""
+        node = np.ones(x.shape[1], np.int64)
+        if not self.splits[tree]:
+            return node
+        if tree not in self._tables:
+            nodes = sorted(self.splits[tree])
+            self._tables[tree] = (np.array(nodes, np.int64), np.array([self.splits[tree][k][0] for k in nodes], np.int64),
+                                  np.array([self.splits[tree][k][1] for k in nodes]))
+        keys, feature, at = self._tables[tree]
+        live = np.arange(x.shape[1])
+        while len(live):
+            place = np.minimum(np.searchsorted(keys, node[live]), len(keys) - 1)
+            inner = keys[place] == node[live]
+            live, place = live[inner], place[inner]
+            node[live] = 2 * node[live] + (x[feature[place], live] >= at[place])
+        return node
 
-def tree_samples(df: DataFrame, params: IsolationForestParams, psi: int, n: int) -> DataFrame:
-    """(tree, features) for the rows each tree samples (≈ ψ per tree).
 
-    One ``xxhash64`` of the key per row in Spark; inside each task numpy mixes
-    it with every tree id (splitmix64) and keeps the pairs below ψ/n, so only
-    the sampled pairs are emitted — no rows × trees expansion is shuffled."""
-    p = min(1.0, psi / max(n, 1))
-    cut = np.uint64(min(int(p * 2.0 ** 64), 2 ** 64 - 1))
-    feats = list(params.features)
-    trees = np.arange(params.n_estimators, dtype=np.uint64)
-    salt = _splitmix(trees * np.uint64(_GOLD) + np.uint64(params.seed))
-    keyed = df.select(F.xxhash64(F.lit(int(params.seed)), *[F.col(f"`{k}`") for k in params.key]).alias("_h"),
-                      *[F.col(f"`{f}`").cast("double").alias(f) for f in feats])
+# ---------------------------------------------------------------------------
+# forests
+# ---------------------------------------------------------------------------
 
-    def pick(batches):
-        for b in batches:
-            h = b["_h"].to_numpy().astype(np.int64).view(np.uint64)
-            u = _splitmix(h[:, None] ^ salt[None, :])  # rows × trees
-            r, t = np.nonzero(u < cut)
-            out = b.iloc[r][feats].reset_index(drop=True)
-            out.insert(0, "tree", t.astype(np.int32))
-            yield out
+def _numbers(df: DataFrame, features: Sequence[str], key: Sequence[str], fold: str | None, share: Column | None, keep: Sequence[Column] = ()) -> DataFrame:
+    return df.select(F.xxhash64(*[F.col(f"`{k}`") for k in key]).alias("_h"), (F.col(f"`{fold}`") if fold else F.lit(-1)).cast("int").alias("_fold"),
+                     (share if share is not None else F.lit(0.0)).alias("_share"), F.array(*[F.nanvl(F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0)), F.lit(0.0)) for f in features]).alias("_x"), *keep)
+
+
+def _arrays(batch: pa.RecordBatch, d: int):
+    """h, fold, share and the features by rows of a batch."""
+    col = lambda name: batch.column(batch.schema.get_field_index(name))
+    x = col("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, d).T
+    return col("_h").to_numpy().view(np.uint64), col("_fold").to_numpy(zero_copy_only=False), col("_share").to_numpy(), np.ascontiguousarray(x)
+
+
+def _cuts(rows: DataFrame, trees: list[_Tree], want: list[int], members: list[int], d: int) -> None:
+    """Sets each tree's cut to its psi-th smallest draw. One pass sends, for each
+    tree, the number of rows below a bracket around psi/n and the draws inside it."""
+    todo = [t for t, tree in enumerate(trees) if tree.cut == -1]
+    wide = 6.0
+    while todo:
+        ends = {}
+        for t in todo:
+            p = want[t] / members[t]
+            slack = wide * math.sqrt(max(p * (1 - p), 1 / members[t]) / members[t])
+            ends[t] = tuple(min(2 ** 64 - 1, max(0, int(e * 2.0 ** 64))) for e in (p - slack, p + slack))
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            below = dict.fromkeys(todo, 0)
+            for batch in batches:
+                h, fold, share, _ = _arrays(batch, d)
+                for t in todo:
+                    lo, hi = ends[t]
+                    tree = replace(trees[t], cut=2 ** 64 - 1)
+                    u = _mix(h[tree.copies(h, fold, share) > 0] ^ np.uint64(tree.salt))
+                    below[t] += int((u < np.uint64(lo)).sum())
+                    u = u[(u >= np.uint64(lo)) & (u <= np.uint64(hi))]
+                    if len(u):
+                        # signed, in the same order
+                        yield pa.RecordBatch.from_pydict({"t": pa.array(np.full(len(u), t), pa.int32()), "u": pa.array((u ^ np.uint64(1 << 63)).view(np.int64)),
+                                                          "below": pa.array(np.zeros(len(u), np.int64))})
+            yield pa.RecordBatch.from_pydict({"t": pa.array(todo, pa.int32()), "u": pa.array([None] * len(todo), pa.int64()),
+                                              "below": pa.array(list(below.values()), pa.int64())})
+
+        found = written(rows.mapInArrow(near, "t int, u long, below long"))
+        below = {r["t"]: r["below"] for r in found.groupBy("t").agg(F.sum("below").alias("below")).collect()}
+        need = F.create_map(*[F.lit(v) for t in todo for v in (t, want[t] - below[t])])
+        from pyspark.sql import Window
+
+        ranked = found.filter("u is not null").withColumn("r", F.row_number().over(Window.partitionBy("t").orderBy("u")))
+        for r in ranked.filter(F.col("r") == need[F.col("t")]).collect():  # one row a tree
+            trees[r["t"]].cut = r["u"] + (1 << 63)
+        todo, wide = [t for t in todo if trees[t].cut == -1], wide * 4
+
+
+def _level(rows: DataFrame, trees: list[_Tree], tops: Tops, open_nodes: dict[int, list[int]], d: int) -> dict:
+    """Count, least and greatest values of the open nodes: {(tree, node): (n, lo, hi)}."""
+    wanted = {t: np.array(sorted(v), np.int64) for t, v in open_nodes.items()}
+
+    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {t: (np.zeros(len(v), np.int64), np.full((d, len(v)), np.inf), np.full((d, len(v)), -np.inf)) for t, v in wanted.items()}
+        for batch in batches:
+            h, fold, share, x = _arrays(batch, d)
+            for t, nodes in wanted.items():
+                w = trees[t].copies(h, fold, share)
+                some = np.flatnonzero(w)
+                mine = x[:, some]
+                node = tops.route(t, mine)
+                place = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+                ok = nodes[place] == node
+                n, lo, hi = held[t]
+                np.add.at(n, place[ok], w[some][ok])
+                for j in range(d):
+                    np.minimum.at(lo[j], place[ok], mine[j, ok])
+                    np.maximum.at(hi[j], place[ok], mine[j, ok])
+        for t, nodes in wanted.items():
+            n, lo, hi = held[t]
+            some = np.flatnonzero(n)
+            if len(some):
+                yield pa.RecordBatch.from_pydict({
+                    "t": pa.array(np.full(len(some), t), pa.int32()), "node": pa.array(nodes[some]), "n": pa.array(n[some]),
+                    **{f"a{j}": pa.array(lo[j, some]) for j in range(d)}, **{f"z{j}": pa.array(hi[j, some]) for j in range(d)}})
+
+    schema = "t int, node long, n long, " + ", ".join(f"a{j} double" for j in range(d)) + ", " + ", ".join(f"z{j} double" for j in range(d))
+    sent = rows.mapInArrow(bounds, schema).groupBy("t", "node").agg(
+        F.sum("n").alias("n"), *[F.min(f"a{j}").alias(f"a{j}") for j in range(d)], *[F.max(f"z{j}").alias(f"z{j}") for j in range(d)])
+    return {(r["t"], r["node"]): (r["n"], np.array([r[f"a{j}"] for j in range(d)]), np.array([r[f"z{j}"] for j in range(d)])) for r in sent.collect()}
+
+
+def _tops(rows: DataFrame, trees: list[_Tree], sizes: list[int], d: int, unit_rows: int) -> tuple[Tops, list[tuple[int, int, int]], list[tuple]]:
+    """Grows all trees by levels until no node has more than ``unit_rows`` rows.
+    Returns the tops, the units (tree, node, rows) left to tasks, and the leaves met on the way."""
+    tops, units, leaves = Tops(len(trees)), [], []
+    units += [(t, 1, n) for t, n in enumerate(sizes) if n <= unit_rows]
+    open_nodes = {t: [1] for t, n in enumerate(sizes) if n > unit_rows}
+    while open_nodes:
+        below: dict[int, list[int]] = {}
+        for (t, node), (n, lo, hi) in _level(rows, trees, tops, open_nodes, d).items():
+            tree, depth = trees[t], node.bit_length() - 1
+            if n <= unit_rows:
+                units.append((t, node, n))
+                continue
+            salt, one = np.uint64(tree.salt), np.array([node], np.int64)
+            f, a, z = choose(salt, one, np.asarray(tree.features), lambda which, f: (lo[f], hi[f])) if depth < tree.depth else ([-1], None, None)
+            if f[0] < 0:
+                leaves.append((t, node, depth, n))
+                continue
+            tops.splits[t][node] = (int(f[0]), float(split_value(salt, one, a, z)[0]))
+            below.setdefault(t, []).extend([2 * node, 2 * node + 1])
+        open_nodes = below
+    return tops, units, leaves
+
+
+def _bins(units: list[tuple[int, int, int]], tasks: int, unit_rows: int) -> dict[tuple[int, int], int]:
+    """A bin for each unit: whole trees, which share rows, evenly over the
+    tasks; lower subtrees together while their rows stay within one unit's."""
+    out, held, current, tops = {}, 0, 0, [u for u in units if u[1] == 1]
+    for i, (t, node, _) in enumerate(tops):
+        out[t, node] = i % max(1, min(tasks, len(tops)))
+    current = max(out.values(), default=-1) + 1
+    for t, node, n in sorted(u for u in units if u[1] != 1):
+        if held and held + n > unit_rows:
+            current, held = current + 1, 0
+        out[t, node], held = current, held + n
+    return out
 
-    schema = "tree int, " + ", ".join(f"`{f}` double" for f in feats)
-    return keyed.mapInPandas(pick, schema)
 
+def _deal(rows: DataFrame, trees: list[_Tree], tops: Tops, bins: dict[tuple[int, int], int], d: int, everything: bool) -> DataFrame:
+    """Packed blocks of the rows that each bin needs: those of its units' samples, or with
+    ``everything`` all rows (with ``_rid``), whatever the samples."""
+    by_tree: dict[int, dict[int, int]] = {}
+    for (t, node), b in bins.items():
+        by_tree.setdefault(t, {})[node] = b
+    tables = {t: (np.array(sorted(v), np.int64), np.array([v[k] for k in sorted(v)])) for t, v in by_tree.items()}
+    count = max(bins.values(), default=-1) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, fold, share, x = _arrays(batch, d)
+            if not len(h):
+                continue
+            wanted = [[] for _ in range(count)]
+            for t, (nodes, into) in tables.items():
+                some = np.arange(len(h)) if everything else np.flatnonzero(trees[t].copies(h, fold, share))
+                if len(nodes) == 1 and nodes[0] == 1:
+                    wanted[into[0]].append(some)
+                    continue
+                node = tops.route(t, x[:, some])
+                place = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+                some, place = some[nodes[place] == node], place[nodes[place] == node]
+                for b in np.unique(into[place]).tolist():
+                    wanted[b].append(some[into[place] == b])
+            rid = batch.column(batch.schema.get_field_index("_rid")).to_numpy() if everything else None
+            # one block at a time: a batch has as many as there are bins
+            for b, parts in enumerate(wanted):
+                if not parts:
+                    continue
+                keep = np.zeros(len(h), bool)
+                for p in parts:
+                    keep[p] = True
+                pick = np.flatnonzero(keep)
+                if len(pick):
+                    yield pa.RecordBatch.from_pydict({
+                        "bin": pa.array([b], pa.int32()), "block": pa.array([int(rid[0]) if everything else 0], pa.int64()), "n": pa.array([len(pick)], pa.int32()),
+                        "h": pa.array([h[pick].tobytes()], pa.binary()), "fold": pa.array([fold[pick].astype(np.int32).tobytes()], pa.binary()),
+                        "share": pa.array([share[pick].tobytes()], pa.binary()), "x": pa.array([x[:, pick].T.tobytes()], pa.binary()),
+                        "rid": pa.array([rid[pick].tobytes() if everything else b""], pa.binary())})
+
+    return rows.mapInArrow(run, "bin int, block long, n int, h binary, fold binary, share binary, x binary, rid binary")
+
+
+def _block(group, d: int):
+    """Arrays of all packed blocks of a group."""
+    col = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in group.column(name).to_pylist()])
+    return col("h", np.uint64), col("fold", np.int32), col("share", np.float64), np.ascontiguousarray(col("x", np.float64).reshape(-1, d).T)
+
+
+def _grown(trees: list[_Tree], tops: Tops, bins: dict[tuple[int, int], int], d: int):
+    mine: dict[int, list[tuple[int, int]]] = {}
+    for unit, b in bins.items():
+        mine.setdefault(b, []).append(unit)
+
+    def run(group: pa.Table) -> pa.Table:
+        h, fold, share, x = _block(group, d)
+        out = {k: [] for k in ("tree", "node", "depth", "n", "size", "feature", "value", "splits")}
+        for t, node in mine[group.column("bin")[0].as_py()]:
+            tree = trees[t]
+            w = tree.copies(h, fold, share)
+            some = np.flatnonzero(w)
+            if node != 1:
+                some = some[tops.route(t, x[:, some]) == node]
+            depth = node.bit_length() - 1
+            feature, value, splits = grow(x[:, some], w[some], tree.salt, node, depth, tree.depth, tree.features)
+            for k, v in zip(out, (t, node, depth, len(feature), int(w[some].sum()), feature.astype("<i2").tobytes(), value.astype("<f8").tobytes(), splits.tolist())):
+                out[k].append(v)
+        kinds = dict(tree=pa.int32(), node=pa.int64(), depth=pa.int32(), n=pa.int32(), size=pa.int64(), feature=pa.binary(), value=pa.binary(), splits=pa.list_(pa.int64()))
+        return pa.table({k: pa.array(v, kinds[k]) for k, v in out.items()})
+
+    return run
 
-def fit(df: DataFrame, params: IsolationForestParams, n: int | None = None) -> IsolationForestModel:
-    """ML8 — grow ``n_estimators`` trees; threshold from ``contamination``
-    (percentile of training scores; 0.5 for "auto")."""
-    from ..session import ship_package
 
-    ship_package(df.sparkSession)
-    n = n if n is not None else df.count()
-    psi = sample_size(params, n)
-    samples = tree_samples(df, params, psi, n)
-    feats, mf, bs, seed = list(params.features), params.max_features, params.bootstrap, params.seed
+@dataclass
+class Forests:
+    """Several forests grown together: ``units`` has a packed subtree a row.
+    Forest f owns the trees ``owner[f]``; trees may belong to several."""
+
+    spark: object
+    params: list[IsolationForestParams]
+    features: list[str]
+    trees: list[_Tree]
+    tops: Tops
+    bins: dict[tuple[int, int], int]
+    units: DataFrame
+    psi: list[int]
+    n_train: list[int]
+    owner: list[list[int]]
+    _flat: dict | None = None
+
+    def model_bytes(self) -> int:
+        """Size of the node arrays, from the units' own node counts."""
+        return 14 * (self.units.agg(F.sum("n")).first()[0] or 0)
+
+    def flat(self) -> dict:
+        """All trees as flat arrays (their tops included), for models within ``BROADCAST_BYTES``."""
+        if self._flat is None:
+            by_tree: dict[int, list] = {}
+            for r in self.units.collect():
+                by_tree.setdefault(r["tree"], []).append(r)
+            feature, value, left, roots, at = [], [], [], [], 0
+            for t in range(len(self.trees)):
+                spot = {}
+                for r in by_tree.get(t, []):
+                    f, v = np.frombuffer(r["feature"], "<i2"), np.frombuffer(r["value"], "<f8")
+                    kids, _, v = unfold(f, v, r["depth"])
+                    spot[r["node"]] = at
+                    feature.append(f); value.append(v); left.append(np.where(kids >= 0, kids + at, -1))
+                    at += len(f)
+                # tops from below: a split needs its children side by side, so they are copied there
+                for node in sorted(self.tops.splits[t], reverse=True):
+                    f, v = self.tops.splits[t][node]
+                    pair = [spot[2 * node], spot[2 * node + 1]]
+                    flat_f, flat_v, flat_l = (np.concatenate(a) for a in (feature, value, left))
+                    feature, value, left = ([np.concatenate([flat_f, flat_f[pair], [f]]).astype(np.int16)],
+                                            [np.concatenate([flat_v, flat_v[pair], [v]])], [np.concatenate([flat_l, flat_l[pair], [at]])])
+                    spot[node] = at + 2
+                    at += 3
+                roots.append(spot.get(1, -1))
+            cat = lambda a, kind: np.concatenate(a).astype(kind) if a else np.zeros(0, kind)
+            self._flat = dict(feature=cat(feature, np.int16), value=cat(value, np.float64), left=cat(left, np.int32), roots=np.array(roots, np.int64))
+        return self._flat
+
+    def _broadcast_scores(self) -> Column:
+        """Scores of all forests, an array column."""
+        bc = self.spark.sparkContext.broadcast(self.flat())
+        score, width = _Scorer(self.psi, self.owner), len(self.owner)
+
+        def scores(cols) -> np.ndarray:
+            a = bc.value
+            x = np.stack([s.fillna(0.0).to_numpy(dtype=float) for s in cols])
+            total = np.zeros((x.shape[1], width))
+            for t, of in score.of.items():
+                if a["roots"][t] >= 0:
+                    p = paths(x, a["feature"], a["value"], a["left"], int(a["roots"][t]))
+                    for f in of:
+                        total[:, f] += p
+            return score(total)
 
-    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _build_tree(pdf, int(key[0]), feats, psi, mf, bs, seed)
+        @F.pandas_udf(DoubleType())
+        def _one(*cols: pd.Series) -> pd.Series:
+            return pd.Series(scores(cols)[:, 0])
+
+        @F.pandas_udf(ArrayType(DoubleType()))
+        def _all(*cols: pd.Series) -> pd.Series:
+            return pd.Series(list(scores(cols)))
+
+        of_row = [F.col(f"`{f}`").cast("double") for f in self.features]
+        return F.array(_one(*of_row)) if width == 1 else _all(*of_row)
+
+    def scores(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+        """``df`` (its columns ``keep``) with ``_scores``, an array with one score a forest."""
+        ship_package(self.spark)
+        keep = list(df.columns if keep is None else keep)
+        if self.model_bytes() <= BROADCAST_BYTES:
+            return df.select(*[F.col(f"`{k}`") for k in keep], self._broadcast_scores().alias("_scores"))
+        return self._dealt_scores(df, keep)
+
+    def _dealt_scores(self, df: DataFrame, keep: list[str], score_rows: int = SCORE_ROWS) -> DataFrame:
+        d, names = len(self.features), {k: f"_k{i}" for i, k in enumerate(keep)}
+        base = _numbers(df, self.features, self.params[0].key, None, None, [F.col(f"`{k}`").alias(n) for k, n in names.items()])
+        base = written(base.withColumn("_rid", F.monotonically_increasing_id()))
+        salts = max(1, -(-base.count() // score_rows))
+        blocks = _deal(base.select("_h", "_fold", "_share", "_x", "_rid"), self.trees, self.tops, self.bins, d, True)
+        blocks = blocks.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
+        spread = self.units.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        tops, score = self.tops, _Scorer(self.psi, self.owner)
+        width = len(self.owner)
+
+        def walk(left: pa.Table, right: pa.Table) -> pa.Table:
+            kept = {k: [] for k in ("block", "rid", "total")}
+            if left.num_rows:
+                _, _, _, x = _block(left, d)
+                total = np.zeros((x.shape[1], width))
+                for r in right.select(["tree", "node", "depth", "feature", "value"]).to_batches(max_chunksize=1):
+                    r = r.to_pylist()[0]
+                    f, v = np.frombuffer(r["feature"], "<i2"), np.frombuffer(r["value"], "<f8")
+                    kids, _, v = unfold(f, v, r["depth"])
+                    some = np.arange(x.shape[1]) if r["node"] == 1 else np.flatnonzero(tops.route(r["tree"], x) == r["node"])
+                    p = paths(x[:, some], f, v, kids)
+                    for o in score.of[r["tree"]]:
+                        total[some, o] += p
+                at = 0
+                for block, n, rid in zip(left.column("block").to_pylist(), left.column("n").to_pylist(), left.column("rid").to_pylist()):
+                    kept["block"].append(block); kept["rid"].append(rid); kept["total"].append(total[at:at + n].tobytes())
+                    at += n
+            return pa.table({"block": pa.array(kept["block"], pa.int64()), "rid": pa.array(kept["rid"], pa.binary()), "total": pa.array(kept["total"], pa.binary())})
+
+        sums = blocks.groupBy("bin", "salt").cogroup(spread.withColumn("bin", self._bin_of()).groupBy("bin", "salt")).applyInArrow(
+            walk, "block long, rid binary, total binary")
+
+        def add(group: pa.Table) -> pa.Table:
+            rid = np.concatenate([np.frombuffer(b, np.int64) for b in group.column("rid").to_pylist()])
+            part = np.concatenate([np.frombuffer(b, np.float64).reshape(-1, width) for b in group.column("total").to_pylist()])
+            rows, place = np.unique(rid, return_inverse=True)
+            total = np.stack([np.bincount(place, part[:, f], len(rows)) for f in range(width)], axis=1)
+            ends = pa.array(np.arange(len(rows) + 1) * width, pa.int32())
+            return pa.table({"_rid": pa.array(rows), "_scores": pa.ListArray.from_arrays(ends, pa.array(score(total).ravel()))})
+
+        scored = sums.groupBy("block").applyInArrow(add, "_rid long, _scores array<double>")
+        return base.join(scored, "_rid", "left").select(*[F.col(n).alias(k) for k, n in names.items()], "_scores")
+
+    def _bin_of(self) -> Column:
+        table = json.dumps([{"t": t, "v": n, "b": b} for (t, n), b in self.bins.items()])
+        found = F.from_json(F.lit(table), "array<struct<t:int,v:long,b:int>>")
+        return F.filter(found, lambda e: (e["t"] == F.col("tree")) & (e["v"] == F.col("node")))[0]["b"]
+
+    def f1_table(self, df: DataFrame, label: str, by: str, limits: Sequence[float]) -> DataFrame:
+        """Confusion counts and metrics of every forest in each group ``by`` of a frame
+        with ``_scores``, in one aggregate: (forest, by, tn, fp, ..., f1)."""
+        from ..operators.evaluate import metrics_from_counts
+
+        y, n = F.col(f"`{label}`") == 1, len(limits)
+        hit = lambda f: F.col("_scores")[f] > F.lit(limits[f])
+        row = df.groupBy(F.col(f"`{by}`").alias(by)).agg(F.count_if(y).alias("p"), F.count_if(~y).alias("n"), *[x for f in range(n) for x in (
+            F.count_if(y & hit(f)).alias(f"tp{f}"), F.count_if(~y & hit(f)).alias(f"fp{f}"))])
+        each = F.array(*[F.struct(F.lit(f).alias("forest"), (F.col("n") - F.col(f"fp{f}")).alias("tn"), F.col(f"fp{f}").alias("fp"),
+                                  (F.col("p") - F.col(f"tp{f}")).alias("fn"), F.col(f"tp{f}").alias("tp")) for f in range(n)])
+        return metrics_from_counts(row.select(by, F.inline(each)))
+
+    def model(self, f: int = 0) -> "IsolationForestModel":
+        return IsolationForestModel(self, f)
+
+    def prefixes(self, f: int, sizes: Sequence[int]) -> "Forests":
+        """The forests of the first k trees of forest ``f``, for each k."""
+        p = self.params[f]
+        return replace(self, params=[replace(p, n_estimators=k) for k in sizes], psi=[self.psi[f]] * len(sizes), n_train=[self.n_train[f]] * len(sizes),
+                       owner=[self.owner[f][:k] for k in sizes], _flat=None)
+
+
+class _Scorer:
+    """Path sums to scores, in tasks; ``of`` lists the forests of each tree."""
+
+    def __init__(self, psi: list[int], owner: list[list[int]]):
+        self.psi, self.sizes = psi, [len(o) for o in owner]
+        self.of: dict[int, list[int]] = {}
+        for f, o in enumerate(owner):
+            for t in o:
+                self.of.setdefault(t, []).append(f)
+
+    def __call__(self, total: np.ndarray) -> np.ndarray:
+        out = np.full(total.shape, 0.5)
+        for f, (psi, n) in enumerate(zip(self.psi, self.sizes)):
+            if c_factor(psi) > 0 and n:
+                out[:, f] = np.power(2.0, -total[:, f] / n / c_factor(psi))
+        return out
+
+
+def grow_forests(df: DataFrame, params: Sequence[IsolationForestParams], n: int | None = None, fold: str | None = None,
+                 share: Column | None = None, unit_rows: int = UNIT_ROWS) -> Forests:
+    """Grows all forests of ``params`` (which share their key) in one job. ``fold``
+    names the column that ``params.fold`` refers to, ``share`` is the uniform draw beside ``params.share``."""
+    spark = df.sparkSession
+    ship_package(spark)
+    ensure_checkpoint_dir(spark)
+    params = list(params)
+    features = list(dict.fromkeys(f for p in params for f in p.features))
+    d, key = len(features), list(params[0].key)
+    rows = _numbers(df, features, key, fold, share)
+    scopes = list(dict.fromkeys((p.fold, p.share) for p in params))
+    if n is not None and scopes == [(None, 1.0)]:
+        members = {scopes[0]: n}
+    else:
+        inside = lambda f, s: (F.lit(True) if f is None else ~F.coalesce(F.col("_fold") == f, F.lit(False))) & (F.lit(True) if s >= 1 else F.col("_share") < s)
+        row = rows.agg(*[F.count_if(inside(f, s)).alias(f"n{i}") for i, (f, s) in enumerate(scopes)]).first()
+        members = {s: row[f"n{i}"] for i, s in enumerate(scopes)}
+    trees, want, count, owner, psis = [], [], [], [], []
+    for p in params:
+        n_rows = members[p.fold, p.share]
+        psi = sample_size(p, n_rows)
+        mine = np.array([features.index(f) for f in p.features])
+        k = max(1, int(p.max_features * len(mine)))
+        owner.append(list(range(len(trees), len(trees) + p.n_estimators)))
+        psis.append(psi)
+        for t in range(p.n_estimators):
+            salt = int(_mix(_mix(np.uint64(p.seed)) ^ np.uint64(t)))
+            order = np.argsort(_draw(np.uint64(salt), mine, 63), kind="stable")
+            trees.append(_Tree(salt, None if p.bootstrap else -1 if psi < n_rows else 2 ** 64 - 1, psi / max(n_rows, 1),
+                               int(math.ceil(math.log2(max(psi, 2)))), sorted(mine[order[:k]].tolist()), p.fold, p.share))
+            want.append(psi)
+            count.append(n_rows)
+    _cuts(rows, trees, want, count, d)
+    if not any(count):
+        empty = spark.createDataFrame([], UNIT_SCHEMA)
+        return Forests(spark, params, features, trees, Tops(len(trees)), {}, empty, psis, [members[p.fold, p.share] for p in params], owner)
+    tops, units, leaves = _tops(rows, trees, want, d, unit_rows)
+    # counts of samples drawn with replacement vary: a root within a few deviations of the limit is still one unit
+    bins = _bins(units, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), unit_rows)
+    grown = _deal(rows, trees, tops, bins, d, False).groupBy("bin").applyInArrow(_grown(trees, tops, bins, d), UNIT_SCHEMA)
+    for t, node, depth, size in leaves:
+        bins[t, node] = bins.get((t, node), 0)
+    if leaves:
+        flat = [(t, node, depth, 1, size, np.array([-1], "<i2").tobytes(), np.array([size], "<f8").tobytes(), [0] * d) for t, node, depth, size in leaves]
+        grown = grown.unionByName(spark.createDataFrame([(*r[:5], bytearray(r[5]), bytearray(r[6]), r[7]) for r in flat], UNIT_SCHEMA))
+    return Forests(spark, params, features, trees, tops, bins, written(grown), psis, [members[p.fold, p.share] for p in params], owner)
 
-    nodes = samples.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
-    from ..session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    nodes = nodes.checkpoint(eager=True)  # the model: a small, reusable table
-    model = IsolationForestModel(params, nodes, psi, n)
-    if params.contamination != "auto":
-        from ..operators.core import quantile_values
+class IsolationForestModel:
+    """One forest of a ``Forests``, with its threshold."""
+
+    def __init__(self, forests: Forests, at: int = 0, threshold: float = 0.5):
+        self.forests, self.at, self.threshold = forests, at, threshold
+        self.params, self.psi, self.n_train = forests.params[at], forests.psi[at], forests.n_train[at]
+
+    @property
+    def nodes(self) -> DataFrame:
+        """One row a node: its number (root 1, children 2i and 2i+1), split or leaf."""
+        own = self.forests.owner[self.at]
+        first = own[0] if own else 0
+        features = self.forests.features
+        mine = [self.params.features.index(f) if f in list(self.params.features) else -1 for f in features]
+
+        def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for r in batch.to_pylist():
+                    f, v = np.frombuffer(r["feature"], "<i2"), np.frombuffer(r["value"], "<f8")
+                    kids, depth, w = unfold(f, v, r["depth"])
+                    leaf = f < 0
+                    node, size = np.empty(len(f), np.int64), np.where(leaf, v, 0).astype(np.int64)
+                    node[0] = r["node"]
+                    inner = np.flatnonzero(~leaf)
+                    for level in np.unique(depth[inner]):
+                        at = inner[depth[inner] == level]
+                        node[kids[at]], node[kids[at] + 1] = 2 * node[at], 2 * node[at] + 1
+                    for level in np.unique(depth[inner])[::-1]:
+                        at = inner[depth[inner] == level]
+                        size[at] = size[kids[at]] + size[kids[at] + 1]
+                    yield pa.RecordBatch.from_pydict({
+                        "tree": pa.array(np.full(len(f), r["tree"] - first), pa.int32()), "node": pa.array(node),
+                        "feature": pa.array(np.where(leaf, -1, np.array([*mine, -1])[f]), pa.int32()), "threshold": pa.array(np.where(leaf, 0.0, v)),
+                        "left": pa.array(np.where(leaf, -1, 2 * node)), "right": pa.array(np.where(leaf, -1, 2 * node + 1)), "size": pa.array(size),
+                        "depth": pa.array(depth, pa.int32()), "leaf": pa.array(leaf), "path": pa.array(np.where(leaf, w, 0.0))})
+
+        # units hold any number of nodes: one batch a unit
+        below = self.forests.units.filter(F.col("tree").between(first, first + len(own) - 1)).mapInArrow(unpack, NODE_SCHEMA)
+        tops = [(t - first, node, mine[f], v, 2 * node, 2 * node + 1, None, node.bit_length() - 1, False, 0.0)
+                for t in own for node, (f, v) in self.forests.tops.splits[t].items()]
+        return below.unionByName(self.forests.spark.createDataFrame(tops, NODE_SCHEMA)) if tops else below
+
+    def arrays(self) -> DataFrame:
+        """The finished model (already written when ``fit`` returns)."""
+        return self.forests.units
+
+    def transform(self, df: DataFrame, score: str = "score", pred: str = "pred") -> DataFrame:
+        """EV1 — add the score and the predicted label (score above the threshold)."""
+        base = [x for x in df.columns if x not in (score, pred, "_scores")]
+        out = self.forests.scores(df, base).withColumn(score, F.col("_scores")[self.at]).drop("_scores")
+        return out.withColumn(pred, (F.col(score) > F.lit(self.threshold)).cast("int"))
 
+    # -- persistence (SNK5) --------------------------------------------------
+    def save(self, path: str) -> None:
+        own = self.forests.owner[self.at]
+        units = self.forests.units.filter(F.col("tree").isin(own)).withColumn("tree", F.col("tree") - own[0])
+        units.write.mode("overwrite").parquet(os.path.join(path, "units"))
+        mine = {t: i for i, t in enumerate(own)}
+        meta = dict(params=asdict(self.params) | {"features": list(self.params.features), "key": list(self.params.key)}, columns=self.forests.features,
+                    psi=self.psi, n_train=self.n_train, threshold=self.threshold, trees=[asdict(self.forests.trees[t]) for t in own],
+                    tops=[[[k, *v] for k, v in self.forests.tops.splits[t].items()] for t in own],
+                    bins=[[mine[t], n, b] for (t, n), b in self.forests.bins.items() if t in mine])
+        spark = self.forests.spark
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(os.path.join(path, "meta"))
+
+    @staticmethod
+    def load(spark, path: str) -> "IsolationForestModel":
+        meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
+        trees = [_Tree(**t) for t in meta["trees"]]
+        tops = Tops(len(trees))
+        for t, held in enumerate(meta["tops"]):
+            tops.splits[t] = {k: (f, v) for k, f, v in held}
+        forests = Forests(spark, [IsolationForestParams(**meta["params"])], meta["columns"], trees, tops, {(t, n): b for t, n, b in meta["bins"]},
+                          spark.read.parquet(os.path.join(path, "units")), [meta["psi"]], [meta["n_train"]], [list(range(len(trees)))])
+        return IsolationForestModel(forests, 0, meta["threshold"])
+
+
+def thresholds(scored: DataFrame, forests: Forests, contamination: Sequence[str | float]) -> list[float]:
+    """Each forest's threshold: the (1 - contamination) quantile of the training
+    scores in ``scored`` (0.5 for "auto")."""
+    from ..operators.core import quantile_values
+
+    asked = [i for i, c in enumerate(contamination) if c != "auto"]
+    out = [0.5] * len(contamination)
+    if asked:
+        cols = scored.select(*[F.col("_scores")[i].alias(f"s{i}") for i in asked])
+        probs = sorted({1.0 - float(contamination[i]) for i in asked})
+        found = quantile_values(cols, [f"s{i}" for i in asked], probs)
+        for i in asked:
+            out[i] = float(found[f"s{i}", 1.0 - float(contamination[i])])
+    return out
+
+
+def fit(df: DataFrame, params: IsolationForestParams, n: int | None = None) -> IsolationForestModel:
+    """ML8 — one forest; its threshold from ``contamination`` (see ``thresholds``)."""
+    forests = grow_forests(df, [params], n)
+    model = forests.model()
+    if params.contamination != "auto":
         # score the training rows once: the quantile takes several passes
-        scored = df.select(model.score_column().alias("_s")).checkpoint(eager=True)
-        q = 1.0 - float(params.contamination)
-        model.threshold = float(quantile_values(scored, ["_s"], [q])[("_s", q)])
+        scored = written(forests.scores(df, []))
+        model.threshold = thresholds(scored, forests, [params.contamination])[0]
     return model
 
 
@@ -331,20 +870,25 @@ def fit(df: DataFrame, params: IsolationForestParams, n: int | None = None) -> I
 
 def split_importance(model: IsolationForestModel) -> DataFrame:
     """XP1 — number of splits per feature across all trees (and share)."""
-    names = model.nodes.sparkSession.createDataFrame(list(enumerate(model.params.features)), "feature int, name string")
-    cnt = model.nodes.filter(~F.col("leaf")).groupBy("feature").agg(F.count(F.lit(1)).alias("splits"))
+    forests = model.forests
+    own, spark = forests.owner[model.at], forests.spark
+    names = spark.createDataFrame(list(enumerate(forests.features)), "feature int, name string")
+    below = forests.units.filter(F.col("tree").isin(own)).select(F.posexplode("splits").alias("feature", "splits"))
+    tops = [(f, 1) for t in own for f, _ in forests.tops.splits[t].values()]
+    if tops:
+        below = below.unionByName(spark.createDataFrame(tops, "feature int, splits long"))
+    cnt = below.groupBy("feature").agg(F.sum("splits").alias("splits")).filter("splits > 0")
     tot = cnt.agg(F.sum("splits").alias("_t"))
     return cnt.join(F.broadcast(names), "feature").crossJoin(F.broadcast(tot)) \
         .select(F.col("name").alias("feature"), "splits", (F.col("splits") / F.col("_t")).alias("share"))
 
 
-def tree_convergence(model: IsolationForestModel, df: DataFrame, label: str, sizes: Sequence[int]) -> DataFrame:
-    """XP8 — ROC-AUC of the score computed with the first k trees, for each k."""
-    from ..operators.evaluate import roc_auc
-
-    rows = []
-    for k in sizes:
-        sc = df.select(F.col(f"`{label}`").alias("_y"), model.score_column(trees=k).alias("_s"))
-        auc = roc_auc(sc, "_y", "_s").first()["roc_auc"]
-        rows.append((int(k), float(auc)))
-    return df.sparkSession.createDataFrame(rows, "trees int, roc_auc double")
+def tree_convergence(model: IsolationForestModel, train: DataFrame, df: DataFrame, label: str, sizes: Sequence[int],
+                     contamination: float = 0.05) -> DataFrame:
+    """XP8 — precision, recall and F1 on ``df`` of the first k trees, for each k; every
+    k has its own threshold from the training scores. Rows are scored once for all k."""
+    grown = model.forests.prefixes(model.at, sizes)
+    limits = thresholds(written(grown.scores(train, [])), grown, [contamination] * len(sizes))
+    scored = grown.scores(df.withColumn("_all", F.lit("all")), [label, "_all"])
+    names = F.element_at(F.array(*[F.lit(int(k)) for k in sizes]), F.col("forest") + 1)
+    return grown.f1_table(scored, label, "_all", limits).select(names.alias("trees"), "tn", "fp", "fn", "tp", "precision", "recall", "f1")

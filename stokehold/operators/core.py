@@ -257,9 +257,6 @@ def round_cols(df: DataFrame, digits: int = 6, cols: Sequence[str] | None = None
 # exact quantiles without a single-task value map
 # ---------------------------------------------------------------------------
 
-SMALL_DISTINCT = 200_000  # a value→count map this small is safe inside one aggregate buffer
-
-
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles (linear interpolation at h = (n−1)p, as ``percentile``)
     as rows (by…, column, prob, value), computed without any task holding all
@@ -299,103 +296,86 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], b
     return picked.select(*[c(k) for k in keys], "prob", value.alias("value"))
 
 
-BRACKET_ROWS = 100_000   # rows of one bracket that may be collected for an exact pick
 APPROX_ACCURACY = 10_000
 
 
-def _bracket_probs(probs: Sequence[float]) -> list[float]:
-    delta = 3.0 / APPROX_ACCURACY
-    return sorted({min(1.0, max(0.0, p + s_ * delta)) for p in probs for s_ in (-1, 1)})
+def order_statistics(df: DataFrame, targets: dict[str, tuple[Column, Callable[[int], list[int]], list[float]]],
+                     accuracy: int = APPROX_ACCURACY) -> dict[str, tuple[int, dict[int, float]]]:
+    """Exact values at given positions of many columns, by brackets that shrink
+    round by round: {name: (rows, {position: value})}.
+
+    ``targets`` gives for each name its values (nulls and NaN are left out), the 0-based positions for a
+    row count, and the shares of the rows near which they lie. Each round is one
+    aggregate that counts the rows before every bracket's ends and one whose ``percentile_approx``
+    narrows it to about 1/1,000 of the rows strictly inside; a bracket with fewer rows than half the
+    accuracy is read exactly, one whose ends meet is settled. Only counts and bracket ends
+    reach the driver, and every size of table takes the same way."""
+    value = {k: F.nanvl(v.cast("double"), F.lit(None).cast("double")) for k, (v, _, _) in targets.items()}
+    slack = 3.0 / accuracy
+    near = {k: sorted({min(1.0, max(0.0, p + s * slack)) for p in ps for s in (-1, 1)}) for k, (_, _, ps) in targets.items()}
+    names = list(targets)
+    first = df.agg(*[x for i, k in enumerate(names) for x in (
+        F.count(value[k]).alias(f"n{i}"), F.percentile_approx(value[k], near[k], accuracy).alias(f"q{i}"))]).first()
+    out, state = {}, {}
+    for i, k in enumerate(names):
+        n = first[f"n{i}"]
+        out[k] = (n, {})
+        for pos in set(targets[k][1](n)) if n else ():
+            # percentile_approx gives the ceil(p n)-th value
+            below = [p for p in near[k] if p * n < pos + 1 - n / accuracy] or [None]
+            above = [p for p in near[k] if p * n > pos + 1 + n / accuracy] or [None]
+            ends = dict(zip(near[k], first[f"q{i}"])) | {None: None}
+            state[k, pos] = (ends[below[-1]], ends[above[0]])
+    while state:
+        for (k, pos), (a, b) in list(state.items()):
+            if a is not None and a == b:
+                out[k][1][pos] = a
+                del state[k, pos]
+        if not state:
+            break
+        held = list(state.items())
+        before = lambda k, x, equal: F.count_if(value[k] <= F.lit(x) if equal else value[k] < F.lit(x))
+        counts = df.agg(*[x for i, ((k, _), (a, b)) in enumerate(held) for x in (
+            *([before(k, a, e).alias(f"a{int(e)}_{i}") for e in (False, True)] if a is not None else []),
+            *([before(k, b, e).alias(f"b{int(e)}_{i}") for e in (False, True)] if b is not None else []))] or [F.lit(0)]).first()
+        probes, state = [], {}
+        for i, ((k, pos), (a, b)) in enumerate(held):
+            n = out[k][0]
+            lt_a, le_a = (0, 0) if a is None else (counts[f"a0_{i}"], counts[f"a1_{i}"])
+            lt_b, le_b = (n, n) if b is None else (counts[f"b0_{i}"], counts[f"b1_{i}"])
+            if pos < lt_a or pos >= le_b:  # the sketch missed: open that end
+                state[k, pos] = (None, a) if pos < lt_a else (b, None)
+            elif pos < le_a or pos >= lt_b:
+                out[k][1][pos] = a if pos < le_a else b
+            else:
+                share, exact = (pos - le_a + 0.5) / (lt_b - le_a), 2 * (lt_b - le_a) < accuracy
+                probes.append((k, pos, i, [share] if exact else [max(0.0, share - slack), min(1.0, share + slack)], a, b))
+        if probes:
+            inside = lambda k, a, b: (F.lit(True) if a is None else value[k] > F.lit(a)) & (F.lit(True) if b is None else value[k] < F.lit(b))
+            row = df.agg(*[F.percentile_approx(F.when(inside(k, a, b), value[k]), ps, accuracy).alias(f"q{i}") for k, _, i, ps, a, b in probes]).first()
+            for k, pos, i, ps, a, b in probes:
+                q = row[f"q{i}"]
+                # values strictly inside the bracket: every round leaves its ends behind
+                state[k, pos] = (q[0], q[-1])
+    return out
 
 
-def _bracket_aggs(cols: Sequence[str], probs: Sequence[float]) -> list[Column]:
-    qs = _bracket_probs(probs)
-    return [*[F.count(c(x)).alias(f"{x}__n") for x in cols],
-            *[F.percentile_approx(c(x), qs, APPROX_ACCURACY).alias(f"{x}__q") for x in cols]]
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], float | None]:
+    """Exact quantiles of whole columns (linear interpolation at h = (n-1)p, as
+    ``percentile``) as {(column, p): value}; see ``order_statistics``."""
+    cols, probs = list(cols), [float(p) for p in probs]
+    if not cols:
+        return {}
 
+    def positions(n: int) -> list[int]:
+        return [r for p in probs for r in {math.floor((n - 1) * p), min(math.floor((n - 1) * p) + 1, n - 1)}]
 
-def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], row=None) -> dict:
-    """Exact quantiles from approximate brackets: ``percentile_approx`` (rank
-    error ≤ n/accuracy) gives values a ≤ x₍ₖ₎ ≤ x₍ₖ₊₁₎ ≤ b; one aggregate counts
-    the rows below a and inside [a, b]; only the bracket rows (bounded by
-    ``BRACKET_ROWS``) are collected and the order statistics are read off.
-    Returns the targets it could settle; the rest go to the sort path."""
-    delta = 3.0 / APPROX_ACCURACY
-    qs = _bracket_probs(probs)
-    if row is None:  # callers may pass the brackets computed in an earlier aggregate
-        row = df.agg(*_bracket_aggs(cols, probs)).first()
-    targets = []
+    found = order_statistics(df, {x: (c(x), positions, probs) for x in cols})
+    out: dict[tuple[str, float], float | None] = {}
     for x in cols:
-        n = row[f"{x}__n"] or 0
-        if n == 0:
-            continue
-        approx = dict(zip(qs, row[f"{x}__q"]))
+        n, at = found[x]
         for p in probs:
-            a = approx[min(1.0, max(0.0, p - delta))]
-            b = approx[min(1.0, max(0.0, p + delta))]
             h = (n - 1) * p
-            lo = int(math.floor(h))
-            targets.append((x, float(p), float(a), float(b), h, lo, min(lo + 1, n - 1)))
-    if not targets:
-        return {}
-    cnt = df.agg(*[a_ for i, (x, p, a, b, *_r) in enumerate(targets) for a_ in (
-        F.count_if(c(x) < F.lit(a)).alias(f"b{i}"), F.count_if((c(x) >= F.lit(a)) & (c(x) <= F.lit(b))).alias(f"i{i}"))]).first()
-    ok = []
-    for i, (x, p, a, b, h, lo, hi) in enumerate(targets):
-        below, inside = cnt[f"b{i}"], cnt[f"i{i}"]
-        if below <= lo and below + inside - 1 >= hi and inside <= BRACKET_ROWS:
-            ok.append((i, below))
-    if not ok:
-        return {}
-    conds = {i: (c(targets[i][0]) >= F.lit(targets[i][2])) & (c(targets[i][0]) <= F.lit(targets[i][3])) for i, _ in ok}
-    any_bracket = reduce(lambda u, w: u | w, conds.values())
-    picks = F.array(*[F.when(conds[i], F.struct(F.lit(i).alias("t"), c(targets[i][0]).cast("double").alias("v")))
-                      for i, _ in ok])
-    vals: dict[int, list[float]] = {i: [] for i, _ in ok}
-    inside = df.filter(any_bracket).select(F.explode(picks).alias("z")).filter(F.col("z").isNotNull())
-    for r in inside.select("z.t", "z.v").collect():
-        vals[r["t"]].append(r["v"])  # bracket rows only: ≤ BRACKET_ROWS per target
-    out = {}
-    for i, below in ok:
-        x, p, a, b, h, lo, hi = targets[i]
-        v = sorted(vals[i])
-        vlo, vhi = v[lo - below], v[hi - below]
-        out[(x, p)] = vlo + (h - lo) * (vhi - vlo)
-    return out
-
-
-def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    small_distinct: int = SMALL_DISTINCT) -> dict[tuple[str, float], float | None]:
-    """Exact quantiles of whole columns as {(column, p): value}.
-
-    * few distinct values (HyperLogLog estimate): one ``percentile`` aggregate,
-      whose value map is bounded by that count;
-    * otherwise approximate brackets settle most targets with two aggregates
-      and a bounded collect (``_bracketed_quantiles``);
-    * anything left (brackets wider than ``BRACKET_ROWS``) goes through
-      ``quantile_table``'s distributed sort."""
-    cols = list(cols)
-    probs = [float(p) for p in probs]
-    if not cols:
-        return {}
-    # one pass: distinct-count estimates and the approximate brackets of every column
-    nd = df.agg(*[F.approx_count_distinct(c(x)).alias(x) for x in cols], *_bracket_aggs(cols, probs)).first()
-    small = [x for x in cols if (nd[x] or 0) <= small_distinct]
-    large = [x for x in cols if x not in small]
-    out: dict[tuple[str, float], float | None] = {}
-    if small:
-        row = df.agg(*[F.percentile(c(x), list(probs)).alias(x) for x in small]).first()
-        for x in small:
-            vals = row[x] or [None] * len(probs)
-            for p, v in zip(probs, vals):
-                out[(x, p)] = v
-    if large:
-        out.update(_bracketed_quantiles(df, large, probs, row=nd))
-        rest = sorted({x for x in large for p in probs if (x, p) not in out})
-        if rest:
-            for r in quantile_table(df, rest, probs).collect():  # columns × probs rows
-                out.setdefault((r["column"], float(r["prob"])), r["value"])
-        for x in large:
-            for p in probs:
-                out.setdefault((x, p), None)
+            lo = math.floor(h)
+            out[(x, p)] = at[lo] + (h - lo) * (at[min(lo + 1, n - 1)] - at[lo]) if n else None
     return out

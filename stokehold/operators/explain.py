@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.random import hash_normal, hash_uniform
@@ -142,24 +142,33 @@ def local_surrogate(rows: DataFrame, scorer: Scorer, features: Sequence[str], ke
     return scored.groupBy(*[c(x) for x in key]).applyInPandas(fit, schema)
 
 
-def ablation(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, fit_fn: Callable) -> DataFrame:
-    """XP6 — validation F1 with all features and with each one dropped."""
-    spark = train.sparkSession
-    full = _f1(fit_fn(train, list(features)).transform(val), label).first()["f1"]
-    rows = [("none", full, 0.0)]
-    for f in features:
-        rest = [x for x in features if x != f]
-        f1 = _f1(fit_fn(train, rest).transform(val), label).first()["f1"]
-        rows.append((f, f1, full - f1))
-    return spark.createDataFrame(rows, "dropped string, f1 double, f1_drop double")
+def ablation(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, base) -> DataFrame:
+    """XP6 — validation F1 with all features and with each one dropped; ``base`` are
+    isolation-forest parameters. All forests grow in one job and score a row at once."""
+    from dataclasses import replace
+
+    from ..models import iforest as IF
+
+    names = ["none", *features]
+    grown = IF.grow_forests(train, [replace(base, features=[x for x in features if x != f]) for f in names])
+    limits = IF.thresholds(IF.written(grown.scores(train, [])), grown, [base.contamination] * len(names)) if base.contamination != "auto" else [0.5] * len(names)
+    table = grown.f1_table(grown.scores(val.withColumn("_all", F.lit("all")), [label, "_all"]), label, "_all", limits)
+    full = F.max(F.when(F.col("forest") == 0, F.col("f1"))).over(Window.partitionBy("_all"))  # one row a forest
+    dropped = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("forest") + 1)
+    return table.select(dropped.alias("dropped"), "precision", "recall", "f1", (full - F.col("f1")).alias("f1_drop"))
 
 
-def seed_stability(train: DataFrame, evaluate_on: DataFrame, label: str, fit_fn: Callable, seeds: Sequence[int],
+def seed_stability(train: DataFrame, evaluate_on: DataFrame, label: str, base, seeds: Sequence[int],
                    max_std: float = 0.05) -> DataFrame:
-    """XP7 — F1 over seeds: mean, std, min, max and a stability status."""
-    spark = train.sparkSession
-    f1s = [_f1(fit_fn(train, s).transform(evaluate_on), label).first()["f1"] for s in seeds]
-    t = spark.createDataFrame([(int(s), float(v)) for s, v in zip(seeds, f1s)], "seed int, f1 double")
+    """XP7 — F1 over seeds: mean, std, min, max and a stability status; the forests
+    of all seeds grow in one job."""
+    from dataclasses import replace
+
+    from ..models import iforest as IF
+
+    grown = IF.grow_forests(train, [replace(base, seed=s) for s in seeds])
+    limits = IF.thresholds(IF.written(grown.scores(train, [])), grown, [base.contamination] * len(seeds)) if base.contamination != "auto" else [0.5] * len(seeds)
+    t = grown.f1_table(grown.scores(evaluate_on.withColumn("_all", F.lit("all")), [label, "_all"]), label, "_all", limits)
     return t.agg(F.avg("f1").alias("f1_mean"), F.stddev_samp("f1").alias("f1_std"), F.min("f1").alias("f1_min"),
                  F.max("f1").alias("f1_max"), F.count(F.lit(1)).alias("seeds")) \
         .withColumn("status", F.when(F.col("f1_std") < max_std, "STABLE").otherwise("UNSTABLE"))

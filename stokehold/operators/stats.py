@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from ..functions.scalar import normal_cdf
+from ..functions.scalar import normal_cdf, normal_density, normal_quantile
+from ..session import written
 from .core import ROW_INDEX, c, distinct_value_ranks, quantile_table, quantile_values, running_sums, with_row_index
 
 
@@ -206,22 +207,46 @@ def anova(df: DataFrame, value: str, group: str, min_rows: int = 10) -> DataFram
     return _frame(df, [(value, r["k"], r["N"], r["f_stat"], p)], "feature string, groups long, n long, f_stat double, p_value double")
 
 
+def _deviations(df: DataFrame, value: str, group: str) -> DataFrame:
+    """(group, |value - group median|, rows), one row a distinct deviation: values
+    are counted first, so the medians join a table of distinct values."""
+    v = c(value).cast("double")
+    d = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(c(group).alias("_g"), v.alias("_x")).agg(F.count(F.lit(1)).alias("w"))
+    raw = df.filter(v.isNotNull() & ~F.isnan(v)).select(v.alias("_x"), c(group).alias("_g"))
+    med = quantile_table(raw, ["_x"], [0.5], by=["_g"]).select("_g", F.col("value").alias("_m"))
+    return d.join(med, "_g").groupBy("_g", F.abs(F.col("_x") - F.col("_m")).alias("_z")).agg(F.sum("w").alias("w"))
+
+
 def levene_stats(df: DataFrame, value: str, group: str) -> DataFrame:
-    """ST11 statistic — Levene with median centring (Brown–Forsythe).
-    Pass 1: group medians; pass 2: group means of |x − median|; pass 3: sums."""
-    d = df.filter(c(value).isNotNull()).select(c(value).alias("_x"), c(group).alias("_g"))
-    med = quantile_table(d, ["_x"], [0.5], by=["_g"]).select("_g", F.col("value").alias("_m"))
-    z = d.join(med, "_g").withColumn("_z", F.abs(F.col("_x") - F.col("_m")))  # group medians: one row per group
-    zg = z.groupBy("_g").agg(F.count(F.lit(1)).alias("ni"), F.avg("_z").alias("zi"))
-    zall = z.agg(F.avg("_z").alias("zbar"), F.count(F.lit(1)).alias("N"))
-    between = zg.crossJoin(F.broadcast(zall)).agg(F.sum(F.col("ni") * (F.col("zi") - F.col("zbar")) ** 2).alias("num"),
-                                     F.count(F.lit(1)).alias("k"), F.first("N").alias("N"))
-    within = z.join(zg, "_g").agg(F.sum((F.col("_z") - F.col("zi")) ** 2).alias("den"))
-    j = between.crossJoin(within)
+    """ST11 statistic — Levene with median centring (Brown–Forsythe), from the
+    moments of the deviations of each group (centred, merged pairwise by the aggregate's own means)."""
+    z = _deviations(df, value, group)
+    z = z.join(z.groupBy("_g").agg(F.sum("w").alias("ni"), (F.sum(F.col("_z") * F.col("w")) / F.sum("w")).alias("zi")), "_g")
+    per = z.groupBy("_g").agg(F.first("ni").alias("ni"), F.first("zi").alias("zi"), F.sum(F.col("w") * (F.col("_z") - F.col("zi")) ** 2).alias("ss"))
+    zall = per.agg((F.sum(F.col("ni") * F.col("zi")) / F.sum("ni")).alias("zbar"))
+    j = per.crossJoin(F.broadcast(zall)).agg(F.sum("ni").alias("N"), F.count(F.lit(1)).alias("k"), F.sum("ss").alias("den"),  # one row
+                                             F.sum(F.col("ni") * (F.col("zi") - F.col("zbar")) ** 2).alias("num"))
     w = (F.col("N") - F.col("k")) / (F.col("k") - 1) * F.col("num") / F.col("den")
     return j.select(F.lit(value).alias("feature"), "N", "k", w.alias("levene_stat"))
 
 
+def fligner_stats(df: DataFrame, value: str, group: str) -> DataFrame:
+    """ST11 statistic — Fligner–Killeen: the deviations from the group medians get
+    pooled mid-ranks r, these the half-normal scores Φ⁻¹(1/2 + r / (2 (N + 1))), and
+    the statistic compares the groups' mean scores with the variance of all scores."""
+    z = _deviations(df, value, group)
+    ranks = distinct_value_ranks(z.groupBy("_z").agg(F.sum("w").alias("cnt")), "_z").select("_z", "midrank")
+    n = z.agg(F.sum("w").alias("N"))
+    scored = z.join(ranks, "_z").crossJoin(F.broadcast(n)) \
+        .withColumn("a", normal_quantile(F.lit(0.5) + F.col("midrank") / (2 * (F.col("N") + 1))))  # one row
+    per = scored.groupBy("_g").agg(F.sum("w").alias("ni"), F.sum(F.col("w") * F.col("a")).alias("sa"), F.sum(F.col("w") * F.col("a") ** 2).alias("sq"))
+    t = per.agg(F.sum("ni").alias("N"), F.count(F.lit(1)).alias("k"), F.sum("sa").alias("sa"), F.sum("sq").alias("sq"),
+                F.sum(F.col("sa") ** 2 / F.col("ni")).alias("between"))
+    mean2 = F.col("sa") ** 2 / F.col("N")
+    stat = (F.col("between") - mean2) / ((F.col("sq") - mean2) / (F.col("N") - 1))
+    return t.select(F.lit(value).alias("feature"), "N", "k", stat.alias("fligner_stat"))
+
+
 def bartlett_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """ST11 statistic — Bartlett's T from group sample variances (one pass + a tiny agg)."""
     per = df.filter(c(value).isNotNull()).groupBy(c(group).alias("_g")).agg(
@@ -235,20 +260,21 @@ def bartlett_stats(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 def homoscedasticity(df: DataFrame, target: str, cols: Sequence[str], min_rows: int = 10) -> DataFrame:
-    """ST11 — Levene and Bartlett of each feature between the halves split at the target median."""
+    """ST11 — Levene, Bartlett and Fligner–Killeen of each feature between the halves
+    split at the target median (rows without a target are in neither half; a feature needs ``min_rows`` in both)."""
     med = quantile_values(df, [target], [0.5])[(target, 0.5)]
-    g = df.withColumn("_half", F.when(c(target) > F.lit(med), "high").otherwise("low"))
+    g = df.filter(c(target).isNotNull()).withColumn("_half", F.when(c(target) > F.lit(med), "high").otherwise("low"))
+    sizes = {r["_half"]: r for r in g.groupBy("_half").agg(*[F.count(c(x)).alias(x) for x in cols]).collect()}
     rows = []
     for x in cols:
-        lev = levene_stats(g, x, "_half").first()
-        bar = bartlett_stats(g, x, "_half").first()
-        if lev["N"] is None or lev["k"] < 2:
+        if len(sizes) < 2 or min(r[x] for r in sizes.values()) < min_rows:
             continue
+        lev, bar, fli = levene_stats(g, x, "_half").first(), bartlett_stats(g, x, "_half").first(), fligner_stats(g, x, "_half").first()
         lp = tails.f_sf(lev["levene_stat"], lev["k"] - 1, lev["N"] - lev["k"])
-        bp = tails.chi2_sf(bar["bartlett_stat"], bar["k"] - 1)
-        rows.append((x, lev["levene_stat"], lp, bar["bartlett_stat"], bp, lp > 0.05))
+        rows.append((x, lev["levene_stat"], lp, bar["bartlett_stat"], tails.chi2_sf(bar["bartlett_stat"], bar["k"] - 1),
+                     fli["fligner_stat"], tails.chi2_sf(fli["fligner_stat"], fli["k"] - 1), lp > 0.05))
     return _frame(df, rows, "feature string, levene_stat double, levene_p double, bartlett_stat double, bartlett_p double, "
-                            "homoscedastic boolean")
+                            "fligner_stat double, fligner_p double, homoscedastic boolean")
 
 
 # ---------------------------------------------------------------------------
@@ -342,54 +368,149 @@ def power_analysis(df: DataFrame, value: str, label: str, alpha: float = 0.05, p
 # normality (ST5–ST7, ST9, ST10, ST23)
 # ---------------------------------------------------------------------------
 
-def _standardised_ranks(df: DataFrame, value: str):
-    d = df.select(c(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    mom = d.agg(F.avg("_x").alias("mu"), F.stddev_samp("_x").alias("sd")).first()
-    idx, n = with_row_index(d, [F.col("_x")])
-    z = (F.col("_x") - F.lit(mom["mu"])) / F.lit(mom["sd"])
-    return (idx.withColumn("_F", normal_cdf(z)).withColumn("_S", normal_cdf(-z))  # survival kept apart: exact in the tail
-            .withColumn("_i", F.col(ROW_INDEX) + 1)), n, mom
+def value_runs(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, dict]]:
+    """(feature, z, cnt, before, n): the distinct standardised values of each
+    column with their rows and the rows below, and the moments {feature: n, mu, sd}.
+    Values are counted before they are ordered, so a hot value is one row."""
+    value = {x: F.nanvl(c(x).cast("double"), F.lit(None).cast("double")) for x in cols}
+    mom = df.agg(*[a for x in cols for a in (F.count(value[x]).alias(f"{x}__n"), F.avg(value[x]).alias(f"{x}__mu"), F.stddev_samp(value[x]).alias(f"{x}__sd"))]).first()
+    stat = {x: {k: mom[f"{x}__{k}"] for k in ("n", "mu", "sd")} for x in cols}
+    cols = [x for x in cols if stat[x]["sd"]]  # constant columns have no scale
+    pairs = F.array(*[F.struct(F.lit(i).alias("f"), value[x].alias("x")) for i, x in enumerate(cols)]) if cols else F.array().cast("array<struct<f:int,x:double>>")
+    counts = df.select(F.explode(pairs).alias("p")).select("p.f", "p.x").filter("x is not null").groupBy("f", "x").agg(F.count(F.lit(1)).alias("cnt"))
+    idx, m = with_row_index(counts, [F.col("f"), F.col("x")])
+    cum = running_sums(idx, m, ["cnt"])
+    start, total = [], 0
+    for x in cols:
+        start.append(total)
+        total += stat[x]["n"]
+    lookup = lambda v: F.element_at(F.array(*[F.lit(a) for a in v] or [F.lit(None)]), F.col("f") + 1)
+    z = (F.col("x") - lookup([stat[x]["mu"] for x in cols])) / lookup([stat[x]["sd"] for x in cols])
+    return cum.select(lookup(cols).alias("feature"), z.alias("z"), "cnt", (F.col("cnt__cum") - F.col("cnt") - lookup(start)).alias("before"),
+                      lookup([stat[x]["n"] for x in cols]).alias("n")), stat
+
+
+def _tail_logs(runs: DataFrame) -> DataFrame:
+    # the survival function is kept apart: exact in the tail
+    return runs.withColumns({"_F": normal_cdf(F.col("z")), "_S": normal_cdf(-F.col("z"))})
+
+
+def anderson_stats(runs: DataFrame) -> DataFrame:
+    """ST6 statistic from ``value_runs``: A² = −n − (1/n) Σₖ [(2k−1) ln F(x₍ₖ₎) +
+    (2n−2k+1) ln(1 − F(x₍ₖ₎))], the ranks k of a run of equal values summed at once."""
+    f, sv = F.greatest(F.col("_F"), F.lit(1e-300)), F.greatest(F.col("_S"), F.lit(1e-300))
+    w, s, n = F.col("cnt").cast("double"), F.col("before").cast("double"), F.col("n").cast("double")
+    terms = w * (2 * s + w) * F.log(f) + w * (2 * n - 2 * s - w) * F.log(sv)
+    t = _tail_logs(runs).groupBy("feature", "n").agg(F.sum(terms).alias("s"))
+    return t.select("feature", "n", (-F.col("n") - F.col("s") / F.col("n")).alias("ad_stat"))
+
+
+def ks_normal_stats(runs: DataFrame) -> DataFrame:
+    """ST7 statistic from ``value_runs``: D = max(k/n − F, F − (k−1)/n), which a run of
+    equal values takes at its last and first rank."""
+    d = F.greatest((F.col("before") + F.col("cnt")) / F.col("n") - F.col("_F"), F.col("_F") - F.col("before") / F.col("n"))
+    return _tail_logs(runs).groupBy("feature", "n").agg(F.max(d).alias("ks_stat"))
+
+
+#: Ranks at either end of a run of equal values whose normal scores are added one by one.
+RUN_ENDS = 64
+
+
+def _scores_between(lo: Column, hi: Column, n: Column) -> tuple[Column, Column]:
+    """Sums of the scores m and of m² over the ranks lo..hi, one by one."""
+    score = lambda i: normal_quantile((i - F.lit(0.375)) / (n + F.lit(0.25)))
+    ranks = F.transform(F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>")), score)
+    return tuple(F.aggregate(ranks, F.lit(0.0), f) for f in (lambda a, m: a + m, lambda a, m: a + m * m))
+
+
+def _scores_inside(lo: Column, hi: Column, n: Column) -> tuple[Column, Column]:
+    """The same for long runs away from the ends, by the Euler–Maclaurin formula at
+    half ranks: ∫ Φ⁻¹ = −φ(Φ⁻¹), ∫ (Φ⁻¹)² = u − z φ(z), and two terms of correction."""
+    scale = n + F.lit(0.25)
+
+    def at(t: Column) -> tuple[Column, Column]:
+        u = (t - F.lit(0.375)) / scale
+        z = normal_quantile(u)
+        d = normal_density(z)
+        first, third = 1 / (scale * d), 1 / (scale * d) ** 3
+        one = -scale * d - first / 24 + 7 * third * (1 + 2 * z * z) / 5760
+        two = scale * (u - z * d) - 2 * z * first / 24 + 7 * third * (8 * z + 4 * z ** 3) / 5760
+        return one, two
+
+    a, b = at(lo - F.lit(0.5)), at(hi + F.lit(0.5))
+    return b[0] - a[0], b[1] - a[1]
+
+
+def shapiro_francia_stats(runs: DataFrame) -> DataFrame:
+    """ST5 statistic over all rows — Shapiro–Francia W′ = (Σ mₖ x₍ₖ₎)² / (Σ mₖ² · Σ (x − x̄)²)
+    with Blom's scores mₖ = Φ⁻¹((k − 3/8) / (n + 1/4)). Equal values share the sum of the
+    scores of their ranks, so no row is expanded: short runs rank by rank, the inside of long ones in closed form."""
+    lo, hi, n = F.col("before") + 1, F.col("before") + F.col("cnt"), F.col("n").cast("double")
+    single = normal_quantile((lo - F.lit(0.375)) / (n + F.lit(0.25)))
+    short, left, right = _scores_between(lo, hi, n), _scores_between(lo, lo + RUN_ENDS - 1, n), _scores_between(hi - RUN_ENDS + 1, hi, n)
+    inside = _scores_inside(lo + RUN_ENDS, hi - RUN_ENDS, n)
+    m1, m2 = (F.when(F.col("cnt") == 1, single ** k).when(F.col("cnt") <= 4 * RUN_ENDS, short[k - 1])
+              .otherwise(left[k - 1] + inside[k - 1] + right[k - 1]) for k in (1, 2))
+    t = runs.withColumns({"_m1": m1, "_m2": m2}).groupBy("feature", "n").agg(
+        F.sum(F.col("_m1") * F.col("z")).alias("mx"), F.sum("_m2").alias("mm"), F.sum(F.col("cnt") * F.col("z") ** 2).alias("ss"))
+    return t.select("feature", "n", (F.col("mx") ** 2 / F.col("mm") / F.col("ss")).alias("w"))
+
+
+def shapiro_francia_p(w: float, n: int) -> float:
+    """Upper tail of the normalised ln(1 − W′) (Royston, 1993; calibrated for n to 5,000, its trend carried on beyond)."""
+    if n < 5:
+        return float("nan")
+    if w >= 1:
+        return 1.0
+    u = math.log(n)
+    v = math.log(u)
+    # fixed values: Royston's fit of the mean and deviation
+    mu, sigma = -1.2725 + 1.0521 * (v - u), 1.0308 - 0.26758 * (v + 2 / u)
+    return tails.norm_sf((math.log1p(-w) - mu) / sigma)
+
+
+def shapiro(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """ST5 — normality of every feature over all its rows (Shapiro–Francia), with its p-value."""
+    rows = [(r["feature"], r["n"], r["w"], shapiro_francia_p(r["w"], r["n"])) for r in shapiro_francia_stats(value_runs(df, cols)[0]).collect()]
+    return _frame(df, [(*r, bool(r[3] > 0.05)) for r in rows], "feature string, n long, w double, p_value double, is_normal boolean")
 
 
 def anderson(df: DataFrame, value: str) -> DataFrame:
-    """ST6 — Anderson–Darling A² against N(mean, sample std), from global ranks:
-    A² = −n − (1/n) Σₖ [(2k−1) ln F(x₍ₖ₎) + (2n−2k+1) ln(1 − F(x₍ₖ₎))]."""
-    t, n, _ = _standardised_ranks(df, value)
-    f = F.greatest(F.col("_F"), F.lit(1e-300))
-    sv = F.greatest(F.col("_S"), F.lit(1e-300))
-    s = t.agg(F.sum((2 * F.col("_i") - 1) * F.log(f) + (2 * F.lit(n) - 2 * F.col("_i") + 1) * F.log(sv)).alias("s"))
-    a2 = -F.lit(float(n)) - F.col("s") / F.lit(float(n))
-    return s.select(F.lit(value).alias("feature"), F.lit(n).alias("n"), a2.alias("ad_stat"))
+    """ST6 — Anderson–Darling A² against N(mean, sample std)."""
+    return anderson_stats(value_runs(df, [value])[0])
 
 
 def ks_normal(df: DataFrame, value: str) -> DataFrame:
-    """ST7 — one-sample KS against N(mean, sample std): D = max(i/n − F, F − (i−1)/n)."""
-    t, n, _ = _standardised_ranks(df, value)
-    d = t.agg(F.max(F.greatest(F.col("_i") / F.lit(n) - F.col("_F"), F.col("_F") - (F.col("_i") - 1) / F.lit(n))).alias("d")).first()[0]
-    return _frame(df, [(value, n, d, tails.kolmogorov_sf(d, n))], "feature string, n long, ks_stat double, p_value double")
+    """ST7 — one-sample KS against N(mean, sample std), asymptotic p."""
+    rows = [(r["feature"], r["n"], r["ks_stat"], tails.kolmogorov_sf(r["ks_stat"], r["n"])) for r in ks_normal_stats(value_runs(df, [value])[0]).collect()]
+    return _frame(df, rows, "feature string, n long, ks_stat double, p_value double")
+
+
+def skewness_z(b1: float, n: int) -> float:
+    """Normal score of a sample skewness: a Johnson S_U curve with matched moments
+    (D'Agostino, Biometrika 57, 1970)."""
+    spread = 6.0 * (n - 2) / ((n + 1.0) * (n + 3))
+    kurt = 3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9))
+    width2 = math.sqrt(2 * kurt - 2) - 1
+    return math.asinh(b1 / math.sqrt(spread) * math.sqrt((width2 - 1) / 2)) / math.sqrt(math.log(width2) / 2)
+
+
+def kurtosis_z(b2: float, n: int) -> float:
+    """Normal score of a sample kurtosis: a cube root of a scaled, shifted inverse chi-square
+    with matched moments (Anscombe & Glynn, Biometrika 70, 1983)."""
+    mean = 3.0 * (n - 1) / (n + 1)
+    variance = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3.0) * (n + 5))
+    skew = 6.0 * (n * n - 5 * n + 2) / ((n + 7.0) * (n + 9)) * math.sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2.0) * (n - 3)))
+    dof = 6 + 8 / skew * (2 / skew + math.sqrt(1 + 4 / skew ** 2))
+    ratio = (1 - 2 / dof) / (1 + (b2 - mean) / math.sqrt(variance) * math.sqrt(2 / (dof - 4)))
+    return (1 - 2 / (9 * dof) - math.cbrt(ratio)) / math.sqrt(2 / (9 * dof))
 
 
 def normaltest(df: DataFrame, value: str) -> DataFrame:
-    """ST9 — D'Agostino–Pearson K² from population skewness and kurtosis."""
+    """ST9 — D'Agostino–Pearson K²: the squared scores of skewness and kurtosis."""
     r = df.agg(F.count(c(value)).alias("n"), F.skewness(c(value)).alias("b1"), F.kurtosis(c(value)).alias("g2")).first()
-    n, b1, b2 = r["n"], r["b1"], r["g2"] + 3.0
-    y = b1 * math.sqrt((n + 1) * (n + 3) / (6.0 * (n - 2)))
-    beta2 = 3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9))
-    w2 = -1 + math.sqrt(2 * (beta2 - 1))
-    delta = 1 / math.sqrt(0.5 * math.log(w2))
-    alpha = math.sqrt(2.0 / (w2 - 1))
-    zs = delta * math.log(y / alpha + math.sqrt((y / alpha) ** 2 + 1))
-    e = 3.0 * (n - 1) / (n + 1)
-    varb2 = 24.0 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))
-    x = (b2 - e) / math.sqrt(varb2)
-    sqrtbeta1 = 6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * math.sqrt((6.0 * (n + 3) * (n + 5)) / (n * (n - 2) * (n - 3)))
-    a = 6.0 + 8.0 / sqrtbeta1 * (2.0 / sqrtbeta1 + math.sqrt(1 + 4.0 / (sqrtbeta1 ** 2)))
-    term1 = 1 - 2 / (9.0 * a)
-    denom = 1 + x * math.sqrt(2 / (a - 4.0))
-    term2 = math.copysign(1.0, denom) * ((1 - 2.0 / a) / abs(denom)) ** (1 / 3.0) if denom != 0 else math.nan
-    zk = (term1 - term2) / math.sqrt(2 / (9.0 * a))
-    k2 = zs * zs + zk * zk
-    return _frame(df, [(value, n, k2, tails.chi2_sf(k2, 2))], "feature string, n long, k2 double, p_value double")
+    k2 = skewness_z(r["b1"], r["n"]) ** 2 + kurtosis_z(r["g2"] + 3.0, r["n"]) ** 2
+    return _frame(df, [(value, r["n"], k2, tails.chi2_sf(k2, 2))], "feature string, n long, k2 double, p_value double")
 
 
 def qq_points(df: DataFrame, value: str, points: int = 100) -> DataFrame:
@@ -401,21 +522,27 @@ def qq_points(df: DataFrame, value: str, points: int = 100) -> DataFrame:
     return _frame(df, rows, "prob double, theoretical double, sample double")
 
 
+# fixed value: 5 % point of A² for an estimated normal, before the correction for n
+AD_5PCT = 0.787
+
+
 def normality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """ST10 — per feature: skewness/kurtosis (bias-corrected), AD, KS and K² statistics."""
+    """ST10 — per feature, over all rows: Shapiro–Francia W′ and p, Anderson–Darling with its 5 %
+    point, KS with p, bias-corrected skewness and kurtosis; normal if the Shapiro p exceeds .05."""
     from .quality import bias_corrected_kurtosis, bias_corrected_skew
 
     mom = df.agg(*[a for x in cols for a in (bias_corrected_skew(c(x)).alias(f"{x}__skew"),
                                              bias_corrected_kurtosis(c(x)).alias(f"{x}__kurt"))]).first()
+    runs = written(value_runs(df, cols)[0])  # three statistics read the counts
+    table = shapiro_francia_stats(runs).join(anderson_stats(runs).drop("n"), "feature").join(ks_normal_stats(runs).drop("n"), "feature")
     rows = []
-    for x in cols:
-        ad = anderson(df, x).first()["ad_stat"]
-        ks = ks_normal(df, x).first()
-        k2 = normaltest(df, x).first()
-        rows.append((x, mom[f"{x}__skew"], mom[f"{x}__kurt"], ad, ks["ks_stat"], ks["p_value"], k2["k2"], k2["p_value"],
-                     k2["p_value"] > 0.05))
-    return _frame(df, rows, "feature string, skewness double, kurtosis double, ad_stat double, ks_stat double, ks_p double, "
-                            "k2 double, k2_p double, is_normal boolean")
+    for r in table.collect():  # one row a column
+        x, n = r["feature"], r["n"]
+        p = shapiro_francia_p(r["w"], n)
+        rows.append((x, n, r["w"], p, r["ad_stat"], round(AD_5PCT / (1 + 4 / n - 25 / n ** 2), 3), r["ks_stat"],
+                     tails.kolmogorov_sf(r["ks_stat"], n), mom[f"{x}__skew"], mom[f"{x}__kurt"], bool(p > 0.05)))
+    return _frame(df, rows, "feature string, n long, shapiro_stat double, shapiro_p double, ad_stat double, ad_critical_5pct double, "
+                            "ks_stat double, ks_p double, skewness double, kurtosis double, is_normal boolean")
 
 
 # ---------------------------------------------------------------------------
@@ -512,87 +639,6 @@ def assumption_table(df: DataFrame, target: str, cols: Sequence[str], order: Seq
     return _frame(df, assumption_summary(dw, norm, homo, mv), "assumption string, value double, satisfied boolean")
 
 
-# ---------------------------------------------------------------------------
-# Shapiro–Wilk (ST5) on a bounded key-hash sample
-# ---------------------------------------------------------------------------
-
-# fixed values: Royston (1992/1995) polynomial coefficients of the W test
-SW_C1 = (0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056)
-SW_C2 = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
-SW_C3 = (0.544, -0.39978, 0.025054, -6.714e-4)
-SW_C4 = (1.3822, -0.77857, 0.062767, -0.0020322)
-SW_C5 = (-1.5861, -0.31082, -0.083751, 0.0038915)
-SW_C6 = (-0.4803, -0.082676, 0.0030302)
-SW_G = (-2.273, 0.459)
-
-
-def _poly(cc, x):
-    return sum(c_ * x ** i for i, c_ in enumerate(cc))
-
-
-def shapiro_w(values) -> tuple[float, float]:
-    """W and its p-value (Royston's approximation) for one sample (n ≥ 4)."""
-    import numpy as np
-
-    x = np.sort(np.asarray(values, dtype=float))
-    n = len(x)
-    if n < 4:
-        return float("nan"), float("nan")
-    ppf = np.vectorize(tails.norm_ppf)
-    m = ppf((np.arange(1, n + 1) - 0.375) / (n + 0.25))
-    mm = float((m * m).sum())
-    u = 1.0 / math.sqrt(n)
-    cvec = m / math.sqrt(mm)
-    a = np.zeros(n)
-    an = cvec[-1] + _poly(SW_C1, u)
-    if n > 5:
-        an1 = cvec[-2] + _poly(SW_C2, u)
-        phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * an ** 2 - 2 * an1 ** 2)
-        a[2:-2] = m[2:-2] / math.sqrt(phi)
-        a[-1], a[-2], a[0], a[1] = an, an1, -an, -an1
-    else:
-        phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * an ** 2)
-        a[1:-1] = m[1:-1] / math.sqrt(phi)
-        a[-1], a[0] = an, -an
-    ss = float(((x - x.mean()) ** 2).sum())
-    if ss <= 0:
-        return 1.0, 1.0
-    w = min(float((a * x).sum()) ** 2 / ss, 1.0)
-    if n <= 11:
-        gamma = _poly(SW_G, n)
-        if w >= 1.0 or gamma - math.log1p(-w) <= 0:
-            return w, 1.0
-        y = -math.log(gamma - math.log1p(-w))
-        mu, s = _poly(SW_C3, n), math.exp(_poly(SW_C4, n))
-    else:
-        ln = math.log(n)
-        if w >= 1.0:
-            return w, 1.0
-        y = math.log1p(-w)
-        mu, s = _poly(SW_C5, ln), math.exp(_poly(SW_C6, ln))
-    return w, tails.norm_sf((y - mu) / s)
-
-
-def shapiro(df: DataFrame, cols: Sequence[str], key: Sequence[str], sample: int = 5000, seed: int = 42) -> DataFrame:
-    """ST5 — Shapiro–Wilk per feature on a key-hash sample of at most ``sample``
-    rows (the test is defined for n ≤ 5000, as the reference samples); one
-    bounded group per feature runs the W statistic (``applyInPandas``)."""
-    import pandas as pd
-
-    from .sampling import sample_n
-
-    s = sample_n(df.select(*[c(k) for k in key], *[c(x) for x in cols if x not in key]), sample, key, seed)
-    long = s.select(F.explode(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).cast("double").alias("v")) for x in cols]))
-                    .alias("_p")).select("_p.feature", "_p.v").filter(F.col("v").isNotNull())
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_w(pdf["v"].to_numpy())
-        return pd.DataFrame({"feature": [pdf["feature"].iloc[0]], "n": [len(pdf)], "w": [w], "p_value": [p],
-                             "is_normal": [bool(p > 0.05)]})
-
-    return long.groupBy("feature").applyInPandas(test, "feature string, n long, w double, p_value double, is_normal boolean")
-
-
 # ---------------------------------------------------------------------------
 # Kendall τ-b (ST3) by a distributed inversion count
 # ---------------------------------------------------------------------------

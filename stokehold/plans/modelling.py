@@ -6,13 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..models import comparison as CM
 from ..models import iforest as IF
 from ..models import supervised as SV
 from ..operators import evaluate as EV
 from ..operators import explain as XP
 from ..operators import sampling as SP
 from ..operators import timeseries as TS
-from .profiling import labelled_readings
+from .profiling import READING_SOURCES, labelled_readings
 from .registry import register
 
 FEATURES = ["margin", "c_acctbal", "s_acctbal", "l_extendedprice"]
@@ -20,12 +21,16 @@ KEY = ["l_orderkey", "l_linenumber", "l_extendedprice", "margin"]
 ORDER = ["ts", "l_orderkey", "l_linenumber", "l_extendedprice", "margin"]
 LABEL = "anomaly_label"
 DEFAULT = dict(n_estimators=100)
-TUNED = dict(n_estimators=300, max_samples=0.9, max_features=0.5, contamination=0.02, max_samples_cap=4096)
+#: Contaminations of the sensitivity table (fixed values).
+CONTAMINATIONS = [0.01, 0.02, 0.03, 0.04, 0.05, 0.06, 0.07, 0.08, 0.10]
+TUNED = dict(n_estimators=300, max_samples=0.9, max_features=0.5, contamination=0.02)
 
 
 def split_readings(spark, sf):
-    # fits and scorings read the joined readings many times: cut the lineage once
-    return TS.time_split(labelled_readings(spark, sf), ORDER).checkpoint()
+    """The readings with their chronological split, written once (fits and scorings
+    read them many times) in as many partitions as a shuffle has, dealt by key."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return TS.time_split(labelled_readings(spark, sf), ORDER).repartition(parts, *KEY).checkpoint()
 
 
 def _params(**kw):
@@ -52,10 +57,14 @@ def iforest_default_metrics(spark, sf):
 
 @register("iforest_tuned_metrics")
 def iforest_tuned_metrics(spark, sf):
-    """ML8 + EV1 — tuned forest (300 trees, max_samples .9 capped, contamination .02)."""
+    """ML8 + EV1 — tuned forest (300 trees of .9 n rows, half the features, contamination .02)."""
     s = split_readings(spark, sf)
-    model = IF.fit(s.filter("split = 'train'"), _params(**TUNED))
-    return _metrics(model.transform(s))
+    grown = IF.grow_forests(s.filter("split = 'train'"), [_params(**TUNED)])
+    # all rows are scored once; the threshold and the metrics read the narrow result
+    scored = IF.written(grown.scores(s, ["split", LABEL]))
+    limit = IF.thresholds(scored.filter("split = 'train'"), grown, [TUNED["contamination"]])[0]
+    score = F.col("_scores")[0]
+    return _metrics(scored.select("split", LABEL, score.alias("score"), (score > limit).cast("int").alias("pred")))
 
 
 def _fitted(spark, sf, **kw):
@@ -72,9 +81,9 @@ def iforest_split_importance(spark, sf):
 
 @register("iforest_tree_convergence")
 def iforest_tree_convergence(spark, sf):
-    """XP8 — AUC on validation using the first k trees."""
-    s, model = _fitted(spark, sf)
-    return IF.tree_convergence(model, s.filter("split = 'validation'"), LABEL, [10, 25, 50, 100])
+    """XP8 — precision, recall and F1 on validation of the first 50 to 500 trees, contamination .05."""
+    s, model = _fitted(spark, sf, n_estimators=500)
+    return IF.tree_convergence(model, s.filter("split = 'train'"), s.filter("split = 'validation'"), LABEL, [50, 100, 150, 200, 300, 400, 500])
 
 
 @register("iforest_contamination_sweep")
@@ -82,7 +91,7 @@ def iforest_contamination_sweep(spark, sf):
     """ML18 — contamination sweep on the forest's scores (thresholds from train)."""
     s, model = _fitted(spark, sf)
     scored = model.transform(s)
-    return EV.sweep_contamination(scored.filter("split = 'validation'"), "score", LABEL, [0.01, 0.02, 0.05, 0.1, 0.2],
+    return EV.sweep_contamination(scored.filter("split = 'validation'"), "score", LABEL, CONTAMINATIONS,
                                   fit_on=scored.filter("split = 'train'"))
 
 
@@ -121,24 +130,15 @@ def iforest_local_surrogate(spark, sf):
 def iforest_ablation(spark, sf):
     """XP6 — validation F1 with each feature dropped."""
     s = split_readings(spark, sf)
-
-    def fit(train, feats):
-        return IF.fit(train, IF.IsolationForestParams(feats, KEY, **DEFAULT))
-
-    return XP.ablation(s.filter("split = 'train'"), s.filter("split = 'validation'"), FEATURES, LABEL, fit)
+    return XP.ablation(s.filter("split = 'train'"), s.filter("split = 'validation'"), FEATURES, LABEL,
+                       _params(n_estimators=200, contamination=0.05))
 
 
 @register("iforest_seed_stability")
 def iforest_seed_stability(spark, sf):
     """XP7 — test F1 across 10 seeds (mean, std, min, max, status)."""
     s = split_readings(spark, sf)
-    train = s.filter("split = 'train'")
-    n = train.count()
-
-    def fit(tr, seed):
-        return IF.fit(tr, _params(seed=seed, **DEFAULT), n=n)
-
-    return XP.seed_stability(train, s.filter("split = 'test'"), LABEL, fit, list(range(10)))
+    return XP.seed_stability(s.filter("split = 'train'"), s.filter("split = 'test'"), LABEL, _params(**DEFAULT), list(range(10)))
 
 
 @register("iforest_cross_split")
@@ -157,24 +157,18 @@ def iforest_noise_robustness(spark, sf):
 
 @register("iforest_search")
 def iforest_search(spark, sf):
-    """ML15 — shuffled grid of forest settings (first 6 draws), validation F1."""
+    """ML15 — 30 shuffled draws of the 288-point grid, validation F1."""
     s = split_readings(spark, sf)
-    grid = {"n_estimators": [50, 100, 200], "max_samples": ["auto", 512, 0.5], "max_features": [0.5, 1.0],
-            "contamination": ["auto", 0.05]}
-    return SV.iforest_search(spark, s.filter("split = 'train'"), s.filter("split = 'validation'"), LABEL,
-                             _params(max_samples_cap=4096), grid, n=6)
+    grid = {"n_estimators": [100, 200, 300], "max_samples": [0.5, 0.7, 0.9, "auto"], "contamination": [0.01, 0.02, 0.03, 0.05],
+            "max_features": [0.5, 0.7, 1.0], "bootstrap": [True, False]}
+    return SV.iforest_search(spark, s.filter("split = 'train'"), s.filter("split = 'validation'"), LABEL, _params(), grid, n=30)
 
 
 @register("iforest_learning_curve")
 def iforest_learning_curve(spark, sf):
-    """EV17 — validation F1 for growing training fractions (3 folds each)."""
+    """EV17 — ten training sizes by five stratified folds: F1 on the rows trained on and on the held-out fold."""
     s = split_readings(spark, sf)
-
-    def fit(part):
-        return IF.fit(part, _params(**DEFAULT))
-
-    return SV.learning_curve(spark, s.filter("split = 'train'"), s.filter("split = 'validation'"), LABEL, fit, KEY,
-                             sizes=(0.25, 0.5, 1.0), folds=3)
+    return SV.learning_curve(s.filter("split = 'train'"), LABEL, _params(n_estimators=100, contamination=0.05), KEY)
 
 
 # ---------------------------------------------------------------------------
@@ -191,12 +185,14 @@ def _train_val(spark, sf):
 
 @register("classifier_comparison")
 def classifier_comparison(spark, sf):
-    """ML1, ML3–ML7, ML9, ML12 — train/predict time and validation metrics per classifier."""
+    """ML1, ML3–ML7, ML9, ML12 — times, validation and training metrics and their gap per classifier."""
     train, val = _train_val(spark, sf)
     wtrain = SP.with_class_weight(train, LABEL, "w")
     f = SUP_FEATURES
 
     class _Dummy:
+        plain = True
+
         def __init__(self, tr):
             self.tr = tr
 
@@ -212,17 +208,36 @@ def classifier_comparison(spark, sf):
         "adaboost": lambda tr: SV.fit_adaboost(tr, f, LABEL, rounds=10),
         "mlp": lambda tr: SV.fit_mlp(tr, f, LABEL, hidden=(16, 8), max_iter=50),
     }
-    return SV.compare_models(spark, models, train, val, f, LABEL)
+    return CM.compare_classifiers(models, train, val, f, LABEL)
+
+
+@register("model_table_readings")
+def model_table_readings(spark, sf):
+    """CMP1 — forests (tuned, default), random forest and AdaBoost with times, test metrics and leakage flag."""
+    s = split_readings(spark, sf)
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    both = [*FEATURES, *[x for x in SUP_FEATURES if x not in FEATURES]]
+
+    def weighted(tr, feats):
+        return SV.fit_forest(SP.with_class_weight(tr, LABEL, "w"), feats, LABEL, trees=100, depth=10, weight_col="w")
+
+    runs = [CM.ModelRun("Isolation Forest (Tuned)", "Unsupervised", "Raw_Only", FEATURES, lambda tr: IF.fit(tr, _params(**TUNED))),
+            CM.ModelRun("Isolation Forest (Default)", "Unsupervised", "Raw_Only", FEATURES, lambda tr: IF.fit(tr, _params(**DEFAULT))),
+            CM.ModelRun("Random Forest (Raw_Only)", "Supervised", "Raw_Only", FEATURES, lambda tr: weighted(tr, FEATURES)),
+            CM.ModelRun("AdaBoost", "Supervised", "Main_Plus_Raw", both, lambda tr: SV.fit_adaboost(tr, both, LABEL, rounds=100))]
+    return CM.model_table(runs, train, test, LABEL, READING_SOURCES)
 
 
 @register("regressor_comparison")
 def regressor_comparison(spark, sf):
-    """ML1, ML2, ML4–ML6, ML12 — regressors of l_extendedprice, validation RMSE/MAE/R²."""
+    """ML1, ML2, ML4–ML7, ML12 — regressors of l_extendedprice: errors on both splits, gap and diagnosis."""
     train, val = _train_val(spark, sf)
     f = ["l_quantity", "l_discount", "l_tax", "o_totalprice"]
     t = "l_extendedprice"
 
     class _Mean:
+        plain = True
+
         def __init__(self, tr):
             self.tr = tr
 
@@ -237,8 +252,9 @@ def regressor_comparison(spark, sf):
         "decision_tree": lambda tr: SV.fit_tree(tr, f, t, depth=10, classification=False),
         "random_forest": lambda tr: SV.fit_forest(tr, f, t, trees=50, depth=10, classification=False),
         "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, t, rounds=20, classification=False),
+        "adaboost": lambda tr: SV.fit_adaboost_regressor(tr, f, t, rounds=10),
     }
-    return SV.compare_models(spark, models, train, val, f, t, classification=False)
+    return CM.compare_regressors(models, train, val, f, t)
 
 
 @register("linear_residuals")

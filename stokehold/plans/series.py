@@ -524,7 +524,7 @@ FROM cls c JOIN per p ON c.split = p.split""")
 def resampled_split_counts_events(spark, sf):
     """SP4 — within-split resampling to the overall rate (only where it deviates > 20 %)."""
     s = TS.time_split(events_labelled(spark, sf), EV_ORDER)
-    r = SP.resample_to_rate(s, "is_error", ["event_id"])
+    r = SP.resample_to_rate(s, "is_error", ["event_id"], order=EV_ORDER)
     return r.groupBy("split", "is_error").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -551,7 +551,7 @@ WITH c AS (SELECT {ERR_SQL} AS is_error, count(*) AS n FROM events GROUP BY 1)
 SELECT CAST(f AS INTEGER) AS fold, is_error, CAST((n - f + 4) // 5 AS BIGINT) AS rows
 FROM c, (SELECT unnest(range(0, 5)) AS f) WHERE (n - f + 4) // 5 > 0""")
 def stratified_folds_events(spark, sf):
-    """SP7 — stratified shuffled folds: hash rank within class mod k."""
+    """SP7 — stratified shuffled folds: even ranges of each class's hash order."""
     f = SP.kfold(events_labelled(spark, sf), 5, label="is_error", key=["event_id"])
     return f.groupBy("fold", "is_error").agg(F.count(F.lit(1)).alias("rows"))
 

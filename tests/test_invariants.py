@@ -112,13 +112,28 @@ def test_distributed_quantiles_equal_percentile(spark):
     li = table(spark, SF_MEDIUM, "lineitem")
     cols = ["l_extendedprice", "l_quantity", "l_discount"]
     probs = [0.0, 0.25, 0.33, 0.5, 0.75, 0.98, 1.0]
-    got = core.quantile_values(li, cols, probs, small_distinct=0)  # force the sort-based path
+    got = core.quantile_values(li, cols, probs)
     row = li.agg(*[F.percentile(x, probs).alias(x) for x in cols]).first()
     for x in cols:
         for p, v in zip(probs, row[x]):
             assert got[(x, p)] == pytest.approx(v, rel=1e-12, abs=1e-9)
 
 
+@pytest.mark.parametrize("accuracy", [20, 100, 10_000])  # coarse sketches need many rounds
+def test_order_statistics_in_many_rounds(spark, accuracy):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.pow(F.lit(10.0), (F.col("id") * 7919 % 5000) / 100.0 - 25)).alias("spread"),
+        (F.col("id") % 2).cast("double").alias("two"), F.lit(4).alias("one"), F.lit(None).cast("double").alias("none"),
+        F.when(F.col("id") < 7, F.col("id").cast("double")).when(F.col("id") < 9, F.lit(float("nan"))).alias("few"))
+    every = lambda n: [0, 1, n // 3 - 1, n // 3, n // 2 - 1, n // 2, n - 2, n - 1]
+    got = core.order_statistics(df, {x: (F.col(x), every, [0, 1 / 3, .5, 1]) for x in df.columns}, accuracy)
+    rows = df.collect()
+    for x in df.columns:
+        want = sorted(r[x] for r in rows if r[x] is not None and r[x] == r[x])
+        assert got[x][0] == len(want)
+        assert got[x][1] == {p: want[p] for p in (every(len(want)) if want else [])}
+
+
 def test_grouped_quantiles_equal_percentile(spark):
     e = table(spark, SF_MEDIUM, "events")
     qt = {(r["event_type"], r["prob"]): r["value"]

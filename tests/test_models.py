@@ -80,3 +80,69 @@ def test_linear_recovers_coefficients(spark):
     m = fit_linear(df, ["x", "z"], "y")
     assert list(m.coefficients) == pytest.approx([3.0, -2.0], abs=1e-6)
     assert m.intercept == pytest.approx(5.0, abs=1e-4)
+
+
+@pytest.mark.parametrize("bootstrap", [False, True])
+def test_forest_grown_by_levels_equals_whole_trees(spark, splits, bootstrap):
+    """Tops by levels and units in tasks give the trees that one task would grow."""
+    train = splits.filter("split = 'train'")
+    p = IF.IsolationForestParams(FEATURES, KEY, n_estimators=4, max_samples=0.5, max_features=0.5, bootstrap=bootstrap)
+    whole, cut = (IF.grow_forests(train, [p], unit_rows=u) for u in (1 << 20, 3000))
+    assert all(not s for s in whole.tops.splits) and any(cut.tops.splits)
+    cols = ["tree", "node", "feature", "threshold", "leaf", "depth"]
+    a, b = (g.model().nodes.select(*cols).orderBy("tree", "node").toPandas() for g in (whole, cut))
+    assert a.equals(b)
+    scores = [g.scores(train.limit(500), KEY).orderBy(*KEY).select(F.col("_scores")[0]).toPandas() for g in (whole, cut)]
+    assert scores[0].equals(scores[1])
+
+
+def test_samples_are_exact_and_sizes_add_up(spark, splits):
+    df = spark.range(20_000).select("id", F.sqrt("id").alias("a"), (F.col("id") % 97).cast("double").alias("b"), (F.col("id") % 2).cast("int").alias("fold"))
+    g = IF.grow_forests(df, [IF.IsolationForestParams(["a", "b"], ["id"], n_estimators=5, max_samples=0.9),
+                             IF.IsolationForestParams(["a"], ["id"], n_estimators=3, max_samples=500),
+                             IF.IsolationForestParams(["b"], ["id"], n_estimators=2, max_samples=0.5, fold=1)], fold="fold")
+    assert g.psi == [18_000, 500, 5_000] and g.n_train == [20_000, 20_000, 10_000]
+    for f, psi in enumerate(g.psi):
+        nodes = g.model(f).nodes.toPandas()
+        roots = nodes[nodes.node == 1]
+        assert (roots["size"] == psi).all() and len(roots) == g.params[f].n_estimators
+        # every split's rows are its children's
+        kids = nodes.merge(nodes, left_on=["tree", "left"], right_on=["tree", "node"], suffixes=("", "_l")).merge(
+            nodes, left_on=["tree", "right"], right_on=["tree", "node"], suffixes=("", "_r"))
+        assert (kids["size"] == kids["size_l"] + kids["size_r"]).all() and len(kids) == (~nodes.leaf).sum()
+    assert set(g.model(1).nodes.filter("not leaf").select("feature").distinct().toPandas()["feature"]) == {0}
+
+
+def test_dealt_scores_equal_broadcast_scores(spark, splits, monkeypatch):
+    train = splits.filter("split = 'train'")
+    p = IF.IsolationForestParams(FEATURES, KEY, n_estimators=30, max_samples=0.2)
+    g = IF.grow_forests(train, [p, IF.IsolationForestParams(FEATURES[:2], KEY, n_estimators=10, seed=7)], unit_rows=5000)
+    cols = [F.col("_scores")[0].alias("a"), F.col("_scores")[1].alias("b")]
+    one = g.scores(train, ["l_orderkey"]).select("l_orderkey", *cols).orderBy("l_orderkey", "a", "b").toPandas()
+    two = g._dealt_scores(train, ["l_orderkey"], score_rows=7000).select("l_orderkey", *cols).orderBy("l_orderkey", "a", "b").toPandas()
+    assert one.equals(two) and len(one) == train.count()
+
+
+def test_scores_match_a_walk_of_the_nodes(spark):
+    df = spark.range(300).select("id", (F.col("id") * 37 % 101).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    m = IF.fit(df, IF.IsolationForestParams(["a", "b"], ["id"], n_estimators=6, max_samples=64))
+    nodes = {(r.tree, r.node): r for r in m.nodes.collect()}
+    for r in m.transform(df).collect():
+        total = 0.0
+        for t in range(6):
+            at = nodes[t, 1]
+            while not at.leaf:
+                at = nodes[t, at.right if r[["a", "b"][at.feature]] >= at.threshold else at.left]
+            total += at.path
+        assert r.score == pytest.approx(2 ** (-total / 6 / IF.c_factor(64)), rel=1e-12)
+
+
+def test_adaboost_regression_beats_one_tree(spark):
+    from stokehold.models.supervised import fit_adaboost_regressor, fit_tree
+    from stokehold.operators.evaluate import regression_metrics
+    from stokehold.operators.quality import assemble
+
+    df = spark.range(3000).select((F.col("id") % 100 / 10).alias("x"), (F.col("id") % 37 / 5).alias("z")).withColumn("y", F.sin("x") * 3 + F.col("z"))
+    boosted = regression_metrics(fit_adaboost_regressor(df, ["x", "z"], "y", rounds=15).transform(df), "y", "prediction").first()
+    single = regression_metrics(fit_tree(df, ["x", "z"], "y", depth=3, classification=False).transform(assemble(df, ["x", "z"])), "y", "prediction").first()
+    assert boosted["r2"] > single["r2"]

@@ -237,8 +237,9 @@ def regression_metrics(df: DataFrame, label: str, pred: str, by: str | None = No
                       (1 - F.col("ssr") / sst).alias("r2"))
 
 
-# fixed values: the gap and the status texts of the fit verdict
-FIT_GAP = 0.1  # fixed value: |train F1 − validation F1| above this is over-/underfitting
+# fixed values: the gaps and the status texts of the fit verdicts
+FIT_GAP = 0.1  # |train F1 − validation F1| above this is over-/underfitting
+LOW_F1, SEVERE_F1 = 0.5, 0.3
 
 
 def fit_verdict(results: DataFrame, model: str = "model", train: str = "train_f1", val: str = "val_f1",
@@ -249,6 +250,16 @@ def fit_verdict(results: DataFrame, model: str = "model", train: str = "train_f1
     return results.select(c(model).alias(model), c(train), c(val), g.alias("f1_gap"), status.alias("status"))
 
 
+def loss_verdict(results: DataFrame, model: str = "model", gap: float = FIT_GAP) -> DataFrame:
+    """EV16 — the full verdict of (train_f1, val_f1, train_loss, val_loss) rows: F1 and loss
+    gaps, the overfitting status and the underfitting status (both F1 low, or the training F1 very low)."""
+    g = F.col("train_f1") - F.col("val_f1")
+    under = F.when((F.col("train_f1") < LOW_F1) & (F.col("val_f1") < LOW_F1), "UNDERFITTING") \
+        .when(F.col("train_f1") < SEVERE_F1, "SEVERE UNDERFITTING").otherwise("OK")
+    return fit_verdict(results, model, gap=gap).join(
+        results.select(c(model).alias(model), "train_loss", "val_loss", (F.col("val_loss") - F.col("train_loss")).alias("loss_gap"), under.alias("underfitting")), model)
+
+
 def outcome(label: str, pred: str) -> Column:
     return (F.when((c(label) == 0) & (c(pred) == 0), "TN").when((c(label) == 0) & (c(pred) == 1), "FP")
             .when((c(label) == 1) & (c(pred) == 0), "FN").otherwise("TP"))
@@ -321,6 +332,18 @@ def best_row(df: DataFrame, metric: str, mode: str = "max", tiebreak: str | None
     return df.agg(F.min_by(row, order).alias("_b")).select("_b.*")
 
 
+def _counts_of(y: Column, hit: Column, i: int) -> list[Column]:
+    """tn, fp, fn, tp of one predicate among many in an aggregate."""
+    return [F.count_if(cond).alias(f"{k}{i}") for k, cond in (("tn", (y == 0) & ~hit), ("fp", (y == 0) & hit), ("fn", (y == 1) & ~hit), ("tp", (y == 1) & hit))]
+
+
+def confusion_of_rules(df: DataFrame, label: str, rules: dict[str, Column], by: str) -> DataFrame:
+    """EV4 for many predicates in one aggregate: (rule, by, tn, fp, fn, tp)."""
+    hits = {k: F.coalesce(h, F.lit(False)) for k, h in rules.items()}
+    row = df.groupBy(c(by).alias(by)).agg(*[a for i, h in enumerate(hits.values()) for a in _counts_of(c(label), h, i)])
+    return row.select(by, F.inline(F.array(*[F.struct(F.lit(k).alias("rule"), *[F.col(f"{x}{i}").alias(x) for x in ("tn", "fp", "fn", "tp")]) for i, k in enumerate(hits)])))
+
+
 def sweep_contamination(scored: DataFrame, score: str, label: str, values: Sequence[float], fit_on: DataFrame | None = None) -> DataFrame:
     """ML18 — for each contamination c: threshold = percentile(score, 1 − c) on the
     fitting set, pred = score > threshold; metrics for all c in one aggregate."""
@@ -333,11 +356,7 @@ def sweep_contamination(scored: DataFrame, score: str, label: str, values: Seque
     fit_scores = fit_on.select(c(score).alias(score)).checkpoint(eager=True)
     qv = quantile_values(fit_scores, [score], [1 - v for v in values])
     qs = [qv[(score, float(1 - v))] for v in values]
-    spark = scored.sparkSession
-    thr = spark.createDataFrame([(float(v), float(q)) for v, q in zip(values, qs)], "contamination double, threshold double")
-    j = scored.select(c(score).alias("_s"), c(label).alias("_y")).crossJoin(F.broadcast(thr))  # len(values) thresholds
-    cm = j.withColumn("_p", (F.col("_s") > F.col("threshold")).cast("int")) \
-        .groupBy("contamination", "threshold").agg(
-        F.count_if((F.col("_y") == 0) & (F.col("_p") == 0)).alias("tn"), F.count_if((F.col("_y") == 0) & (F.col("_p") == 1)).alias("fp"),
-        F.count_if((F.col("_y") == 1) & (F.col("_p") == 0)).alias("fn"), F.count_if((F.col("_y") == 1) & (F.col("_p") == 1)).alias("tp"))
+    row = scored.agg(*[a for i, q in enumerate(qs) for a in _counts_of(c(label), c(score) > F.lit(float(q)), i)])
+    cm = row.select(F.inline(F.array(*[F.struct(F.lit(float(v)).alias("contamination"), F.lit(float(q)).alias("threshold"), *[F.col(f"{k}{i}").alias(k) for k in ("tn", "fp", "fn", "tp")])
+                                       for i, (v, q) in enumerate(zip(values, qs))])))
     return metrics_from_counts(cm).select("contamination", "threshold", "tn", "fp", "fn", "tp", "precision", "recall", "f1")

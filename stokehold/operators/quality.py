@@ -60,9 +60,10 @@ def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[s
     if not cols:
         return []
     row = df.agg(*[
-        (F.count_distinct(c(x)) + F.max(F.when(c(x).isNull(), 1).otherwise(0))).alias(x) for x in cols
+        # one value (or none) when least and greatest agree; a null beside a value counts as another
+        (F.coalesce(F.min(c(x)).eqNullSafe(F.max(c(x))), F.lit(True)) & ((F.count(c(x)) == 0) | (F.count(c(x)) == F.count(F.lit(1))))).alias(x) for x in cols
     ]).first()
-    return [x for x in cols if row[x] <= 1]
+    return [x for x in cols if row[x]]
 
 
 def drop_constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -282,11 +283,14 @@ def classify_negatives(df: DataFrame, cols: Sequence[str] | None = None) -> Data
 
 
 def column_catalog(df: DataFrame, ts: str | None = None, smooth_suffix: str = "_smooth3") -> DataFrame:
-    """AG8 — position, dtype, smooth/timestamp flags (built from the schema)."""
-    spark = df.sparkSession
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.name.endswith(smooth_suffix), f.name == ts)
+    """AG8 — position, dtype, numeric/categorical/smooth/timestamp flags (built from the schema)."""
+    from .features import categorical_columns
+
+    spark, numeric, categorical = df.sparkSession, set(numeric_columns(df)), set(categorical_columns(df))
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.name in numeric, f.name in categorical, f.name.endswith(smooth_suffix), f.name == ts)
             for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column string, dtype string, is_smooth boolean, is_timestamp boolean")
+    return spark.createDataFrame(rows, "position int, column string, dtype string, is_numeric boolean, is_categorical boolean, "
+                                       "is_smooth boolean, is_timestamp boolean")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

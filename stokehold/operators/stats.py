@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,18 +45,20 @@ def pearson_test(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return _frame(df, rows, "x string, y string, n long, r double, p_value double")
 
 
-def with_avg_rank(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Attach the tie-averaged rank of ``col`` (ranks computed on distinct values)."""
-    counts = df.groupBy(c(col).alias("_v")).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("_v").isNotNull())
-    ranks = distinct_value_ranks(counts, "_v").select(F.col("_v").alias(f"_{name}_v"), F.col("midrank").alias(name))
-    return df.join(ranks, df[col] == ranks[f"_{name}_v"], "left").drop(f"_{name}_v")
-
-
 def spearman_stats(df: DataFrame, x: str, y: str) -> DataFrame:
-    """ST2 statistic — Pearson r of the average ranks (pairwise complete rows)."""
-    d = df.select(c(x).alias("_x"), c(y).alias("_y")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    d = with_avg_rank(with_avg_rank(d, "_x", "_rx"), "_y", "_ry")
-    return d.agg(F.count(F.lit(1)).alias("n"), F.corr("_rx", "_ry").alias("rho")) \
+    """ST2 statistic — Pearson r of the average ranks (pairwise complete rows). Rows
+    become distinct (x, y) cells first; ranks join the cells, never the rows, and deviate
+    from their exact mean (n + 1)/2."""
+    d = df.select(c(x).cast("double").alias("_x"), c(y).cast("double").alias("_y")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    cells = written(d.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")))
+    n = cells.agg(F.sum("w").alias("n"))
+
+    def ranks(v: str) -> DataFrame:
+        return distinct_value_ranks(cells.groupBy(v).agg(F.sum("w").alias("cnt")), v).select(v, F.col("midrank").alias(f"_r{v}"))
+
+    t = cells.join(ranks("_x"), "_x").join(ranks("_y"), "_y").crossJoin(F.broadcast(n))  # one row
+    a, b = F.col("_r_x") - (F.col("n") + 1) / 2, F.col("_r_y") - (F.col("n") + 1) / 2
+    return t.agg(F.sum("w").alias("n"), (F.sum(F.col("w") * a * b) / F.sqrt(F.sum(F.col("w") * a * a) * F.sum(F.col("w") * b * b))).alias("rho")) \
         .select(F.lit(x).alias("x"), F.lit(y).alias("y"), "n", "rho")
 
 
@@ -68,15 +71,17 @@ def spearman_test(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def linearity(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
-    """ST4 — Pearson and Spearman of every feature with the target."""
-    p = pearson_test(df, [(x, target) for x in cols]).select(F.col("x").alias("feature"), "n",
-                                                             F.col("r").alias("pearson_r"), F.col("p_value").alias("pearson_p"))
-    s = None
+    """ST4 — Pearson, Spearman and Kendall of every feature with the target, with
+    p-values, strongest |Pearson r| first. Features with fewer than ten rows or one value are left out."""
+    p = {r["x"]: r for r in pearson_test(df, [(x, target) for x in cols]).collect()}
+    rows = []
     for x in cols:
-        part = spearman_test(df, x, target).select(F.col("x").alias("feature"), F.col("rho").alias("spearman_rho"),
-                                                   F.col("p_value").alias("spearman_p"))
-        s = part if s is None else s.unionByName(part)
-    return p.join(s, "feature")
+        if p[x]["n"] < 10 or p[x]["r"] is None or p[x]["r"] != p[x]["r"]:
+            continue
+        s, k = spearman_test(df, x, target).first(), kendall_stats(df, x, target).first()
+        rows.append((x, p[x]["n"], p[x]["r"], p[x]["p_value"], s["rho"], s["p_value"], k["tau_b"], k["p_value"], abs(p[x]["r"])))
+    return _frame(df, rows, "feature string, n long, pearson_r double, pearson_p double, spearman_rho double, spearman_p double, "
+                            "kendall_tau double, kendall_p double, abs_pearson double").orderBy(F.desc("abs_pearson"), "feature")
 
 
 # ---------------------------------------------------------------------------
@@ -416,43 +421,26 @@ def ks_normal_stats(runs: DataFrame) -> DataFrame:
 RUN_ENDS = 64
 
 
-def _scores_between(lo: Column, hi: Column, n: Column) -> tuple[Column, Column]:
-    """Sums of the scores m and of m² over the ranks lo..hi, one by one."""
-    score = lambda i: normal_quantile((i - F.lit(0.375)) / (n + F.lit(0.25)))
-    ranks = F.transform(F.when(hi >= lo, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>")), score)
-    return tuple(F.aggregate(ranks, F.lit(0.0), f) for f in (lambda a, m: a + m, lambda a, m: a + m * m))
-
-
-def _scores_inside(lo: Column, hi: Column, n: Column) -> tuple[Column, Column]:
-    """The same for long runs away from the ends, by the Euler–Maclaurin formula at
-    half ranks: ∫ Φ⁻¹ = −φ(Φ⁻¹), ∫ (Φ⁻¹)² = u − z φ(z), and two terms of correction."""
-    scale = n + F.lit(0.25)
-
-    def at(t: Column) -> tuple[Column, Column]:
-        u = (t - F.lit(0.375)) / scale
-        z = normal_quantile(u)
-        d = normal_density(z)
-        first, third = 1 / (scale * d), 1 / (scale * d) ** 3
-        one = -scale * d - first / 24 + 7 * third * (1 + 2 * z * z) / 5760
-        two = scale * (u - z * d) - 2 * z * first / 24 + 7 * third * (8 * z + 4 * z ** 3) / 5760
-        return one, two
-
-    a, b = at(lo - F.lit(0.5)), at(hi + F.lit(0.5))
-    return b[0] - a[0], b[1] - a[1]
-
-
 def shapiro_francia_stats(runs: DataFrame) -> DataFrame:
     """ST5 statistic over all rows — Shapiro–Francia W′ = (Σ mₖ x₍ₖ₎)² / (Σ mₖ² · Σ (x − x̄)²)
     with Blom's scores mₖ = Φ⁻¹((k − 3/8) / (n + 1/4)). Equal values share the sum of the
-    scores of their ranks, so no row is expanded: short runs rank by rank, the inside of long ones in closed form."""
-    lo, hi, n = F.col("before") + 1, F.col("before") + F.col("cnt"), F.col("n").cast("double")
-    single = normal_quantile((lo - F.lit(0.375)) / (n + F.lit(0.25)))
-    short, left, right = _scores_between(lo, hi, n), _scores_between(lo, lo + RUN_ENDS - 1, n), _scores_between(hi - RUN_ENDS + 1, hi, n)
-    inside = _scores_inside(lo + RUN_ENDS, hi - RUN_ENDS, n)
-    m1, m2 = (F.when(F.col("cnt") == 1, single ** k).when(F.col("cnt") <= 4 * RUN_ENDS, short[k - 1])
-              .otherwise(left[k - 1] + inside[k - 1] + right[k - 1]) for k in (1, 2))
-    t = runs.withColumns({"_m1": m1, "_m2": m2}).groupBy("feature", "n").agg(
-        F.sum(F.col("_m1") * F.col("z")).alias("mx"), F.sum("_m2").alias("mm"), F.sum(F.col("cnt") * F.col("z") ** 2).alias("ss"))
+    scores of their ranks: a run is taken rank by rank, of a long one only ``RUN_ENDS``
+    ranks at either end, and its inside by the Euler–Maclaurin formula between half
+    ranks (∫ Φ⁻¹ = −φ(Φ⁻¹), ∫ (Φ⁻¹)² = u − z φ(z), two terms of correction). So a hot value is a few rows."""
+    lo, hi = F.col("before") + 1, F.col("before") + F.col("cnt")
+    ranks = lambda a, z: F.transform(F.sequence(a, z), lambda k: F.struct(k.cast("double").alias("t"), F.lit(0).alias("side")))
+    half = lambda t, side: F.struct(t.cast("double").alias("t"), F.lit(side).alias("side"))
+    points = F.when(F.col("cnt") == 1, F.array(half(lo, 0))).when(F.col("cnt") <= 4 * RUN_ENDS, ranks(lo, hi)).otherwise(F.concat(
+        ranks(lo, lo + RUN_ENDS - 1), ranks(hi - RUN_ENDS + 1, hi), F.array(half(lo + RUN_ENDS - 0.5, -1), half(hi - RUN_ENDS + 0.5, 1))))
+    t = runs.select("feature", "n", "z", "cnt", F.posexplode(points).alias("i", "p"))
+    scale = F.col("n") + F.lit(0.25)
+    t = t.withColumn("u", (F.col("p.t") - F.lit(0.375)) / scale).withColumn("m", normal_quantile("u")).withColumn("d", scale * normal_density("m"))
+    m, d, side = F.col("m"), F.col("d"), F.col("p.side")
+    one = side * (-d - 1 / (24 * d) + 7 * (1 + 2 * m * m) / (5760 * d ** 3))
+    two = side * (scale * F.col("u") - m * d - m / (12 * d) + 7 * (8 * m + 4 * m ** 3) / (5760 * d ** 3))
+    t = t.groupBy("feature", "n").agg(
+        F.sum(F.when(side == 0, m).otherwise(one) * F.col("z")).alias("mx"), F.sum(F.when(side == 0, m * m).otherwise(two)).alias("mm"),
+        F.sum(F.when(F.col("i") == 0, F.col("cnt") * F.col("z") ** 2)).alias("ss"))
     return t.select("feature", "n", (F.col("mx") ** 2 / F.col("mm") / F.col("ss")).alias("w"))
 
 
@@ -597,46 +585,77 @@ def adjust_pvalues(df: DataFrame, p: str = "p_value", alpha: float = 0.05) -> Da
 # tables of tests (ST21, ST22)
 # ---------------------------------------------------------------------------
 
-def hypothesis_table(df: DataFrame, score: str, label: str, group: str, a: str, b: str, alpha: float = 0.05) -> DataFrame:
-    """ST21 — one row per test: statistic, p-value and ``reject_null``."""
-    tt = ttest(df, score, label).first()
-    mw = mann_whitney(df, score, label).first()
-    ks = ks_2samp(df, score, label).first()
-    an = anova(df, score, group).first()
-    ch = chi2(df, a, b).first()
-    fv = f_var_test(df, score, label).first()
-    rows = [("t_test", tt["t"], tt["p_value"]), ("mann_whitney", mw["u"], mw["p_value"]), ("ks_2samp", ks["ks_stat"], ks["p_value"]),
-            ("anova", an["f_stat"], an["p_value"]), ("chi2", ch["chi2"], ch["p_value"]), ("f_variance", fv["f_stat"], fv["p_value"])]
-    out = _frame(df, [(n, float(s), float(p), p < alpha) for n, s, p in rows],
-                 "test string, statistic double, p_value double, reject_null boolean")
-    return out
-
-
-# fixed values: verdict thresholds of the assumption summary
+@dataclass
+class Hypothesis:
+    """A test to run: ``test`` is pearson (x, y), chi2 (x, y), anova (x by y), t_test,
+    mann_whitney, ks_2samp or f_variance (x by the 0/1 column y)."""
+
+    name: str
+    description: str
+    test: str
+    x: str
+    y: str
+
+
+def hypothesis_table(df: DataFrame, specs: Sequence[Hypothesis], alpha: float = 0.05) -> DataFrame:
+    """ST21 — one row per hypothesis: test, statistic, p-value, ``reject_null`` and
+    conclusion. All correlations are one aggregate; a test without enough data has null results."""
+    run = {"chi2": lambda h: (chi2(df, h.x, h.y), "chi2"), "anova": lambda h: (anova(df, h.x, h.y), "f_stat"), "t_test": lambda h: (ttest(df, h.x, h.y), "t"),
+           "mann_whitney": lambda h: (mann_whitney(df, h.x, h.y), "u"), "ks_2samp": lambda h: (ks_2samp(df, h.x, h.y), "ks_stat"),
+           "f_variance": lambda h: (f_var_test(df, h.x, h.y), "f_stat")}
+    pairs = [(h.x, h.y) for h in specs if h.test == "pearson"]
+    pearson = {(r["x"], r["y"]): (r["r"], r["p_value"]) for r in pearson_test(df, pairs).collect()} if pairs else {}
+    rows = []
+    for h in specs:
+        if h.test == "pearson":
+            statistic, p = pearson[h.x, h.y]
+        else:
+            frame, column = run[h.test](h)
+            r = frame.first()
+            statistic, p = r[column], r["p_value"]
+        reject = None if p is None else bool(p < alpha)
+        rows.append((h.name, h.description, h.test, None if statistic is None else float(statistic), None if p is None else float(p), reject,
+                     None if reject is None else "REJECTED" if reject else "FAIL TO REJECT"))
+    return _frame(df, rows, "hypothesis string, description string, test string, statistic double, p_value double, reject_null boolean, conclusion string")
+
+
+# fixed values: thresholds and texts of the assumption summary
+STRONG_R = 0.5
 DW_RANGE = (1.5, 2.5)
 VIF_HIGH = 10.0
 
 
-def assumption_summary(durbin_watson: float, normal_share: float, homo_share: float, max_vif: float) -> list[tuple]:
-    """ST22 — verdict rows from test outputs (scalars already aggregated)."""
-    return [
-        ("independence", durbin_watson, DW_RANGE[0] < durbin_watson < DW_RANGE[1]),
-        ("normality", normal_share, normal_share > 0.5),
-        ("homoscedasticity", homo_share, homo_share > 0.5),
-        ("multicollinearity", max_vif, max_vif < VIF_HIGH),
+def assumption_summary(strong_linear: int, normal_share: float, durbin_watson: float, homo_share: float, high_vif: int,
+                       stationary_share: float | None = None) -> list[tuple]:
+    """ST22 — (assumption, value, status, implication) rows from test outputs."""
+    said = lambda ok: "SATISFIED" if ok else "NOT SATISFIED"
+    free = DW_RANGE[0] < durbin_watson < DW_RANGE[1]
+    rows = [
+        ("Linearity", float(strong_linear), "NOT SATISFIED" if strong_linear == 0 else f"PARTIAL ({strong_linear} features)", "Use non-linear models (RF, XGBoost)"),
+        ("Normality", normal_share, said(normal_share > 0.5), "Use non-parametric tests"),
+        ("Independence", durbin_watson, said(free), "No autocorrelation" if free else "Autocorrelation present"),
+        ("Homoscedasticity", homo_share, said(homo_share > 0.5), "Use robust standard errors"),
+        ("Multicollinearity", float(high_vif), "SATISFIED" if high_vif == 0 else f"NOT SATISFIED ({high_vif} features)",
+         "Remove high-VIF features" if high_vif > 0 else "No action needed"),
     ]
+    if stationary_share is not None:
+        rows.append(("Stationarity", stationary_share, said(stationary_share > 0.5), "Apply differencing if needed"))
+    return rows
 
 
 def assumption_table(df: DataFrame, target: str, cols: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """ST22 — runs the assumption tests and returns (assumption, value, satisfied)."""
+    """ST22 — runs the assumption tests and returns (assumption, value, status, implication)."""
     from .features import vif
-    from .timeseries import durbin_watson
+    from .timeseries import durbin_watson, stationarity
 
+    df = written(df)  # a dozen tests read it
+    strong = sum(abs(r["r"] or 0.0) > STRONG_R for r in pearson_stats(df, [(x, target) for x in cols]).collect())
+    norm = normality(df, [*cols, target]).agg(F.avg(F.col("is_normal").cast("double"))).first()[0] or 0.0
     dw = durbin_watson(df, target, order).first()["durbin_watson"]
-    norm = normality(df, cols).agg(F.avg(F.col("is_normal").cast("double"))).first()[0]
     homo = homoscedasticity(df, target, cols).agg(F.avg(F.col("homoscedastic").cast("double"))).first()[0] or 0.0
-    mv = vif(df, cols).agg(F.max("vif")).first()[0]
-    return _frame(df, assumption_summary(dw, norm, homo, mv), "assumption string, value double, satisfied boolean")
+    high = vif(df, cols).filter(F.col("vif") > VIF_HIGH).count()
+    still = stationarity(df, list(cols), order).agg(F.avg(F.col("stationary").cast("double"))).first()[0]
+    return _frame(df, assumption_summary(strong, norm, dw, homo, high, still), "assumption string, value double, status string, implication string")
 
 
 # ---------------------------------------------------------------------------

@@ -138,8 +138,14 @@ def check_temporal_order(df: DataFrame, ts: str, split_col: str = "split",
         F.when(F.col("next_start").isNull(), F.lit(True)).otherwise(F.col("end") < F.col("next_start")).alias("before_next"))
 
 
-def _lagged_sums(df: DataFrame, col: str, order: Sequence[str], lags: int, center: bool) -> tuple[dict, int]:
-    indexed, n = with_row_index(df.select(*order, col), _order_cols(order))
+def series_index(df: DataFrame, cols: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, int]:
+    """The columns of a series in their order, sorted and written once for all tests on it."""
+    return with_row_index(df.select(*[c(x) for x in dict.fromkeys([*order, *cols])]), _order_cols(order))
+
+
+def _lagged_sums(df: DataFrame, col: str, order: Sequence[str], lags: int, center: bool, indexed: tuple[DataFrame, int] | None = None) -> tuple[dict, int]:
+    """Sums of products at lags 0..lags; ``indexed`` is the series with its row index, if there already."""
+    indexed, n = indexed or series_index(df, [col], order)
     x = c(col).cast("double")
     mean = indexed.agg(F.avg(x)).first()[0] if center else 0.0
     centred = indexed.withColumn("_x", x - F.lit(mean or 0.0))
@@ -189,22 +195,22 @@ def avg_rank(df: DataFrame, col: str, name: str = "rank") -> DataFrame:
     return df.join(ranks, df[col] == ranks["_v"], "left").drop("_v")
 
 
-def kpss(df: DataFrame, col: str, order: Sequence[str], nlags: int | None = None) -> DataFrame:
+def kpss(df: DataFrame, col: str, order: Sequence[str], nlags: int | None = None, indexed: tuple[DataFrame, int] | None = None) -> DataFrame:
     """WN10 — KPSS level-stationarity statistic η = Σ Sₜ² / (n² σ̂²), with a
     Newey–West long-run variance (Bartlett weights, "auto" lag of Hobijn et al.),
     p-value interpolated in the published critical table (level case)."""
     from .core import running_sums
 
-    indexed, n = with_row_index(df.select(*order, col), _order_cols(order))
-    mean = indexed.agg(F.avg(c(col).cast("double"))).first()[0]
-    e = indexed.withColumn("_e", c(col).cast("double") - F.lit(mean))
+    series, n = indexed = indexed or series_index(df, [col], order)
+    mean = series.agg(F.avg(c(col).cast("double"))).first()[0]
+    e = series.withColumn("_e", c(col).cast("double") - F.lit(mean))
     cum = running_sums(e, n, ["_e"])
     s2 = cum.agg(F.sum(c("_e__cum") * c("_e__cum"))).first()[0]
     # autocovariances of the residuals for the long-run variance
     if nlags is None:
         # Hobijn, Franses & Ooms (1998) automatic bandwidth
-        nlags = _kpss_autolag(df, col, order, n)
-    sums, _ = _lagged_sums(df, col, order, max(nlags, 1), True)
+        nlags = _kpss_autolag(df, col, order, n, indexed)
+    sums, _ = _lagged_sums(df, col, order, max(nlags, 1), True, indexed)
     gamma0 = sums["s0"] / n
     lrv = gamma0 + 2.0 * sum((1.0 - k / (nlags + 1.0)) * sums[f"s{k}"] / n for k in range(1, nlags + 1))
     eta = s2 / (n * n) / lrv
@@ -230,9 +236,9 @@ def _kpss_p(eta: float) -> float:
     return crit[-1][1]
 
 
-def _kpss_autolag(df: DataFrame, col: str, order: Sequence[str], n: int) -> int:
+def _kpss_autolag(df: DataFrame, col: str, order: Sequence[str], n: int, indexed: tuple[DataFrame, int]) -> int:
     cover = int(n ** (2.0 / 9.0))
-    sums, _ = _lagged_sums(df, col, order, cover, True)
+    sums, _ = _lagged_sums(df, col, order, cover, True, indexed)
     s0 = sums["s0"] + 2.0 * sum(sums[f"s{k}"] for k in range(1, cover + 1))
     s1 = 2.0 * sum(k * sums[f"s{k}"] for k in range(1, cover + 1))
     if s0 == 0:
@@ -281,13 +287,13 @@ def _adf_gram(nb: DataFrame, lags: int, first: int):
     return g, b, float(r["yy"]), int(r["n"])
 
 
-def adf(df: DataFrame, col: str, order: Sequence[str], maxlag: int | None = None) -> DataFrame:
+def adf(df: DataFrame, col: str, order: Sequence[str], maxlag: int | None = None, indexed: tuple[DataFrame, int] | None = None) -> DataFrame:
     """WN9 — augmented Dickey–Fuller with a constant, lag order by AIC on a
     common sample, statistic = t of yₜ₋₁, MacKinnon p-value. All regressions
     come from Gram sums of one or two aggregates over halo-block lags."""
     import numpy as np
 
-    indexed, n = with_row_index(df.select(*order, col), _order_cols(order))
+    indexed, n = indexed or series_index(df, [col], order)
     if maxlag is None:
         maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
         maxlag = max(0, min(n // 2 - 2 - 1, maxlag))
@@ -315,10 +321,10 @@ def adf(df: DataFrame, col: str, order: Sequence[str], maxlag: int | None = None
 
 def stationarity(df: DataFrame, cols: Sequence[str], order: Sequence[str], alpha: float = 0.05) -> DataFrame:
     """WN11 — stationary when ADF rejects a unit root and KPSS does not reject stationarity."""
-    rows = []
+    rows, indexed = [], series_index(df, cols, order)  # one sort for all columns and tests
     for x in cols:
-        a = adf(df, x, order).first()
-        k = kpss(df, x, order).first()
+        a = adf(df, x, order, indexed=indexed).first()
+        k = kpss(df, x, order, indexed=indexed).first()
         rows.append((x, a["adf_stat"], a["adf_pvalue"], k["kpss_stat"], k["kpss_pvalue"],
                      bool(a["adf_pvalue"] < alpha and k["kpss_pvalue"] > alpha)))
     return df.sparkSession.createDataFrame(rows, "column string, adf_stat double, adf_pvalue double, kpss_stat double, "

@@ -226,16 +226,8 @@ def model_results(spark, sf):
     """A results table (model × split) of threshold detectors on the scored events;
     ``label_copy`` reads the label itself and is flagged as leaky."""
     s = TS.time_split(events_labelled(spark, sf), EV_ORDER)
-    parts = []
-    for name, cond in MODELS:
-        m = s.withColumn("pred", F.expr(cond).cast("int"))
-        cm = EV.confusion_counts(m, "is_error", "pred", "split")
-        parts.append(EV.metrics_from_counts(cm).select(F.lit(name).alias("model"), "split", "tn", "fp", "fn", "tp",
-                                                       "precision", "recall", "f1", F.lit(name in LEAKY).alias("leakage")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = EV.confusion_of_rules(s, "is_error", {name: F.expr(cond) for name, cond in MODELS}, "split").withColumnRenamed("rule", "model")
+    return EV.metrics_from_counts(counts).select("model", "split", "tn", "fp", "fn", "tp", "precision", "recall", "f1", F.col("model").isin(*LEAKY).alias("leakage"))
 
 
 MODEL_RESULTS_SQL = "WITH " + SPLIT_SQL + f""",
@@ -264,6 +256,22 @@ def fit_verdict_models(spark, sf):
     return round_cols(EV.fit_verdict(tv))
 
 
+@register("loss_verdict_models", MODEL_RESULTS_SQL + """,
+tv AS (SELECT model, max(f1) FILTER (WHERE split = 'train') AS train_f1, max(f1) FILTER (WHERE split = 'validation') AS val_f1,
+              max((fp + fn) / (tn + fp + fn + tp)) FILTER (WHERE split = 'train') AS train_loss,
+              max((fp + fn) / (tn + fp + fn + tp)) FILTER (WHERE split = 'validation') AS val_loss FROM mr GROUP BY model)
+SELECT model, round(train_f1, 6) AS train_f1, round(val_f1, 6) AS val_f1, round(train_f1 - val_f1, 6) AS f1_gap,
+       CASE WHEN train_f1 - val_f1 > 0.1 THEN 'OVERFITTING' WHEN train_f1 - val_f1 < -0.1 THEN 'UNDERFITTING (Val > Train)' ELSE 'OK' END AS status,
+       round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss, round(val_loss - train_loss, 6) AS loss_gap,
+       CASE WHEN train_f1 < 0.5 AND val_f1 < 0.5 THEN 'UNDERFITTING' WHEN train_f1 < 0.3 THEN 'SEVERE UNDERFITTING' ELSE 'OK' END AS underfitting FROM tv""")
+def loss_verdict_models(spark, sf):
+    """EV16 — F1 and loss gaps (loss: share of wrong rows) with the over- and underfitting verdicts."""
+    r = model_results(spark, sf).withColumn("loss", (F.col("fp") + F.col("fn")) / (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")))
+    of = lambda split, x: F.max(F.when(F.col("split") == split, F.col(x)))
+    return round_cols(EV.loss_verdict(r.groupBy("model").agg(of("train", "f1").alias("train_f1"), of("validation", "f1").alias("val_f1"),
+                                                             of("train", "loss").alias("train_loss"), of("validation", "loss").alias("val_loss"))))
+
+
 @register("misclassification_events", SCORED_SQL + """
 SELECT CASE WHEN is_error = 0 AND pred = 0 THEN 'TN' WHEN is_error = 0 AND pred = 1 THEN 'FP'
             WHEN is_error = 1 AND pred = 0 THEN 'FN' ELSE 'TP' END AS outcome, count(*) AS n,

@@ -374,7 +374,7 @@ def projected_readings(spark, sf):
     r = readings(spark, sf).withColumnRenamed("margin", "margin_smooth3")
     r = Q.drop_by_suffix(r, "_smooth3")
     r = Q.suffix_columns(r, ["l_extendedprice"], "_raw")
-    return Q.drop_leaky(r, ["not_present", "margin"])
+    return Q.drop_leaky(r.withColumn("price_copy", F.col("l_extendedprice_raw")), ["not_present", "price_copy"])
 
 
 @register("negative_label_counts", "WITH " + LABELLED_SQL + """
@@ -509,7 +509,9 @@ def column_catalog_readings(spark, sf):
     return cat.join(filled, "column", "left").na.fill(0, ["missing_count"])
 
 
-@register("assembled_readings")
+@register("assembled_readings", "WITH " + READINGS_SQL + """
+SELECT count(*) AS rows, 3 AS width,
+       round(sum(abs(coalesce(l_quantity, 0)) + abs(coalesce(c_acctbal, 0)) + abs(coalesce(s_acctbal, 0))), 2) AS l1_total FROM readings""")
 def assembled_readings(spark, sf):
     """PRJ8 — null → 0 on the features and one vector column (summarised by its size and L1 norm)."""
     from pyspark.ml.functions import vector_to_array

@@ -195,10 +195,21 @@ def ljung_box_events(spark, sf):
     return out.select("lag", F.round("lb_stat", 4).alias("lb_stat"))
 
 
-@register("kpss_events")
+@register("kpss_events", """
+WITH s AS (SELECT row_number() OVER (ORDER BY ts, event_id) AS i, value - avg(value) OVER () AS e, count(*) OVER () AS n FROM events),
+q AS (SELECT sum(p * p) AS s2 FROM (SELECT sum(e) OVER (ORDER BY i) AS p FROM s)),
+g AS (SELECT k, sum(a.e * b.e) AS g FROM range(0, 200) r(k) JOIN s a ON true JOIN s b ON b.i = a.i - k GROUP BY k),
+c AS (SELECT max(n) AS n, CAST(floor(power(max(n), 2.0 / 9)) AS INTEGER) AS cover FROM s),
+l AS (SELECT CAST(floor(least(1.1447 * power(power(2 * sum(k * g) / (sum(CASE WHEN k = 0 THEN g ELSE 2 * g END)), 2), 1.0 / 3) * power(any_value(n), 1.0 / 3), any_value(n) - 1)) AS INTEGER) AS lags
+      FROM g, c WHERE k <= cover),
+v AS (SELECT sum(CASE WHEN k = 0 THEN 1 ELSE 2 * (1 - k / (lags + 1.0)) END * g) / any_value(n) AS lrv, any_value(n) AS n, any_value(lags) AS lags FROM g, l, c WHERE k <= lags),
+r AS (SELECT s2 / (n * n) / lrv AS eta, lags FROM q, v)
+SELECT 'value' AS "column", round(eta, 6) AS kpss_stat, round(CASE WHEN eta <= 0.347 THEN 0.10 WHEN eta >= 0.739 THEN 0.01
+    WHEN eta <= 0.463 THEN 0.10 - 0.05 * (eta - 0.347) / 0.116 WHEN eta <= 0.574 THEN 0.05 - 0.025 * (eta - 0.463) / 0.111
+    ELSE 0.025 - 0.015 * (eta - 0.574) / 0.165 END, 6) AS kpss_pvalue, lags FROM r""")
 def kpss_events(spark, sf):
     """WN10 — KPSS level-stationarity statistic and interpolated p-value."""
-    return TS.kpss(table(spark, sf, "events"), "value", EV_ORDER)
+    return round_cols(TS.kpss(table(spark, sf, "events"), "value", EV_ORDER))
 
 
 @register("avg_rank_quantity", """

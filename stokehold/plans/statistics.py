@@ -38,10 +38,28 @@ def spearman_quantity_price(spark, sf):
 
 @register("linearity_readings")
 def linearity_readings(spark, sf):
-    """ST4 — Pearson and Spearman (with p-values) of features vs the target."""
+    """ST4 — Pearson, Spearman and Kendall (with p-values) of features vs the target."""
     return ST.linearity(readings(spark, sf), "l_extendedprice", ["l_quantity", "l_discount"])
 
 
+LINEAR_COLS = ["c_nationkey", "c_custkey"]
+
+
+@register("linearity_statistics_customer", "\nUNION ALL\n".join(f"""
+SELECT '{x}' AS feature, n, round(pr, 6) AS pearson_r, round(rho, 6) AS spearman_rho, round(s / sqrt((n * (n - 1) / 2 - n1) * (n * (n - 1) / 2 - n2)), 6) AS kendall_tau,
+       round(abs(pr), 6) AS abs_pearson
+FROM (SELECT count(*) AS n, corr({x}, c_acctbal) AS pr FROM customer WHERE {x} IS NOT NULL AND c_acctbal IS NOT NULL),
+     (SELECT corr(rx, ry) AS rho FROM (SELECT rank() OVER (ORDER BY {x}) + (count(*) OVER (PARTITION BY {x}) - 1) / 2.0 AS rx,
+             rank() OVER (ORDER BY c_acctbal) + (count(*) OVER (PARTITION BY c_acctbal) - 1) / 2.0 AS ry FROM customer)),
+     (SELECT sum(sign(a.{x} - b.{x}) * sign(a.c_acctbal - b.c_acctbal)) AS s FROM customer a JOIN customer b ON a.c_custkey < b.c_custkey),
+     (SELECT coalesce(sum(k * (k - 1) / 2), 0) AS n1 FROM (SELECT count(*) AS k FROM customer GROUP BY {x})),
+     (SELECT coalesce(sum(k * (k - 1) / 2), 0) AS n2 FROM (SELECT count(*) AS k FROM customer GROUP BY c_acctbal))""" for x in LINEAR_COLS))
+def linearity_statistics_customer(spark, sf):
+    """ST4 — the three correlations of the linearity table (the oracle enumerates pairs on this small table)."""
+    out = ST.linearity(table(spark, sf, "customer"), "c_acctbal", LINEAR_COLS)
+    return round_cols(out.select("feature", "n", "pearson_r", "spearman_rho", "kendall_tau", "abs_pearson"))
+
+
 @register("ks_2samp_events", "WITH " + EVL_SQL + """,
 v AS (SELECT value, count(*) FILTER (WHERE is_error = 0) AS c0, count(*) FILTER (WHERE is_error = 1) AS c1
       FROM evl WHERE value IS NOT NULL GROUP BY value),
@@ -132,7 +150,7 @@ def bartlett_value_by_type(spark, sf):
 
 @register("homoscedasticity_readings")
 def homoscedasticity_readings(spark, sf):
-    """ST11 — Levene and Bartlett (with p) per feature across the target-median halves."""
+    """ST11 — Levene, Bartlett and Fligner–Killeen (with p) per feature across the target-median halves."""
     return ST.homoscedasticity(readings(spark, sf), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
 
 
@@ -189,41 +207,63 @@ def power_analysis_events(spark, sf):
     return ST.power_analysis(events_labelled(spark, sf), "value", "is_error")
 
 
-ERFC_SQL = """(CASE WHEN x >= 0 THEN e ELSE 2 - e END)"""
+def _phi_sql(z: str, terms: int = 60) -> str:
+    """Φ(z) in SQL another way than the rational approximations of ``functions.scalar``: the power series about 0,
+    .5 + φ(z)(z + z³/3 + z⁵/15 + …), up to |z| = 3, and the continued fraction φ(z)/(z + 1/(z + 2/(z + …))) of the tail beyond."""
+    series, tail = "1.0", "0.0"
+    for k in range(terms, 0, -1):
+        series = f"(1 + {z} * {z} / {2 * k + 1} * {series})"
+        tail = f"({k} / (abs({z}) + {tail}))"
+    phi = f"(exp(-{z} * {z} / 2) / sqrt(2 * pi()))"
+    upper = f"({phi} / (abs({z}) + {tail}))"
+    return f"(CASE WHEN {z} < -3 THEN {upper} WHEN {z} > 3 THEN 1 - {upper} ELSE 0.5 + {z} * {phi} * {series} END)"
+
 
+def _ppf_sql(p: str) -> str:
+    """Φ⁻¹(p) in SQL, from the coefficients of ``functions.scalar``."""
+    from ..functions import scalar as S
 
-def _phi_sql(z):
-    """Φ(z) in SQL with the same erfc fit as ``functions.scalar.normal_cdf``."""
-    x = f"(-({z}) / sqrt(2.0))"
-    t = f"(1.0 / (1.0 + 0.5 * abs({x})))"
-    coef = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-            0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
-    poly = f"{coef[-1]}"
-    for a in reversed(coef[:-1]):
-        poly = f"({a} + {t} * {poly})"
-    e = f"({t} * exp(-abs({x}) * abs({x}) + {poly}))"
-    return f"(0.5 * (CASE WHEN {x} >= 0 THEN {e} ELSE 2 - {e} END))"
+    def ratio(num, den, x):
+        horner = lambda c: "(" * (len(c) - 1) + f"{c[-1]!r}" + "".join(f" * {x} + {a!r})" for a in reversed(c[:-1]))
+        return f"{horner(num)} / {horner(den)}"
 
+    q, tail = f"(({p}) - 0.5)", f"sqrt(-ln(least(({p}), 1 - ({p}))))"
+    middle = f"{q} * {ratio(S._MIDDLE_NUM, S._MIDDLE_DEN, f'(0.180625 - {q} * {q})')}"
+    outer = (f"CASE WHEN {tail} <= 5 THEN {ratio(S._FLANK_NUM, S._FLANK_DEN, f'({tail} - 1.6)')} "
+             f"ELSE {ratio(S._TAIL_NUM, S._TAIL_DEN, f'({tail} - 5.0)')} END")
+    return f"(CASE WHEN abs({q}) <= 0.425 THEN {middle} ELSE sign({q}) * ({outer}) END)"
 
-RANKED_SQL = """s AS (SELECT value, row_number() OVER (ORDER BY value) AS i, count(*) OVER () AS n,
-                  (value - avg(value) OVER ()) / stddev_samp(value) OVER () AS z FROM events WHERE value IS NOT NULL),
-f AS (SELECT i, n, """ + _phi_sql("z") + """ AS fz, """ + _phi_sql("-z") + """ AS sz FROM s)"""
+
+def _ranked_sql(values: str) -> str:
+    """Ranked standardised values of a subquery (feature, x): feature, i, n, z, F(z), F(-z) and Blom's score m."""
+    return f"""v AS ({values}),
+s AS (SELECT feature, row_number() OVER (PARTITION BY feature ORDER BY x) AS i, count(*) OVER (PARTITION BY feature) AS n,
+             (x - avg(x) OVER (PARTITION BY feature)) / stddev_samp(x) OVER (PARTITION BY feature) AS z FROM v WHERE x IS NOT NULL),
+f AS (SELECT feature, i, n, z, {_phi_sql("z")} AS fz, {_phi_sql("(-z)")} AS sz, {_ppf_sql("(i - 0.375) / (n + 0.25)")} AS m FROM s),
+st AS (SELECT feature, max(n) AS n, power(sum(m * z), 2) / (sum(m * m) * sum(z * z)) AS w,
+              -max(n) - sum((2 * i - 1) * ln(greatest(fz, 1e-300)) + (2 * n - 2 * i + 1) * ln(greatest(sz, 1e-300))) / max(n) AS ad_stat,
+              max(greatest(i / n - fz, fz - (i - 1.0) / n)) AS ks_stat FROM f GROUP BY feature),
+pv AS (SELECT *, (ln(1 - w) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))) AS sfz,
+              (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * ks_stat AS lam FROM st),
+tests AS (SELECT *, {_phi_sql("(-sfz)")} AS shapiro_p,
+                 least(1.0, greatest(0.0, 2 * list_sum(list_transform(range(1, 200), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * j * j * lam * lam))))) AS ks_p FROM pv)"""
+
+
+RANKED_SQL = _ranked_sql("SELECT 'value' AS feature, value AS x FROM events")
 
 
 @register("anderson_events", "WITH " + RANKED_SQL + """
-SELECT 'value' AS feature, max(n) AS n,
-       round(-max(n) - sum((2 * i - 1) * ln(greatest(fz, 1e-300))
-                           + (2 * n - 2 * i + 1) * ln(greatest(sz, 1e-300))) / max(n), 4) AS ad_stat FROM f""")
+SELECT feature, n, round(ad_stat, 6) AS ad_stat FROM st""")
 def anderson_events(spark, sf):
-    """ST6 — Anderson–Darling A² from global ranks (no single-partition window)."""
-    return ST.anderson(table(spark, sf, "events"), "value").select("feature", "n", F.round("ad_stat", 4).alias("ad_stat"))
+    """ST6 — Anderson–Darling A² over runs of equal values (no single-partition window)."""
+    return round_cols(ST.anderson(table(spark, sf, "events"), "value"))
 
 
 @register("ks_normal_events", "WITH " + RANKED_SQL + """
-SELECT 'value' AS feature, max(n) AS n, round(max(greatest(i / n - fz, fz - (i - 1.0) / n)), 6) AS ks_stat FROM f""")
+SELECT feature, n, round(ks_stat, 6) AS ks_stat, round(ks_p, 6) AS p_value FROM tests""")
 def ks_normal_events(spark, sf):
-    """ST7 — one-sample KS statistic vs the fitted normal."""
-    return round_cols(ST.ks_normal(table(spark, sf, "events"), "value").select("feature", "n", "ks_stat"))
+    """ST7 — one-sample KS statistic vs the fitted normal, with its asymptotic p."""
+    return round_cols(ST.ks_normal(table(spark, sf, "events"), "value"))
 
 
 @register("normaltest_events")
@@ -232,10 +272,18 @@ def normaltest_events(spark, sf):
     return ST.normaltest(table(spark, sf, "events"), "value")
 
 
-@register("normality_lineitem")
+NORMAL_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@register("normality_lineitem", "WITH " + _ranked_sql(" UNION ALL ".join(f"SELECT '{x}' AS feature, {x} AS x FROM lineitem" for x in NORMAL_COLS)) + """,
+mo AS (SELECT feature, skewness(x) AS skewness, kurtosis(x) AS kurtosis FROM v GROUP BY feature)
+SELECT feature, n, round(w, 6) AS shapiro_stat, round(shapiro_p, 6) AS shapiro_p, round(ad_stat, 3) AS ad_stat,
+       round(0.787 / (1 + 4.0 / n - 25.0 / (n * n)), 3) AS ad_critical_5pct, round(ks_stat, 6) AS ks_stat, round(ks_p, 6) AS ks_p,
+       round(skewness, 6) + 0.0 AS skewness, round(kurtosis, 6) + 0.0 AS kurtosis, shapiro_p > 0.05 AS is_normal FROM tests JOIN mo USING (feature)""")
 def normality_lineitem(spark, sf):
-    """ST10 — normality table with skew/kurtosis, AD, KS and K²."""
-    return ST.normality(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
+    """ST10 — normality table: Shapiro–Francia, Anderson–Darling, KS, skewness, kurtosis and the verdict, over all rows."""
+    out = ST.normality(table(spark, sf, "lineitem"), NORMAL_COLS)
+    return round_cols(out.withColumn("ad_stat", F.round("ad_stat", 3)))
 
 
 @register("qq_points_events")
@@ -268,23 +316,78 @@ def adjusted_error_shares(spark, sf):
 
 @register("hypothesis_table_events")
 def hypothesis_table_events(spark, sf):
-    """ST21 — union of the hypothesis tests on one table."""
+    """ST21 — the hypothesis tests of ``HYPOTHESES`` with p-values and conclusions."""
+    return ST.hypothesis_table(_hypothesis_events(spark, sf), HYPOTHESES)
+
+
+def _hypothesis_events(spark, sf):
     e = events_labelled(spark, sf).withColumn("high_value", (F.col("value") > 250).cast("int"))
-    return ST.hypothesis_table(e, "value", "is_error", "event_type", "is_error", "high_value")
+    return e.withColumn("hour", F.hour("ts")).withColumn("weekday", F.weekday("ts").cast("string"))
+
+
+HYPOTHESES = [ST.Hypothesis("H1", "value follows the hour", "pearson", "hour", "value"),
+              ST.Hypothesis("H2", "value follows the user", "pearson", "user_id", "value"),
+              ST.Hypothesis("H3", "high values go with errors", "chi2", "is_error", "high_value"),
+              ST.Hypothesis("H4", "value differs across event types", "anova", "value", "event_type"),
+              ST.Hypothesis("H5", "value differs across weekdays", "anova", "value", "weekday"),
+              ST.Hypothesis("H6", "errors have other values (mean)", "t_test", "value", "is_error"),
+              ST.Hypothesis("H7", "errors have other values (ranks)", "mann_whitney", "value", "is_error"),
+              ST.Hypothesis("H8", "errors have other values (distribution)", "ks_2samp", "value", "is_error"),
+              ST.Hypothesis("H9", "errors vary more", "f_variance", "value", "is_error")]
+
+
+def _anova_sql(group):
+    return f"""(SELECT (sum((gm - m) * (gm - m)) / (count(DISTINCT g) - 1)) / (sum((value - gm) * (value - gm)) / (count(*) - count(DISTINCT g)))
+      FROM (SELECT *, avg(value) OVER () AS m FROM (SELECT {group} AS g, value, avg(value) OVER (PARTITION BY {group}) AS gm, count(*) OVER (PARTITION BY {group}) AS gn
+            FROM evl WHERE value IS NOT NULL) WHERE gn > 10))"""
+
+
+@register("hypothesis_statistics_events", "WITH " + EVL_SQL.replace("FROM events)", ", CAST(value > 250 AS INTEGER) AS high_value FROM events)") + ",\n" + MW_SQL + ",\n"
+          + _chi2_sql("is_error", "high_value", "evl").replace("WITH cells", "cells") + """,
+m AS (SELECT count(value) FILTER (WHERE is_error = 0) AS n0, count(value) FILTER (WHERE is_error = 1) AS n1, avg(value) FILTER (WHERE is_error = 0) AS m0,
+             avg(value) FILTER (WHERE is_error = 1) AS m1, var_samp(value) FILTER (WHERE is_error = 0) AS v0, var_samp(value) FILTER (WHERE is_error = 1) AS v1,
+             var_pop(value) FILTER (WHERE is_error = 1) / var_pop(value) FILTER (WHERE is_error = 0) AS fv, corr(hour(ts), value) AS r1, corr(user_id, value) AS r2 FROM evl),
+ks AS (SELECT max(abs(k0 / n0 - k1 / n1)) AS d FROM (SELECT sum(c0) OVER (ORDER BY value) AS k0, sum(c1) OVER (ORDER BY value) AS k1, sum(c0) OVER () AS n0, sum(c1) OVER () AS n1
+       FROM (SELECT value, count(*) FILTER (WHERE is_error = 0) AS c0, count(*) FILTER (WHERE is_error = 1) AS c1 FROM evl WHERE value IS NOT NULL GROUP BY value)))
+SELECT h AS hypothesis, test, round(x, 6) + 0.0 AS statistic FROM (
+  SELECT 'H1' AS h, 'pearson' AS test, r1 AS x FROM m UNION ALL SELECT 'H2', 'pearson', r2 FROM m UNION ALL SELECT 'H3', 'chi2', chi2 FROM t
+  UNION ALL SELECT 'H4', 'anova', """ + _anova_sql("event_type") + """ UNION ALL SELECT 'H5', 'anova', """ + _anova_sql("isodow(ts)") + """
+  UNION ALL SELECT 'H6', 't_test', (m1 - m0) / sqrt(((n0 - 1) * v0 + (n1 - 1) * v1) / (n0 + n1 - 2) * (1.0 / n0 + 1.0 / n1)) FROM m
+  UNION ALL SELECT 'H7', 'mann_whitney', r0 - n0 * (n0 + 1) / 2.0 FROM u UNION ALL SELECT 'H8', 'ks_2samp', d FROM ks UNION ALL SELECT 'H9', 'f_variance', fv FROM m)""")
+def hypothesis_statistics_events(spark, sf):
+    """ST21 — the statistics of the hypothesis table."""
+    return round_cols(ST.hypothesis_table(_hypothesis_events(spark, sf), HYPOTHESES).select("hypothesis", "test", "statistic"))
 
 
 @register("assumption_table_readings")
 def assumption_table_readings(spark, sf):
-    """ST22 — assumption verdicts (independence, normality, homoscedasticity, collinearity)."""
+    """ST22 — the six assumption verdicts: linearity, normality, independence, homoscedasticity, collinearity, stationarity."""
     r = readings(spark, sf).select("ts", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount")
     return ST.assumption_table(r, "l_extendedprice", ["l_quantity", "l_discount"], r.columns)
 
 
-@register("shapiro_readings")
+SHAPIRO_COLS = ["l_quantity", "l_extendedprice", "o_totalprice"]
+
+
+@register("shapiro_readings", "WITH " + READINGS_SQL + ",\n" + _ranked_sql(
+    " UNION ALL ".join(f"SELECT '{x}' AS feature, CAST({x} AS DOUBLE) AS x FROM readings" for x in SHAPIRO_COLS)) + """
+SELECT feature, n, round(w, 6) AS w, round(shapiro_p, 6) AS p_value, shapiro_p > 0.05 AS is_normal FROM tests""")
 def shapiro_readings(spark, sf):
-    """ST5 — Shapiro–Wilk on a 5,000-row key-hash sample per feature."""
-    r = readings(spark, sf)
-    return ST.shapiro(r, ["l_quantity", "l_extendedprice", "o_totalprice"], ["l_orderkey", "l_linenumber", "l_extendedprice"])
+    """ST5 — Shapiro–Francia W′ of three columns over all readings, with p and verdict."""
+    return round_cols(ST.shapiro(readings(spark, sf), SHAPIRO_COLS))
+
+
+@register("fligner_value_by_type", """
+WITH m AS (SELECT event_type, median(value) AS med FROM events WHERE value IS NOT NULL GROUP BY 1),
+z AS (SELECT e.event_type, abs(e.value - m.med) AS z FROM events e JOIN m ON e.event_type = m.event_type WHERE e.value IS NOT NULL),
+r AS (SELECT event_type, rank() OVER (ORDER BY z) + (count(*) OVER (PARTITION BY z) - 1) / 2.0 AS r, count(*) OVER () AS n FROM z),
+a AS (SELECT event_type, """ + _ppf_sql("0.5 + r / (2 * (n + 1))") + """ AS a FROM r),
+t AS (SELECT avg(a) AS m, var_samp(a) AS v, count(*) AS "N" FROM a),
+g AS (SELECT event_type, avg(a) AS ga, count(*) AS ni FROM a GROUP BY 1)
+SELECT 'value' AS feature, any_value("N") AS "N", count(*) AS k, round(sum(ni * (ga - m) * (ga - m)) / any_value(v), 6) AS fligner_stat FROM g, t""")
+def fligner_value_by_type(spark, sf):
+    """ST11 — Fligner–Killeen statistic across event types."""
+    return round_cols(ST.fligner_stats(table(spark, sf, "events"), "value", "event_type"))
 
 
 @register("adf_events")

@@ -77,10 +77,16 @@ def read_feature_list(spark: SparkSession, path: str, column: str = "feature") -
     return [r[0] for r in spark.read.parquet(path).select(column).collect()]
 
 
+#: Rows up to which a report is one file.
+REPORT_ROWS = 100_000
+
+
 def write_report(df: DataFrame, root: str, name: str) -> str:
-    """SNK3 — a metric table as one header CSV file (report tables are small)."""
+    """SNK3 — a metric table as header CSV: one file while its rows, counted, are a
+    report's (``REPORT_ROWS``), else one a partition."""
     path = stage_path(root, name)
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    small = df.limit(REPORT_ROWS + 1).count() <= REPORT_ROWS
+    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -68,6 +68,13 @@ def int_ids(batch: pa.RecordBatch, column: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(column))
 
 
+def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that no helper uses, and the new name of each: columns
+    of the input may have any names."""
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def text_hash(text: str = "text") -> Column:
     """64-bit hash of the whole text; with the id it names a distinct row."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("\0null")))

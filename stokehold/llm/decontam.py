@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, ragged, slices, text_hash
+from .common import blobs, ragged, renamed, slices, text_hash
 
 #: Bytes to words: letters A-Z lowered, other ASCII than letters and digits parted.
 WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -264,7 +264,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, slop: i
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a window of the test set."""
-    hit = decontaminate(docs, benchmark, id_col=id_col, text_col=text_col, **options).filter("n_hit > 0")
-    bad = hit.select(F.col(id_col).alias("_id"), F.col("row_hash").alias("_hash")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash(text_col) == F.col("_hash"))
-    return docs.join(bad, same, "left_anti")
+    inner, names = renamed(docs)
+    key, text = names[id_col], names[text_col]
+    hit = decontaminate(inner, benchmark, id_col=key, text_col=text, **options).filter("n_hit > 0")
+    bad = hit.select(F.col(key).alias("_id"), F.col("row_hash").alias("_hash")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_id")) & (text_hash(text) == F.col("_hash"))
+    return inner.join(bad, same, "left_anti").select(*[F.col(n).alias(c) for c, n in names.items()])

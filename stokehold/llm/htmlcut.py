@@ -50,26 +50,75 @@ HOME_WORDS = frozenset("article content main post story entry body text prose".s
 #: Weights of the classifier, in units of log odds.
 WEIGHTS = {"bias": -0.4, "away_tag": -6.0, "away_word": -5.0, "home_tag": 3.0, "home_word": 1.2, "link_share": -4.0, "words": 0.5,
            "sentence": 0.8, "heading": 0.8, "paragraph": 1.0, "list_item": -0.6}
+#: Signs of a page's layout (a form or a wrapper named after a part) count only for elements with less than this share of its text.
+WHOLE_PAGE = 0.8
+LAYOUT_WORDS = frozenset("banner footer header menu modal nav navbar navigation sidebar toolbar widget".split())
 #: Capacity between neighbours of equal path; divided by one more than the steps between their elements.
 SMOOTHNESS = 1.2
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
 class Block:
-    __slots__ = ("parts", "path", "marks", "linked", "text")
-
-    def __init__(self, path: tuple, marks: frozenset):
-        self.parts, self.path, self.marks, self.linked, self.text = [], path, marks, 0, ""
+    """A block of text in element number ``node``; ``marks`` come from its elements."""
+
+    __slots__ = ("parts", "node", "near", "marks", "linked", "text")
+
+    def __init__(self, node: int, near: frozenset):
+        self.parts, self.node, self.near, self.marks, self.linked, self.text = [], node, near, near, 0, ""
+
+
+class Elements:
+    """The page's elements by number, parents before children."""
+
+    def __init__(self):
+        self.parent, self.depth, self.signs = [-1], [0], [frozenset()]
+
+    def add(self, parent: int, signs: frozenset) -> int:
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        self.signs.append(signs)
+        return len(self.parent) - 1
+
+    def distance(self, a: int, b: int) -> int:
+        """Steps between two elements of the tree. Between neighbours on the page that
+        is at most the number of tags between them."""
+        steps = 0
+        while a != b:
+            if self.depth[a] < self.depth[b]:
+                a, b = b, a
+            a = self.parent[a]
+            steps += 1
+        return steps
+
+    def inherited(self, weight: list[int]) -> list[frozenset]:
+        """Signs of each element and those around it; ``weight`` is the text directly in
+        each. Layout signs of an element with nearly all of the page's text say nothing."""
+        held = list(weight)
+        for e in range(len(held) - 1, 0, -1):
+            held[self.parent[e]] += held[e]
+        out = [frozenset()]
+        for e in range(1, len(held)):
+            own = self.signs[e]
+            if own and held[e] >= WHOLE_PAGE * held[0]:
+                own = own - {"page_form", "page_word"}
+            above = out[self.parent[e]]
+            out.append(above if own <= above else above | own)
+        return out
+
+
+#: The open element that a start tag ends, and the elements whose inside it looks no further than.
+_CLOSES = {"li": ("li", ("ul", "ol", "menu")), "p": ("p", ("div", "article", "section", "td", "li", "body")), "tr": ("tr", ("table",)),
+           "td": ("td", ("tr", "table")), "dd": ("dt", ("dl",)), "dt": ("dd", ("dl",)), "option": ("option", ("select",))}
 
 
 def marks_of(tag: str, attributes: str) -> tuple[frozenset, bool]:
     """Signs of an element (for all inside it), and whether it is hidden."""
     found, hidden = set(), tag in HIDDEN_TAGS
     if tag in AWAY_TAGS:
-        found.add("away_tag")
+        found.add("page_form" if tag == "form" else "away_tag")
     elif tag in HOME_TAGS:
         found.add("home_tag")
     for name, value in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
@@ -78,34 +127,52 @@ def marks_of(tag: str, attributes: str) -> tuple[frozenset, bool]:
             hidden = True
         elif name in ("class", "id", "role"):
             words = _PART.findall(value)
-            if not AWAY_WORDS.isdisjoint(words):
-                found.add("away_word")
-            elif tag not in ("body", "html") and not HOME_WORDS.isdisjoint(words):
+            if tag in ("body", "html"):  # words about the page's layout
+                continue
+            if away := AWAY_WORDS.intersection(words):
+                found.add("page_word" if away <= LAYOUT_WORDS else "away_word")
+            elif not HOME_WORDS.isdisjoint(words):
                 found.add("home_word")
     return frozenset(found), hidden
 
 
-def blocks(html: str) -> list[Block]:
-    """The page's blocks with text, in page order."""
+def blocks(html: str) -> tuple[list[Block], Elements]:
+    """The page's blocks with text, in page order, and its elements. The open
+    elements of each tag are kept by their place on the stack, so each tag of
+    the page costs the same however deep it stands."""
     out: list[Block] = []
-    # open elements: (tag, number, marks so far, hidden)
-    stack: list[tuple[str, int, frozenset, bool]] = [("", 0, frozenset(), False)]
-    number, links, at = 0, 0, 0
+    tree = Elements()
+    # open elements: (tag, number, hidden), and their places by tag and of all block tags
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]
+    places: dict[str, list[int]] = {}
+    walls: list[int] = []
+    at = 0
     now = None
 
     def say(text: str) -> None:
         nonlocal now
-        if not text or stack[-1][3]:
+        if not text or stack[-1][2]:
             return
         if now is None:
             if text.isspace():
                 return
-            now = Block(tuple(e[1] for e in stack), stack[-1][2] | {"in_" + e[0] for e in stack[-4:]})
+            now = Block(stack[-1][1], frozenset("in_" + e[0] for e in stack[-4:]))
             out.append(now)
         now.parts.append(text)
-        if links:
+        if places.get("a"):
             now.linked += len(text)
 
+    def last(tag: str) -> int:
+        held = places.get(tag)
+        return held[-1] if held else 0
+
+    def close(place: int) -> None:
+        while len(stack) > place:
+            tag = stack.pop()[0]
+            places[tag].pop()
+            if tag in BLOCK_TAGS:
+                walls.pop()
+
     raw = ""
     while True:
         m = _TAG.search(html, at) if not raw else re.compile(rf"<(/)({raw})([^>]*)(?:>|\Z)", re.I).search(html, at)
@@ -124,44 +191,43 @@ def blocks(html: str) -> list[Block]:
         if tag in BLOCK_TAGS:
             now = None
         if m.group(1):
-            opened = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            opened = last(tag)
             # an inline end tag doesn't close blocks around it
-            if opened and (tag in BLOCK_TAGS or not any(e[0] in BLOCK_TAGS for e in stack[opened + 1:])):
-                links -= sum(e[0] == "a" for e in stack[opened:])
-                del stack[opened:]
+            if opened and (tag in BLOCK_TAGS or not walls or walls[-1] < opened):
+                close(opened)
             continue
         if tag in BLOCK_TAGS:  # a block ends an open paragraph, an item the one before it
-            closes = {"li": ("li", ("ul", "ol", "menu")), "p": ("p", ("div", "article", "section", "td", "li", "body")), "tr": ("tr", ("table",)),
-                      "td": ("td", ("tr", "table")), "dd": ("dt", ("dl",)), "dt": ("dd", ("dl",)), "option": ("option", ("select",))}
-            end, within = closes.get(tag, ("p", ("td", "li", "button")))
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == end:
-                    links -= sum(e[0] == "a" for e in stack[i:])
-                    del stack[i:]
-                    break
-                if stack[i][0] in within:
-                    break
+            end, within = _CLOSES.get(tag, ("p", ("td", "li", "button")))
+            opened = last(end)
+            if opened and opened >= max((last(w) for w in within if w != end), default=0):
+                close(opened)
         if tag in VOID_TAGS or m.group(3).rstrip().endswith("/") and tag not in BLOCK_TAGS and tag not in RAW_TAGS:
             continue
-        number += 1
         marks, hidden = marks_of(tag, m.group(3))
-        stack.append((tag, number, stack[-1][2] | marks, stack[-1][3] or hidden))
-        links += tag == "a"
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK_TAGS:
+            walls.append(len(stack))
+        stack.append((tag, tree.add(stack[-1][1], marks), stack[-1][2] or hidden))
         raw = tag if tag in RAW_TAGS else ""
-    kept = []
+    kept, weight = [], [0] * len(tree.parent)
     for b in out:
         whole = "".join(b.parts)
         b.text = " ".join((unescape(whole) if "&" in whole else whole).split())
         if b.text:
             b.linked = min(1.0, b.linked / max(1, len(whole)))
+            weight[b.node] += len(b.text)
             kept.append(b)
-    return kept
+    around = tree.inherited(weight)
+    for b in kept:
+        b.marks = around[b.node] | b.near
+    return kept, tree
 
 
 def odds(b: Block) -> float:
     """Log odds that a block is content."""
     w, n = WEIGHTS, b.text.count(" ") + 1
-    x = w["bias"] + sum(w[k] for k in ("away_tag", "away_word", "home_tag", "home_word") if k in b.marks)
+    x = w["bias"] + sum(w[k] for k in ("home_tag", "home_word") if k in b.marks)
+    x += w["away_tag"] * bool(b.marks & {"away_tag", "page_form"}) + w["away_word"] * bool(b.marks & {"away_word", "page_word"})
     x += w["link_share"] * b.linked + w["words"] * min(n, 40) ** 0.5 / 2
     x += w["sentence"] * (b.text[-1] in ".!?…:;\"'”»)")
     x += w["heading"] * any(f"in_h{k}" in b.marks for k in range(1, 7))
@@ -169,26 +235,15 @@ def odds(b: Block) -> float:
     return x
 
 
-def distance(a: tuple, b: tuple) -> int:
-    """Steps between two elements of the tree, from their paths."""
-    same = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        same += 1
-    return len(a) + len(b) - 2 * same
-
-
-def edges(paths: list[tuple]) -> list[tuple[int, int, float]]:
+def edges(nodes: list[int], tree: Elements) -> list[tuple[int, int, float]]:
     """Smoothness edges: neighbours on the page, and consecutive children of one element."""
-    out = [(i - 1, i, SMOOTHNESS / (1 + distance(paths[i - 1], paths[i]))) for i in range(1, len(paths))]
+    out = [(i - 1, i, SMOOTHNESS / (1 + tree.distance(nodes[i - 1], nodes[i]))) for i in range(1, len(nodes))]
     last: dict[int, int] = {}
-    for i, path in enumerate(paths):
-        parent = path[-2] if len(path) > 1 else -1
-        j = last.get(parent)
+    for i, node in enumerate(nodes):
+        j = last.get(tree.parent[node])
         if j is not None and j < i - 1:
-            out.append((j, i, SMOOTHNESS / (1 + distance(paths[j], path))))
-        last[parent] = i
+            out.append((j, i, SMOOTHNESS / (1 + (0 if nodes[j] == node else 2))))
+        last[tree.parent[node]] = i
     return out
 
 
@@ -256,10 +311,10 @@ def minimum_cut(unary: list[float], pairs: list[tuple[int, int, float]]) -> list
 
 
 def main_text(html: str | None) -> str:
-    found = blocks(html) if html else []
+    found, tree = blocks(html) if html else ([], None)
     if not found:
         return ""
-    keep = minimum_cut([odds(b) for b in found], edges([b.path for b in found]))
+    keep = minimum_cut([odds(b) for b in found], edges([b.node for b in found], tree))
     return "\n".join(b.text for b, k in zip(found, keep) if k)
 
 

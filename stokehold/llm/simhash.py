@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, blobs, hot_keys, salted_join, slices, text_hash
+from .common import LOWER, blobs, hot_keys, renamed, salted_join, slices, text_hash
 from .graph import components
 
 BITS = 64
@@ -125,9 +125,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, seed: in
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the smallest id, of equal
     ids the smallest text hash, of equal rows one."""
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    own = F.col(id_col).eqNullSafe(F.col("component_id")) & (F.col("row_hash") == F.col("first_hash"))
-    winners = groups.filter(own).select(F.col(id_col).alias("_id"), F.col("row_hash").alias("_hash")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_hash"))
-    kept = docs.withColumn("_row", text_hash(text_col)).join(winners, same, "inner")
-    return kept.dropDuplicates(["_id", "_row"]).select(*docs.columns)
+    inner, names = renamed(docs)
+    key, text = names[id_col], names[text_col]
+    groups = near_duplicates(inner, id_col=key, text_col=text, **options)
+    own = F.col(key).eqNullSafe(F.col("component_id")) & (F.col("row_hash") == F.col("first_hash"))
+    winners = groups.filter(own).select(F.col(key).alias("_id"), F.col("row_hash").alias("_hash")).distinct()
+    same = F.col(key).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_hash"))
+    kept = inner.withColumn("_row", text_hash(text)).join(winners, same, "inner").dropDuplicates(["_id", "_row"])
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

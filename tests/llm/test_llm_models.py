@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -161,12 +162,44 @@ def test_classifier_edge_cases(spark):
     assert classifier.classify(docs.limit(0), labels).count() == 0
 
 
-def test_prior_and_risk_recover_a_mixture():
+def test_classifier_where_every_document_is_labelled(spark):
+    """No unlabelled row is left: all training texts, without their labels, stand for it. A hot id is many rows like any other."""
+    docs, labels = (spark.read.parquet(f"{SF_MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    known = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    good = labels.filter("quality = 1").first().doc_id
+    hot = known.unionByName(spark.range(300).select(F.lit(good).alias("doc_id"), F.concat(F.lit("Well. "), F.col("id").cast("string")).alias("text"), F.lit("x").alias("lang"),
+                                                   F.lit("x").alias("source"), F.lit(1).cast("long").alias("n_chars")))
+    for frame in (known, hot):
+        got = classifier.classify(frame, labels).join(labels, "doc_id").filter(f"doc_id <> {good}").toPandas()
+        assert got.score.nunique() > 200
+        assert (got.score[got.quality == 1].mean() > got.score[got.quality == 0].mean() + .3)
+
+
+def test_newton_finds_the_least_risk():
+    r = np.random.default_rng(1)
+    draw = lambda n, shift: r.normal(1 + shift, 1, (n, classifier.N_FEATURES)).clip(0)
+    xp, xu = draw(3000, .1), np.concatenate([draw(1500, .1), draw(3500, 0)])  # classes that overlap: the bound at 0 is not met
+    d = 3 * classifier.N_FEATURES
+    e = np.concatenate([classifier.expand(xp), classifier.expand(xu)])
+    start = classifier.Model(e.mean(0), e.std(0) + 1e-9, np.zeros(d + 1))
+    sums = lambda m: (classifier.risk_sums(m, xp), classifier.risk_sums(m, xu))
+
+    def risk(m, prior=.3):
+        p, u = (x[:3] / x[0] for x in sums(m))
+        return prior * p[1] + max(0, u[2] - prior * p[2]) + 1e-2 * (m.weights[:-1] ** 2).sum() / 2
+
+    best = classifier.newton(sums, start, .3)
+    assert risk(best) < risk(start) and all(risk(best) <= risk(best.at(best.weights + r.normal(0, .05, d + 1))) + 1e-9 for _ in range(50))
+
+
+def test_prior_and_risk_recover_a_mixture(spark):
     r = np.random.default_rng(0)
     shape = (classifier.N_FEATURES,)
     good = lambda n: r.normal(0.7, 0.1, (n, *shape)).clip(0)
     bad = lambda n: r.normal(0.3, 0.1, (n, *shape)).clip(0)
-    model, prior = classifier.fit(good(2000), np.concatenate([good(2400), bad(1600)]))
+    parts = [(1, good(2000)), (0, good(2400)), (0, bad(1600)), (2, bad(500))]  # those labelled otherwise are never used
+    rows = spark.createDataFrame([(k, v) for k, x in parts for v in x.tolist()], "kind int, features array<float>").repartition(5)
+    model, prior = classifier.fit(rows)
     assert 0.5 < prior < 0.72
     assert (model.score(good(500)) > .5).mean() > .98 and (model.score(bad(500)) < .5).mean() > .98
 
@@ -226,6 +259,30 @@ def test_extraction_parts_content_from_boilerplate(spark):
     assert htmlcut.extract(pages.limit(0)).count() == 0
 
 
+ARTICLE = "<h1>Storm over the bay</h1>" + "".join(f"<p>The harbour was closed for {k} hours while the boats came in one by one.</p>" for k in ("two", "three", "four", "five"))
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="has-sidebar">{}<div class="sidebar">Links here</div></body>', '<body><form action="/x"><article>{}</article><input name=q></form></body>',
+    '<body><form>{}<button>Send</button></form></body>', '<div class="page with-sidebar no-banner"><div>{}</div></div>',
+    '<body><div class="content">{}</div><div class="comments"><p>' + "I read all of this with great pleasure, thank you. " * 60 + "</p></div></body>"])
+def test_articles_in_marked_wrappers_are_kept(page):
+    got = htmlcut.main_text(page.format(ARTICLE)).split("\n")
+    assert got == ["Storm over the bay", *(f"The harbour was closed for {k} hours while the boats came in one by one." for k in ("two", "three", "four", "five"))]
+
+
+def test_broken_and_deep_pages():
+    assert htmlcut.main_text('<p>One good sentence, long enough to be kept here.</p><a title=" x') == "One good sentence, long enough to be kept here."
+    start = time.time()
+    deep = htmlcut.main_text("<div>x " * 100_000)
+    for page in ("<b>" * 50_000 + "</i>" * 50_000, "<a>" + "<div>" * 30_000 + "</a>" * 30_000, '<a "' * 30_000, "<" * 100_000, "<p>a</p>" * 50_000):
+        htmlcut.main_text(page)
+    assert time.time() - start < 25 and isinstance(deep, str)
+    blocks, tree = htmlcut.blocks("<div>a<div>b</div><ul><li>c<li>d</ul></div><p>e")
+    assert [b.text for b in blocks] == list("abcde")
+    assert [tree.distance(x.node, y.node) for x, y in zip(blocks, blocks[1:])] == [1, 3, 2, 4]
+
+
 def test_minimum_cut_is_the_cheapest_labelling():
     r = random.Random(5)
     for _ in range(60):

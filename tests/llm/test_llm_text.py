@@ -37,6 +37,12 @@ def empty(spark):
     return spark.createDataFrame([], "doc_id long, text string, _text string, n long")
 
 
+@pytest.fixture(scope="module")
+def clashing(docs):
+    """The same rows with extra columns named like helpers."""
+    return docs.withColumns({c: F.lit(i) for i, c in enumerate(("_id", "_hash", "_row", "_copy", "row_hash", "fp", "_n", "_total", "items"))})
+
+
 def text_rows(docs):
     return [(r.doc_id, r.text) for r in docs.collect()]
 

@@ -177,7 +177,7 @@ def drop_repeats(docs: DataFrame, gram_words: int = GRAM_WORDS, run_words: int =
     """``docs`` with repeated runs deleted from the text; ``removed`` names an extra
     column with the number of lines gone."""
     name = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    inner = docs.withColumnsRenamed(name)
+    inner = docs.toDF(*[name[c] for c in docs.columns])
     runs = repeated_runs(inner, gram_words, run_words, name[id_col], name[text_col]).select(
         F.col(name[id_col]).alias("_id"), F.col("row_hash").alias("_hash"), F.array_sort("runs").alias("_runs"))
     same = F.col(name[id_col]).eqNullSafe(F.col("_id")) & (text_hash(name[text_col]) == F.col("_hash"))

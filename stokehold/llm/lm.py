@@ -8,14 +8,15 @@ way by its escape probability d/2n (method D: d different bytes in n, each half
 a count short), and the bytes it knew are excluded from the shorter ones; the last resort is uniform over the bytes never seen. A document's score is the
 log10 probability of its bytes under this pretrained model.
 
+The trie holds every context of the corpus and is never in one place. Its nodes are dealt into shards by the last
+two bytes of their context; contexts of one byte, of which there are 2^16 at most with their next bytes, go to all. Texts are read in slices,
+each sends its distinct grams to the shards, which code them (a gram's code doesn't depend on the document), and the
+codes come back to the slice. A shard's grams come in parts of bounded size, so more text means more parts.
+
 Beside it stands a smoothed unigram model over whole words. Its counts are
 exact for every word: the ``hot_words`` most frequent ones travel to the tasks,
 the counts of all others are joined to the documents' rarer words, of which no one is frequent.
 
-Trie nodes that are sent to the tasks are those seen often enough: each level has the least
-floor that leaves it ``max_nodes`` and is no lower than a shorter level's; a rarer one is an escape to its shorter context.
-Everything else grows with the corpus and stays distributed.
-
 Null texts are empty (the end alone); null ids train and are not held out;
 rows with equal id and text are scored once and repeated; other columns
 are ignored; without training documents every byte is uniform; empty tables give empty results.
@@ -28,14 +29,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, blobs, count_floor, ragged, slices, text_hash
+from .common import LOWER, blobs, count_floor, ragged, slices, text_hash, written
 
 END = b"\n"
 CHUNK = 1 << 16  # places that fit beside a gram of six bytes in 64 bits
 FLUSH_WORDS = 400_000
+#: Bytes of text whose distinct grams are coded together.
+SLICE_TEXT = 8 << 20
+#: Full contexts of one shard, on average.
+SHARD_NODES = 1 << 20
+#: Shards there can be: one for each two bytes.
+MOST_SHARDS = 1 << 16
+#: Bytes of grams that one task codes, as dealt.
+PART_BYTES = 64 << 20
 
 
 def split(text: bytes | None) -> list[bytes]:
@@ -187,51 +198,150 @@ def counts(docs: DataFrame, order: int = 5, text_col: str = "text") -> DataFrame
     return docs.select(F.col(text_col).alias("_text")).mapInArrow(run, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def trie_of(found: DataFrame, order: int, max_nodes: int) -> Trie:
-    """The trie from counted full contexts: every level is a sum over longer ones."""
-    full = found.filter(F.substring("key", 1, 1) == F.lit(b"g")).select(F.conv(F.hex(F.expr("substring(key, 2)")), 16, 10).cast("long").alias("g"), "n")
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.col("g").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("g")) for k in range(order + 1)]))
-    nodes = full.select(each.alias("e"), "n").groupBy("e.level", "e.g").agg(F.sum("n").alias("n")).checkpoint()
-    # floors never fall with the level: a node is as frequent as any longer one that ends in it, so it is there too
-    floors = np.maximum.accumulate([count_floor(nodes.filter(F.col("level") == k), "n", max_nodes) for k in range(order + 1)]).tolist()
-    kept = nodes.filter(F.col("n") >= F.element_at(F.array(*map(F.lit, floors)), F.col("level") + 1)).toArrow()  # max_nodes a level at most
-    level, g, n = (kept.column(c).to_numpy() for c in ("level", "g", "n"))
-    levels = []
-    for k in range(order + 1):
-        key, count = g[level == k].astype(np.uint64), n[level == k].astype(float)
-        by = np.argsort(key)
-        levels.append((key[by], count[by]))
+def shard_of(gram: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of packed grams, by the last two bytes of their contexts."""
+    mixed = (gram >> np.uint64(8)) * np.uint64(40503) & np.uint64(0xFFFF)
+    return (mixed * np.uint64(shards) >> np.uint64(16)).astype(np.int32)
+
+
+def shard_column(gram: Column, shards: int) -> Column:
+    mixed = (F.shiftright(gram, 8).bitwiseAND(F.lit(0xFFFF)) * 40503).bitwiseAND(F.lit(0xFFFF))
+    return F.shiftright(mixed * shards, 16).cast("int")
+
+
+def sub_trie(gram: np.ndarray, n: np.ndarray, order: int, tops: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
+    """The trie of one shard's full contexts: their shorter ones down to two bytes lie in
+    the same shard; ``tops`` are the levels above, of the whole corpus."""
+    levels = list(tops[:order + 1])
+    for k in range(2, order + 1):
+        key, place = np.unique(gram & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
+        levels.append((key, np.bincount(place, n, len(key))))
     return Trie(levels)
 
 
+def squeeze(*columns: np.ndarray) -> bytes:
+    """64-bit columns of equal length in one frame."""
+    return zstandard.ZstdCompressor(level=1).compress(np.stack([c.view(np.uint64) for c in columns]).tobytes())
+
+
+def spread(blob: bytes, columns: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint64).reshape(columns, -1)
+
+
+class Coded:
+    """Codes of a slice's distinct grams, where ``code_lengths`` looks them up."""
+
+    def __init__(self, grams_: np.ndarray, codes: np.ndarray):
+        order = np.argsort(grams_)
+        self.grams, self.codes = grams_[order], codes[order]
+
+    def code(self, q: np.ndarray) -> np.ndarray:
+        return self.codes[np.searchsorted(self.grams, q)]
+
+
+def text_scores(docs: DataFrame, found: DataFrame, order: int, id_col: str, text_col: str, shard_nodes: int = SHARD_NODES,
+                part_bytes: int = PART_BYTES, slice_bytes: int = SLICE_TEXT) -> DataFrame:
+    """(id, row_hash, score) of every row of ``docs`` under the trie of the counted grams in ``found``."""
+    full = found.filter(F.substring("key", 1, 1) == F.lit(b"g")).select(F.conv(F.hex(F.expr("substring(key, 2)")), 16, 10).cast("long").alias("g"), "n")
+    shards = min(MOST_SHARDS, max(16, -(-full.count() // shard_nodes)))
+    low = full.groupBy(F.col("g").bitwiseAND(F.lit(0xFFFF)).alias("g")).agg(F.sum("n").alias("n")).toArrow()  # 2^16 rows at most
+    pair, n = low.column("g").to_numpy().astype(np.uint64), low.column("n").to_numpy().astype(float)
+    by = np.argsort(pair)
+    one, place = np.unique(pair & np.uint64(0xFF), return_inverse=True)
+    tops = [(one, np.bincount(place, n, len(one)) if len(one) else np.zeros(0)), (pair[by], n[by])]
+
+    def pack(group: pa.Table) -> pa.Table:
+        g, c = (group.column(x).to_numpy().astype(np.uint64) for x in ("g", "n"))
+        return pa.table({"shard": pa.array([group.column("shard")[0].as_py()], pa.int32()), "nodes": pa.array([squeeze(g, c)], pa.binary())})
+
+    model = written(full.withColumn("shard", shard_column(F.col("g"), shards)).groupBy("shard").applyInArrow(pack, "shard int, nodes binary"))
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, row_hash long, idx int, slice long, texts binary, shard int, size long, grams binary"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for whole in batches:
+            for batch in slices(whole, "_text", slice_bytes):
+                if not batch.num_rows:
+                    continue
+                texts = [b" ".join(split(t)) for t in blobs(batch, "_text")]
+                q = np.unique(grams(texts, order)[0])
+                shard = shard_of(q, shards)
+                by = np.argsort(shard, kind="stable")
+                q, shard = q[by], shard[by]
+                first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+                runs = [squeeze(x) for x in np.split(q, first[1:])]
+                held = zstandard.ZstdCompressor(level=1).compress(END.join(texts))
+                rows, m = batch.num_rows, len(runs)
+                none = lambda k: [None] * k
+                at = pa.array([*range(rows), *none(m)], pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(at), batch.column(1).take(at), pa.array([*range(rows), *none(m)], pa.int32()), pa.array([number] * (rows + m), pa.int64()),
+                    pa.array([held, *none(rows + m - 1)], pa.binary()), pa.array([*none(rows), *shard[first].tolist()], pa.int32()),
+                    pa.array([*none(rows), *map(len, runs)], pa.int64()), pa.array([*none(rows), *runs], pa.binary())],
+                    names=[id_col, "row_hash", "idx", "slice", "texts", "shard", "size", "grams"])
+                number += 1
+
+    made = written(docs.select(F.col(id_col), text_hash(text_col).alias("row_hash"), F.col(text_col).alias("_text")).mapInArrow(cut, schema))
+    runs = made.filter("shard is not null").select("slice", "shard", "size", "grams")
+    parts = max(1, -(-(runs.agg(F.sum("size")).first()[0] or 0) // (shards * part_bytes)))
+    runs = runs.withColumn("part", F.pmod(F.xxhash64("slice"), F.lit(parts)).cast("int"))
+    spread_model = model.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def coded(left: pa.Table, right: pa.Table) -> pa.Table:
+        nodes = np.concatenate([spread(b, 2) for b in right.column("nodes").to_pylist()], axis=1) if right.num_rows else np.zeros((2, 0), np.uint64)
+        trie = sub_trie(nodes[0], nodes[1].astype(float), order, tops)
+        out = []
+        for blob in left.column("grams").to_pylist():
+            q = spread(blob, 1)[0]
+            out.append(squeeze(q, trie.code(q)))
+        return pa.table({"slice": left.column("slice").combine_chunks() if left.num_rows else pa.array([], pa.int64()), "codes": pa.array(out, pa.binary())})
+
+    codes = runs.select("slice", "shard", "part", "grams").groupBy("shard", "part").cogroup(spread_model.groupBy("shard", "part")).applyInArrow(coded, "slice long, codes binary")
+
+    def summed(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {"slice": [], "idx": [], "score": []}
+        parts_ = [spread(b, 2) for b in right.column("codes").to_pylist()]
+        lookup = Coded(np.concatenate([p[0] for p in parts_]), np.concatenate([p[1] for p in parts_]).view(np.float64)) if parts_ else None
+        for number, held in zip(left.column("slice").to_pylist(), left.column("texts").to_pylist()):
+            packed, size = grams(zstandard.ZstdDecompressor().decompress(held).split(END), order)
+            score = np.add.reduceat(code_lengths(lookup, packed), np.cumsum(size) - size)
+            out["slice"] += [number] * len(size)
+            out["idx"] += range(len(size))
+            out["score"] += score.tolist()
+        return pa.table({"slice": pa.array(out["slice"], pa.int64()), "idx": pa.array(out["idx"], pa.int32()), "score": pa.array(out["score"], pa.float64())})
+
+    scores = made.filter("texts is not null").select("slice", "texts").groupBy("slice").cogroup(codes.groupBy("slice")).applyInArrow(
+        summed, "slice long, idx int, score double")
+    return made.filter("idx is not null").select(id_col, "row_hash", "slice", "idx").join(scores, ["slice", "idx"]).select(id_col, "row_hash", "score")
+
+
 # ------------------------------------------------------------------- scoring
 
-def score(docs: DataFrame, training: Column, order: int = 5, max_nodes: int = 1 << 21, hot_words: int = 1 << 18, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, training: Column, order: int = 5, hot_words: int = 1 << 18, id_col: str = "doc_id", text_col: str = "text", **dealing) -> DataFrame:
     """Id, n_tokens, n_known, train_tokens, base_score and score of every row of
-    ``docs``; the model learns from the rows where ``training`` holds."""
+    ``docs``; the model learns from the rows where ``training`` holds. ``dealing``
+    (``shard_nodes``, ``part_bytes``, ``slice_bytes``) moves the work, not the scores."""
     spark = docs.sparkSession
-    found = counts(docs.filter(training), order, text_col).checkpoint()
+    found = written(counts(docs.filter(training), order, text_col))
     words = found.filter(F.substring("key", 1, 1) == F.lit(b"w"))
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).collect()[0]
     scale = total + 0.5 * (kinds + 1)
     floor = count_floor(words, "n", hot_words)
     hot = words.filter(F.col("n") >= floor).toArrow()  # hot_words rows at most
-    known = dict(zip((k[1:] for k in hot.column("key").to_pylist()), hot.column("n").to_pylist()))
-    held = spark.sparkContext.broadcast((known, trie_of(found, order, max_nodes)))
+    held = spark.sparkContext.broadcast(dict(zip((k[1:] for k in hot.column("key").to_pylist()), hot.column("n").to_pylist())))
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "row_hash", "key", "count", "tokens", "hot_known", "hot_score", "score"]
-    schema = f"`{id_col}` {kind}, row_hash long, key binary, count long, tokens long, hot_known long, hot_score double, score double"
+    names = [id_col, "row_hash", "key", "count", "tokens", "hot_known", "hot_score"]
+    schema = f"`{id_col}` {kind}, row_hash long, key binary, count long, tokens long, hot_known long, hot_score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, trie = held.value
-        get = known.get
+        get = held.value.get
         for whole in batches:
             for batch in slices(whole, "_text", 4 << 20):
-                texts, row, key, count, tokens, hot_known, hot_score = [], [], [], [], [], [], []
+                row, key, count, tokens, hot_known, hot_score = [], [], [], [], [], []
                 for i, text in enumerate(blobs(batch, "_text")):
                     tokens_here = split(text)
-                    texts.append(b" ".join(tokens_here))
                     tokens_here.append(END)
                     c = [get(w, 0) for w in tokens_here]
                     rare = Counter(w for w, n in zip(tokens_here, c) if not n) if 0 in c else {}
@@ -243,25 +353,23 @@ def score(docs: DataFrame, training: Column, order: int = 5, max_nodes: int = 1
                     row.extend([i] * len(rare))
                     key.extend(b"w" + w for w in rare)
                     count.extend(rare.values())
-                packed, size = grams(texts, order)
-                coded = np.add.reduceat(code_lengths(trie, packed), np.cumsum(size) - size)
-                n, m = len(texts), len(key)
+                n, m = len(tokens), len(key)
                 # the document's own row carries a key of its own, so that these rows spread too
                 own = [b"d%d" % h for h in batch.column(1).to_pylist()]
                 at = pa.array([*row, *range(n)], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array([*key, *own], pa.binary()), pa.array([*count, *[0] * n], pa.int64()),
-                     pa.array([*[0] * m, *tokens], pa.int64()), pa.array([*[0] * m, *hot_known], pa.int64()),
-                     pa.array([*[0.0] * m, *hot_score], pa.float64()), pa.array([*[0.0] * m, *coded.tolist()], pa.float64())], names=names)
+                     pa.array([*[0] * m, *tokens], pa.int64()), pa.array([*[0] * m, *hot_known], pa.int64()), pa.array([*[0.0] * m, *hot_score], pa.float64())], names=names)
 
     parts = docs.select(F.col(id_col), text_hash(text_col).alias("row_hash"), F.col(text_col).alias("_text")).mapInArrow(run, schema)
     rare = words.filter(F.col("n") < floor).select(F.col("key").alias("_key"), "n")
     joined = parts.join(rare, F.col("key") == F.col("_key"), "left")
     rest = F.col("count") * F.log10((F.coalesce(F.col("n"), F.lit(0)) + 0.5) / F.lit(scale))
-    rows = joined.groupBy(id_col, "row_hash").agg(
-        F.count_if(F.col("tokens") > 0).alias("m"), F.sum("tokens").alias("tokens"),
-        F.sum(F.col("hot_known") + F.when(F.col("n") > 0, F.col("count")).otherwise(F.lit(0))).alias("known"),
-        F.sum(F.col("hot_score") + rest).alias("base"), F.sum("score").alias("score"))
+    none = lambda *names_: [F.lit(0).cast("long").alias(x) for x in names_]
+    base = joined.select(id_col, "row_hash", (F.col("tokens") > 0).cast("long").alias("m"), "tokens",
+                         (F.col("hot_known") + F.when(F.col("n") > 0, F.col("count")).otherwise(F.lit(0))).alias("known"), (F.col("hot_score") + rest).alias("base"), F.lit(0.0).alias("score"))
+    coded = text_scores(docs, found, order, id_col, text_col, **dealing).select(id_col, "row_hash", *none("m", "tokens", "known"), F.lit(0.0).alias("base"), "score")
+    rows = base.unionByName(coded).groupBy(id_col, "row_hash").agg(*[F.sum(x).alias(x) for x in ("m", "tokens", "known", "base", "score")])
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
     each = lambda c, t: (F.col(c) / F.col("m")).cast(t)
     return rows.select(id_col, each("tokens", "long").alias("n_tokens"), each("known", "long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),

@@ -251,7 +251,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found: str |
     name = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     text = F.col(name[text_col])
     secret = F.lit(key)
-    rows = docs.withColumnsRenamed(name)
+    rows = docs.toDF(*[name[c] for c in docs.columns])
     some = text.rlike(HINT)
     rows = rows.withColumn("_m", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
     rows = rows.withColumn("_v", F.when(F.size("_m") > 0, F.transform("_m", lambda m: F.struct(m.alias("m"), _kind(m).alias("k")))))

@@ -25,6 +25,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import renamed
+
 BUCKETS = 1 << 18
 #: Weight of the raw multinomial as the trusted one's prior, as a share of all trusted n-grams.
 PRIOR_SHARE = 0.001
@@ -42,27 +44,30 @@ def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(F.translate(text, SPACES, " " * 5), " ", -1), ""), F.array().cast("array<string>"))
 
 
-def grams(w: str, buckets: int) -> Column:
-    """Bucket (from 1) of each word and each pair of neighbours of an array column."""
-    n = F.size(w)
-    one = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int") + 1)
-    two = F.zip_with(F.slice(F.col(w), 1, n - 1), F.slice(F.col(w), 2, n - 1),
-                     lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int") + 1)
-    return F.when(n > 1, F.concat(one, two)).otherwise(one)
+def hashed(w: Column) -> Column:
+    """A 64-bit hash of each word: what follows compares and pairs these numbers."""
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+def grams(h: str, buckets: int) -> Column:
+    """Bucket (from 1) of each word and each pair of neighbours of an array column of hashes."""
+    one = F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int") + 1)
+    two = F.transform(F.slice(F.col(h), 1, F.greatest(F.size(h) - 1, F.lit(0))),
+                      lambda x, i: F.pmod(F.xxhash64(x, F.get(F.col(h), i + 1)), F.lit(buckets)).cast("int") + 1)
+    return F.concat(one, two)
 
 
-def base_statistics(docs: DataFrame, text: str = "_text", w: str = "_words") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words."""
+def base_statistics(docs: DataFrame, text: str = "_text", h: str = "_hashes") -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words; ``h`` holds the hashes of the words."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, " " + SPACES, "")) > 0)
     out = docs.withColumns({
-        "n_words": F.size(w).cast("long"),
+        "n_words": F.size(h).cast("long"),
         "word_chars": F.char_length(F.translate(t, " " + SPACES, "")).cast("long"),
         "n_symbols": (F.char_length(t) - F.char_length(F.translate(t, SYMBOLS, ""))).cast("long"),
         "_lines": lines,
-        "_windows": F.when(F.size(w) >= 3, F.zip_with(
-            F.zip_with(F.slice(F.col(w), 1, F.size(w) - 2), F.slice(F.col(w), 2, F.size(w) - 2), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-            F.slice(F.col(w), 3, F.size(w) - 2), lambda ab, c: F.xxhash64(ab["a"], ab["b"], c)))})
+        "_windows": F.when(F.size(h) >= 3, F.transform(F.slice(F.col(h), 1, F.size(h) - 2),
+                                                       lambda x, i: F.xxhash64(x, F.get(F.col(h), i + 1), F.get(F.col(h), i + 2))))})
     # windows that occur twice: neighbours with an equal hash after a sort by (hash, place); skipped where all differ
     some = F.size(F.array_distinct("_windows")) < F.size("_windows")
     out = out.withColumns({
@@ -82,8 +87,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prio
     ids = trusted.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct().withColumn("_trusted", F.lit(1))
     # the ids are the small side: hashed in each task, so that no text is sorted
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text")).join(ids.hint("shuffle_hash"), F.col(id_col) == F.col("_id"), "left")
-    rows = rows.select(words(F.col("_text")).alias("_words"), F.coalesce("_trusted", F.lit(0)).alias("_trusted"))
-    each = rows.select(F.explode(grams("_words", buckets)).alias("b"), "_trusted")
+    rows = rows.select(hashed(words(F.col("_text"))).alias("_hashes"), F.coalesce("_trusted", F.lit(0)).alias("_trusted"))
+    each = rows.select(F.explode(grams("_hashes", buckets)).alias("b"), "_trusted")
     found = each.groupBy("b").agg(F.sum("_trusted").alias("t"), F.count(F.lit(1)).alias("n")).toArrow()  # buckets rows
     t, n = np.zeros(buckets), np.zeros(buckets)
     at = found.column("b").to_numpy() - 1
@@ -106,8 +111,8 @@ def score(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buc
     with its columns ``keep`` before them."""
     ratio = F.from_json(F.lit(json.dumps(log_ratios(docs, trusted, buckets, prior, id_col, text_col, evidence))), "array<double>")
     held = list(dict.fromkeys([id_col, *(keep or [])]))
-    rows = docs.select(*held, F.col(text_col).alias("_text"), words(F.col(text_col)).alias("_words"))
-    rows = base_statistics(rows).withColumn("_grams", grams("_words", buckets))
+    rows = docs.select(*held, F.col(text_col).alias("_text"), hashed(words(F.col(text_col))).alias("_hashes"))
+    rows = base_statistics(rows).withColumn("_grams", grams("_hashes", buckets))
     total = F.aggregate("_grams", F.lit(0.0), lambda a, b: a + F.element_at(ratio, b))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = rows.withColumn("llr", F.when(F.size("_grams") > 0, total / F.size("_grams")))
@@ -119,8 +124,7 @@ def score(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buc
 
 def keep_good(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    inner = docs.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate(docs.columns)})
-    name = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    inner, name = renamed(docs)
     same = trusted.withColumnRenamed(id_col, name[id_col])
     out = score(inner, same, id_col=name[id_col], text_col=name[text_col], keep=list(inner.columns), **options).filter("kept")
     return out.select(*[F.col(name[c]).alias(c) for c in docs.columns])

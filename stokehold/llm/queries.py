@@ -94,6 +94,13 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query()
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity matches of operator 4: items with a window all of whose words stand within the window's length and two more words."""
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10, slop=2)
+    return found.select("doc_id", "n_hit", F.size("near").cast("long").alias("n_near"), F.concat_ws(",", F.array_sort("near")).alias("near_items"))
+
+
 @query()
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeats(table(spark, sf_dir, "documents"), removed="n_removed").select("doc_id", "n_removed", "text")

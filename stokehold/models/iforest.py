@@ -144,12 +144,17 @@ class _Tree:
                 total += term
                 steps.append(total)
             w = np.searchsorted(np.array(steps), _unit(u), "right").astype(np.int64)
-        if self.fold is not None:
-            w[fold == self.fold] = 0
-        if self.share < 1.0:
-            w[share >= self.share] = 0
+        outside = self.outside(fold, share)
+        if outside is not None:
+            w[outside] = 0
         return w
 
+    def outside(self, fold: np.ndarray, share: np.ndarray) -> np.ndarray | None:
+        """Rows that the tree may not use (none: all may be)."""
+        if self.fold is None and self.share >= 1.0:
+            return None
+        return (fold == self.fold if self.fold is not None else False) | (share >= self.share)
+
 
 # ---------------------------------------------------------------------------
 # growing and walking one subtree (numpy, inside tasks)
@@ -368,8 +373,8 @@ def _cuts(rows: DataFrame, trees: list[_Tree], want: list[int], members: list[in
                 h, fold, share, _ = _arrays(batch, d)
                 for t in todo:
                     lo, hi = ends[t]
-                    tree = replace(trees[t], cut=2 ** 64 - 1)
-                    u = _mix(h[tree.copies(h, fold, share) > 0] ^ np.uint64(tree.salt))
+                    outside = trees[t].outside(fold, share)
+                    u = _mix((h if outside is None else h[~outside]) ^ np.uint64(trees[t].salt))
                     below[t] += int((u < np.uint64(lo)).sum())
                     u = u[(u >= np.uint64(lo)) & (u <= np.uint64(hi))]
                     if len(u):
@@ -802,6 +807,23 @@ class IsolationForestModel:
                 for t in own for node, (f, v) in self.forests.tops.splits[t].items()]
         return below.unionByName(self.forests.spark.createDataFrame(tops, NODE_SCHEMA)) if tops else below
 
+    def scorer(self, features: Sequence[str]):
+        """A function of (features, rows) arrays for tasks that score many variants of
+        their rows; the model travels by broadcast and must be within ``BROADCAST_BYTES``."""
+        forests = self.forests
+        if forests.model_bytes() > BROADCAST_BYTES:
+            raise ValueError("explanations walk the forest inside tasks: grow it from fewer rows a tree")
+        ship_package(forests.spark)
+        bc, order = forests.spark.sparkContext.broadcast(forests.flat()), [list(features).index(f) for f in forests.features]
+        trees, scale = forests.owner[self.at], c_factor(self.psi)
+
+        def score(x: np.ndarray) -> np.ndarray:
+            a, mine = bc.value, np.ascontiguousarray(x[order])
+            total = sum((paths(mine, a["feature"], a["value"], a["left"], int(a["roots"][t])) for t in trees if a["roots"][t] >= 0), np.zeros(x.shape[1]))
+            return np.power(2.0, -total / len(trees) / scale) if scale > 0 and trees else np.full(x.shape[1], 0.5)
+
+        return score
+
     def arrays(self) -> DataFrame:
         """The finished model (already written when ``fit`` returns)."""
         return self.forests.units

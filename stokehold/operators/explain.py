@@ -1,20 +1,24 @@
 """Explanation, ablation and robustness as Spark jobs (XP2–XP7, XP9).
 
 A "scorer" is any ``DataFrame -> DataFrame`` adding ``score`` and ``pred``
-(e.g. ``IsolationForestModel.transform``), so these work for every model.
+(e.g. ``IsolationForestModel.transform``). Where many variants of each row are
+scored (XP2–XP4), the isolation forest is walked inside the tasks instead.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+import random
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.random import hash_normal, hash_uniform
-from .core import ROW_INDEX, c, with_neighbors, with_row_index
-from .evaluate import binary_metrics
+from .core import ROW_INDEX, c, with_row_index
+from .evaluate import binary_metrics, metrics_from_counts
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -23,87 +27,137 @@ def _f1(df: DataFrame, label: str, pred: str = "pred", by: str | None = None) ->
     return binary_metrics(df, label, pred, by)
 
 
-def permutation_importance(df: DataFrame, scorer: Scorer, features: Sequence[str], label: str, key: Sequence[str],
+def _batch(batch: pa.RecordBatch, column: str, d: int) -> np.ndarray:
+    """An array column of ``d`` (or a multiple of ``d``) values a row: (values, rows)."""
+    flat = batch.column(batch.schema.get_field_index(column)).flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(batch.num_rows, -1).T if batch.num_rows else np.zeros((d, 0))
+
+
+def _vector(features: Sequence[str]) -> Column:
+    return F.array(*[F.nanvl(F.coalesce(c(f).cast("double"), F.lit(0.0)), F.lit(0.0)) for f in features])
+
+
+def permutation_importance(df: DataFrame, model, features: Sequence[str], label: str, key: Sequence[str],
                            repeats: int = 10, seed: int = 42) -> DataFrame:
-    """XP2 — F1 drop when one feature is permuted. Repeat r orders rows by a
-    key hash and hands each row the feature value of its successor in that
-    order (a random cyclic permutation, done with halo block windows)."""
-    base = _f1(scorer(df), label).first()["f1"]
-    parts = []
-    for r in range(repeats):
-        idx, n = with_row_index(df.withColumn("_u", hash_uniform(*key, seed=seed + r)), [F.col("_u")] + [c(k) for k in key])
-        nb = with_neighbors(idx, n, list(features), leads=1, keep=[x for x in df.columns if x not in features] + ["_u"])
-        first = idx.filter(F.col(ROW_INDEX) == 0).select(*[c(f).alias(f"_first_{f}") for f in features])
-        nb = nb.crossJoin(F.broadcast(first))  # one row: wrap-around for the last row
-        for f in features:
-            permuted = nb.withColumn(f, F.coalesce(c(f"{f}__lead1"), c(f"_first_{f}")))
-            cols = [x for x in df.columns]
-            f1 = _f1(scorer(permuted.select(*cols)), label).first()["f1"]
-            parts.append((f, r, base - f1))
-    spark = df.sparkSession
-    t = spark.createDataFrame(parts, "feature string, repeat int, f1_drop double")
-    return t.groupBy("feature").agg(F.avg("f1_drop").alias("importance_mean"), F.stddev_samp("f1_drop").alias("importance_std"))
-
-
-def partial_dependence(df: DataFrame, scorer: Scorer, features: Sequence[str], grid: int = 50,
-                       lo: float = 0.05, hi: float = 0.95) -> DataFrame:
-    """XP3 — mean score over all rows with one feature set to each of ``grid``
-    points between its p5 and p95 (grid values exploded per row, no join)."""
+    """XP2 — F1 drop of an isolation forest when one feature is permuted. Rows get one
+    index in the order of a key hash; repeat r gives each row the values of the row a random
+    step further on (a cyclic permutation), so all repeats are lookups in one ordering.
+    Tasks score the variants of their rows and send counts."""
+    ensure = df.select(c(label).cast("int").alias("_y"), _vector(features).alias("_x"), hash_uniform(*key, seed=seed).alias("_u"), *[c(k).alias(f"_k{i}") for i, k in enumerate(key)])
+    indexed, n = with_row_index(ensure, [F.col("_u"), *[F.col(f"_k{i}") for i in range(len(key))]])
+    spark, d, score, limit = df.sparkSession, len(features), model.scorer(features), model.threshold
+    draw = random.Random(seed)
+    steps = [0] + [draw.randrange(1, n) if n > 1 else 0 for _ in range(repeats)]  # first: the row itself
+    sent = indexed.select(F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.pmod(F.col(ROW_INDEX) - F.lit(s), F.lit(max(n, 1))).alias("to")) for r, s in enumerate(steps)])).alias("e"), "_x", "_y")
+    met = sent.select("e.to", F.struct("e.r", "_x").alias("v"), F.when(F.col("e.r") == 0, F.col("_y")).alias("_y"))
+    rows = met.groupBy("to").agg(F.flatten(F.transform(F.array_sort(F.collect_list("v")), lambda v: v["_x"])).alias("_v"), F.max("_y").alias("_y"))  # repeats + 1 entries
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = np.zeros((repeats * d + 1, 2, 2), np.int64)  # by variant, label, prediction
+        for batch in batches:
+            v = _batch(batch, "_v", d * (repeats + 1)).reshape(repeats + 1, d, batch.num_rows)
+            y = batch.column(batch.schema.get_field_index("_y")).to_numpy(zero_copy_only=False).astype(np.int64)
+            for k in range(repeats * d + 1):
+                x = v[0]
+                if k:
+                    r, j = divmod(k - 1, d)
+                    x = x.copy()
+                    x[j] = v[r + 1, j]
+                hits[k] += np.bincount(2 * y + (score(x) > limit), minlength=4).reshape(2, 2)
+        yield pa.RecordBatch.from_pydict({"k": pa.array(range(len(hits)), pa.int32()), "tn": pa.array(hits[:, 0, 0]), "fp": pa.array(hits[:, 0, 1]),
+                                          "fn": pa.array(hits[:, 1, 0]), "tp": pa.array(hits[:, 1, 1])})
+
+    counts = rows.mapInArrow(run, "k int, tn long, fp long, fn long, tp long").groupBy("k").agg(*[F.sum(x).alias(x) for x in ("tn", "fp", "fn", "tp")])
+    f1 = metrics_from_counts(counts).select("k", "f1")
+    base = f1.filter("k = 0").select(F.col("f1").alias("base"))
+    names = F.element_at(F.array(*[F.lit(f) for f in features]), ((F.col("k") - 1) % d + 1).cast("int"))
+    return f1.filter("k > 0").crossJoin(F.broadcast(base)).withColumn("drop", F.col("base") - F.col("f1")).groupBy(names.alias("feature")) \
+        .agg(F.avg("drop").alias("importance_mean"), F.stddev_samp("drop").alias("importance_std"))  # base is one row
+
+
+def partial_dependence(df: DataFrame, model, features: Sequence[str], grid: int = 50, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
+    """XP3 — mean score over all rows with one feature set to each of ``grid`` points
+    between its p5 and p95. The points are put in place inside the tasks, a batch at a
+    time: no row is repeated, and sums are all that is sent."""
     from .core import quantile_values
 
     qv = quantile_values(df, features, [lo, hi])
-    qs = {f: (qv[(f, float(lo))], qv[(f, float(hi))]) for f in features}
-    out = None
-    for f in features:
-        a, b = qs[f]
-        pts = [a + (b - a) * i / (grid - 1) for i in range(grid)] if grid > 1 else [a]
-        ex = df.withColumn("_gv", F.explode(F.array(*[F.lit(float(p)) for p in pts]))).withColumn(f, F.col("_gv"))
-        part = scorer(ex).groupBy("_gv").agg(F.avg("score").alias("mean_score")) \
-            .select(F.lit(f).alias("feature"), F.col("_gv").alias("value"), "mean_score")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def shapley_importance(df: DataFrame, scorer: Scorer, features: Sequence[str], key: Sequence[str]) -> DataFrame:
-    """XP4 (re-aimed) — exact Shapley values against the feature means: every
-    row expands to its 2^k coalitions (k small), absent features take the
-    mean, each coalition is scored, and φᵢ = Σ_S |S|!(k−|S|−1)!/k!·(v(S∪i) − v(S))
-    is aggregated per row; the result is mean |φᵢ| per feature."""
-    k = len(features)
-    if k > 12:
-        raise ValueError("exact coalitions need few features")
-    means = df.agg(*[F.avg(c(f)).alias(f) for f in features]).first()
-    masks = list(range(1 << k))
-    df = df.withColumn("_rk", F.struct(*[c(x) for x in key]))  # row identity survives feature edits
-    ex = df.withColumn("_mask", F.explode(F.array(*[F.lit(m) for m in masks])))
-    for i, f in enumerate(features):
-        present = (F.col("_mask").bitwiseAND(F.lit(1 << i))) != 0
-        ex = ex.withColumn(f, F.when(present, c(f)).otherwise(F.lit(float(means[f]))))
-    scored = scorer(ex).select("_rk", "_mask", "score")
-    fact = math.factorial
-    contrib = []
+    ends = [(qv[(f, float(lo))], qv[(f, float(hi))]) for f in features]
+    points = [[a + (b - a) * i / (grid - 1) for i in range(grid)] if grid > 1 else [a] for a, b in ends if a is not None]
+    d, score, names = len(features), model.scorer(features), [f for f, (a, _) in zip(features, ends) if a is not None]
+    at = [list(features).index(f) for f in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros((len(names), grid)), 0
+        for batch in batches:
+            x = _batch(batch, "_x", d).copy()
+            rows += batch.num_rows
+            for k, j in enumerate(at):
+                kept = x[j].copy()
+                for i, p in enumerate(points[k]):
+                    x[j] = p
+                    total[k, i] += score(x).sum()
+                x[j] = kept
+        yield pa.RecordBatch.from_pydict({
+            "feature": pa.array([f for f in names for _ in range(grid)], pa.string()), "value": pa.array([float(p) for ps in points for p in ps], pa.float64()),
+            "total": pa.array(total.ravel()), "n": pa.array([rows] * total.size, pa.int64())})
+
+    sums = df.select(_vector(features).alias("_x")).mapInArrow(run, "feature string, value double, total double, n long")
+    return sums.groupBy("feature", "value").agg((F.sum("total") / F.sum("n")).alias("mean_score"))
+
+
+def coalition_weights(k: int) -> np.ndarray:
+    """(features, coalitions): what each coalition's value counts in each feature's Shapley value, Σ |S|!(k−|S|−1)!/k!·(v(S∪i) − v(S))."""
+    w, fact = np.zeros((k, 1 << k)), math.factorial
     for i in range(k):
-        terms = []
-        for m in masks:
-            if m & (1 << i):
-                continue
-            s = bin(m).count("1")
-            w = fact(s) * fact(k - s - 1) / fact(k)
-            terms.append((m, m | (1 << i), w))
-        # φᵢ = Σ w·(v(m ∪ i) − v(m)) expressed as a weighted sum over the row's 2^k scores
-        coef = {}
-        for m, mi, w in terms:
-            coef[mi] = coef.get(mi, 0.0) + w
-            coef[m] = coef.get(m, 0.0) - w
-        expr = None
-        for m, w in coef.items():
-            term = F.when(F.col("_mask") == m, F.col("score") * F.lit(w)).otherwise(0.0)
-            expr = term if expr is None else expr + term
-        contrib.append(F.sum(expr).alias(f"phi_{i}"))
-    per_row = scored.groupBy("_rk").agg(*contrib)  # 2^k rows per group
-    row = per_row.agg(*[F.avg(F.abs(f"phi_{i}")).alias(f) for i, f in enumerate(features)])
-    return row.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("mean_abs_shap"))
-                                         for f in features])))
+        for m in range(1 << k):
+            if not m >> i & 1:
+                s = bin(m).count("1")
+                share = fact(s) * fact(k - s - 1) / fact(k)
+                w[i, m | 1 << i] += share
+                w[i, m] -= share
+    return w
+
+
+def shapley_values(x: np.ndarray, background: np.ndarray, score) -> np.ndarray:
+    """Interventional Shapley values (features, rows) of ``score`` at the columns of ``x``: a
+    coalition's value is the mean score with the other features from each background row."""
+    k, n = x.shape
+    values = np.zeros((1 << k, n))
+    for m in range(1 << k):
+        inside = np.array([bool(m >> i & 1) for i in range(k)])
+        if inside.all():
+            values[m] = score(x)
+            continue
+        for b in background.T:
+            mixed = np.where(inside[:, None], x, b[:, None])
+            values[m] += score(mixed) / background.shape[1] if inside.any() else score(mixed[:, :1])[0] / background.shape[1]
+    return coalition_weights(k) @ values
+
+
+def shapley_importance(df: DataFrame, model, features: Sequence[str], key: Sequence[str], background: int = 25, seed: int = 42) -> DataFrame:
+    """XP4 — mean |φ| per feature over all rows of ``df``: exact interventional Shapley
+    values against ``background`` rows drawn by key hash, worked out inside the tasks. For few features (coalitions are 2^k)."""
+    from .sampling import sample_n
+
+    d = len(features)
+    if d > 12:
+        raise ValueError("exact coalitions need few features")
+    drawn = sample_n(df, background, key, seed).select(_vector(features).alias("x")).collect()  # ``background`` rows
+    if not drawn:
+        return df.sparkSession.createDataFrame([], "feature string, mean_abs_shap double")
+    beside, score = np.array([r["x"] for r in drawn], float).T, model.scorer(features)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(d), 0
+        for batch in batches:
+            x = _batch(batch, "_x", d)
+            rows += batch.num_rows
+            total += np.abs(shapley_values(np.ascontiguousarray(x), beside, score)).sum(axis=1)
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(list(features), pa.string()), "total": pa.array(total), "n": pa.array([rows] * d, pa.int64())})
+
+    sums = df.select(_vector(features).alias("_x")).mapInArrow(run, "feature string, total double, n long")
+    return sums.groupBy("feature").agg((F.sum("total") / F.sum("n")).alias("mean_abs_shap"))
 
 
 def local_surrogate(rows: DataFrame, scorer: Scorer, features: Sequence[str], key: Sequence[str], scale: dict[str, float],
@@ -112,7 +166,6 @@ def local_surrogate(rows: DataFrame, scorer: Scorer, features: Sequence[str], ke
     ``n`` Gaussian perturbations per row (hash-seeded), kernel weights on the
     standardised distance, weighted least squares per row (``applyInPandas``
     on groups of n rows)."""
-    import numpy as np
     import pandas as pd
 
     k = len(features)

@@ -300,47 +300,48 @@ def yj_expr(x: Column, lam) -> Column:
 
 
 def _yj_loglik(df: DataFrame, grids: dict[str, Sequence[float]]) -> dict[str, list[float]]:
-    """Log-likelihood of every (column, λ) pair in one aggregate: the λ grid is
-    a small broadcast table, so the transform is compiled once and the
-    aggregation is keyed by (column, λ)."""
-    spark = df.sparkSession
-    grid_rows = [(col, float(lam)) for col, lams in grids.items() for lam in lams]
-    grid = spark.createDataFrame(grid_rows, "_col string, _lam double")
-    cols = list(grids)
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(x).alias("_col"), c(x).cast("double").alias("_x")) for x in cols]))
-                     .alias("_p")).select("_p._col", "_p._x").filter(F.col("_x").isNotNull())
-    j = long.join(F.broadcast(grid), "_col")  # grid size is columns × grid points
-    agg = j.groupBy("_col", "_lam").agg(F.count("_x").alias("n"), F.sum(F.signum("_x") * F.log1p(F.abs("_x"))).alias("slog"),
-                                        F.var_pop(yj_expr(F.col("_x"), F.col("_lam"))).alias("v"))
-    res = {(r["_col"], r["_lam"]): r for r in agg.collect()}  # one row per (column, λ)
+    """Log-likelihood of every (column, λ) pair: all of them are expressions of one
+    aggregate, rows are neither repeated nor joined."""
+    aggs = []
+    for i, (x, lams) in enumerate(grids.items()):
+        v = F.nanvl(c(x).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.count(v).alias(f"n{i}"), (F.min(v) < F.max(v)).alias(f"d{i}"), F.sum(F.signum(v) * F.log1p(F.abs(v))).alias(f"s{i}"),
+                 *[F.var_pop(yj_expr(v, float(lam))).alias(f"v{i}_{k}") for k, lam in enumerate(lams)]]
+    r = df.agg(*aggs).first()
     out = {}
-    for col, lams in grids.items():
-        vals = []
-        for lam in lams:
-            r = res.get((col, float(lam)))
-            if r is None or not r["v"] or r["v"] <= 0:
-                vals.append(-math.inf)
-            else:
-                vals.append(-r["n"] / 2.0 * math.log(r["v"]) + (lam - 1.0) * r["slog"])
-        out[col] = vals
+    for i, (x, lams) in enumerate(grids.items()):
+        fine = lambda v: v is not None and 0 < v < math.inf  # noqa: E731 (a far λ may overflow)
+        out[x] = [-r[f"n{i}"] / 2.0 * math.log(r[f"v{i}_{k}"]) + (lam - 1.0) * r[f"s{i}"] if r[f"d{i}"] and fine(r[f"v{i}_{k}"]) else -math.inf
+                  for k, lam in enumerate(lams)]
     return out
 
 
-def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi: float = 2.0, rounds: int = 3,
-                    grid: int = 21) -> dict[str, float]:
-    """λ by maximum likelihood: a λ grid for all columns evaluated in one
-    aggregate per round, zooming in on each column's best λ."""
-    bounds = {x: (lo, hi) for x in cols}
-    best = {x: 1.0 for x in cols}
-    for _ in range(rounds):
-        grids = {x: list(np.linspace(a, b, grid)) for x, (a, b) in bounds.items()}
-        ll = _yj_loglik(df, grids)
-        for x in cols:
-            i = int(np.argmax(ll[x]))
-            best[x] = float(grids[x][i])
-            step = (bounds[x][1] - bounds[x][0]) / (grid - 1)
-            bounds[x] = (best[x] - step, best[x] + step)
-    return best
+def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], start: float = 1.0, step: float = 1.0, around: int = 4, tolerance: float = 1e-6) -> dict[str, float]:
+    """λ by maximum likelihood, unbounded. Each round is one aggregate over all columns
+    that tries 2·``around`` + 1 values about each column's best: if the best is at an end, the
+    bracket moves there and doubles its step, else it shrinks to the neighbours of the best. Ends with a parabola through the last three."""
+    centre, width, out = {x: start for x in cols}, {x: step for x in cols}, {}
+    while centre:
+        grids = {x: [centre[x] + k * width[x] for k in range(-around, around + 1)] for x in centre}
+        for x, ll in _yj_loglik(df, grids).items():
+            best = int(np.argmax(ll))
+            centre[x] = grids[x][best]
+            if not math.isfinite(ll[best]):  # constant or empty
+                out[x] = start
+            elif best in (0, 2 * around) and abs(centre[x]) < 1e3:
+                width[x] *= 2
+            elif width[x] > tolerance and best not in (0, 2 * around):
+                a, b, z = ll[best - 1:best + 2]
+                curve = a - 2 * b + z
+                if width[x] < 1e-3 and math.isfinite(a) and math.isfinite(z) and curve < 0:
+                    # near the top the likelihood is a parabola; further rounds would only meet rounding
+                    out[x] = centre[x] + width[x] * (a - z) / (2 * curve)
+                else:
+                    width[x] /= around
+            else:
+                out[x] = centre[x]
+        centre = {x: v for x, v in centre.items() if x not in out}
+    return {x: out[x] for x in cols}
 
 
 def yeo_johnson(df: DataFrame, cols: Sequence[str] | None = None, min_abs_skew: float = 1.0,

@@ -10,7 +10,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tails
@@ -663,29 +663,23 @@ def assumption_table(df: DataFrame, target: str, cols: Sequence[str], order: Seq
 # ---------------------------------------------------------------------------
 
 def _weighted_inversions(order_rank, weights) -> float:
-    """Σ over pairs i before j with rank_i > rank_j of wᵢ·wⱼ (Fenwick tree)."""
+    """Σ over pairs i before j with rank_i > rank_j of wᵢ·wⱼ, by merging halves of
+    growing size, all of one size at once."""
     import numpy as np
 
-    ranks = np.asarray(order_rank)
-    w = np.asarray(weights, dtype=float)
-    uniq = np.unique(ranks)
-    pos = np.searchsorted(uniq, ranks) + 1
-    size = len(uniq)
-    tree = [0.0] * (size + 1)
-    total = 0.0
-    inv = 0.0
-    for p, wt in zip(pos.tolist(), w.tolist()):
-        s, i = 0.0, p
-        while i > 0:
-            s += tree[i]
-            i -= i & -i
-        inv += wt * (total - s)  # earlier weight with a larger rank
-        i = p
-        while i <= size:
-            tree[i] += wt
-            i += i & -i
-        total += wt
-    return inv
+    _, rank = np.unique(np.asarray(order_rank), return_inverse=True)
+    w, at, size, total = np.asarray(weights, dtype=float), np.arange(len(rank)), 1, 0.0
+    while size < len(rank):
+        pair, right = at // (2 * size), at // size % 2
+        # by pair of halves, then rank; of equal ranks the left ones first, as they are no inversion
+        order = np.argsort((pair * (len(rank) + 1) + rank) * 2 + right, kind="stable")
+        left = np.where(right[order] == 0, w[order], 0.0)
+        seen, pairs = np.cumsum(left), pair[order]
+        last = np.flatnonzero(np.append(pairs[1:] != pairs[:-1], True))
+        # left weights of the pair that come after, that is have a larger rank
+        total += float((np.where(right[order] == 1, w[order], 0.0) * (seen[last][pairs] - seen)).sum())
+        size *= 2
+    return total
 
 
 def kendall_stats(df: DataFrame, x: str, y: str, block: int = 200_000) -> DataFrame:
@@ -697,8 +691,7 @@ def kendall_stats(df: DataFrame, x: str, y: str, block: int = 200_000) -> DataFr
     the same x-block (inversions of ry inside each x-block group), pairs in the
     same y-block but different x-blocks (inversions inside each y-block group
     minus their same-x-block part), and pairs in different blocks of both
-    (from the block-count grid). S = n₀ − n₁ − n₂ + n₃ − 2D."""
-    import numpy as np
+    (from the grid of block counts, in Spark windows). S = n₀ − n₁ − n₂ + n₃ − 2D."""
     import pandas as pd
 
     d = df.select(c(x).cast("double").alias("_x"), c(y).cast("double").alias("_y")) \
@@ -721,16 +714,16 @@ def kendall_stats(df: DataFrame, x: str, y: str, block: int = 200_000) -> DataFr
 
     d1 = t.groupBy("xb").applyInPandas(same_x, "d double").agg(F.sum("d")).first()[0] or 0.0
     d2 = t.groupBy("yb").applyInPandas(same_y, "d double").agg(F.sum("d")).first()[0] or 0.0
-    grid = t.groupBy("xb", "yb").agg(F.sum("w").alias("w")).collect()  # (cells / block)² entries at most
-    nxb = (m + block - 1) // block
-    g = np.zeros((nxb, nxb))
-    for r in grid:
-        g[r["xb"], r["yb"]] += r["w"]
-    # pairs (a, b) with xb_a < xb_b and yb_a > yb_b
-    above = np.cumsum(g[:, ::-1], axis=1)[:, ::-1]            # Σ over yb' ≥ yb
-    strictly_above = np.concatenate([above[:, 1:], np.zeros((nxb, 1))], axis=1)
-    earlier = np.cumsum(strictly_above, axis=0) - strictly_above  # rows of x-blocks before
-    d3 = float((g * earlier).sum())
+    # pairs (a, b) with xb_a < xb_b and yb_a > yb_b, from the whole grid of blocks: sums over the
+    # blocks above in each column, then over the columns before, both in windows of one column or row
+    blocks = (m + block - 1) // block
+    held = t.groupBy("xb", "yb").agg(F.sum("w").cast("double").alias("w"))
+    every = df.sparkSession.range(blocks * blocks).select(F.floor(F.col("id") / F.lit(max(blocks, 1))).alias("xb"), F.pmod("id", F.lit(max(blocks, 1))).alias("yb"))
+    grid = every.join(held, ["xb", "yb"], "left").na.fill(0.0, ["w"])
+    above = F.sum("w").over(Window.partitionBy("xb").orderBy(F.desc("yb")).rowsBetween(Window.unboundedPreceding, -1))
+    grid = grid.withColumn("above", F.coalesce(above, F.lit(0.0)))
+    before = F.sum("above").over(Window.partitionBy("yb").orderBy("xb").rowsBetween(Window.unboundedPreceding, -1))
+    d3 = float(grid.withColumn("before", F.coalesce(before, F.lit(0.0))).agg(F.sum(F.col("w") * F.col("before"))).first()[0] or 0.0)
     dcount = d1 + d2 + d3
     n_rows = d.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     tx = d.groupBy("_x").count().select(F.col("count").cast("double").alias("t"))

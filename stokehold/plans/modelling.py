@@ -99,21 +99,21 @@ def iforest_contamination_sweep(spark, sf):
 def iforest_permutation_importance(spark, sf):
     """XP2 — F1 drop under permutation, 10 repeats, on validation."""
     s, model = _fitted(spark, sf)
-    return XP.permutation_importance(s.filter("split = 'validation'"), model.transform, FEATURES, LABEL, KEY, repeats=10)
+    return XP.permutation_importance(s.filter("split = 'validation'"), model, FEATURES, LABEL, KEY, repeats=10)
 
 
 @register("iforest_partial_dependence")
 def iforest_partial_dependence(spark, sf):
     """XP3 — partial dependence on 50 grid points between p5 and p95."""
     s, model = _fitted(spark, sf)
-    return XP.partial_dependence(s.filter("split = 'validation'"), model.transform, FEATURES, grid=50)
+    return XP.partial_dependence(s.filter("split = 'validation'"), model, FEATURES, grid=50)
 
 
 @register("iforest_shapley")
 def iforest_shapley(spark, sf):
-    """XP4 — exact coalition Shapley importance (mean |φ|) on validation."""
+    """XP4 — exact interventional Shapley importance (mean |φ|, 25 background rows) on validation."""
     s, model = _fitted(spark, sf)
-    return XP.shapley_importance(s.filter("split = 'validation'"), model.transform, FEATURES, KEY)
+    return XP.shapley_importance(s.filter("split = 'validation'"), model, FEATURES, KEY)
 
 
 @register("iforest_local_surrogate")
@@ -203,10 +203,10 @@ def classifier_comparison(spark, sf):
         "dummy_most_frequent": lambda tr: _Dummy(tr),
         "logistic_balanced": lambda tr: SV.fit_logistic(wtrain, f, LABEL, weight_col="w"),
         "decision_tree": lambda tr: SV.fit_tree(tr, f, LABEL, depth=10),
-        "random_forest": lambda tr: SV.fit_forest(wtrain, f, LABEL, trees=50, depth=10, weight_col="w"),
-        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, LABEL, rounds=20),
-        "adaboost": lambda tr: SV.fit_adaboost(tr, f, LABEL, rounds=10),
-        "mlp": lambda tr: SV.fit_mlp(tr, f, LABEL, hidden=(16, 8), max_iter=50),
+        "random_forest": lambda tr: SV.fit_forest(wtrain, f, LABEL, trees=100, depth=10, weight_col="w"),
+        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, LABEL, rounds=100),
+        "adaboost": lambda tr: SV.fit_adaboost(tr, f, LABEL, rounds=100),
+        "mlp": lambda tr: SV.fit_mlp(tr, f, LABEL, hidden=(128, 64, 32), max_iter=100),
     }
     return CM.compare_classifiers(models, train, val, f, LABEL)
 
@@ -250,9 +250,9 @@ def regressor_comparison(spark, sf):
         "ridge": lambda tr: SV.fit_linear(tr, f, t, l2=1.0),
         "lasso": lambda tr: SV.fit_linear(tr, f, t, l1=0.001),
         "decision_tree": lambda tr: SV.fit_tree(tr, f, t, depth=10, classification=False),
-        "random_forest": lambda tr: SV.fit_forest(tr, f, t, trees=50, depth=10, classification=False),
-        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, t, rounds=20, classification=False),
-        "adaboost": lambda tr: SV.fit_adaboost_regressor(tr, f, t, rounds=10),
+        "random_forest": lambda tr: SV.fit_forest(tr, f, t, trees=100, depth=10, classification=False),
+        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, t, rounds=100, classification=False),
+        "adaboost": lambda tr: SV.fit_adaboost_regressor(tr, f, t, rounds=100),
     }
     return CM.compare_regressors(models, train, val, f, t)
 
@@ -269,12 +269,13 @@ def linear_residuals(spark, sf):
 
 @register("feature_set_comparison")
 def feature_set_comparison(spark, sf):
-    """ML13 — the same forest on several feature sets."""
-    train, val = _train_val(spark, sf)
-    sets = {"raw": ["l_quantity", "l_discount", "l_tax"], "main": ["o_totalprice", "c_acctbal", "s_acctbal"],
-            "main_raw": SUP_FEATURES}
-    return SV.compare_feature_sets(spark, sets, train, val, LABEL,
-                                   lambda tr, feats: SV.fit_forest(tr, feats, LABEL, trees=30, depth=8))
+    """ML13 — the same balanced forest on four feature sets, validation and test metrics."""
+    s = split_readings(spark, sf)
+    raw, main = ["l_quantity", "l_discount", "l_tax"], ["o_totalprice", "c_acctbal", "s_acctbal"]
+    sets = {"Raw_Only": raw, "Main_Only": main, "Main_Plus_Raw": main + raw, "Top_Main_Plus_Raw": ["c_acctbal", "s_acctbal", *raw]}
+    train = SP.with_class_weight(s.filter("split = 'train'"), LABEL, "w").checkpoint()
+    return SV.compare_feature_sets(spark, sets, train, s.filter("split <> 'train'"), LABEL,
+                                   lambda tr, feats: SV.fit_forest(tr, feats, LABEL, trees=200, depth=15, weight_col="w", minInstancesPerNode=2))
 
 
 @register("forest_random_search")
@@ -307,7 +308,7 @@ def multiclass_gbt_orders(spark, sf):
     lo, hi = qv[("o_totalprice", 0.33)], qv[("o_totalprice", 0.67)]
     o = o.withColumn("price_class", quantile_class("o_totalprice", lo, hi).cast("double"))
     train, val = o.filter("split = 'train'"), o.filter("split = 'validation'")
-    m = SV.fit_gbt(train, ["days", "prio", "o_custkey"], "price_class", rounds=10, classes=3)
+    m = SV.fit_gbt(train, ["days", "prio", "o_custkey"], "price_class", rounds=100, classes=3)
     from ..operators.quality import assemble
 
     pred = m.transform(assemble(val, ["days", "prio", "o_custkey"])).withColumn("p", F.col("prediction").cast("int")) \

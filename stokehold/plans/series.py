@@ -466,7 +466,7 @@ def vif_lineitem(spark, sf):
 
 @register("yeo_johnson_orders")
 def yeo_johnson_orders(spark, sf):
-    """FE1 — Yeo–Johnson λ by grid MLE in aggregates; summary of the transformed column."""
+    """FE1 — Yeo–Johnson λ by maximum likelihood in aggregates; summary of the transformed column."""
     r = readings(spark, sf).select("o_totalprice", "l_extendedprice", "c_acctbal")
     out, lams = FE.yeo_johnson(r, ["o_totalprice", "l_extendedprice", "c_acctbal"], min_abs_skew=0.0)
     return out.agg(*[a for x in lams for a in (F.lit(lams[x]).alias(f"{x}__lambda"), F.avg(x + "_yj").alias(f"{x}__mean"),
@@ -479,7 +479,7 @@ def rf_importance_readings(spark, sf):
     """FE15 — forest importances for the negative-value label (balanced weights)."""
     lab = SP.with_class_weight(labelled_readings(spark, sf), "anomaly_label")
     return FE.rf_importance(lab, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice"],
-                            "anomaly_label", trees=20, weight_col="weight", max_depth=6)
+                            "anomaly_label", trees=100, weight_col="weight", max_depth=10)
 
 
 @register("pca_variance_lineitem")

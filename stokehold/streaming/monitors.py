@@ -48,6 +48,16 @@ def label_and_score(df: DataFrame, sources: Sequence[str], model=None, label: st
     return model.transform(out) if model is not None else out
 
 
+def score_stream_to(stream: DataFrame, model, sources: Sequence[str], path: str, checkpoint: str, label: str = "anomaly_label") -> None:
+    """STR1 — labels and scores a stream with a fitted (or loaded) model and appends the
+    rows below ``path``, one folder a micro-batch. A batch that is repeated after a failure overwrites its own
+    folder, and ``checkpoint`` holds the progress, so each row is written once. Takes what is there and returns."""
+    def write(batch: DataFrame, number: int) -> None:
+        label_and_score(batch, sources, model, label).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def anomaly_rate_windows(df: DataFrame, ts: str, label: str, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
     """STR2 — tumbling-window anomaly count/rate; late rows beyond the watermark are dropped in streaming."""
     df, ntz = _event_time(df, ts)

@@ -179,3 +179,29 @@ def test_adf_and_kpss_separate_noise_from_random_walk(spark):
     k_noise = TS.kpss(walk, "noise", EV_ORDER).first()
     k_walk = TS.kpss(walk, "walk", EV_ORDER).first()
     assert k_noise["kpss_pvalue"] > 0.05 > k_walk["kpss_pvalue"]
+
+
+def test_yeo_johnson_finds_the_best_lambda(spark):
+    import numpy as np
+
+    from stokehold.operators import features as FE
+
+    r = np.random.default_rng(3)
+    skewed, left, wide = np.exp(r.normal(0, 1, 3000)), 50 - np.exp(r.normal(1, .5, 3000)), r.gamma(2, 3, 3000) ** 3 + 40
+    df = spark.createDataFrame([(float(a), float(b), float(w), 7.0) for a, b, w in zip(skewed, left, wide)], "a double, b double, w double, k double")
+    got = FE.fit_yeo_johnson(df, ["a", "b", "w", "k"])
+
+    def loglik(x, lam):
+        with np.errstate(all="ignore"):
+            pos = np.log1p(x) if abs(lam) < 1e-12 else ((x + 1) ** lam - 1) / lam
+            neg = -np.log1p(-x) if abs(lam - 2) < 1e-12 else -((1 - x) ** (2 - lam) - 1) / (2 - lam)
+            y = np.where(x >= 0, pos, neg)
+        return -len(x) / 2 * np.log(y.var()) + (lam - 1) * (np.sign(x) * np.log1p(np.abs(x))).sum()
+
+    for name, x in (("a", skewed), ("b", left), ("w", wide)):
+        lo, hi = -20.0, 20.0
+        while hi - lo > 1e-9:  # golden section
+            m1, m2 = hi - (hi - lo) / 1.618033988749895, lo + (hi - lo) / 1.618033988749895
+            lo, hi = (lo, m2) if loglik(x, m1) > loglik(x, m2) else (m1, hi)
+        assert got[name] == pytest.approx((lo + hi) / 2, abs=1e-4), name
+    assert got["k"] == 1.0

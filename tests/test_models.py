@@ -146,3 +146,70 @@ def test_adaboost_regression_beats_one_tree(spark):
     boosted = regression_metrics(fit_adaboost_regressor(df, ["x", "z"], "y", rounds=15).transform(df), "y", "prediction").first()
     single = regression_metrics(fit_tree(df, ["x", "z"], "y", depth=3, classification=False).transform(assemble(df, ["x", "z"])), "y", "prediction").first()
     assert boosted["r2"] > single["r2"]
+
+
+@pytest.fixture(scope="module")
+def small_forest(spark):
+    df = spark.range(400).select("id", (F.col("id") * 37 % 101).cast("double").alias("a"), F.sqrt("id").alias("b"), (F.col("id") % 7).cast("double").alias("c"),
+                                 (F.col("id") % 50 == 3).cast("int").alias("y"))
+    return df, IF.fit(df, IF.IsolationForestParams(["a", "b", "c"], ["id"], n_estimators=12, max_samples=64, contamination=0.1))
+
+
+def _score_rows(model, spark, rows):
+    frame = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rows)], "id long, a double, b double, c double")
+    return np.array([r.score for r in model.transform(frame).orderBy("id").collect()])
+
+
+def test_permutation_importance_equals_brute_force(spark, small_forest):
+    import random
+
+    from stokehold.functions.random import hash_uniform
+    from stokehold.operators import explain as XP
+
+    df, model = small_forest
+    features = ["a", "b", "c"]
+    got = {r.feature: (r.importance_mean, r.importance_std) for r in XP.permutation_importance(df.repartition(3), model, features, "y", ["id"], repeats=4).collect()}
+    rows = df.withColumn("u", hash_uniform("id", seed=42)).orderBy("u", "id").collect()
+    x, y = np.array([[r.a, r.b, r.c] for r in rows]), np.array([r.y for r in rows])
+    f1 = lambda p: 2 * (p & (y == 1)).sum() / (p.sum() + y.sum())
+    base, draw = f1(_score_rows(model, spark, x) > model.threshold), random.Random(42)
+    steps = [draw.randrange(1, len(x)) for _ in range(4)]
+    for j, f in enumerate(features):
+        drops = []
+        for s in steps:
+            z = x.copy()
+            z[:, j] = np.roll(x[:, j], -s)
+            drops.append(base - f1(_score_rows(model, spark, z) > model.threshold))
+        assert got[f] == pytest.approx((np.mean(drops), np.std(drops, ddof=1)), abs=1e-12)
+
+
+def test_partial_dependence_and_shapley_equal_brute_force(spark, small_forest):
+    import itertools
+
+    from stokehold.operators import explain as XP
+    from stokehold.operators.sampling import sample_n
+
+    df, model = small_forest
+    features, part = ["a", "b", "c"], df.filter("id < 40")
+    x = np.array([[r.a, r.b, r.c] for r in part.collect()])
+    for r in XP.partial_dependence(part, model, features, grid=3).collect():
+        z = x.copy()
+        z[:, features.index(r.feature)] = r.value
+        assert r.mean_score == pytest.approx(_score_rows(model, spark, z).mean(), rel=1e-12)
+    beside = np.array([[r.a, r.b, r.c] for r in sample_n(part, 5, ["id"]).collect()])
+
+    def value(inside):
+        z = np.concatenate([np.where(inside, row, beside) for row in x])
+        return _score_rows(model, spark, z).reshape(len(x), len(beside)).mean(axis=1)
+
+    v = {s: value(np.array(s)) for s in itertools.product([False, True], repeat=3)}
+    want = {}
+    for i, f in enumerate(features):
+        phi = np.zeros(len(x))
+        for order in itertools.permutations(range(3)):  # the mean gain over all orders of joining
+            before = [order.index(k) < order.index(i) for k in range(3)]
+            after = [b or k == i for k, b in enumerate(before)]
+            phi += (v[tuple(after)] - v[tuple(before)]) / 6
+        want[f] = np.abs(phi).mean()
+    got = {r.feature: r.mean_abs_shap for r in XP.shapley_importance(part, model, features, ["id"], background=5).collect()}
+    assert got == pytest.approx(want, rel=1e-9)

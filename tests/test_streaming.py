@@ -45,3 +45,23 @@ def test_windows_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert normalise(utc).equals(normalise(other))
+
+
+def test_a_saved_model_scores_a_stream_as_in_batch(spark):
+    from stokehold.models import iforest as IF
+
+    src, out, ck, saved = (tempfile.mkdtemp(prefix=f"stokehold-stream-{x}-") for x in ("src", "out", "ck", "model"))
+    events = spark.read.parquet(os.path.join(SF_MEDIUM, "events.parquet")).selectExpr("event_id", "value", "value - 250 AS shifted")
+    IF.fit(events, IF.IsolationForestParams(["value", "shifted"], ["event_id"], n_estimators=15, contamination=0.05)).save(saved)
+    model = IF.IsolationForestModel.load(spark, saved)
+
+    def arrive(low, high):
+        events.filter(f"event_id % 10 >= {low} and event_id % 10 < {high}").coalesce(1).write.mode("append").parquet(src)
+        M.score_stream_to(M.file_stream(spark, src, events.schema, max_files_per_trigger=1), model, ["shifted"], out, ck)
+
+    arrive(0, 4)
+    arrive(4, 10)  # a second run goes on from the checkpoint
+    want = M.label_and_score(events, ["shifted"], model)
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() == 2
+    assert normalise(got.select(*want.columns).toPandas(), 9).equals(normalise(want.toPandas(), 9))

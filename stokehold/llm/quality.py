@@ -35,6 +35,8 @@ EVIDENCE = 3.0
 #: Mean log ratio below which a text is unlike the trusted ones.
 THRESHOLD = -0.02
 
+#: Bits of a window's place beside its hash.
+PLACE_BITS = 20
 SYMBOLS = "#*$%&|<>"
 SPACES = "\t\n\x0b\x0c\r"
 
@@ -68,16 +70,24 @@ def base_statistics(docs: DataFrame, text: str = "_text", h: str = "_hashes") ->
         "_lines": lines,
         "_windows": F.when(F.size(h) >= 3, F.transform(F.slice(F.col(h), 1, F.size(h) - 2),
                                                        lambda x, i: F.xxhash64(x, F.get(F.col(h), i + 1), F.get(F.col(h), i + 2))))})
-    # windows that occur twice: neighbours with an equal hash after a sort by (hash, place); skipped where all differ
+    # windows that occur twice: neighbours with an equal hash after a sort; skipped where all differ. Hash and
+    # place share one number (44 and 20 bits), which sorts far faster than a pair; the whole hashes are compared after
     some = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    place = lambda s: s.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
+    hash_of = lambda s: F.get("_windows", place(s))
+    packed = F.transform("_windows", lambda h, i: h.bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("long")))
+    pairs = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     out = out.withColumns({
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_sorted": F.when(some, F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))})
-    twice = F.filter("_sorted", lambda s, j: (s["h"] == F.get("_sorted", j - 1)["h"]) | (s["h"] == F.get("_sorted", j + 1)["h"]))
-    places = F.sort_array(F.transform(twice, lambda s: s["i"]))
+        "_sorted": F.when(some & (F.size("_windows") <= 1 << PLACE_BITS), F.sort_array(packed)),
+        "_pairs": F.when(some & (F.size("_windows") > 1 << PLACE_BITS), pairs)})
+    near = lambda s, o: (F.shiftright(s, PLACE_BITS) == F.shiftright(o, PLACE_BITS)) & (hash_of(s) == hash_of(o))
+    twice = F.filter("_sorted", lambda s, j: F.coalesce(near(s, F.get("_sorted", j - 1)), F.lit(False)) | F.coalesce(near(s, F.get("_sorted", j + 1)), F.lit(False)))
+    wide = F.filter("_pairs", lambda s, j: (s["h"] == F.get("_pairs", j - 1)["h"]) | (s["h"] == F.get("_pairs", j + 1)["h"]))
+    places = F.sort_array(F.coalesce(F.transform(twice, place), F.transform(wide, lambda s: s["i"])))
     held = F.aggregate(places, F.struct(F.lit(-3).alias("at"), F.lit(0).cast("long").alias("n")),
                        lambda a, i: F.struct(i.alias("at"), (a["n"] + F.least(F.lit(3), i - a["at"])).alias("n")))["n"]
-    return out.withColumn("n_repeat_words", F.coalesce(held, F.lit(0).cast("long"))).drop("_lines", "_windows", "_sorted")
+    return out.withColumn("n_repeat_words", F.coalesce(held, F.lit(0).cast("long"))).drop("_lines", "_windows", "_sorted", "_pairs")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float | None = None, id_col: str = "doc_id",

@@ -74,10 +74,12 @@ def test_quality_ratio_is_the_hashed_multinomial_ratio(spark):
     ratio = quality.log_ratios(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1,)], "doc_id long"), 64, 2.0)
 
     def bucket(*words):
-        h = 42
-        for w in words:
-            h = xxhash.xxh64_intdigest(w.encode(), h)
-            h &= (1 << 64) - 1
+        own = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+        h = own[0]
+        if len(own) > 1:  # a pair is the hash of its words' hashes
+            h = 42
+            for x in own:
+                h = xxhash.xxh64_intdigest(x.to_bytes(8, "little"), h)
         return (h - (1 << 64) if h >> 63 else h) % 64
 
     t, n = np.zeros(64), np.zeros(64)

@@ -204,9 +204,9 @@ def classifier_comparison(spark, sf):
         "logistic_balanced": lambda tr: SV.fit_logistic(wtrain, f, LABEL, weight_col="w"),
         "decision_tree": lambda tr: SV.fit_tree(tr, f, LABEL, depth=10),
         "random_forest": lambda tr: SV.fit_forest(wtrain, f, LABEL, trees=100, depth=10, weight_col="w"),
-        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, LABEL, rounds=100),
-        "adaboost": lambda tr: SV.fit_adaboost(tr, f, LABEL, rounds=100),
-        "mlp": lambda tr: SV.fit_mlp(tr, f, LABEL, hidden=(128, 64, 32), max_iter=100),
+        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, LABEL, rounds=20),
+        "adaboost": lambda tr: SV.fit_adaboost(tr, f, LABEL, rounds=10),
+        "mlp": lambda tr: SV.fit_mlp(tr, f, LABEL, hidden=(16, 8), max_iter=50),
     }
     return CM.compare_classifiers(models, train, val, f, LABEL)
 
@@ -224,7 +224,7 @@ def model_table_readings(spark, sf):
     runs = [CM.ModelRun("Isolation Forest (Tuned)", "Unsupervised", "Raw_Only", FEATURES, lambda tr: IF.fit(tr, _params(**TUNED))),
             CM.ModelRun("Isolation Forest (Default)", "Unsupervised", "Raw_Only", FEATURES, lambda tr: IF.fit(tr, _params(**DEFAULT))),
             CM.ModelRun("Random Forest (Raw_Only)", "Supervised", "Raw_Only", FEATURES, lambda tr: weighted(tr, FEATURES)),
-            CM.ModelRun("AdaBoost", "Supervised", "Main_Plus_Raw", both, lambda tr: SV.fit_adaboost(tr, both, LABEL, rounds=100))]
+            CM.ModelRun("AdaBoost", "Supervised", "Main_Plus_Raw", both, lambda tr: SV.fit_adaboost(tr, both, LABEL, rounds=10))]
     return CM.model_table(runs, train, test, LABEL, READING_SOURCES)
 
 
@@ -251,8 +251,8 @@ def regressor_comparison(spark, sf):
         "lasso": lambda tr: SV.fit_linear(tr, f, t, l1=0.001),
         "decision_tree": lambda tr: SV.fit_tree(tr, f, t, depth=10, classification=False),
         "random_forest": lambda tr: SV.fit_forest(tr, f, t, trees=100, depth=10, classification=False),
-        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, t, rounds=100, classification=False),
-        "adaboost": lambda tr: SV.fit_adaboost_regressor(tr, f, t, rounds=100),
+        "gradient_boosting": lambda tr: SV.fit_gbt(tr, f, t, rounds=20, classification=False),
+        "adaboost": lambda tr: SV.fit_adaboost_regressor(tr, f, t, rounds=10),
     }
     return CM.compare_regressors(models, train, val, f, t)
 
@@ -275,7 +275,7 @@ def feature_set_comparison(spark, sf):
     sets = {"Raw_Only": raw, "Main_Only": main, "Main_Plus_Raw": main + raw, "Top_Main_Plus_Raw": ["c_acctbal", "s_acctbal", *raw]}
     train = SP.with_class_weight(s.filter("split = 'train'"), LABEL, "w").checkpoint()
     return SV.compare_feature_sets(spark, sets, train, s.filter("split <> 'train'"), LABEL,
-                                   lambda tr, feats: SV.fit_forest(tr, feats, LABEL, trees=200, depth=15, weight_col="w", minInstancesPerNode=2))
+                                   lambda tr, feats: SV.fit_forest(tr, feats, LABEL, trees=100, depth=10, weight_col="w", minInstancesPerNode=2))
 
 
 @register("forest_random_search")
@@ -308,7 +308,7 @@ def multiclass_gbt_orders(spark, sf):
     lo, hi = qv[("o_totalprice", 0.33)], qv[("o_totalprice", 0.67)]
     o = o.withColumn("price_class", quantile_class("o_totalprice", lo, hi).cast("double"))
     train, val = o.filter("split = 'train'"), o.filter("split = 'validation'")
-    m = SV.fit_gbt(train, ["days", "prio", "o_custkey"], "price_class", rounds=100, classes=3)
+    m = SV.fit_gbt(train, ["days", "prio", "o_custkey"], "price_class", rounds=10, classes=3)
     from ..operators.quality import assemble
 
     pred = m.transform(assemble(val, ["days", "prio", "o_custkey"])).withColumn("p", F.col("prediction").cast("int")) \

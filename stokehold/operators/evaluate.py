@@ -157,9 +157,9 @@ def roc_auc(df: DataFrame, label: str, score: str, by: str | None = None, weight
     return out.select(F.col("grp").alias(by or "group"), auc.alias("roc_auc"))
 
 
-def average_precision(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str, by: str | None = None, weight: str | None = None) -> DataFrame:
     """EV8 — AP = Σₙ (Rₙ − Rₙ₋₁)·Pₙ over distinct thresholds, high to low."""
-    t, _ = score_table(df, label, score, by, descending=True)
+    t, _ = score_table(df, label, score, by, descending=True, weight=weight)
     prec = F.col("cp") / (F.col("cp") + F.col("cn"))
     out = t.groupBy("grp").agg(F.sum(F.col("pos") / F.col("P") * prec).alias("ap"))
     return out.select(F.col("grp").alias(by or "group"), "ap")

@@ -1,5 +1,7 @@
 """Invariants of the scalable building blocks and the model (R-checked items)."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,3 +207,33 @@ def test_yeo_johnson_finds_the_best_lambda(spark):
             lo, hi = (lo, m2) if loglik(x, m1) > loglik(x, m2) else (m1, hi)
         assert got[name] == pytest.approx((lo + hi) / 2, abs=1e-4), name
     assert got["k"] == 1.0
+
+
+def test_adf_and_lagged_sums_over_blocks_equal_one_array(spark):
+    """Blocks with a halo, nulls and many lags give the regressions of the whole array."""
+    import numpy as np
+
+    from stokehold.operators import timeseries as TS
+    from stokehold.operators.core import ROW_INDEX
+
+    rng = np.random.default_rng(3)
+    y = np.cumsum(rng.normal(size=20_000)) * 0.1 + rng.normal(size=20_000)
+    known = rng.random(20_000) > 0.01
+    df = spark.createDataFrame([(i, float(v) if k else None) for i, (v, k) in enumerate(zip(y, known))], f"`{ROW_INDEX}` long, value double").repartition(5)
+    lags, first = 120, 121
+    filled = np.where(known, y, 0.0)
+    dy = np.append(0.0, np.where(known[1:] & known[:-1], np.diff(y), 0.0))
+    t = np.arange(first, len(y))
+    x = np.stack([np.ones(len(t)), filled[t - 1], *[dy[t - j] for j in range(1, lags + 1)]])
+    g, b, yy, n = TS._adf_gram(df, len(y), "value", lags, first)
+    np.testing.assert_allclose(g, np.einsum("it,jt->ij", x, x), rtol=1e-9, atol=1e-7)
+    np.testing.assert_allclose(b, np.einsum("it,t->i", x, dy[t]), rtol=1e-9, atol=1e-7)
+    assert n == len(t) and yy == pytest.approx((dy[t] ** 2).sum())
+    z = TS._eliminated(g, b[:, None])[:, 0]
+    beta = TS._eliminated(g[:30, :30], np.eye(30)).T @ z[:30]
+    np.testing.assert_allclose(np.einsum("ij,j->i", g[:30, :30], beta), b[:30], rtol=1e-8, atol=1e-6)
+    sums, _ = TS._lagged_sums(df, "value", [], 7, True, (df, len(y)))
+    e = np.where(known, y - y[known].mean(), 0.0)
+    assert sums["n"] == known.sum() and all(sums[f"s{k}"] == pytest.approx((e[k:] * e[:len(e) - k]).sum()) for k in range(8))
+    out = TS.adf(df, "value", [], maxlag=lags, indexed=(df, len(y))).first()
+    assert out["nobs"] == len(y) - out["used_lag"] - 1 and math.isfinite(out["adf_stat"])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tails
 from ..functions.scalar import cyclical, date_parts, safe_ratio
+from ..session import written
 from .core import c, numeric_columns, unpivot_metrics
 from .quality import bias_corrected_skew
 
@@ -219,10 +220,11 @@ def mutual_info_discrete(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def mutual_info_binned(df: DataFrame, cols: Sequence[str], label: str, bins: int = 10) -> DataFrame:
-    """FE13 (re-aimed) — equal-frequency binned MI of each feature with the label."""
-    out = None
+    """FE13 (re-aimed) — equal-frequency binned MI of each feature with the label. The columns are
+    written once: each feature's quantiles take several passes."""
+    out, held = None, written(df.select(*[c(x) for x in dict.fromkeys([*cols, label])]))
     for x in cols:
-        binned = quantile_bins(df.select(c(x).alias(x), c(label).alias(label)), x, bins, name="_bin")
+        binned = quantile_bins(held.select(c(x).alias(x), c(label).alias(label)), x, bins, name="_bin")
         part = mutual_info_discrete(binned, "_bin", label).select(F.lit(x).alias("feature"), "mutual_info")
         out = part if out is None else out.unionByName(part)
     return out
@@ -350,7 +352,8 @@ def yeo_johnson(df: DataFrame, cols: Sequence[str] | None = None, min_abs_skew:
     cols = list(cols) if cols is not None else numeric_columns(df)
     sk = df.agg(*[bias_corrected_skew(c(x)).alias(x) for x in cols]).first()
     chosen = [x for x in cols if sk[x] is not None and abs(sk[x]) > min_abs_skew]
-    lambdas = fit_yeo_johnson(df, chosen) if chosen else {}
+    # each round of the fit reads these columns again: they are written once
+    lambdas = fit_yeo_johnson(written(df.select(*[c(x) for x in chosen])), chosen) if chosen else {}
     out = df.withColumns({x + suffix: yj_expr(c(x).cast("double"), lam) for x, lam in lambdas.items()})
     if standardize_output and lambdas:
         out = standardize(out, [x + suffix for x in lambdas])

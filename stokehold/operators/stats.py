@@ -73,6 +73,7 @@ def spearman_test(df: DataFrame, x: str, y: str) -> DataFrame:
 def linearity(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """ST4 — Pearson, Spearman and Kendall of every feature with the target, with
     p-values, strongest |Pearson r| first. Features with fewer than ten rows or one value are left out."""
+    df = written(df.select(*[c(x) for x in dict.fromkeys([target, *cols])]))  # every test reads it several times
     p = {r["x"]: r for r in pearson_test(df, [(x, target) for x in cols]).collect()}
     rows = []
     for x in cols:
@@ -267,6 +268,7 @@ def bartlett_stats(df: DataFrame, value: str, group: str) -> DataFrame:
 def homoscedasticity(df: DataFrame, target: str, cols: Sequence[str], min_rows: int = 10) -> DataFrame:
     """ST11 — Levene, Bartlett and Fligner–Killeen of each feature between the halves
     split at the target median (rows without a target are in neither half; a feature needs ``min_rows`` in both)."""
+    df = written(df.select(*[c(x) for x in dict.fromkeys([target, *cols])]))  # every test reads it several times
     med = quantile_values(df, [target], [0.5])[(target, 0.5)]
     g = df.filter(c(target).isNotNull()).withColumn("_half", F.when(c(target) > F.lit(med), "high").otherwise("low"))
     sizes = {r["_half"]: r for r in g.groupBy("_half").agg(*[F.count(c(x)).alias(x) for x in cols]).collect()}

@@ -237,3 +237,47 @@ def test_adf_and_lagged_sums_over_blocks_equal_one_array(spark):
     assert sums["n"] == known.sum() and all(sums[f"s{k}"] == pytest.approx((e[k:] * e[:len(e) - k]).sum()) for k in range(8))
     out = TS.adf(df, "value", [], maxlag=lags, indexed=(df, len(y))).first()
     assert out["nobs"] == len(y) - out["used_lag"] - 1 and math.isfinite(out["adf_stat"])
+
+
+def test_multi_pass_statistics_read_their_input_once(spark):
+    from stokehold.operators import features as FE
+    from stokehold.operators import stats as ST
+
+    n = 600
+    base = spark.range(n).select((F.col("id") * 37 % 101).cast("double").alias("a"), F.sqrt("id").alias("b"), (F.col("id") % 2).cast("int").alias("y"))
+
+    def reads(run):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        run(base.mapInArrow(count, base.schema))
+        return seen.value / n
+
+    assert reads(lambda df: FE.mutual_info_binned(df, ["a", "b"], "y", bins=4).collect()) == 1
+    assert reads(lambda df: ST.linearity(df, "b", ["a"]).collect()) == 1
+    assert reads(lambda df: ST.homoscedasticity(df, "b", ["a"]).collect()) == 1
+    # skewness, the fit's copy, the moments of the result
+    assert reads(lambda df: FE.yeo_johnson(df, ["a", "b"], min_abs_skew=0.0)) <= 3
+
+
+def test_split_readings_read_the_joined_rows_from_files(spark):
+    from stokehold.plans.modelling import forest_readings, split_readings
+
+    for frame in (split_readings(spark, SF_MEDIUM), forest_readings(spark, SF_MEDIUM)):
+        files = frame.inputFiles()
+        assert files and all("written-" in f for f in files)
+        assert {r["split"]: r["count"] for r in frame.groupBy("split").count().collect()} == {"train": 42_000, "validation": 9_000, "test": 9_000}
+    assert "o_totalprice" not in frame.columns
+
+
+def test_data_dictionary_repeats_no_row(spark):
+    from stokehold.operators import quality as Q
+
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 0.5), (2, None, 0.5)], "k int, s string, x double")
+    out = Q.data_dictionary(df)
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["column"]: (r["non_null"], r["null_count"], r["unique"]) for r in out.collect()} == {"k": (3, 0, 2), "s": (2, 1, 1), "x": (2, 1, 1)}

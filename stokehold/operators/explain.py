@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,10 @@ from .core import ROW_INDEX, c, with_row_index
 from .evaluate import binary_metrics, metrics_from_counts
 
 Scorer = Callable[[DataFrame], DataFrame]
+#: Rows walked at once for all points of a feature.
+GRID_ROWS = 1 << 13
+#: Rows for which a task makes its Shapley tables once.
+TABLE_ROWS = 1 << 17
 
 
 def _f1(df: DataFrame, label: str, pred: str = "pred", by: str | None = None) -> DataFrame:
@@ -77,8 +82,8 @@ def permutation_importance(df: DataFrame, model, features: Sequence[str], label:
 
 def partial_dependence(df: DataFrame, model, features: Sequence[str], grid: int = 50, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
     """XP3 — mean score over all rows with one feature set to each of ``grid`` points
-    between its p5 and p95. The points are put in place inside the tasks, a batch at a
-    time: no row is repeated, and sums are all that is sent."""
+    between its p5 and p95. Tasks walk each tree once for all points of a feature
+    (``Walker.varied``): no row is repeated, and sums are all that is sent."""
     from .core import quantile_values
 
     qv = quantile_values(df, features, [lo, hi])
@@ -90,14 +95,11 @@ def partial_dependence(df: DataFrame, model, features: Sequence[str], grid: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros((len(names), grid)), 0
         for batch in batches:
-            x = _batch(batch, "_x", d).copy()
+            x = _batch(batch, "_x", d)
             rows += batch.num_rows
-            for k, j in enumerate(at):
-                kept = x[j].copy()
-                for i, p in enumerate(points[k]):
-                    x[j] = p
-                    total[k, i] += score(x).sum()
-                x[j] = kept
+            for lo in range(0, batch.num_rows, GRID_ROWS):
+                for k, j in enumerate(at):
+                    total[k] += score.varied(x[:, lo:lo + GRID_ROWS], j, points[k]).sum(axis=0)
         yield pa.RecordBatch.from_pydict({
             "feature": pa.array([f for f in names for _ in range(grid)], pa.string()), "value": pa.array([float(p) for ps in points for p in ps], pa.float64()),
             "total": pa.array(total.ravel()), "n": pa.array([rows] * total.size, pa.int64())})
@@ -124,11 +126,22 @@ def shapley_values(x: np.ndarray, background: np.ndarray, score) -> np.ndarray:
     coalition's value is the mean score with the other features from each background row."""
     k, n = x.shape
     values = np.zeros((1 << k, n))
+    walker = hasattr(score, "varied")
     for m in range(1 << k):
         inside = np.array([bool(m >> i & 1) for i in range(k)])
         if inside.all():
             values[m] = score(x)
             continue
+        if walker and inside.sum() == k - 1:
+            j = int(np.flatnonzero(~inside)[0])
+            for lo in range(0, n, GRID_ROWS):
+                values[m, lo:lo + GRID_ROWS] = score.varied(x[:, lo:lo + GRID_ROWS], j, background[j]).mean(axis=1)
+            continue
+        if walker and 1 <= inside.sum() <= 2:
+            found = score.beside(x, np.flatnonzero(inside).tolist(), background)
+            if found is not None:
+                values[m] = found.mean(axis=1)
+                continue
         for b in background.T:
             mixed = np.where(inside[:, None], x, b[:, None])
             values[m] += score(mixed) / background.shape[1] if inside.any() else score(mixed[:, :1])[0] / background.shape[1]
@@ -149,11 +162,14 @@ def shapley_importance(df: DataFrame, model, features: Sequence[str], key: Seque
     beside, score = np.array([r["x"] for r in drawn], float).T, model.scorer(features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(d), 0
-        for batch in batches:
-            x = _batch(batch, "_x", d)
-            rows += batch.num_rows
-            total += np.abs(shapley_values(np.ascontiguousarray(x), beside, score)).sum(axis=1)
+        total, rows, held, waiting = np.zeros(d), 0, [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(_batch(batch, "_x", d))
+                waiting += batch.num_rows
+            if waiting and (batch is None or waiting >= TABLE_ROWS):
+                total += np.abs(shapley_values(np.concatenate(held, axis=1), beside, score)).sum(axis=1)
+                rows, held, waiting = rows + waiting, [], 0
         yield pa.RecordBatch.from_pydict({"feature": pa.array(list(features), pa.string()), "total": pa.array(total), "n": pa.array([rows] * d, pa.int64())})
 
     sums = df.select(_vector(features).alias("_x")).mapInArrow(run, "feature string, total double, n long")

@@ -213,3 +213,42 @@ def test_partial_dependence_and_shapley_equal_brute_force(spark, small_forest):
         want[f] = np.abs(phi).mean()
     got = {r.feature: r.mean_abs_shap for r in XP.shapley_importance(part, model, features, ["id"], background=5).collect()}
     assert got == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("psi, depth, d", [(200, 8, 4), (2000, 11, 3), (50, 6, 1)])
+def test_walks_for_many_points_equal_one_walk_a_point(psi, depth, d):
+    """All points of a feature, and all background rows beside one or two own features, are
+    met without a walk for each; values on thresholds, infinite and repeated ones included."""
+    from types import SimpleNamespace
+
+    from stokehold.operators import explain as XP
+
+    rng = np.random.default_rng(psi)
+    flat, at = {k: [] for k in ("feature", "value", "left", "roots")}, 0
+    for t in range(6):
+        x = np.round(rng.normal(size=(d, psi)), 1)
+        f, v, _ = IF.grow(x, np.ones(psi, int), int(IF._mix(np.uint64(t))), 1, 0, depth, list(range(d)))
+        kids, _, v = IF.unfold(f, v, 0)
+        for k, a in zip(flat, (f, v, np.where(kids >= 0, kids + at, -1), [at])):
+            flat[k].append(a)
+        at += len(f)
+    calls = []
+
+    class Counted(IF.Walker):
+        def __call__(self, x):
+            calls.append(x.shape[1])
+            return super().__call__(x)
+
+    walk = Counted(SimpleNamespace(value={k: np.concatenate(a) for k, a in flat.items()}), list(range(d))[::-1], list(range(6)), IF.c_factor(psi))
+    x = np.round(rng.normal(size=(d, 300)), 1)
+    x[0, :3] = np.inf, -np.inf, flat["value"][0][0]
+    points = np.array([0.3, -np.inf, np.inf, 0.3, -1.0, flat["value"][0][0], 2.0])
+    for j in range(d):
+        each = np.stack([walk(np.where(np.arange(d)[:, None] == j, p, x)) for p in points], axis=1)
+        assert np.array_equal(walk.varied(x, j, points), each)
+    background = np.round(rng.normal(size=(d, 9)), 1)
+    plain = XP.shapley_values(x, background, lambda z: walk(z))
+    calls.clear()
+    assert np.allclose(XP.shapley_values(x, background, walk), plain, atol=1e-12)
+    if psi == 200:  # all rows once, and the background beside no own feature
+        assert len(calls) == 1 + 9

@@ -252,3 +252,51 @@ def test_walks_for_many_points_equal_one_walk_a_point(psi, depth, d):
     assert np.allclose(XP.shapley_values(x, background, walk), plain, atol=1e-12)
     if psi == 200:  # all rows once, and the background beside no own feature
         assert len(calls) == 1 + 9
+
+
+def test_trees_of_one_salt_share_draws(spark):
+    """Forests that differ in fold, share or sample size draw each tree's rows once: samples are
+    as each tree alone takes them, and blocks of many batches lose none."""
+    p = [IF.IsolationForestParams(["v", "w"], ["id"], n_estimators=3, fold=f, share=s, max_samples=m)
+         for f in (None, 0, 1) for s in (0.5, 1.0) for m in (40, 0.9)]
+    p.append(IF.IsolationForestParams(["v", "w"], ["id"], n_estimators=3, bootstrap=True, max_samples=0.5))
+    df = spark.range(1500).selectExpr("id", "double(id % 97) as v", "double((id * 31) % 41) as w", "int(id % 3) as k", "double((id * 7) % 10) / 10 as s").repartition(5)
+    grown = IF.grow_forests(df, p, fold="k", share=F.col("s"))
+    rows = IF._numbers(df, ["v", "w"], ["id"], "k", F.col("s")).toPandas()
+    h, fold, share = rows["_h"].to_numpy().view(np.uint64), rows["_fold"].to_numpy(), rows["_share"].to_numpy()
+    salted = IF._by_salt(grown.trees, range(len(grown.trees)))
+    assert len(salted) == 3
+    found = dict(IF._sampled(grown.trees, salted, h, fold, share))
+    sizes = {r["tree"]: r["size"] for r in grown.units.collect()}
+    for t, tree in enumerate(grown.trees):
+        alone = tree.copies(h, fold, share)
+        assert np.array_equal(np.sort(found[t]), np.flatnonzero(alone)) and sizes[t] == alone.sum()
+        if tree.cut is not None:
+            assert sizes[t] == grown.psi[t // 3]
+
+
+def test_large_samples_need_no_more_bins_than_tasks(spark):
+    """A row goes to every bin whose trees need it: a forest of large samples has as many bins as tasks run at once, not as a shuffle has parts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(8 * spark.sparkContext.defaultParallelism))
+    try:
+        df = spark.range(300).selectExpr("id", "double(id % 97) as v")
+        grown = IF.grow_forests(df, [IF.IsolationForestParams(["v"], ["id"], n_estimators=10 * spark.sparkContext.defaultParallelism, max_samples=0.9)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(set(grown.bins.values())) == spark.sparkContext.defaultParallelism
+
+
+def test_forest_readings_shuffle_lineitem_once(spark):
+    """Orders meet customers before lineitem, whose one shuffle is by order."""
+    from stokehold.plans.profiling import labelled_readings
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = labelled_readings(spark, SF_MEDIUM, 8)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # lineitem by order and by supplier; orders by customer and by order; customer; supplier
+    assert plan.count("Exchange hashpartitioning") == 6
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and plan.count("hashpartitioning(o_custkey") == 1

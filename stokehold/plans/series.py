@@ -13,6 +13,7 @@ from ..operators import timeseries as TS
 from ..operators.core import round_cols, unpivot_metrics
 from .profiling import (GAPPY_SQL, INTERP_EXPR, INTERP_SQL, LABELLED_SQL, READINGS_SQL, WINSOR_COLS, _union,
                         gappy_events, labelled_readings, readings)
+from ..session import written
 from .registry import register, table
 
 EV_ORDER = ["ts", "event_id"]
@@ -476,10 +477,12 @@ def yeo_johnson_orders(spark, sf):
 
 @register("rf_importance_readings")
 def rf_importance_readings(spark, sf):
-    """FE15 — forest importances for the negative-value label (balanced weights)."""
-    lab = SP.with_class_weight(labelled_readings(spark, sf), "anomaly_label")
-    return FE.rf_importance(lab, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice"],
-                            "anomaly_label", trees=100, weight_col="weight", max_depth=10)
+    """FE15 — forest importances for the negative-value label (balanced weights). The readings are
+    joined and written once, dealt to all tasks: the forest reads them many times, and broadcast joins leave them in the parts of the file."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice"]
+    lab = SP.with_class_weight(written(labelled_readings(spark, sf, parts).select(*features, "anomaly_label")), "anomaly_label")
+    return FE.rf_importance(lab, features, "anomaly_label", trees=100, weight_col="weight", max_depth=10)
 
 
 @register("pca_variance_lineitem")

@@ -300,3 +300,13 @@ def test_forest_readings_shuffle_lineitem_once(spark):
     # lineitem by order and by supplier; orders by customer and by order; customer; supplier
     assert plan.count("Exchange hashpartitioning") == 6
     assert plan.count("hashpartitioning(l_orderkey") == 1 and plan.count("hashpartitioning(o_custkey") == 1
+
+
+def test_forest_importance_reads_dealt_rows(spark, monkeypatch):
+    """The readings reach the importance forest in as many parts as tasks, though broadcast joins leave them in the parts of the file."""
+    from stokehold.plans import series
+
+    seen = []
+    monkeypatch.setattr(series.FE, "rf_importance", lambda df, *a, **kw: seen.append(df) or df)
+    series.rf_importance_readings(spark, SF_MEDIUM)
+    assert len([f for f in seen[0].inputFiles()]) >= spark.sparkContext.defaultParallelism

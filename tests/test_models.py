@@ -310,3 +310,21 @@ def test_forest_importance_reads_dealt_rows(spark, monkeypatch):
     monkeypatch.setattr(series.FE, "rf_importance", lambda df, *a, **kw: seen.append(df) or df)
     series.rf_importance_readings(spark, SF_MEDIUM)
     assert len([f for f in seen[0].inputFiles()]) >= spark.sparkContext.defaultParallelism
+
+
+def test_multiclass_metrics_read_the_predictions_once(spark):
+    """Class, precision, recall and support come from one pass over the scored rows, nulls included."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(0, 0), (0, 1), (1, 1), (1, 1), (2, 0), (None, 1), (2, None)]
+
+    def score(p):
+        seen.add(1)
+        return p
+
+    df = spark.createDataFrame(rows, "y int, p0 int").select("y", F.udf(score, "int")("p0").alias("p"))
+    found = {r["class"]: r for r in EV.multiclass_metrics(df, "y", "p").collect()}
+    assert seen.value == len(rows)
+    assert set(found) == {None, "0", "1", "2", "macro avg", "weighted avg"}
+    assert (found["0"]["support"], found["0"]["precision"], found["0"]["recall"]) == (2, 0.5, 0.5)
+    assert (found["1"]["support"], found["1"]["precision"], found["1"]["recall"]) == (2, 0.5, 1.0)
+    assert (found["2"]["support"], found["2"]["precision"]) == (2, 0.0)

@@ -328,3 +328,16 @@ def test_multiclass_metrics_read_the_predictions_once(spark):
     assert (found["0"]["support"], found["0"]["precision"], found["0"]["recall"]) == (2, 0.5, 0.5)
     assert (found["1"]["support"], found["1"]["precision"], found["1"]["recall"]) == (2, 0.5, 1.0)
     assert (found["2"]["support"], found["2"]["precision"]) == (2, 0.0)
+
+
+def test_forests_keep_node_ids_between_levels(spark):
+    """Rows aren't walked from the root at every level, and the trees are those of the walks."""
+    from stokehold.models import supervised as SV
+
+    df = spark.range(600).selectExpr("double(id % 37) as a", "double(id * 7 % 101) as b", "int(id % 37 > 20 and id * 7 % 101 > 30) as y")
+    trees = {}
+    for kept in (None, False):
+        m = SV.fit_forest(df, ["a", "b"], "y", trees=8, depth=6, **({} if kept is None else {"cacheNodeIds": kept}))
+        assert m.getOrDefault("cacheNodeIds") is (kept is None)
+        trees[kept] = [t.toDebugString.split("\n", 1)[1] for t in m.trees]
+    assert trees[None] == trees[False]

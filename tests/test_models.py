@@ -287,6 +287,74 @@ def test_large_samples_need_no_more_bins_than_tasks(spark):
     assert len(set(grown.bins.values())) == spark.sparkContext.defaultParallelism
 
 
+def _search_rows(spark):
+    df = spark.range(900).selectExpr("id", "double(pmod(hash(id), 97)) as v", "if(id % 50 = 7, cast(null as double), double(id % 41) * 1.5) as w",
+                                     "double(pmod(hash(id, 3), 1000)) as x", "int(id % 23 = 0) as y")
+    df = df.unionByName(df.filter("id < 60")).repartition(5)  # keys repeat
+    return df.filter("id % 4 > 0"), df.filter("id % 4 = 0")
+
+
+def _search_draws():
+    from dataclasses import replace
+
+    base = IF.IsolationForestParams(["v", "w", "x"], ["id"])
+    grid = {"n_estimators": [3, 5], "max_samples": [0.5, "auto"], "contamination": [0.05, 0.1], "max_features": [0.4, 0.6, 1.0], "bootstrap": [True, False]}
+    from stokehold.models.supervised import grid_draws
+
+    draws = grid_draws(grid, 24)
+    return base, grid, draws, [replace(base, **p) for p in draws]
+
+
+def test_search_equals_forests_grown_alone(spark):
+    """Every configuration of the search has the metrics of its own forest, fitted on the training rows alone."""
+    from stokehold.models.supervised import iforest_search
+
+    train, val = _search_rows(spark)
+    base, grid, draws, params = _search_draws()
+    found = {r["trial"]: r for r in iforest_search(spark, train, val, "y", base, grid, n=24).collect()}
+    assert len(found) == 24
+    for i in (0, 7, 15, 23):
+        m = EV.binary_metrics(IF.fit(train, params[i]).transform(val), "y", "pred").first()
+        assert found[i]["params"] == str(draws[i])
+        assert tuple(found[i][k] for k in ("precision", "recall", "f1")) == tuple(m[k] for k in ("precision", "recall", "f1"))
+
+
+def test_search_shares_trees_and_keeps_no_nodes(spark, monkeypatch):
+    """Shares of features that come to as many have one forest, and trees are walked where they grow: no units are written."""
+    from stokehold.models import supervised as SV
+
+    train, val = _search_rows(spark)
+    base, grid, _, params = _search_draws()
+    seen, grow_and_score = [], IF.grow_and_score
+    monkeypatch.setattr(IF, "grow_and_score", lambda *a, **k: seen.append(grow_and_score(*a, **k)) or seen[-1])
+    SV.iforest_search(spark, train, val, "y", base, grid, n=24)
+    forests, scored = seen[0]
+    kinds = {(p.max_samples, IF.feature_count(p), p.bootstrap): 0 for p in params}
+    assert len({(p.max_samples, p.max_features, p.bootstrap) for p in params}) > len(kinds)
+    for p in params:
+        k = (p.max_samples, IF.feature_count(p), p.bootstrap)
+        kinds[k] = max(kinds[k], p.n_estimators)
+    assert len(forests.trees) == sum(kinds.values()) and forests.units is None
+    # more rows than a task holds: the written trees give the same scores
+    rows = train.withColumn("_held", F.lit(0)).unionByName(val.withColumn("_held", F.lit(1)))
+    p = [IF.IsolationForestParams(["v", "w", "x"], ["id"], n_estimators=4, max_samples=0.5, bootstrap=b, fold=1) for b in (True, False)]
+    both = [IF.grow_and_score(rows, p, [(0, p[0]), (1, p[1])], ["id", "_held"], fold="_held", unit_rows=u) for u in (1 << 20, 200)]
+    assert both[0][0].units is None and both[1][0].units is not None
+    a, b = (sorted((r["id"], r["_held"], *r["_scores"]) for r in x.collect()) for _, x in both)
+    assert a == b
+
+
+def test_a_bin_is_a_task_of_its_own(spark):
+    """Bins go to tasks one each, whatever the shuffle's number of parts and however small their blocks."""
+    train, _ = _search_rows(spark)
+    n = spark.sparkContext.defaultParallelism
+    grown = IF.grow_forests(train, [IF.IsolationForestParams(["v", "w", "x"], ["id"], n_estimators=3 * n, max_samples=0.9)])
+    bins, d = grown.bins, 3
+    blocks = IF._deal(IF._numbers(train, ["v", "w", "x"], ["id"], None, None), grown.trees, grown.tops, bins, d, False)
+    held = IF._by_bin(blocks, bins).withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.count_distinct("bin").alias("bins")).collect()
+    assert len(held) == len(set(bins.values())) == n and all(r["bins"] == 1 for r in held)
+
+
 def test_forest_readings_shuffle_lineitem_once(spark):
     """Orders meet customers before lineitem, whose one shuffle is by order."""
     from stokehold.plans.profiling import labelled_readings

@@ -366,18 +366,17 @@ def yeo_johnson(df: DataFrame, cols: Sequence[str] | None = None, min_abs_skew:
 
 def rf_importance(df: DataFrame, features: Sequence[str], label: str, trees: int = 100, classification: bool = True,
                   seed: int = 42, weight_col: str | None = None, max_depth: int = 10) -> DataFrame:
-    """FE15 — random-forest feature importances (MLlib)."""
+    """FE15 — random-forest feature importances (MLlib's, of a forest grown from packed rows)."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.regression import RandomForestRegressor
 
-    from .quality import assemble
+    from ..models import forest
 
-    data = assemble(df, features)
     kw = dict(featuresCol="features", labelCol=label, numTrees=trees, seed=seed, maxDepth=max_depth)
     if weight_col:
         kw["weightCol"] = weight_col
     est = RandomForestClassifier(**kw) if classification else RandomForestRegressor(**kw)
-    model = est.fit(data)
+    model = forest.fit(est, df, features)
     imp = model.featureImportances.toArray()
     rows = sorted(((f, float(v)) for f, v in zip(features, imp)), key=lambda r: (-r[1], r[0]))
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")

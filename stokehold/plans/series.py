@@ -478,10 +478,11 @@ def yeo_johnson_orders(spark, sf):
 @register("rf_importance_readings")
 def rf_importance_readings(spark, sf):
     """FE15 — forest importances for the negative-value label (balanced weights). The readings are
-    joined and written once, dealt to all tasks: the forest reads them many times, and broadcast joins leave them in the parts of the file."""
+    joined and written once, dealt to all tasks: the forest reads them twice, and broadcast joins leave them in the parts of the file.
+    Their keys tell equal rows apart, which the bootstrap draws one by one."""
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice"]
-    lab = SP.with_class_weight(written(labelled_readings(spark, sf, parts).select(*features, "anomaly_label")), "anomaly_label")
+    lab = SP.with_class_weight(written(labelled_readings(spark, sf, parts).select("l_orderkey", "l_linenumber", *features, "anomaly_label")), "anomaly_label")
     return FE.rf_importance(lab, features, "anomaly_label", trees=100, weight_col="weight", max_depth=10)
 
 

@@ -409,3 +409,73 @@ def test_forests_keep_node_ids_between_levels(spark):
         assert m.getOrDefault("cacheNodeIds") is (kept is None)
         trees[kept] = [t.toDebugString.split("\n", 1)[1] for t in m.trees]
     assert trees[None] == trees[False]
+
+
+def _labelled(spark, n=3000, parts=3):
+    return spark.range(n).selectExpr("id", "double(id % 37) as a", "double(id * 7 % 101) as b", "double(xxhash64(id) % 1000) as c",
+                                     "int(id % 37 > 20 and id * 7 % 101 > 30) as y", "double(id % 37 + id % 5) as v").repartition(parts)
+
+
+def _trees(model):
+    return [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+
+
+@pytest.mark.parametrize("classification", [True, False])
+def test_random_forests_do_not_depend_on_how_rows_are_dealt(spark, classification):
+    """Bootstrap counts are drawn by row, not by partition, and nothing is kept for each row and tree."""
+    from stokehold.models import supervised as SV
+
+    label = "y" if classification else "v"
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    fits = [SV.fit_forest(_labelled(spark, parts=p), ["a", "b", "c"], label, trees=6, depth=5, classification=classification) for p in (2, 5)]
+    assert _trees(fits[0]) == _trees(fits[1])
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+@pytest.mark.parametrize("classification", [True, False])
+def test_random_forests_by_levels_equal_those_grown_whole(spark, classification):
+    from stokehold.models import forest
+
+    df = _labelled(spark)
+    packed = forest.pack(df, ["a", "b", "c"], "y" if classification else "v", classification)
+    for rules in (forest.Rules(2, "gini" if classification else "variance", min_leaf=3, depth=6), forest.Rules(1, "gini" if classification else "variance", depth=None)):
+        whole, levels = (forest.grow_trees(packed, 4, 7, rules, forest.Copies(True, 1.0), u) for u in (1 << 22, 100))
+        for a, b in zip(whole, levels):
+            assert (a.feature == b.feature).all() and (a.bin == b.bin).all() and np.allclose(a.stats, b.stats)
+            assert a.stats[a.feature < 0][:, -1].min() >= rules.min_leaf
+
+
+def test_histogram_tree_is_the_trees_of_mllib(spark):
+    """Without a bootstrap, on all features and few values, both have one answer."""
+    from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+
+    from stokehold.models import forest
+    from stokehold.operators.quality import assemble
+
+    df = _labelled(spark).withColumn("b", F.col("b") % 20).withColumn("w", F.when(F.col("y") == 1, 2.5).otherwise(0.5))
+    theirs = DecisionTreeClassifier(labelCol="y", weightCol="w", maxDepth=6).fit(assemble(df, ["a", "b"]))
+    ours = forest.fit(RandomForestClassifier(labelCol="y", weightCol="w", maxDepth=6, numTrees=1, bootstrap=False, featureSubsetStrategy="all"), df, ["a", "b"])
+    a, b = (m.transform(assemble(df, ["a", "b"])).orderBy("id").select("probability", "prediction").collect() for m in (theirs, ours))
+    assert a == b
+    assert np.allclose(theirs.featureImportances.toArray(), ours.featureImportances.toArray())
+
+
+def test_boosting_writes_no_weights(spark):
+    """Weights are expressions of the trees before; members and votes are those of MLlib's trees."""
+    import os
+
+    from stokehold.models import supervised as SV
+    from stokehold.operators.quality import assemble
+
+    df = _labelled(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = {x for x in os.listdir(folder) if x.startswith("rdd-")}
+    model = SV.fit_adaboost(df, ["a", "b", "c"], "y", rounds=4)
+    SV.fit_adaboost_regressor(df, ["a", "b", "c"], "v", rounds=3)
+    assert {x for x in os.listdir(folder) if x.startswith("rdd-")} == before
+    got = {r["id"]: r["prediction"] for r in model.transform(df).collect()}
+    votes = {i: 0.0 for i in got}
+    for m, a in zip(model.members, model.alphas):
+        for r in m.transform(assemble(df, ["a", "b", "c"])).select("id", "prediction").collect():
+            votes[r["id"]] += a if r["prediction"] == 1.0 else -a
+    assert all(got[i] == float(v > 0) for i, v in votes.items())

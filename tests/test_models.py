@@ -479,3 +479,37 @@ def test_boosting_writes_no_weights(spark):
         for r in m.transform(assemble(df, ["a", "b", "c"])).select("id", "prediction").collect():
             votes[r["id"]] += a if r["prediction"] == 1.0 else -a
     assert all(got[i] == float(v > 0) for i, v in votes.items())
+
+
+def test_growing_gives_the_paths_of_its_rows(spark):
+    """Rows of a sample needn't be walked: they end in the leaf that they grew, equal rows and copies included."""
+    rng = np.random.default_rng(1)
+    x = np.stack([rng.integers(0, 6, 4000).astype(float), rng.normal(size=4000), np.zeros(4000)])
+    for copies, limit in ((np.ones(4000, np.int64), 12), (rng.integers(1, 4, 4000), 5)):
+        ends = np.full(4000, -1.0)
+        feature, value, _ = IF.grow(x, copies, 77, 1, 0, limit, [0, 1, 2], ends)
+        left, _, value = IF.unfold(feature, value, 0)
+        assert (ends == IF.paths(x, feature, value, left)).all()
+
+
+@pytest.mark.parametrize("bootstrap", [False, True])
+def test_large_forests_keep_no_nodes_and_score_the_same(spark, monkeypatch, bootstrap):
+    train, val = _search_rows(spark)
+    p = IF.IsolationForestParams(["v", "w", "x"], ["id"], n_estimators=9, max_samples=0.9, contamination=0.05, bootstrap=bootstrap)
+    kept = IF.fit(train, p)
+    monkeypatch.setattr(IF, "KEPT_ROWS", 10)
+    again = IF.fit(train, p)
+    assert kept.forests.units is not None and again.forests.units is None
+    a, b = (sorted((r["id"], r["score"], r["pred"]) for r in m.transform(val).collect()) for m in (kept, again))
+    assert a == b and kept.threshold == again.threshold
+    assert sorted(map(tuple, IF.split_importance(kept).collect())) == sorted(map(tuple, IF.split_importance(again).collect()))
+
+
+def test_tasks_read_all_blocks_without_a_shuffle(spark):
+    from stokehold.models.forest import every_block
+    from stokehold.session import written
+
+    whole = every_block(written(spark.range(100).repartition(4)), 5)
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    held = whole.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("id").alias("n"), F.count_distinct("task").alias("t")).collect()
+    assert len(held) == 5 and all((r["n"], r["t"]) == (100, 1) for r in held)

@@ -513,3 +513,43 @@ def test_tasks_read_all_blocks_without_a_shuffle(spark):
     assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
     held = whole.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("id").alias("n"), F.count_distinct("task").alias("t")).collect()
     assert len(held) == 5 and all((r["n"], r["t"]) == (100, 1) for r in held)
+
+
+def _forest_draws():
+    from stokehold.models.supervised import grid_draws
+
+    grid = {"trees": [3, 5], "depth": [2, 4, None], "minRowsToSplit": [2, 40], "minInstancesPerNode": [1, 4], "classWeight": ["balanced", "balanced_subsample", None]}
+    return grid, grid_draws(grid, 20)
+
+
+def test_forest_search_equals_forests_grown_alone(spark):
+    """Each draw has the metrics of its own forest, also of more rows than a task holds; draws of other cuts share their trees."""
+    from stokehold.models import forest, supervised as SV
+
+    df = _labelled(spark).withColumn("y", F.when(F.col("id") % 11 == 0, 1 - F.col("y")).otherwise(F.col("y")))
+    train, val = df.filter("id % 3 > 0"), df.filter("id % 3 = 0")
+    grid, draws = _forest_draws()
+    kinds = [forest.Draw(**p) for p in draws]
+    few, many = (sorted(map(tuple, forest.search(train, val, ["a", "b", "c"], "y", kinds, unit_rows=u).collect())) for u in (1 << 22, 200))
+    assert few == many and len(few) == 20
+    alone = [forest.search(train, val, ["a", "b", "c"], "y", [k]).drop("trial").first() for k in kinds[:6]]
+    assert [tuple(r) for r in alone] == [r[1:] for r in few[:6]]
+    # MLlib's model of the same forest
+    model = SV.fit_forest(train, ["a", "b", "c"], "y", trees=5, depth=4, minInstancesPerNode=4)
+    m = SV.evaluate_classifier(model, val, ["a", "b", "c"], "y")
+    got = forest.search(train, val, ["a", "b", "c"], "y", [forest.Draw(5, 4, 4), forest.Draw(3, None, 4)]).filter("trial = 0").first()
+    assert tuple(got[1:]) == tuple(m[k] for k in ("tn", "fp", "fn", "tp"))
+    rows = SV.random_search(spark, train, val, ["a", "b", "c"], "y", grid, n=20).collect()
+    assert [r["f1"] for r in rows] == sorted((r["f1"] for r in rows), reverse=True) and {r["params"] for r in rows} == {str(p) for p in draws}
+
+
+def test_the_whole_forest_search_is_run(spark, monkeypatch):
+    """30 draws of the published grid of 324 points."""
+    from stokehold.models import supervised as SV
+    from stokehold.plans import modelling
+
+    seen = []
+    monkeypatch.setattr(SV, "random_search", lambda *a, **k: seen.append((a, k)))
+    modelling.forest_random_search(spark, SF_MEDIUM)
+    grid = seen[0][0][-1]
+    assert len(SV.grid_draws(grid, 1000)) == 324 and seen[0][1]["n"] == 30

@@ -8,9 +8,10 @@ whole-stage codegen and needs no join.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -301,20 +302,74 @@ def yj_expr(x: Column, lam) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """(rows, mean, sum of squared deviations) of two parts together, on the last axis."""
+    n = a[..., 0] + b[..., 0]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        share = np.where(n > 0, b[..., 0] / n, 0.0)
+        delta = np.where(b[..., 0] > 0, b[..., 1], a[..., 1]) - np.where(a[..., 0] > 0, a[..., 1], b[..., 1])
+        mean = np.where(a[..., 0] > 0, a[..., 1], b[..., 1]) + delta * np.where(a[..., 0] > 0, share, 0.0)
+        square = a[..., 2] + b[..., 2] + delta * delta * a[..., 0] * share
+    return np.stack([n, mean, square], axis=-1)
+
+
+def _yj_parts(v: np.ndarray, lams: Sequence[float]) -> np.ndarray:
+    """(λ, 3): rows, mean and sum of squared deviations of the transformed values. Steps of λ are even, so each
+    power is the one before times |x| + 1 to the step: two exponentials a value, however many λ."""
+    out, n = np.zeros((len(lams), 3)), len(v)
+    if not n:
+        return out
+    # up: λ of values from 0 on, down: 2 - λ of those below
+    pos, held = v >= 0, np.log1p(np.abs(v))
+    step = lams[1] - lams[0] if len(lams) > 1 else 0.0
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        # from the middle outwards, where the powers are exact to a few ulps
+        mid = len(lams) // 2
+        base, by = np.exp(np.where(pos, lams[mid], 2 - lams[mid]) * held), np.exp(np.where(pos, step, -step) * held)
+        for order in (range(mid, len(lams)), range(mid - 1, -1, -1)):
+            power = base if order.step > 0 else base / by
+            for k in order:
+                up, down = lams[k], 2 - lams[k]
+                y = np.where(pos, held if abs(up) < 1e-12 else (power - 1) / up, -held if abs(down) < 1e-12 else -(power - 1) / down)
+                mean = y.mean()
+                y -= mean
+                out[k] = n, mean, y @ y
+                power = power * by if order.step > 0 else power / by
+    return out
+
+
 def _yj_loglik(df: DataFrame, grids: dict[str, Sequence[float]]) -> dict[str, list[float]]:
-    """Log-likelihood of every (column, λ) pair: all of them are expressions of one
-    aggregate, rows are neither repeated nor joined."""
-    aggs = []
-    for i, (x, lams) in enumerate(grids.items()):
-        v = F.nanvl(c(x).cast("double"), F.lit(None).cast("double"))
-        aggs += [F.count(v).alias(f"n{i}"), (F.min(v) < F.max(v)).alias(f"d{i}"), F.sum(F.signum(v) * F.log1p(F.abs(v))).alias(f"s{i}"),
-                 *[F.var_pop(yj_expr(v, float(lam))).alias(f"v{i}_{k}") for k, lam in enumerate(lams)]]
-    r = df.agg(*aggs).first()
+    """Log-likelihood of every (column, λ) pair, from one pass: tasks transform batches of rows for all λ and
+    send counts, means and squared deviations."""
+    cols, lams = list(grids), [list(g) for g in grids.values()]
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ends, signed = [np.zeros((len(g), 3)) for g in lams], [[math.inf, -math.inf] for _ in lams], [0.0] * len(lams)
+        for batch in batches:
+            for i, grid in enumerate(lams):
+                v = batch.column(i).to_numpy(zero_copy_only=False)
+                v = v[~np.isnan(v)]
+                for lo in range(0, len(v), 1 << 13):  # what a step works on stays in the cache
+                    w = v[lo:lo + (1 << 13)]
+                    held[i] = _merged(held[i], _yj_parts(w, grid))
+                    ends[i] = [min(ends[i][0], w.min()), max(ends[i][1], w.max())]
+                    signed[i] += float((np.sign(w) * np.log1p(np.abs(w))).sum())
+        yield pa.RecordBatch.from_pydict({"parts": pa.array([h.tobytes() for h in held], pa.binary()), "i": pa.array(range(len(lams)), pa.int32()),
+                                          "lo": pa.array([e[0] for e in ends], pa.float64()), "hi": pa.array([e[1] for e in ends], pa.float64()), "s": pa.array(signed, pa.float64())})
+
+    rows = df.select(*[c(x).cast("double").alias(f"c{i}") for i, x in enumerate(cols)]).mapInArrow(parts, "parts binary, i int, lo double, hi double, s double")
+    found = rows.groupBy("i").agg(F.sort_array(F.collect_list("parts")).alias("parts"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("s").alias("s")).collect()  # a row a column
+    by = {r["i"]: r for r in found}
     out = {}
-    for i, (x, lams) in enumerate(grids.items()):
-        fine = lambda v: v is not None and 0 < v < math.inf  # noqa: E731 (a far λ may overflow)
-        out[x] = [-r[f"n{i}"] / 2.0 * math.log(r[f"v{i}_{k}"]) + (lam - 1.0) * r[f"s{i}"] if r[f"d{i}"] and fine(r[f"v{i}_{k}"]) else -math.inf
-                  for k, lam in enumerate(lams)]
+    for i, x in enumerate(cols):
+        total = np.zeros((len(lams[i]), 3))
+        for p in by[i]["parts"] if i in by else ():
+            total = _merged(total, np.frombuffer(p, np.float64).reshape(-1, 3))
+        differ = i in by and by[i]["lo"] < by[i]["hi"]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            var = total[:, 2] / total[:, 0]
+        # a far λ may overflow
+        out[x] = [float(-n / 2 * math.log(v) + (lam - 1) * by[i]["s"]) if differ and 0 < v < math.inf else -math.inf for lam, n, v in zip(lams[i], total[:, 0], var)]
     return out
 
 
@@ -347,13 +402,14 @@ def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], start: float = 1.0, step
 
 
 def yeo_johnson(df: DataFrame, cols: Sequence[str] | None = None, min_abs_skew: float = 1.0,
-                standardize_output: bool = True, suffix: str = "_yj") -> tuple[DataFrame, dict[str, float]]:
-    """FE1 — Yeo–Johnson on columns with |skew| > 1, λ by MLE, then standardised."""
+                standardize_output: bool = True, suffix: str = "_yj", stored: bool = False) -> tuple[DataFrame, dict[str, float]]:
+    """FE1 — Yeo–Johnson on columns with |skew| > 1, λ by MLE, then standardised. ``stored``: reading ``df`` again costs a scan."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     sk = df.agg(*[bias_corrected_skew(c(x)).alias(x) for x in cols]).first()
     chosen = [x for x in cols if sk[x] is not None and abs(sk[x]) > min_abs_skew]
     # each round of the fit reads these columns again: they are written once
-    lambdas = fit_yeo_johnson(written(df.select(*[c(x) for x in chosen])), chosen) if chosen else {}
+    kept = df.select(*[c(x) for x in chosen])
+    lambdas = fit_yeo_johnson(kept if stored else written(kept), chosen) if chosen else {}
     out = df.withColumns({x + suffix: yj_expr(c(x).cast("double"), lam) for x, lam in lambdas.items()})
     if standardize_output and lambdas:
         out = standardize(out, [x + suffix for x in lambdas])

@@ -468,8 +468,9 @@ def vif_lineitem(spark, sf):
 @register("yeo_johnson_orders")
 def yeo_johnson_orders(spark, sf):
     """FE1 — Yeo–Johnson λ by maximum likelihood in aggregates; summary of the transformed column."""
-    r = readings(spark, sf).select("o_totalprice", "l_extendedprice", "c_acctbal")
-    out, lams = FE.yeo_johnson(r, ["o_totalprice", "l_extendedprice", "c_acctbal"], min_abs_skew=0.0)
+    # joined once: the skews, the fit, the means and the summary read the written columns
+    r = written(readings(spark, sf).select("o_totalprice", "l_extendedprice", "c_acctbal"))
+    out, lams = FE.yeo_johnson(r, ["o_totalprice", "l_extendedprice", "c_acctbal"], min_abs_skew=0.0, stored=True)
     return out.agg(*[a for x in lams for a in (F.lit(lams[x]).alias(f"{x}__lambda"), F.avg(x + "_yj").alias(f"{x}__mean"),
                                                F.stddev_pop(x + "_yj").alias(f"{x}__std"))]) \
         .transform(lambda row: unpivot_metrics(row, list(lams), ["lambda", "mean", "std"], key="feature"))

@@ -281,3 +281,31 @@ def test_data_dictionary_repeats_no_row(spark):
     out = Q.data_dictionary(df)
     assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r["column"]: (r["non_null"], r["null_count"], r["unique"]) for r in out.collect()} == {"k": (3, 0, 2), "s": (2, 1, 1), "x": (2, 1, 1)}
+
+
+def test_yeo_johnson_likelihood_is_that_of_the_transform(spark):
+    """One pass over batches gives the likelihood of the transformed column for every λ, about 0 and 2 too; nulls, NaN, empty parts and constants included."""
+    import math
+
+    from stokehold.operators import features as FE
+
+    df = spark.range(4000).selectExpr("if(id % 9 = 0, null, if(id % 17 = 0, double('NaN'), pow(double(id % 500), 1.7) - 3000)) as a", "double(id % 3) * 1e5 as b", "double(4) as c",
+                                      "cast(null as double) as d").repartition(7)
+    grids = {"a": [-2.0, -1.0, 0.0, 1.0, 2.0, 3.0], "b": [0.9, 0.95, 1.0], "c": [1.0, 2.0], "d": [1.0, 2.0]}
+    got = FE._yj_loglik(df, grids)
+    for x, lams in grids.items():
+        v = F.nanvl(F.col(x), F.lit(None))
+        for lam, ll in zip(lams, got[x]):
+            r = df.agg(F.count(v), F.var_pop(FE.yj_expr(v, lam)), F.sum(F.signum(v) * F.log1p(F.abs(v)))).first()
+            want = -r[0] / 2 * math.log(r[1]) + (lam - 1) * r[2] if r[1] else -math.inf
+            assert ll == want or abs(ll - want) < 1e-9 * abs(want)
+
+
+def test_yeo_johnson_joins_once(spark, monkeypatch):
+    """The readings are written before the skews, the fit and the summary read them, and not again."""
+    from stokehold.plans import series
+
+    seen = []
+    monkeypatch.setattr(series.FE, "yeo_johnson", lambda df, cols, **kw: seen.append((df, kw)) or (df.withColumns({x + "_yj": F.col(x) for x in cols}), dict.fromkeys(cols, 1.0)))
+    series.yeo_johnson_orders(spark, SF_MEDIUM)
+    assert "Join" not in seen[0][0]._jdf.queryExecution().optimizedPlan().toString() and seen[0][1]["stored"]

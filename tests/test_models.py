@@ -553,3 +553,37 @@ def test_the_whole_forest_search_is_run(spark, monkeypatch):
     modelling.forest_random_search(spark, SF_MEDIUM)
     grid = seen[0][0][-1]
     assert len(SV.grid_draws(grid, 1000)) == 324 and seen[0][1]["n"] == 30
+
+
+def test_learning_curve_walks_only_rows_that_count(spark, monkeypatch):
+    """Rows of other folds beyond a forest's share are not scored for it; the others have the scores of a walk of all."""
+    df = _labelled(spark, 1200).withColumn("k", (F.col("id") % 3).cast("int")).withColumn("s", (F.col("id") % 10) / 10)
+    params = [IF.IsolationForestParams(["a", "b"], ["id"], n_estimators=5, fold=f, share=s) for f in range(3) for s in (0.2, 0.7)]
+    grown = IF.grow_forests(df, params, fold="k", share=F.col("s"))
+    every, own = ({r["id"]: (r["k"], r["s"], r["_scores"]) for r in grown.scores(df, ["id", "k", "s"], o).collect()} for o in (None, ("k", "s")))
+    skipped = 0
+    for i, (k, s, scores) in every.items():
+        for p, a, b in zip(params, scores, own[i][2]):
+            if k == p.fold or s < p.share:
+                assert a == b
+            else:
+                skipped += a != b
+    assert skipped > 1000
+
+
+def test_thresholds_are_exact_quantiles_of_each_forest(spark, monkeypatch):
+    """Two passes over binned scores, ties, nulls and a bin with too many scores included."""
+    from stokehold.operators.core import order_statistics
+
+    df = spark.range(5000).selectExpr("array(double(pmod(xxhash64(id), 1000)) / 1000, if(id % 3 = 0, null, 0.5 + double(id % 7) * 1e-9), 1.0D) as _scores").repartition(4)
+    want = []
+    for i, share in enumerate((0.05, 0.3, 0.1)):
+        v = np.sort(np.array([r[0] for r in df.select(F.col("_scores")[i]).collect() if r[0] is not None]))
+        want.append(float(np.quantile(v, 1 - share)))
+    from stokehold.operators import core
+
+    slow = []
+    monkeypatch.setattr(core, "order_statistics", lambda *a: slow.append(1) or order_statistics(*a))
+    assert np.allclose(IF.thresholds(df, None, [0.05, 0.3, 0.1]), want, rtol=0, atol=1e-12) and not slow
+    monkeypatch.setattr(IF, "SORTED_ROWS", 10)
+    assert np.allclose(IF.thresholds(df, None, [0.05, 0.3, 0.1]), want, rtol=0, atol=1e-12) and slow

@@ -498,6 +498,7 @@ def test_large_forests_keep_no_nodes_and_score_the_same(spark, monkeypatch, boot
     p = IF.IsolationForestParams(["v", "w", "x"], ["id"], n_estimators=9, max_samples=0.9, contamination=0.05, bootstrap=bootstrap)
     kept = IF.fit(train, p)
     monkeypatch.setattr(IF, "KEPT_ROWS", 10)
+    monkeypatch.setattr(IF, "WHOLE_ROWS", train.count() + val.count())  # the training rows aren't held twice
     again = IF.fit(train, p)
     assert kept.forests.units is not None and again.forests.units is None
     a, b = (sorted((r["id"], r["score"], r["pred"]) for r in m.transform(val).collect()) for m in (kept, again))
